@@ -70,11 +70,13 @@ def runs_of(data: bytes, loc: int, e: int) -> list[tuple[int, int, int, int, byt
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads __text, __locs and __es; further columns only keep the texts' shuffle the one that the last step has too."""
     for b in batches:
         rows = []
-        for text, locs, es in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        for text, locs, es in zip(*(b.column(c).to_pylist() for c in ("__text", "__locs", "__es")), strict=True):
+            data = (text or "").encode("utf-8")
             for loc, e in zip(locs, es, strict=True):
-                rows += runs_of(text, loc, e)
+                rows += runs_of(data, loc, e)
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays(
             [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())],
@@ -125,7 +127,8 @@ def repeated_in_runs(runs: DataFrame) -> DataFrame:
     whole = reads.filter("n > 1").select("r", (width - (F.length("around") - (RUN - 1))).cast("int").alias("near"), width.cast("int").alias("far"))
     units = reads.groupBy("k").agg(F.count("*").alias("size")).filter("size > 1")
     shared = reads.join(units, "k")
-    few = shared.filter(F.col("size") <= UNIT).select("k", "base", "r", "before", "around").repartition("k").sortWithinPartitions("k")
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not fewer for few bytes: the work is in the rounds
+    few = shared.filter(F.col("size") <= UNIT).select("k", "base", "r", "before", "around").repartition(parts, "k").sortWithinPartitions("k")
     built = few.mapInArrow(_constructed, "r long, near int, far int")
     cut_up = shared.filter(F.col("size") > UNIT).select("k", "r", "base", "before", "around", F.explode(F.sequence(F.lit(0), F.length("around") - (RUN - 1))).alias("x"))
     strings = cut_up.select("k", "r", (F.col("base") + F.col("before") - F.col("x")).cast("int").alias("d"), F.substring("around", F.col("x") + 1, F.lit(RUN - 1)).alias("w"))
@@ -169,7 +172,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     mixed = shared.filter("mixed")
     contexts = mixed.groupBy("a", "e").agg(F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("loc").alias("loc"))
     asked = contexts.groupBy("rid").agg(F.collect_list("loc").alias("locs"), F.collect_list("e").alias("es"))
-    runs = texts.join(asked, "rid").dropDuplicates(["rid"]).select("data", "locs", "es").mapInArrow(_run_rows, "e long, base int, core binary, before int, around binary")
+    asked = asked.select(F.col("rid").alias("__rid"), F.col("locs").alias("__locs"), F.col("es").alias("__es"))
+    # both joins of the texts are on __rid and of all columns, so that Spark shuffles the texts once
+    met = rows.join(asked, "__rid").dropDuplicates(["__rid"]).withColumn("__text", F.col(text_col).cast("string"))
+    runs = met.mapInArrow(_run_rows, "e long, base int, core binary, before int, around binary")
     partly = mixed.join(repeated_in_runs(runs), "e").select("rid", extent(F.col("near"), F.col("far")).alias("x"))
     copied = mixed.join(contexts.filter("n > 1").select("a", "e"), ["a", "e"]).unionByName(shared.filter("not mixed")).select("rid", extent(back - span, back).alias("x"))
     extents = partly.union(copied).distinct().groupBy("rid").agg(F.flatten(F.collect_list(F.array("x.start", "x.stop"))).alias("extents"))
