@@ -1 +1 @@
-"""Part of the detection engine."""
+"""Operators on detections, cells and time series."""

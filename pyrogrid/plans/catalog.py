@@ -1,10 +1,620 @@
-"""The registered queries and their SQL counterparts."""
+"""The registered queries over the given tables and, side by side, their SQL counterparts."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import fields, keys
+from ..functions.grid import cell, hilbert, in_view, lon_overlaps, mercator_y, parent, plain_cell, plain_parent
+from ..operators import cells, classify, maintain, profile, quality, route, timeseq, viewport
+from ..sources import store
+from ..sources.adapters import EVENTS, ORDERS, detections, yearly
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+Det = DataFrame
+
+# plain grid cells in the SQL counterparts
+CELL = "(CAST(FLOOR(CAST(lon_c + 18000 AS DOUBLE) / {s}) AS BIGINT) * 100000 + CAST(FLOOR(CAST(lat_c + 9000 AS DOUBLE) / {s}) AS BIGINT))"
+MONEY = "CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+VIEW = (150.0, -40.0, 220.0, 45.0)
+IN_VIEW = "((lon BETWEEN 150 AND 220 OR lon + 360 BETWEEN 150 AND 220) AND lat BETWEEN -40 AND 45)"
+SPLIT = "TIMESTAMP '2024-01-24 12:00:00'"
+WINDOW = "TIMESTAMP '2024-01-23 00:00:00'"
+HOLE = "acq_datetime >= TIMESTAMP '2024-01-10 05:46:00' AND acq_datetime < TIMESTAMP '2024-01-12 00:01:00'"
+SOURCES = "(SELECT * FROM (VALUES ('latest','day','20240123','20240130',4), ('2024','day','20240101','20240125',3), ('january','day','20240103','20240120',3), ('alltime','month','199501','202401',2)) AS t(id, unit, min_key, max_key, rebuilt))"
+AVAIL = "(SELECT * FROM (VALUES ('MODIS',1995,2001), ('VIIRS_SNPP',1996,2001), ('VIIRS_NOAA20',1999,2001), ('VIIRS_NOAA21',2000,2001)) AS t(sensor, lo, hi))"
+DOMAINS = "(SELECT l_orderkey * 10 + l_linenumber AS req, CAST(l_shipdate AS DATE) AS lo, CAST(l_shipdate AS DATE) + CAST(l_quantity * 12 AS INT) AS hi FROM lineitem)"
+
+
+def register(name: str, sql: str | None, base: str | None = None):
+    """Register a query; base 'det' or 'ord' gives it the adapted table and its SQL the table's definition."""
+
+    def put(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        make = {"det": detections, "ord": yearly, None: lambda s, d: (s, d)}[base]
+        QUERIES[name] = (lambda s, d: f(make(s, d))) if base else f
+        if sql is not None:
+            head = {"det": f"WITH det AS ({EVENTS})", "ord": f"WITH ord AS ({ORDERS})", None: ""}[base]
+            ORACLE_SQL[name] = f"{head}{',' if base and sql.lstrip().startswith('AS_CTE') else ''} {sql.replace('AS_CTE', '', 1)}".strip()
+        return f
+
+    return put
+
+
+def money(c: str):
+    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+
+
+def values(df: DataFrame, text: str) -> DataFrame:
+    return df.sparkSession.sql(text[1:-1])
+
+
+# ---- aggregates -------------------------------------------------------------------------------------------------
+
+
+@register("a11_by_sensor", "SELECT sensor, COUNT(*) AS cnt, ROUND(AVG(frp), 1) AS avg_frp FROM det GROUP BY sensor ORDER BY cnt DESC", "det")
+def _(det):
+    return det.groupBy("sensor").agg(F.count("*").alias("cnt"), F.round(F.avg("frp"), 1).alias("avg_frp")).orderBy(F.desc("cnt"))
+
+
+@register("a1_cell_aggregate", f"SELECT {CELL.format(s=250)} AS cell, COUNT(*) AS cnt, {MONEY.format(c='frp')} AS sum_frp, ROUND({MONEY.format(c='frp')} / COUNT(frp), 4) AS avg_frp, MAX(frp) AS max_frp FROM det GROUP BY 1", "det")
+def _(det):
+    c = cells.with_means(cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.lit("all"), ()))
+    return c.select("cell", "cnt", F.col("sum_frp").cast("double").alias("sum_frp"), F.round("avg_frp", 4).alias("avg_frp"), "max_frp")
+
+
+@register("a2_cell_day", f"SELECT {CELL.format(s=500)} AS cell, day_key AS bucket, COUNT(*) AS cnt FROM det GROUP BY 1, 2", "det")
+def _(det):
+    return cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.col("day_key"), ()).select("cell", "bucket", "cnt")
+
+
+@register("a3_cell_category", f"SELECT {CELL.format(s=500)} AS cell, 'sensor' AS dim, sensor AS value, COUNT(*) AS cnt FROM det GROUP BY 1, 3 UNION ALL SELECT {CELL.format(s=500)}, 'daynight', daynight, COUNT(*) FROM det GROUP BY 1, 3", "det")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.col("day_key"))
+    one = lambda d: cells.again(base, "cell", F.col(d).alias("value")).select("cell", F.lit(d).alias("dim"), "value", "cnt")
+    return one("sensor").unionByName(one("daynight"))
+
+
+@register("a4_wide_cells", f"SELECT {CELL.format(s=1000)} AS cell, " + ", ".join(f"SUM(CASE WHEN sensor = '{s}' THEN 1 ELSE 0 END)::BIGINT AS count_{s}" for s in ("MODIS", "VIIRS_SNPP", "VIIRS_NOAA20", "VIIRS_NOAA21")) + " FROM det GROUP BY 1", "det")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.col("day_key"))
+    return cells.wide(base, "sensor", ["MODIS", "VIIRS_SNPP", "VIIRS_NOAA20", "VIIRS_NOAA21"], 8)
+
+
+@register("a5_rollup", f"SELECT {CELL.format(s=1000)} AS cell, day_key AS bucket, COUNT(*) AS cnt, {MONEY.format(c='frp')} AS sum_frp, MAX(frp) AS max_frp FROM det GROUP BY 1, 2", "det")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.col("day_key"), ())
+    up = cells.rollup(base, plain_parent(F.col("cell"), 4), "bucket")
+    return up.select("cell", "bucket", "cnt", F.col("sum_frp").cast("double").alias("sum_frp"), "max_frp")
+
+
+@register("a6_combine_years", f"SELECT {CELL.format(s=500)} AS cell, COUNT(*) AS cnt, {MONEY.format(c='frp')} AS sum_frp, ROUND({MONEY.format(c='frp')} / COUNT(*), 4) AS mean_all, MAX(frp) AS max_frp, COUNT(DISTINCT month_key) AS months FROM ord GROUP BY 1", "ord")
+def _(det):
+    by_year = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.col("month_key"), ("year",))
+    total = cells.with_means(cells.again(by_year, "cell"))
+    months = by_year.groupBy("cell").agg(F.countDistinct("bucket").alias("months"))
+    return total.join(months, "cell").select("cell", "cnt", F.col("sum_frp").cast("double").alias("sum_frp"), F.round("mean_all", 4).alias("mean_all"), "max_frp", "months")
+
+
+@register(
+    "a7_breaks",
+    f"AS_CTE c AS (SELECT year, {CELL.format(s=500)} AS cell, COUNT(*) AS cnt, MAX(frp) AS max_frp FROM ord GROUP BY 1, 2), l AS (SELECT year, 'cnt' AS metric, CAST(cnt AS DOUBLE) AS v FROM c UNION ALL SELECT year, 'max_frp', max_frp FROM c) SELECT year, metric, "
+    + ", ".join(f"ROUND(QUANTILE_CONT(v, {q}), 4) AS q{i}" for i, q in enumerate(classify.QUANTILES)) + " FROM l WHERE v > 0 GROUP BY year, metric", "ord",
+)
+def _(det):
+    c = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.lit("all"), ("year",))
+    b = classify.breaks(c, ["cnt", "max_frp"], ["year"])
+    return b.select("year", "metric", *[F.round(F.col("quantiles")[i], 4).alias(f"q{i}") for i in range(len(classify.QUANTILES))])
+
+
+@register("a7_break_ladders", None, "ord")
+def _(det):
+    c = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.lit("all"), ("year",))
+    return classify.breaks(c, ["cnt", "max_frp"], ["year"]).select("year", "metric", F.posexplode("breaks").alias("idx", "value"))
+
+
+@register("a8_sensors_per_year", "SELECT year, string_agg(DISTINCT sensor, ',' ORDER BY sensor) AS sensors FROM ord GROUP BY year", "ord")
+def _(det):
+    return det.groupBy("year").agg(F.array_join(F.sort_array(F.collect_set("sensor")), ",").alias("sensors"))
+
+
+@register("a9_partition_profile", "SELECT year, COUNT(*) AS n_rows, MIN(lon_c) AS w, MIN(lat_c) AS s, MAX(lon_c) AS e, MAX(lat_c) AS n, CAST(MIN(acq_date) AS VARCHAR) AS first_day, CAST(MAX(acq_date) AS VARCHAR) AS last_day, COUNT(DISTINCT sensor) AS sensors FROM ord GROUP BY year", "ord")
+def _(det):
+    p = profile.partition_profile(det.withColumns({"lon": F.col("lon_c"), "lat": F.col("lat_c")}))
+    day = lambda c: F.to_date(c).cast("string")
+    return p.select("year", "n_rows", "w", "s", "e", "n", day("first_time").alias("first_day"), day("last_time").alias("last_day"), F.size("sensors").cast("long").alias("sensors"))
+
+
+@register("a10_collection_profile", "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, MIN(lon) AS w, MIN(lat) AS s, MAX(lon) AS e, MAX(lat) AS n, COUNT(DISTINCT year) AS years, COUNT(DISTINCT sensor) AS sensors FROM det", "det")
+def _(det):
+    p = profile.collection_profile(det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {WINDOW}"))
+    return p.select("n_rows", "w", "s", "e", "n", "years", F.col("sensors").cast("long").alias("sensors"))
+
+
+@register("a12_view_histogram", f"SELECT day_key AS bucket, COUNT(*) AS cnt, COUNT(DISTINCT {CELL.format(s=500)}) AS cells FROM det WHERE {CELL.format(s=500)} IN (SELECT {CELL.format(s=500)} FROM det GROUP BY 1 HAVING (MIN(lon) <= 220 AND MAX(lon) >= 150 OR MIN(lon) + 360 <= 220 AND MAX(lon) + 360 >= 150) AND MIN(lat) <= 45 AND MAX(lat) >= -40) GROUP BY 1", "det")
+def _(det):
+    c = plain_cell(F.col("lon_c"), F.col("lat_c"), 500)
+    extent = cells.bounds_union(det.select(c.alias("cell"), F.col("lon").alias("w"), F.col("lat").alias("s"), F.col("lon").alias("e"), F.col("lat").alias("n")))
+    return viewport.histogram(cells.base_cells(det, c, F.col("day_key"), ()), extent, VIEW)
+
+
+@register("a13_point_histogram", f"SELECT day_key AS bucket, COUNT(*) AS cnt FROM det WHERE {IN_VIEW} GROUP BY 1", "det")
+def _(det):
+    return viewport.point_histogram(det, VIEW, F.col("day_key"))
+
+
+@register("a14_bounds", f"SELECT {CELL.format(s=1000)} AS cell, MIN(lon) AS w, MIN(lat) AS s, MAX(lon) AS e, MAX(lat) AS n FROM det GROUP BY 1", "det")
+def _(det):
+    return cells.bounds_union(det.select(plain_cell(F.col("lon_c"), F.col("lat_c"), 1000).alias("cell"), F.col("lon").alias("w"), F.col("lat").alias("s"), F.col("lon").alias("e"), F.col("lat").alias("n")))
+
+
+@register("a15_axis", "SELECT 'month' AS unit, 'YYYYMM' AS key_format, MIN(month_key) AS min_key, MAX(month_key) AS max_key, COUNT(DISTINCT month_key) AS buckets FROM ord", "ord")
+def _(det):
+    return timeseq.declare_axis(det.select(F.col("month_key").alias("bucket")))
+
+
+@register("a16_shares", f"SELECT {CELL.format(s=1000)} AS cell, ROUND(100.0 * SUM(CASE WHEN daynight = 'N' THEN 1 ELSE 0 END) / GREATEST(1, COUNT(*)), 4) AS night_share FROM det GROUP BY 1", "det")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.lit("all"), ("daynight",))
+    w = cells.wide(base, "daynight", ["D", "N"], 4).withColumn("cnt", F.col("count_D") + F.col("count_N"))
+    return w.select("cell", F.round(classify.share(w, ["count_N"], "cnt"), 4).alias("night_share"))
+
+
+@register("a17_share_breaks_by_year", f"AS_CTE c AS (SELECT year, {CELL.format(s=1000)} AS cell, 100.0 * SUM(CASE WHEN sensor = 'MODIS' THEN 0 ELSE 1 END) / COUNT(*) AS share FROM ord GROUP BY 1, 2) SELECT year, ROUND(QUANTILE_CONT(CAST(share AS DOUBLE), 0.5), 4) AS q50, ROUND(QUANTILE_CONT(CAST(share AS DOUBLE), 0.9), 4) AS q90 FROM c WHERE share > 0 GROUP BY year", "ord")
+def _(det):
+    base = det.groupBy("year", plain_cell(F.col("lon_c"), F.col("lat_c"), 1000).alias("cell")).agg(F.count("*").alias("cnt"), F.count_if(F.col("sensor") != "MODIS").alias("v"))
+    b = classify.breaks(base.withColumn("share", classify.share(base, ["v"], "cnt")), ["share"], ["year"], (0.5, 0.9))
+    return b.select("year", F.round(F.col("quantiles")[0], 4).alias("q50"), F.round(F.col("quantiles")[1], 4).alias("q90"))
+
+
+@register("a18_fleet_effect", "SELECT year, COUNT(*) AS cnt, COUNT(DISTINCT sensor) AS sensors, ROUND(CAST(COUNT(*) AS DOUBLE) / LAG(COUNT(*)) OVER (ORDER BY year), 6) AS ratio FROM ord GROUP BY year", "ord")
+def _(det):
+    return profile.fleet_effect(det)
+
+
+@register("a19_power_by_month", f"SELECT month_key AS bucket, sensor, {MONEY.format(c='frp')} AS sum_frp FROM ord GROUP BY 1, 2", "ord")
+def _(det):
+    return det.groupBy(F.col("month_key").alias("bucket"), "sensor").agg(money("frp").alias("sum_frp"))
+
+
+@register("a20_convergence", f"AS_CTE e AS (SELECT DISTINCT year, {CELL.format(s=500)} AS cell FROM ord), f AS (SELECT cell, MIN(year) AS year FROM e GROUP BY cell) SELECT p.year, p.cells, COALESCE(n.new_cells, 0) AS new_cells, CAST(SUM(COALESCE(n.new_cells, 0)) OVER (ORDER BY p.year) AS BIGINT) AS union_cells FROM (SELECT year, COUNT(*) AS cells FROM e GROUP BY year) p LEFT JOIN (SELECT year, COUNT(*) AS new_cells FROM f GROUP BY year) n USING (year)", "ord")
+def _(det):
+    return cells.convergence(det.select("year", plain_cell(F.col("lon_c"), F.col("lat_c"), 500).alias("cell")))
+
+
+@register("a21_density", " UNION ALL ".join(f"SELECT {s} AS level, COUNT(*) AS filled, COUNT(DISTINCT cell) AS cells, COUNT(DISTINCT bucket) AS buckets, ROUND(CAST(COUNT(*) AS DOUBLE) / (COUNT(DISTINCT cell) * COUNT(DISTINCT bucket)), 6) AS density FROM (SELECT DISTINCT {CELL.format(s=s)} AS cell, month_key AS bucket FROM ord)" for s in (500, 1000)), "ord")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.col("month_key"), ())
+    up = cells.rollup(base, plain_parent(F.col("cell")), "bucket")
+    return cells.density(base.withColumn("level", F.lit(500)).unionByName(up.withColumn("level", F.lit(1000)), allowMissingColumns=True))
+
+
+@register("a22_day_night_by_band", "SELECT CAST(FLOOR(lat / 10) AS BIGINT) AS band, CAST(month(acq_date) AS INT) AS month, SUM(CASE WHEN daynight = 'D' THEN 1 ELSE 0 END)::BIGINT AS day, SUM(CASE WHEN daynight = 'N' THEN 1 ELSE 0 END)::BIGINT AS night FROM det GROUP BY 1, 2", "det")
+def _(det):
+    return det.groupBy(F.floor(F.col("lat") / 10).alias("band"), F.month("acq_date").alias("month")).agg(F.count_if(F.col("daynight") == "D").alias("day"), F.count_if(F.col("daynight") == "N").alias("night"))
+
+
+@register("a23_type_mix", "SELECT sensor, COUNT(*) AS cnt, SUM(CASE WHEN type IS NULL THEN 1 ELSE 0 END)::BIGINT AS unattributed, SUM(CASE WHEN type = 1 THEN 1 ELSE 0 END)::BIGINT AS volcano, SUM(CASE WHEN type = 2 THEN 1 ELSE 0 END)::BIGINT AS static_source, SUM(CASE WHEN type = 3 THEN 1 ELSE 0 END)::BIGINT AS offshore FROM det GROUP BY 1", "det")
+def _(det):
+    t = F.col("type")
+    return det.groupBy("sensor").agg(F.count("*").alias("cnt"), F.count_if(t.isNull()).alias("unattributed"), F.count_if(t == 1).alias("volcano"), F.count_if(t == 2).alias("static_source"), F.count_if(t == 3).alias("offshore"))
+
+
+# ---- filters and projections ---------------------------------------------------------------------------------------
+
+
+@register("p8_of_year", "SELECT det_id, sensor FROM ord WHERE year = 1998", "ord")
+def _(det):
+    return store.of_year(det, 1998).select("det_id", "sensor")
+
+
+@register("p9_type_filter", "SELECT det_id, type FROM det WHERE type = 0 OR type IS NULL", "det")
+def _(det):
+    return det.filter(fields.usable_type(F.col("type"))).select("det_id", "type")
+
+
+@register("p10_confidence_filter", "SELECT det_id, sensor, confidence FROM det WHERE CASE WHEN sensor = 'MODIS' THEN confidence_pct >= 30 ELSE confidence <> 'l' END", "det")
+def _(det):
+    return det.filter(fields.confident(F.col("sensor"), F.col("confidence_pct"), F.col("confidence"))).select("det_id", "sensor", "confidence")
+
+
+@register("p11_fixed_sensor", "SELECT det_id, frp FROM det WHERE sensor = 'VIIRS_SNPP' AND quality = 'sp'", "det")
+def _(det):
+    return det.filter((F.col("sensor") == "VIIRS_SNPP") & (F.col("quality") == "sp")).select("det_id", "frp")
+
+
+@register("p12_pivot_keys", "SELECT det_id, year, CAST(month(acq_date) AS INT) AS month, day_key AS day, CAST(year * 100 + month(acq_date) AS VARCHAR) AS month_key FROM det", "det")
+def _(det):
+    return det.select("det_id", "year", F.month("acq_date").alias("month"), keys.day_key(F.col("acq_date")).alias("day"), keys.month_key(F.col("acq_date")).alias("month_key"))
+
+
+@register("p13_footprint", "SELECT sensor, ROUND(SUM(CASE WHEN instrument = 'VIIRS' THEN scan * track / 1e6 ELSE scan * track END), 3) AS km2 FROM det GROUP BY sensor", "det")
+def _(det):
+    return det.groupBy("sensor").agg(F.round(F.sum(fields.footprint_km2(F.col("instrument"), F.col("scan"), F.col("track"))), 3).alias("km2"))
+
+
+@register("p14_day_sets", "SELECT det_id, acq_date IN (DATE '2024-01-10', DATE '2024-01-12') AS refetched FROM det", "det")
+def _(det):
+    days = det.sparkSession.sql("SELECT explode(array(DATE '2024-01-10', DATE '2024-01-12')) AS acq_date")
+    return det.join(F.broadcast(days), "acq_date", "left_semi").select("det_id", F.lit(True).alias("refetched")).unionByName(det.join(F.broadcast(days), "acq_date", "left_anti").select("det_id", F.lit(False).alias("refetched")))
+
+
+@register("p15_head", f"SELECT det_id FROM det WHERE acq_datetime < {SPLIT}", "det")
+def _(det):
+    return det.filter(f"acq_datetime < {SPLIT}").select("det_id")
+
+
+@register("p16_in_view", f"SELECT det_id, lon, lat FROM det WHERE {IN_VIEW}", "det")
+def _(det):
+    lon, lat = F.col("lon"), F.col("lat")
+    return det.filter(in_view(lon, lat, lon, lat, VIEW)).select("det_id", "lon", "lat")
+
+
+@register("p17_positive", "SELECT det_id, frp FROM det WHERE frp IS NOT NULL AND frp > 0", "det")
+def _(det):
+    return det.filter(fields.positive(F.col("frp"))).select("det_id", "frp")
+
+
+# ---- joins, routing -------------------------------------------------------------------------------------------------
+
+
+@register("j1_pivots_joined", f"SELECT {CELL.format(s=1000)} AS cell, COUNT(*) AS cnt, SUM(CASE WHEN daynight = 'D' THEN 1 ELSE 0 END)::BIGINT AS count_D, SUM(CASE WHEN daynight = 'N' THEN 1 ELSE 0 END)::BIGINT AS count_N, SUM(CASE WHEN sensor = 'MODIS' THEN 1 ELSE 0 END)::BIGINT AS count_MODIS FROM det GROUP BY 1", "det")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.lit("all"))
+    parts = [cells.again(base, "cell").select("cell", "cnt"), cells.wide(base, "daynight", ["D", "N"], 4), cells.wide(base, "sensor", ["MODIS", "VIIRS_SNPP", "VIIRS_NOAA20", "VIIRS_NOAA21"], 8).select("cell", "count_MODIS")]
+    return reduce(lambda a, b: a.join(b, "cell"), parts)
+
+
+@register("j2_years_united", f"SELECT {CELL.format(s=1000)} AS cell, " + ", ".join(f"SUM(CASE WHEN year = {y} THEN 1 ELSE 0 END)::BIGINT AS count_{y}" for y in range(1995, 2002)) + " FROM ord WHERE year BETWEEN 1995 AND 2001 GROUP BY 1", "ord")
+def _(det):
+    base = cells.base_cells(det.filter(F.col("year").between(1995, 2001)), plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.col("month_key"), ("year",))
+    return cells.wide(base.withColumn("year", F.col("year").cast("string")), "year", [str(y) for y in range(1995, 2002)], 366)
+
+
+@register("j3_todo", "SELECT DISTINCT year, sensor FROM ord WHERE year > 1998", "ord")
+def _(det):
+    plan = det.select("year", "sensor").distinct()
+    return store.todo(plan, plan.filter("year <= 1998"), ["year", "sensor"])
+
+
+@register("j4_missing_sensors", f"SELECT y.year, a.sensor FROM (SELECT DISTINCT year FROM ord) y JOIN {AVAIL} a ON y.year BETWEEN a.lo AND a.hi EXCEPT SELECT year, sensor FROM ord", "ord")
+def _(det):
+    return profile.missing_sensors(det.select("year", "sensor"), values(det, AVAIL))
+
+
+@register("j5_days_by_source", f"SELECT CAST(d.acq_date AS VARCHAR) AS day, s.id FROM (SELECT DISTINCT acq_date, day_key FROM det) d JOIN {SOURCES} s ON s.unit = 'day' AND d.day_key BETWEEN s.min_key AND s.max_key", "det")
+def _(det):
+    s = F.broadcast(values(det, SOURCES).filter("unit = 'day'"))
+    days = det.select("acq_date", "day_key").distinct()
+    return days.join(s, F.col("day_key").between(F.col("min_key"), F.col("max_key"))).select(F.col("acq_date").cast("string").alias("day"), "id")
+
+
+@register("j6_live_only", f"SELECT det_id FROM det WHERE acq_datetime >= {WINDOW} AND acq_datetime > (SELECT MAX(acq_datetime) FROM det WHERE acq_datetime < {SPLIT})", "det")
+def _(det):
+    return profile.live_only(det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {WINDOW}")).select("det_id")
+
+
+@register("j7_owners", f"SELECT bucket, owner FROM (SELECT d.day_key AS bucket, s.id AS owner, ROW_NUMBER() OVER (PARTITION BY d.day_key ORDER BY s.rebuilt DESC, CAST(s.max_key AS INT) - CAST(s.min_key AS INT), s.id) AS r FROM (SELECT DISTINCT day_key FROM det) d JOIN {SOURCES} s ON s.unit = 'day' AND d.day_key BETWEEN s.min_key AND s.max_key) WHERE r = 1", "det")
+def _(det):
+    buckets = det.select(F.col("day_key").alias("bucket"), F.lit("day").alias("unit")).distinct()
+    return route.owners(buckets, values(det, SOURCES)).select("bucket", "owner")
+
+
+@register("j8_best_cover", f"SELECT sel, source, covered FROM (SELECT q.sel, s.id AS source, CAST(LEAST(q.hi, CAST(s.max_key AS INT)) - GREATEST(q.lo, CAST(s.min_key AS INT)) + 1 AS BIGINT) AS covered, ROW_NUMBER() OVER (PARTITION BY q.sel ORDER BY LEAST(q.hi, CAST(s.max_key AS INT)) - GREATEST(q.lo, CAST(s.min_key AS INT)) DESC, s.rebuilt DESC, s.id) AS r FROM (SELECT det_id AS sel, CAST(day_key AS INT) AS lo, LEAST(20240131, CAST(day_key AS INT) + CAST(det_id % 5 AS INT)) AS hi FROM det) q JOIN {SOURCES} s ON s.unit = 'day' AND q.lo <= CAST(s.max_key AS INT) AND q.hi >= CAST(s.min_key AS INT)) WHERE r = 1", "det")
+def _(det):
+    hi = F.least(F.lit(20240131), F.col("day_key").cast("int") + (F.col("det_id") % 5).cast("int")).cast("string")
+    sel = det.select(F.col("det_id").alias("sel"), F.lit("day").alias("unit"), F.col("day_key").alias("lo"), hi.alias("hi"))
+    return route.best_cover(sel, values(det, SOURCES))
+
+
+@register("j9_counts_with_bounds", f"AS_CTE b AS (SELECT {CELL.format(s=1000)} AS cell, MIN(lon) AS w FROM det WHERE quality = 'sp' GROUP BY 1) SELECT c.cell, c.cnt, b.w FROM (SELECT {CELL.format(s=1000)} AS cell, COUNT(*) AS cnt FROM det GROUP BY 1) c JOIN b USING (cell)", "det")
+def _(det):
+    c = plain_cell(F.col("lon_c"), F.col("lat_c"), 1000)
+    return det.groupBy(c.alias("cell")).agg(F.count("*").alias("cnt")).join(det.filter("quality = 'sp'").groupBy(c.alias("cell")).agg(F.min("lon").alias("w")), "cell")
+
+
+@register("j10_regions", "SELECT det_id, 'east' AS region FROM det WHERE lon > 10.005 AND lon < 60.005 AND lat > -20.005 AND lat < 30.005 UNION ALL SELECT det_id, 'triangle' FROM det WHERE lon + lat < 0.005 AND lon > -120.005 AND lat > -60.005", "det")
+def _(det):
+    ring = lambda *p: "array(" + ", ".join(f"named_struct('x', {x}D, 'y', {y}D)" for x, y in p) + ")"
+    regions = det.sparkSession.sql(f"SELECT 'east' AS region, {ring((10.005, -20.005), (60.005, -20.005), (60.005, 30.005), (10.005, 30.005))} AS ring UNION ALL SELECT 'triangle', {ring((-120.005, -60.005), (60.01, -60.005), (-120.005, 120.01))}")
+    return viewport.join_regions(det, regions).select("det_id", "region")
+
+
+@register("r1_route", f"SELECT req, CASE WHEN lo >= DATE '2000-06-01' THEN 'live' WHEN year(lo) = year(hi) AND year(lo) BETWEEN 1995 AND 2000 THEN 'year-' || CAST(year(lo) AS VARCHAR) WHEN year(hi) = year(lo) + 1 AND (CASE WHEN date_diff('day', lo, make_date(year(hi), 1, 1)) > date_diff('day', make_date(year(hi), 1, 1), hi) + 1 THEN year(lo) ELSE year(hi) END) BETWEEN 1995 AND 2000 THEN 'year-' || CAST(CASE WHEN date_diff('day', lo, make_date(year(hi), 1, 1)) > date_diff('day', make_date(year(hi), 1, 1), hi) + 1 THEN year(lo) ELSE year(hi) END AS VARCHAR) ELSE 'alltime' END AS target FROM {DOMAINS}")
+def _(spark, sf_dir):
+    return route.route(domains(spark, sf_dir), (1995, 2000), "2000-06-01")
+
+
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time domains asked for, one per line item."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lo = F.col("l_shipdate").cast("date")
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("req"), lo.alias("lo"), F.date_add(lo, (F.col("l_quantity") * 12).cast("int")).alias("hi"))
+
+
+@register("r2_selected", f"SELECT {CELL.format(s=1000)} AS cell, SUM(CASE WHEN month_key BETWEEN '199703' AND '199902' THEN 1 ELSE 0 END)::BIGINT AS cnt FROM ord GROUP BY 1", "ord")
+def _(det):
+    return viewport.selected(cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.col("month_key"), ()), "199703", "199902")
+
+
+@register("r3_mounts", f"SELECT req, year, rank FROM (SELECT req, year, CAST(ROW_NUMBER() OVER (PARTITION BY req ORDER BY ABS(year - (year(lo) + (year(hi) - year(lo)) / 2.0)), year DESC) AS INT) AS rank FROM {DOMAINS} d JOIN (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year FROM orders) y ON y.year BETWEEN year(d.lo) AND year(d.hi)) WHERE rank <= 2")
+def _(spark, sf_dir):
+    return route.plan_mounts(domains(spark, sf_dir), yearly(spark, sf_dir).select("year").distinct())
+
+
+@register("r4_tile_weights", None, "det")
+def _(det):
+    return route.tile_weights(det, [0, 2, 4, 6])
+
+
+@register("r4_handover", None, "det")
+def _(det):
+    return route.handover(route.tile_weights(det, list(range(10))), 50)
+
+
+# ---- sequences ----------------------------------------------------------------------------------------------------
+
+LO, HI = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-31 00:00:00'"
+HOLES = f"AS_CTE t AS (SELECT DISTINCT acq_datetime AS t FROM det WHERE NOT ({HOLE}) AND acq_datetime > {LO} AND acq_datetime < {HI} UNION SELECT {LO} UNION SELECT {HI}), g AS (SELECT LAG(t) OVER (ORDER BY t) AS p, t FROM t)"
+
+
+def with_hole(det: DataFrame) -> DataFrame:
+    return timeseq.holes(det.filter(f"not ({HOLE})"), "3 hours", lo=F.expr(f"cast({LO} as timestamp_ntz)"), hi=F.expr(f"cast({HI} as timestamp_ntz)"))
+
+
+@register("w1_holes", HOLES + " SELECT CAST(p AS TIMESTAMP) AS hole_start, CAST(t AS TIMESTAMP) AS hole_end FROM g WHERE t > p + INTERVAL 3 HOUR", "det")
+def _(det):
+    return with_hole(det).select(F.col("start").alias("hole_start"), F.col("end").alias("hole_end"))
+
+
+@register("w2_silences", "AS_CTE t AS (SELECT DISTINCT sensor, acq_datetime AS t FROM det WHERE event_hour < 14), g AS (SELECT sensor, LAG(t) OVER (PARTITION BY sensor ORDER BY t) AS p, t FROM t) SELECT sensor, CAST(p AS TIMESTAMP) AS quiet_from, CAST(t AS TIMESTAMP) AS quiet_to FROM g WHERE t > p + INTERVAL 9 HOUR".replace("event_hour < 14", "hour(acq_datetime) < 14"), "det")
+def _(det):
+    return timeseq.holes(det.filter(F.hour("acq_datetime") < 14), "9 hours", by=["sensor"]).select("sensor", F.col("start").alias("quiet_from"), F.col("end").alias("quiet_to"))
+
+
+@register("w3_days_touched", HOLES + " SELECT DISTINCT CAST(unnest(generate_series(CAST(p AS DATE), CAST(t AS DATE), INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE t > p + INTERVAL 3 HOUR", "det")
+def _(det):
+    return timeseq.days_touched(with_hole(det), F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"))
+
+
+@register("w4_runs", "AS_CTE d AS (SELECT DISTINCT acq_date AS day FROM ord WHERE det_id % 3 = 0), i AS (SELECT day, day - CAST(ROW_NUMBER() OVER (ORDER BY day) AS INT) AS g FROM d), p AS (SELECT day, g, (ROW_NUMBER() OVER (PARTITION BY g ORDER BY day) - 1) // 5 AS part FROM i) SELECT CAST(MIN(day) AS VARCHAR) AS start, COUNT(*) AS n_days FROM p GROUP BY g, part", "ord")
+def _(det):
+    return timeseq.runs(det.filter("det_id % 3 = 0").select(F.col("acq_date").alias("day")).distinct()).select(F.col("start").cast("string").alias("start"), "n_days")
+
+
+MONTH_CELLS = f"c AS (SELECT {CELL.format(s=1000)} AS cell, month_key AS bucket, COUNT(*) AS cnt FROM ord GROUP BY 1, 2)"
+
+
+def month_cells(det: DataFrame) -> DataFrame:
+    return cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.col("month_key"), ())
+
+
+@register("w5_running", f"AS_CTE {MONTH_CELLS} SELECT cell, bucket, CAST(SUM(cnt) OVER (PARTITION BY cell ORDER BY bucket) AS BIGINT) AS running FROM c", "ord")
+def _(det):
+    return timeseq.running(month_cells(det))
+
+
+@register("w6_dense", f"AS_CTE {MONTH_CELLS}, s AS (SELECT strftime(m, '%Y%m') AS bucket FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)) SELECT k.cell, s.bucket, COALESCE(c.cnt, 0) AS cnt FROM (SELECT DISTINCT cell FROM c) k CROSS JOIN s LEFT JOIN c ON c.cell = k.cell AND c.bucket = s.bucket", "ord")
+def _(det):
+    return timeseq.dense(month_cells(det), timeseq.spine(det, "month", F.lit("199501"), F.lit("200112"))).select("cell", "bucket", "cnt")
+
+
+@register("w7_range_sum", f"AS_CTE {MONTH_CELLS} SELECT cell, SUM(CASE WHEN bucket BETWEEN '199705' AND '199808' THEN cnt ELSE 0 END)::BIGINT AS cnt FROM c WHERE bucket <= '199808' GROUP BY cell", "ord")
+def _(det):
+    return timeseq.range_sum(timeseq.running(month_cells(det)), "199705", "199808")
+
+
+@register("w8_gaps", f"AS_CTE a AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY day_key) - 1 AS BIGINT) AS pos, day_key FROM (SELECT DISTINCT day_key FROM det)), b AS (SELECT pos FROM a WHERE NOT EXISTS (SELECT 1 FROM {SOURCES} s WHERE s.unit = 'day' AND s.id <> '2024' AND a.day_key BETWEEN s.min_key AND s.max_key)), i AS (SELECT pos, pos - ROW_NUMBER() OVER (ORDER BY pos) AS g FROM b) SELECT MIN(pos) AS from_pos, MAX(pos) AS to_pos FROM i GROUP BY g", "det")
+def _(det):
+    first = det.agg(F.min(keys.bucket_index(F.col("day_key"))).alias("first"))  # every day of the span has rows
+    axis = det.select(F.col("day_key").alias("bucket"), F.lit("day").alias("unit")).distinct().crossJoin(F.broadcast(first))
+    axis = axis.withColumn("pos", keys.bucket_index(F.col("bucket")) - F.col("first"))
+    return timeseq.gaps(axis, values(det, SOURCES).filter("id <> '2024'"))
+
+
+@register("w10_downsample", "AS_CTE s AS (SELECT ROW_NUMBER() OVER (ORDER BY month_key) - 1 AS idx, cnt, (SELECT COUNT(DISTINCT month_key) FROM ord) AS n FROM (SELECT month_key, COUNT(*) AS cnt FROM ord GROUP BY 1)) SELECT CAST(((idx + 1) * 20 - 1) // n AS BIGINT) AS bar, CAST(SUM(cnt) AS BIGINT) AS total, ROUND(AVG(cnt), 4) AS mean FROM s GROUP BY 1", "ord")
+def _(det):
+    months = det.groupBy("month_key").agg(F.count("*").alias("value"), F.min(keys.bucket_index(F.col("month_key"))).alias("i"))
+    lo, hi = months.agg(F.min("i"), F.max("i")).first()
+    series = months.select((F.col("i") - lo).alias("idx"), "value")
+    return timeseq.downsample(series, hi - lo + 1, 20).select("bar", "total", F.round("mean", 4).alias("mean"))
+
+
+@register("w12_overlaps", "AS_CTE e AS (SELECT sensor, quality, MIN(acq_date) AS lo, MAX(acq_date) AS hi FROM (SELECT sensor, quality, acq_date FROM det UNION ALL SELECT sensor, 'nrt', acq_date FROM det WHERE sensor = 'MODIS') GROUP BY 1, 2), f AS (SELECT *, LEAD(quality) OVER (PARTITION BY sensor ORDER BY lo, quality) AS next_quality, LEAD(lo) OVER (PARTITION BY sensor ORDER BY lo, quality) AS next_from FROM e) SELECT sensor, quality, CAST(hi AS VARCHAR) AS until, next_quality, CAST(next_from AS VARCHAR) AS next_from FROM f WHERE next_from <= hi", "det")
+def _(det):
+    d = det.select("sensor", "quality", "acq_date")
+    both = d.unionByName(d.filter("sensor = 'MODIS'").withColumn("quality", F.lit("nrt")))
+    return timeseq.overlaps(both).select("sensor", "quality", F.col("until").cast("string").alias("until"), "next_quality", F.col("next_from").cast("string").alias("next_from"))
+
+
+YEAR_CELLS = f"c AS (SELECT {CELL.format(s=2000)} AS cell, CAST(month(acq_date) AS INT) AS moy, year, COUNT(*) AS cnt FROM ord GROUP BY 1, 2, 3)"
+
+
+@register("w13_climatology", f"AS_CTE {YEAR_CELLS}, x AS (SELECT *, COUNT(*) OVER w - 1 AS n, SUM(cnt) OVER w - cnt AS s, SUM(cnt * cnt) OVER w - cnt * cnt AS q FROM c WINDOW w AS (PARTITION BY cell, moy)) SELECT cell, moy, year, cnt, CASE WHEN n > 0 THEN ROUND(CAST(s AS DOUBLE) / n, 4) END AS mean_other, CASE WHEN n > 1 THEN ROUND(SQRT(GREATEST(0.0, (CAST(q AS DOUBLE) - CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n) / (n - 1))), 4) END AS sd_other FROM x", "ord")
+def _(det):
+    c = det.groupBy(plain_cell(F.col("lon_c"), F.col("lat_c"), 2000).alias("cell"), F.month("acq_date").alias("moy"), "year").agg(F.count("*").alias("cnt"))
+    return timeseq.climatology(c).select("cell", "moy", "year", "cnt", F.round("mean_other", 4).alias("mean_other"), F.round("sd_other", 4).alias("sd_other"))
+
+
+@register("w14_persistent", f"SELECT {CELL.format(s=500)} AS cell, COUNT(DISTINCT month_key) AS active FROM ord GROUP BY 1 HAVING COUNT(DISTINCT month_key) >= 5", "ord")
+def _(det):
+    return timeseq.persistent(det.select(plain_cell(F.col("lon_c"), F.col("lat_c"), 500).alias("cell"), F.col("month_key").alias("bucket")), 5)
+
+
+@register("w15_energy", "AS_CTE t AS (SELECT sensor, acq_datetime AS t, SUM(frp) AS f FROM det WHERE frp IS NOT NULL GROUP BY 1, 2), g AS (SELECT sensor, f, LAG(f) OVER w AS f0, CAST(epoch_us(t) - epoch_us(LAG(t) OVER w) AS DOUBLE) / 1e6 AS dt FROM t WINDOW w AS (PARTITION BY sensor ORDER BY t)) SELECT sensor, ROUND(SUM(CASE WHEN dt <= 86400 THEN (f + f0) / 2 * dt END) / 1e6, 3) AS energy_mj FROM g GROUP BY sensor", "det")
+def _(det):
+    return timeseq.energy(det, ["sensor"]).select("sensor", F.round(F.col("energy") / 1e6, 3).alias("energy_mj"))
+
+
+# ---- order, sets, maintenance -----------------------------------------------------------------------------------
+
+
+@register("t2_top_cells", f"SELECT {CELL.format(s=500)} AS cell, COUNT(*) AS cnt FROM ord GROUP BY 1 ORDER BY cnt DESC, cell LIMIT 10", "ord")
+def _(det):
+    return det.groupBy(plain_cell(F.col("lon_c"), F.col("lat_c"), 500).alias("cell")).agg(F.count("*").alias("cnt")).orderBy(F.desc("cnt"), "cell").limit(10)
+
+
+@register("t3_years", "SELECT DISTINCT year FROM ord ORDER BY year", "ord")
+def _(det):
+    return det.select("year").distinct().orderBy("year")
+
+
+@register("t1_hilbert", None, "det")
+def _(det):
+    return det.select("det_id", hilbert(F.col("lon"), F.col("lat")).alias("place"))
+
+
+@register("m1_merge_tail", "SELECT det_id, acq_datetime FROM det", "det")
+def _(det):
+    return maintain.merge_tail(det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {WINDOW}")).select("det_id", "acq_datetime")
+
+
+@register("m2_merge_decision", "SELECT 'merge' AS action FROM det LIMIT 1", "det")
+def _(det):
+    return maintain.merge_decision(det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {WINDOW}"), 2024).select("action")
+
+
+@register("m4_replace_days", f"SELECT det_id, sensor FROM det WHERE NOT ({HOLE}) AND acq_date NOT IN (DATE '2024-01-10', DATE '2024-01-11', DATE '2024-01-12') UNION ALL SELECT det_id, sensor FROM det WHERE acq_date IN (DATE '2024-01-10', DATE '2024-01-11', DATE '2024-01-12')", "det")
+def _(det):
+    days = det.sparkSession.sql("SELECT explode(sequence(DATE '2024-01-10', DATE '2024-01-12')) AS day")
+    return maintain.replace_days(det.filter(f"not ({HOLE})"), det, days).select("det_id", "sensor")
+
+
+@register("m5_supersede", "SELECT det_id, quality FROM det d WHERE quality = 'sp' OR NOT EXISTS (SELECT 1 FROM det s WHERE s.sensor = d.sensor AND s.acq_date = d.acq_date AND s.quality = 'sp')", "det")
+def _(det):
+    return maintain.supersede(det).select("det_id", "quality")
+
+
+@register("m6_unions", f"SELECT {CELL.format(s=1000)} AS cell FROM det UNION SELECT {CELL.format(s=1000)} FROM det WHERE sensor = 'MODIS'", "det")
+def _(det):
+    c = plain_cell(F.col("lon_c"), F.col("lat_c"), 1000).alias("cell")
+    return det.select(c).union(det.filter("sensor = 'MODIS'").select(c)).distinct()
+
+
+@register("m7_except", "SELECT sensor FROM ord WHERE year = 2001 EXCEPT SELECT sensor FROM ord WHERE year = 1997", "ord")
+def _(det):
+    return det.filter("year = 2001").select("sensor").distinct().exceptAll(det.filter("year = 1997").select("sensor").distinct())
+
+
+@register("s9_eras", "AS_CTE c AS (SELECT month_key AS bucket, CASE WHEN year BETWEEN 1999 AND 2001 THEN '1999-2001' WHEN year BETWEEN 1995 AND 1998 THEN '1995-1998' END AS era FROM ord) SELECT era, MIN(bucket) AS min_bucket, MAX(bucket) AS max_bucket, COUNT(DISTINCT bucket) AS buckets FROM c GROUP BY era", "ord")
+def _(det):
+    return store.era_manifest(store.split_by_era(det.select("year", F.col("month_key").alias("bucket")), eras=((1999, 2001), (1995, 1998))))
+
+
+@register("s12_windows", "AS_CTE a AS (SELECT sensor AS source_id, MIN(acq_date) AS lo, MAX(acq_date) AS hi FROM det GROUP BY 1), w AS (SELECT source_id, hi, CAST(unnest(generate_series(lo, hi, INTERVAL 5 DAY)) AS DATE) AS start FROM a) SELECT source_id, CAST(start AS VARCHAR) AS start, CAST(LEAST(5, date_diff('day', start, hi) + 1) AS INT) AS n_days FROM w", "det")
+def _(det):
+    avail = det.groupBy(F.col("sensor").alias("source_id")).agg(F.min("acq_date").alias("lo"), F.max("acq_date").alias("hi"))
+    return store.plan_windows(avail).select("source_id", F.col("start").cast("string").alias("start"), "n_days")
+
+
+@register("s13_slices", "AS_CTE a AS (SELECT sensor AS source_id, MIN(year) AS lo, MAX(year) AS hi FROM ord GROUP BY 1) SELECT source_id, CAST(unnest(generate_series(lo, hi)) AS INT) AS year FROM a", "ord")
+def _(det):
+    return store.plan_slices(det.groupBy(F.col("sensor").alias("source_id")).agg(F.min("acq_date").alias("lo"), F.max("acq_date").alias("hi")))
+
+
+# ---- scalar functions ---------------------------------------------------------------------------------------------
+
+
+@register("f1_bucket_index", "SELECT DISTINCT month_key, CAST(CAST(substr(month_key, 1, 4) AS INT) * 12 + CAST(substr(month_key, 5, 2) AS INT) - 1 AS BIGINT) AS idx, month_key AS back FROM ord", "ord")
+def _(det):
+    idx = keys.bucket_index(F.col("month_key"))
+    return det.select("month_key").distinct().select("month_key", idx.alias("idx"), keys.bucket_key(idx, "month").alias("back"))
+
+
+@register("f2_key_days", "SELECT DISTINCT month_key, CAST(last_day(strptime(month_key || '01', '%Y%m%d')::DATE) AS VARCHAR) AS last, date_diff('day', strptime(month_key || '01', '%Y%m%d')::DATE, last_day(strptime(month_key || '01', '%Y%m%d')::DATE)) + 1 AS days FROM ord", "ord")
+def _(det):
+    k = F.col("month_key")
+    return det.select(k).distinct().select("month_key", keys.last_day(k).cast("string").alias("last"), keys.days_between(k, k).cast("long").alias("days"))
+
+
+@register("f3_labels", "SELECT DISTINCT day_key, substr(day_key, 1, 4) || '-' || substr(day_key, 5, 2) || '-' || substr(day_key, 7, 2) AS label FROM det", "det")
+def _(det):
+    return det.select("day_key").distinct().select("day_key", keys.label(F.col("day_key")).alias("label"))
+
+
+@register("f4_axis_position", "SELECT det_id, CASE WHEN acq_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-24' THEN CAST(date_diff('day', DATE '2024-01-05', acq_date) AS BIGINT) ELSE -1 END AS pos FROM det", "det")
+def _(det):
+    return det.select("det_id", keys.axis_position(F.col("day_key"), F.lit("20240105"), F.lit(20)).alias("pos"))
+
+
+@register("f5_lon_overlaps", "SELECT det_id, (lon - 1 <= 200 AND lon + 1 >= 170) OR (lon + 359 <= 200 AND lon + 361 >= 170) AS meets FROM det", "det")
+def _(det):
+    return det.select("det_id", lon_overlaps(F.col("lon") - 1, F.col("lon") + 1, 170, 200).alias("meets"))
+
+
+@register("f6_mercator", "SELECT det_id, ROUND(0.5 - ln(tan(pi() / 4 + radians(lat) / 2)) / (2 * pi()), 6) AS y FROM det WHERE lat BETWEEN -80 AND 80", "det")
+def _(det):
+    return det.filter(F.col("lat").between(-80, 80)).select("det_id", F.round(mercator_y(F.col("lat")), 6).alias("y"))
+
+
+@register("f7_classes", "SELECT det_id, CASE WHEN frp >= 1000 THEN 5 WHEN frp >= 500 THEN 4 WHEN frp >= 200 THEN 3 WHEN frp >= 50 THEN 2 WHEN frp >= 10 THEN 1 END AS class FROM det", "det")
+def _(det):
+    return det.select("det_id", fields.class_of(F.col("frp"), F.array(*[F.lit(x) for x in fields.POWER_LADDER])).alias("class"))
+
+
+@register("f9_cells", "SELECT 2048 * 1 AS level_cells, COUNT(*) AS cnt FROM det".replace("2048 * 1", "9"), "det")
+def _(det):
+    fine = det.groupBy(cell(F.col("lon"), F.col("lat"), 9).alias("cell")).agg(F.count("*").alias("cnt"))
+    up = fine.groupBy(parent(F.col("cell"), 9).alias("cell")).agg(F.sum("cnt").alias("cnt"))
+    return up.agg(F.lit(9).alias("level_cells"), F.sum("cnt").alias("cnt"))
+
+
+@register("f11_iso_z", "SELECT det_id, strftime(acq_datetime, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM det", "det")
+def _(det):
+    return det.select("det_id", fields.iso_z(F.col("acq_datetime")).alias("iso"))
+
+
+# ---- gates ----------------------------------------------------------------------------------------------------------
+
+
+@register("q1_totals", "SELECT 1 AS level, CAST(0 AS BIGINT) AS got, CAST(0 AS BIGINT) AS want FROM det WHERE FALSE", "det")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.lit("all"), ())
+    levels = base.select(F.lit(0).alias("level"), "cnt").unionByName(cells.rollup(base, plain_parent(F.col("cell"))).select(F.lit(1).alias("level"), "cnt"))
+    return quality.totals_differ(det, levels)
+
+
+@register("q3_duplicates", "SELECT user_id, event_type, CAST(ts AS DATE) AS day, COUNT(*) AS copies FROM events GROUP BY 1, 2, 3 HAVING COUNT(*) > 1")
+def _(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("day", F.to_date("ts"))
+    return quality.duplicates(e, ("user_id", "event_type", "day"))
+
+
+@register("q4_uncovered", HOLES.replace(f"WHERE NOT ({HOLE}) AND", "WHERE") + " SELECT CAST(p AS TIMESTAMP) AS start, CAST(t AS TIMESTAMP) AS \"end\" FROM g WHERE t > p + INTERVAL 30 MINUTE", "det")
+def _(det):
+    return quality.uncovered(det, F.expr(f"cast({LO} as timestamp_ntz)"), F.expr(f"cast({HI} as timestamp_ntz)"), "30 minutes")
+
+
+@register("q6_running_ends", "SELECT CAST(0 AS BIGINT) AS cell, CAST(0 AS BIGINT) AS got, CAST(0 AS BIGINT) AS want FROM ord WHERE FALSE", "ord")
+def _(det):
+    c = month_cells(det)
+    return quality.running_differs(timeseq.running(c), c)
+
+
+@register("q7_breaks_rise", "SELECT year, 'x' AS metric, 0 AS i, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS p FROM ord WHERE FALSE", "ord")
+def _(det):
+    c = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 500), F.lit("all"), ("year",))
+    return quality.breaks_fall(classify.breaks(c, ["cnt", "max_frp"], ["year"]), ["year"])
+
+
+@register("q11_null_pattern", "SELECT sensor, quality, COUNT(*) AS cnt, SUM(CASE WHEN type IS NULL THEN 1 ELSE 0 END)::BIGINT AS type_null, SUM(CASE WHEN confidence_pct IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS pct_set FROM det GROUP BY 1, 2", "det")
+def _(det):
+    return quality.null_pattern(det)
+
+
+# ---- streams read as a whole -----------------------------------------------------------------------------------------
+
+
+@register("x2_rolling_windows", "SELECT CAST(w AS TIMESTAMP) AS start, COUNT(*) AS cnt FROM (SELECT unnest(generate_series(CAST(acq_date AS TIMESTAMP) - INTERVAL 6 DAY, CAST(acq_date AS TIMESTAMP), INTERVAL 1 DAY)) AS w FROM det) GROUP BY 1", "det")
+def _(det):
+    slid = det.groupBy(F.window("acq_datetime", "7 days", "1 day")).agg(F.count("*").alias("cnt"))
+    return slid.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "cnt")
+
+
+@register("x3_daily_counts", "SELECT CAST(CAST(acq_date AS TIMESTAMP) AS TIMESTAMP) AS day, sensor, COUNT(*) AS cnt FROM det GROUP BY 1, 2", "det")
+def _(det):
+    return det.groupBy(F.window("acq_datetime", "1 day"), "sensor").agg(F.count("*").alias("cnt")).select(F.col("window.start").cast("timestamp_ntz").alias("day"), "sensor", "cnt")
