@@ -100,7 +100,7 @@ class Model:
         each = [KneserNey(texts[x], order) for x in self.langs]
         self.grams, self.contexts = [], []
         floor = np.log2(UNIFORM)
-        for n in range(order):
+        for n in range(order if each else 0):
             ctx = np.unique(np.concatenate([x.levels[n][2] for x in each]))
             back = np.zeros((len(ctx), len(each)), np.float32)
             for k, x in enumerate(each):
@@ -168,7 +168,7 @@ class Model:
 
     def calibrate(self, texts: list[str], false_rejections: float, margin: float) -> None:
         """Set, by length (powers of two), what cross-entropy is still accepted."""
-        h = self.cross_entropy(texts).min(axis=1, initial=np.inf)
+        h = self.cross_entropy(texts).min(axis=1, initial=np.inf) if self.langs else np.zeros(0)
         known = np.isfinite(h)
         size = np.array([len(t) for t in texts])[known] if len(texts) else np.zeros(0)
         limits = np.full(40, np.inf)
@@ -182,7 +182,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> dict[str, list]:
         clean = [letters(t) for t in texts]
-        h = self.cross_entropy(clean)
+        h = self.cross_entropy(clean) if self.langs else np.zeros((len(texts), 1))
         out: dict[str, list] = {"lang_pred": [], "score": [], "cross_entropy": [], "rejected": []}
         best = h.argmin(axis=1) if len(self.langs) else np.zeros(len(texts), int)
         for i, t in enumerate(clean):
