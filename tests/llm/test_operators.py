@@ -253,7 +253,7 @@ def test_kneser_ney_sums_to_one():
 def test_toxicity(spark):
     rng = random.Random(7)
     rows = [(i, words(rng, 40) + (" vile scum" if i % 10 == 0 else "")) for i in range(600)]
-    labels = [(i, int(i % 10 == 0)) for i in range(0, 600, 2)] + [(1, None)]
+    labels = [(i, int(i % 10 == 0)) for i in range(0, 600, 3)] + [(1, None)]
     df, lab = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.train(df, lab)
     more = spark.createDataFrame([(1, "so vile a scum"), (2, "w1 w2 w3"), (3, None), (4, "")], DOCS)
