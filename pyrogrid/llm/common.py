@@ -51,6 +51,14 @@ def log2_ladder(n: int) -> list[int]:
     return steps
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table that written() made, once nothing will read it again: what was made of it is materialised too."""
+    context = df.sparkSession.sparkContext
+    for name in {f.rsplit("/", 2)[1] for f in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{context._jsc.sc().getCheckpointDir().get()}/{name}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Materialise df as a Parquet table in the shared folder: like cut(), with columns that can be read alone."""
     spark = df.sparkSession

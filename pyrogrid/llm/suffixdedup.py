@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import anchors as an
 from . import bwt
-from .common import small_batches, written
+from .common import dropped, small_batches, written
 
 RUN = 25  # starts of one run
 CORE = an.LENGTH - RUN + 1  # bytes that all strings of a run share
@@ -167,6 +167,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     grams = found.groupBy("a").agg(F.count("*").alias("n"), F.min("e").alias("least"), F.max("e").alias("most"))
     again = grams.filter("n > 1").select("a", (F.col("least") != F.col("most")).alias("mixed"))
     shared = written(found.join(again, "a"))
+    dropped(found)  # most anchors are not shared, and nothing below reads them
     at, back, span = F.shiftright("loc", 16), F.shiftright("loc", 8).bitwiseAND(F.lit(255)), F.col("loc").bitwiseAND(F.lit(255))
     extent = lambda near, far: F.struct((at - far).alias("start"), (at - near + an.LENGTH).alias("stop"))
     mixed = shared.filter("mixed")
