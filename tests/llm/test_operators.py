@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pyrogrid.llm import ann, bwt, chat, langid, mixing, ordermin, packing, queries, simhash, suffixdedup, toxicity, urlrep
+from pyrogrid.llm import ann, bwt, chat, langid, mixing, neardup, ordermin, packing, queries, simhash, suffixdedup, toxicity, urlrep
 
 DOCS = "doc_id long, text string"
 
@@ -117,6 +117,61 @@ def test_near_groups_edges(spark):
     assert simhash.near_groups(df.limit(0)).count() == 0
 
 
+# ---- near copies
+
+
+def brute_groups(texts, words=5, similarity=0.8):
+    """Per text the least place that links of that Jaccard similarity reach."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))})
+    holders, root = {}, list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, s in enumerate(sets):
+        both = {}
+        for x in s:
+            for j in holders.setdefault(x, []):
+                both[j] = both.get(j, 0) + 1
+            holders[x].append(i)
+        for j, n in both.items():
+            if n >= similarity * (len(s) + len(sets[j]) - n):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("tile", [1024, 5])
+def test_near_copies(spark, tile):
+    rng = random.Random(12)
+    texts = [None, "", "a b c", "A  b c", "a b d"]
+    for _ in range(12):
+        base = words(rng, 150).split()
+        texts.append(" ".join(base))
+        for k in range(7):  # k words changed: similarity from 1 to 0.65
+            t = list(base)
+            for i in rng.sample(range(150), k):
+                t[i] = "changed"
+            texts.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_groups(df, tile=tile).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_groups(texts)
+    assert neardup.near_groups(df.limit(0)).count() == 0
+
+
+def test_near_dedup_stage(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id")
+    rows = docs.select("doc_id", "text").collect()
+    want = {rows[i]["doc_id"] for i in brute_groups([r["text"] for r in rows])}
+    kept = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()]
+    assert sorted(kept) == sorted(want)
+
+
 # ---- Order MinHash
 
 
