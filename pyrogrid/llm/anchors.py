@@ -1,4 +1,4 @@
-"""Content anchors of byte strings: where equal 400-byte strings can be told from few positions.
+"""Content anchors of byte strings: where equal strings of one length, 400 bytes by default, can be told from few positions.
 
 Each string of ``length`` bytes has length - gram + 1 grams; the one with the least hash (the first of
 those) is its anchor.  Equal strings have equal anchors at equal offsets, wherever they stand, so strings

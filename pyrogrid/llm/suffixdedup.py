@@ -13,6 +13,9 @@ Three steps, each of which keeps every repeated string:
    A core with more sequences than a collection takes is counted string by string instead.
 3. The repeated strings' extents meet the texts again, and what they cover is cut out.
 
+A View says in which bytes strings are sought and how long they are: 400 bytes of the text itself (BYTES), or 51 words (PASSAGES),
+each of which stands in the string as six letters of its hash.  Gram and core follow from the length: half of it, and all but 24 bytes.
+
 The construction runs over these short sequences, not over whole documents: there it needs as many rounds as the
 longest document has bytes and rewrites all of the transform in each.
 
@@ -23,8 +26,10 @@ an empty result; ties do not arise; further columns pass through.  Hashes have 6
 
 from __future__ import annotations
 
+import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
@@ -38,22 +43,79 @@ from . import bwt
 from .common import dropped, small_batches, written
 
 RUN = 25  # starts of one run
-CORE = an.LENGTH - RUN + 1  # bytes that all strings of a run share
 #: Sequences that one construction takes at most, and those of one core.
 COLLECTION, UNIT = 2048, 1024
+#: Letters of a word's hash that stand for it in a view of words.
+CODE = 6
+_LETTERS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+-", np.uint8)
+_ODD_SPACE = re.compile(b"|".join(re.escape(c.encode()) for c in map(chr, range(0x80, 0x3001)) if c.isspace()))
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for rid, text in zip(b.column(0).to_numpy(), b.column(1).to_pylist(), strict=True):
-            at, first, last, a, e = an.of_text(text)
-            out.append((np.full(len(at), rid), at << 16 | (at - first) << 8 | (last - first), a.view(np.int64), e.view(np.int64)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["rid", "loc", "a", "e"])
+def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First and last byte (not included) of each word: what white space parts; ideographs and kana are words of their own."""
+    x = np.frombuffer(_ODD_SPACE.sub(lambda m: b" " * len(m[0]), data), np.uint8)
+    white = np.append(_SPACE[x], True)
+    own = np.append((x >= 0xE3) & (x <= 0xE9), False)  # the first of three bytes
+    after = np.concatenate([np.zeros(3, bool), own[:-3]])[: len(own)] if len(own) > 3 else np.zeros(len(own), bool)
+    fresh = np.concatenate([[True], white[:-1]]) | own | after
+    starts = np.flatnonzero(fresh & ~white)
+    stops = np.flatnonzero(~np.concatenate([[True], white[:-1]]) & (fresh | white))
+    return starts, stops
+
+
+def as_codes(data: bytes) -> bytes:
+    """Each word as CODE letters of its hash."""
+    starts, stops = words_of(data)
+    h = an.Hashes(np.frombuffer(data, np.uint8)).of(starts, stops)
+    return _LETTERS[(h[:, None] >> (np.arange(CODE, dtype=np.uint64) * np.uint64(6))) & np.uint64(63)].tobytes()
+
+
+def of_codes(data: bytes, extents: np.ndarray) -> np.ndarray:
+    """Extents in as_codes(data), as rows of start and stop, as extents in data, from a first word to the end of a last one."""
+    starts, stops = words_of(data)
+    first, last = -(-extents[:, 0] // CODE), extents[:, 1] // CODE
+    return np.stack([starts[first], stops[last - 1]], axis=1)
+
+
+@dataclass(frozen=True)
+class View:
+    """Strings of length bytes of seen(data); back leads extents there to extents in data; shorter data than least bytes holds no string."""
+
+    length: int
+    least: int
+    seen: Callable[[bytes], bytes]
+    back: Callable[[bytes, np.ndarray], np.ndarray]
+
+    @property
+    def gram(self) -> int:
+        return self.length // 2
 
+    @property
+    def core(self) -> int:
+        """Bytes that all strings of a run share."""
+        return self.length - RUN + 1
 
-def runs_of(data: bytes, loc: int, e: int) -> list[tuple[int, int, int, int, bytes]]:
+
+BYTES = View(an.LENGTH, an.LENGTH, lambda data: data, lambda data, extents: extents)
+#: Every passage of over 50 words, however short the words are.
+PASSAGES = View(51 * CODE, 101, as_codes, of_codes)
+
+
+def _anchor_rows(view: View):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for rid, text in zip(b.column(0).to_numpy(), b.column(1).to_pylist(), strict=True):
+                at, first, last, a, e = an.of_text(view.seen(text), view.length, view.gram)
+                out.append((np.full(len(at), rid), at << 16 | (at - first) << 8 | (last - first), a.view(np.int64), e.view(np.int64)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["rid", "loc", "a", "e"])
+
+    return run
+
+
+def runs_of(data: bytes, loc: int, e: int, length: int = an.LENGTH) -> list[tuple[int, int, int, int, bytes]]:
     """An anchor's runs: context, first distance of the run, core hash, bytes before the core, and the bytes around it."""
     at, back, span = loc >> 16, loc >> 8 & 255, loc & 255
     first = at - back
@@ -61,27 +123,30 @@ def runs_of(data: bytes, loc: int, e: int) -> list[tuple[int, int, int, int, byt
     for g in range((back - span) // RUN, back // RUN + 1):
         base = g * RUN
         far, near = min(back, base + RUN - 1), max(back - span, base)
-        lo, hi = at - base, at - base + CORE
+        lo, hi = at - base, at - base + length - RUN + 1
         core = data[lo:hi]
-        left, right = data[at - far : lo], data[hi : at - near + an.LENGTH]
+        left, right = data[at - far : lo], data[hi : at - near + length]
         out.append((e, base, core, len(left), left + right))
     assert first >= 0
     return out
 
 
-def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reads __text, __locs and __es; further columns only keep the texts' shuffle the one that the last step has too."""
-    for b in batches:
-        rows = []
-        for text, locs, es in zip(*(b.column(c).to_pylist() for c in ("__text", "__locs", "__es")), strict=True):
-            data = (text or "").encode("utf-8")
-            for loc, e in zip(locs, es, strict=True):
-                rows += runs_of(data, loc, e)
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())],
-            names=["e", "base", "core", "before", "around"],
-        )
+def _run_rows(view: View):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Reads __text, __locs and __es; further columns only keep the texts' shuffle the one that the last step has too."""
+        for b in batches:
+            rows = []
+            for text, locs, es in zip(*(b.column(c).to_pylist() for c in ("__text", "__locs", "__es")), strict=True):
+                data = view.seen((text or "").encode("utf-8"))
+                for loc, e in zip(locs, es, strict=True):
+                    rows += runs_of(data, loc, e, view.length)
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())],
+                names=["e", "base", "core", "before", "around"],
+            )
+
+    return run
 
 
 def _constructed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,47 +203,51 @@ def repeated_in_runs(runs: DataFrame) -> DataFrame:
     return named.select("e", "r").join(found, "r").groupBy("e").agg(F.min("near").alias("near"), F.max("far").alias("far"))
 
 
-def _cut_out(text: pd.Series, extents: pd.Series) -> pd.DataFrame:
-    out = []
-    for data, ext in zip(text, extents, strict=True):
-        kept, spans, removed, at = [], 0, 0, 0
-        end = -1
-        for start, stop in [] if ext is None else np.sort(np.asarray(ext, np.int64).view([("s", "<i8"), ("t", "<i8")])).tolist():
-            if start > end:  # extents that touch are one run
-                spans += 1
-                kept.append(data[at:start])
-            if stop > end:
-                removed += stop - max(start, end)
-                end = at = stop
-        kept.append(data[at:])
-        out.append((len(data), removed, spans, b"".join(kept)))
-    return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+def _cut_out(view: View):
+    def cut_out(text: pd.Series, extents: pd.Series) -> pd.DataFrame:
+        out = []
+        for data, ext in zip(text, extents, strict=True):
+            kept, spans, removed, at = [], 0, 0, 0
+            end = -1
+            found = [] if ext is None else sorted(view.back(data, np.asarray(ext, np.int64).reshape(-1, 2)).tolist())
+            for start, stop in found:
+                if start > end:  # extents that touch are one run
+                    spans += 1
+                    kept.append(data[at:start])
+                if stop > end:
+                    removed += stop - max(start, end)
+                    end = at = stop
+            kept.append(data[at:])
+            out.append((len(data), removed, spans, b"".join(kept)))
+        return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+
+    return cut_out
 
 
 CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", view: View = BYTES) -> DataFrame:
     """docs with a column __cut: struct of n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = small_batches(docs).withColumn("__rid", F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), data))
     texts = rows.select(F.col("__rid").alias("rid"), data.alias("data"))
-    found = written(texts.filter(F.length("data") >= an.LENGTH).mapInArrow(_anchor_rows, "rid long, loc long, a long, e long"))
+    found = written(texts.filter(F.length("data") >= view.least).mapInArrow(_anchor_rows(view), "rid long, loc long, a long, e long"))
     grams = found.groupBy("a").agg(F.count("*").alias("n"), F.min("e").alias("least"), F.max("e").alias("most"))
     again = grams.filter("n > 1").select("a", (F.col("least") != F.col("most")).alias("mixed"))
     shared = written(found.join(again, "a"))
     dropped(found)  # most anchors are not shared, and nothing below reads them
     at, back, span = F.shiftright("loc", 16), F.shiftright("loc", 8).bitwiseAND(F.lit(255)), F.col("loc").bitwiseAND(F.lit(255))
-    extent = lambda near, far: F.struct((at - far).alias("start"), (at - near + an.LENGTH).alias("stop"))
+    extent = lambda near, far: F.struct((at - far).alias("start"), (at - near + view.length).alias("stop"))
     mixed = shared.filter("mixed")
     contexts = mixed.groupBy("a", "e").agg(F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("loc").alias("loc"))
     asked = contexts.groupBy("rid").agg(F.collect_list("loc").alias("locs"), F.collect_list("e").alias("es"))
     asked = asked.select(F.col("rid").alias("__rid"), F.col("locs").alias("__locs"), F.col("es").alias("__es"))
     # both joins of the texts are on __rid and of all columns, so that Spark shuffles the texts once
     met = rows.join(asked, "__rid").dropDuplicates(["__rid"]).withColumn("__text", F.col(text_col).cast("string"))
-    runs = met.mapInArrow(_run_rows, "e long, base int, core binary, before int, around binary")
+    runs = met.mapInArrow(_run_rows(view), "e long, base int, core binary, before int, around binary")
     partly = mixed.join(repeated_in_runs(runs), "e").select("rid", extent(F.col("near"), F.col("far")).alias("x"))
     copied = mixed.join(contexts.filter("n > 1").select("a", "e"), ["a", "e"]).unionByName(shared.filter("not mixed")).select("rid", extent(back - span, back).alias("x"))
     extents = partly.union(copied).distinct().groupBy("rid").agg(F.flatten(F.collect_list(F.array("x.start", "x.stop"))).alias("extents"))
     named = extents.withColumnRenamed("rid", "__rid").withColumnRenamed("extents", "__extents")
-    return rows.join(named, "__rid", "left").withColumn("__cut", F.pandas_udf(_cut_out, CUT)(data, F.col("__extents"))).drop("__rid", "__extents")
+    return rows.join(named, "__rid", "left").withColumn("__cut", F.pandas_udf(_cut_out(view), CUT)(data, F.col("__extents"))).drop("__rid", "__extents")

@@ -1,5 +1,6 @@
 """The training-data operators against brute force, and on nulls, empty tables, ties and repeated rows."""
 
+import collections
 import hashlib
 import itertools
 import random
@@ -54,6 +55,42 @@ def test_suffix_dedup(spark, unit, monkeypatch):
     assert suffixdedup.dedup(df.limit(0)).count() == 0
 
 
+def brute_passages(texts, length=51):
+    """Per text the words that no passage of so many words covers which starts more than once in all texts."""
+    split = [(t or "").split() for t in texts]
+    starts = [[hash(tuple(w[i : i + length])) for i in range(len(w) - length + 1)] for w in split]
+    seen = collections.Counter(itertools.chain(*starts))
+    out = []
+    for w, mine in zip(split, starts):
+        gone = np.zeros(len(w), bool)
+        for i, h in enumerate(mine):
+            if seen[h] > 1:
+                gone[i : i + length] = True
+        out.append([x for x, g in zip(w, gone) if not g])
+    return out
+
+
+def test_passages_of_51_words(spark):
+    rng = random.Random(14)
+    texts = [None, "", "z " * 50, "q", "\u3000".join(words(rng, 60, 9).split())]
+    for size, n in itertools.product((9, 300, 10**12), (49, 50, 51, 52, 60)):  # from two letters a word to fourteen
+        passage = words(rng, n, size)
+        texts += [f"{words(rng, 20)} {passage} {words(rng, 20)}", f"{words(rng, 31)}\n{passage}  é{words(rng, 70)}"]
+    texts += [texts[4].replace("\u3000", "\n"), "a b " * 60]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS + ", lang string, source string, n_chars long")
+    got = {r["doc_id"]: (r["text"] or "").split() for r in corpus_pipeline.substring_dedup(spark, docs, "").collect()}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts)
+    unspaced = suffixdedup.words_of("ab漢字c \u00a0é".encode())
+    assert [x.tolist() for x in unspaced] == [[0, 2, 5, 8, 12], [2, 5, 8, 9, 14]]
+
+
+def test_substring_dedup_stage(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    got = sorted((r["doc_id"], (r["text"] or "").split()) for r in corpus_pipeline.substring_dedup(spark, docs, "").collect())
+    assert got == sorted(zip([r["doc_id"] for r in rows], brute_passages([r["text"] for r in rows])))
+
+
 def test_bwt():
     rng = random.Random(1)
     for _ in range(30):
