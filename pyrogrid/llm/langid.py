@@ -5,7 +5,7 @@ log2 probabilities per hash (a column per language).  A text gets the language w
 cross-entropy per character is lowest; it is rejected where even that exceeds what calibration texts
 of like length show.
 
-Training takes a bounded sample of labelled rows (``docs_per_lang`` texts of each of at most
+Training takes a bounded sample of labelled rows (``docs_per_lang`` distinct texts of each of at most
 ``max_langs`` languages, chosen by a hash of the text, texts over ``max_chars`` left aside); every row
 is scored whole.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
@@ -209,16 +209,18 @@ def train(
 ) -> Model:
     """Fit models on a bounded sample of (text, lang); a fifth of it sets the limits of rejection."""
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("text", "lang")
-    langs = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    usable = usable.withColumn("h", F.xxhash64("text"))
+    # copies count once, and each language has a bound of its own, so that neither uses up another text's or language's part
+    langs = usable.select("lang", "h").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     share = F.lit(0)
     for r in langs:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1_000_000, 1 + docs_per_lang * 1_200_000 // r["count"]))).otherwise(share)
-    drawn = usable.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share).withColumn("h", F.xxhash64("text"))
+    drawn = usable.filter(F.pmod("h", F.lit(1_000_000)) < share).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     by: dict[str, list[str]] = {r["lang"]: [] for r in langs}
-    # ordered by hash, so that the same rows give the same model; twice the expected number bounds what comes
-    for r in drawn.orderBy("h", "lang").limit(2 * docs_per_lang * max(1, len(langs))).collect():
-        if len(by[r["lang"]]) < docs_per_lang:
-            by[r["lang"]].append(letters(r["text"]))
+    # ordered by hash, so that the same rows give the same model
+    for r in drawn.withColumn("place", place).filter(F.col("place") <= docs_per_lang).orderBy("lang", "h").collect():
+        by[r["lang"]].append(letters(r["text"]))
     by = {k: [t for t in v if t] for k, v in by.items()}
     by = {k: v for k, v in by.items() if v}
     model = Model({k: [t for i, t in enumerate(v) if i % 5 or len(v) < 10] for k, v in by.items()}, order)

@@ -331,6 +331,21 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in langid.identify(more, langid.train(df.limit(0))).collect()} == {"und"}
 
 
+def test_language_id_copies(spark):
+    rng = random.Random(15)
+    make = lambda alphabet: " ".join("".join(rng.choice(alphabet) for _ in range(5)) for _ in range(30))
+    single = [(make("abcde"), "aa") for _ in range(150)] + [(make("vwxyz"), "zz") for _ in range(150)]
+    df = spark.createDataFrame(single, "text string, lang string")
+    # the copies' hash is the least of all, and they are more than the sample may hold
+    first = df.filter("lang = 'aa'").orderBy(F.xxhash64("text")).limit(1)
+    many = df.union(first.crossJoin(spark.range(3000)).select("text", "lang"))
+    alone, among = langid.train(df, docs_per_lang=200), langid.train(many, docs_per_lang=200)
+    assert among.langs == alone.langs == ["aa", "zz"]
+    for a, b in zip(alone.grams, among.grams):
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+    assert (alone.limits == among.limits).all()
+
+
 def test_kneser_ney_sums_to_one():
     m = langid.KneserNey([" ab ba ab abba "] * 3, 3)
     for n in range(3):
