@@ -9,8 +9,8 @@ and is minimised by gradient steps; where the second term would fall below zero,
 that term only, which keeps it from fitting the positives hidden in the unlabelled part.  The classifier
 is linear over hashed words and word beginnings, those that tell the two samples apart.
 
-Both samples are bounded (``max_positive``, ``max_unlabelled`` rows, chosen by a hash of the text); the
-prior is the share of toxic rows among all labelled training rows; every row is scored whole.
+Both samples are bounded, each by itself (``max_positive``, ``max_unlabelled`` distinct texts, chosen by a hash of the text);
+the prior is the share of toxic ones among the distinct labelled training texts; every row is scored whole.
 
 Defined results: null and empty texts have no features and get the score of the bias alone; ties and
 repeated rows get equal scores; an empty table gives an empty result; without confirmed toxic rows every score is 0.
@@ -119,29 +119,33 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 def train(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 12_000) -> Classifier:
     """Fit from docs (doc_id, text) and labels (doc_id, toxic), both of the training fold alone."""
     marked = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
-    counts = marked.agg(F.count("*").alias("n"), F.sum(F.col("toxic")).alias("k")).first()
+    texts = docs.select(F.col("doc_id").alias("id"), "text").filter(F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    # copies count once: a group of them would be in a draw by hash as a whole, or not at all
+    known = texts.select("id", "h").join(marked, "id").groupBy("h").agg(F.max("toxic").alias("toxic"))
+    counts = known.agg(F.count("*").alias("n"), F.sum(F.col("toxic")).alias("k")).first()
     n, k = counts["n"], counts["k"] or 0
     if not k:
         return Classifier(np.zeros(0, np.int64), np.zeros(0), -40.0)
-    total = docs.count()
+    total = texts.select("h").distinct().count()
     prior = min(0.9, max(1e-4, k / n))
     parts = 1_000_000
-    h = F.pmod(F.xxhash64("text"), F.lit(parts))
+    part = F.pmod("h", F.lit(parts))
     share = lambda most, of: min(parts, 1 + most * parts // max(1, of))
-    texts = docs.select(F.col("doc_id").alias("id"), "text").filter(F.col("text").isNotNull())
-    toxic = texts.filter(h < share(max_positive, k)).join(marked.filter("toxic = 1"), "id", "left_semi")
-    others = texts.filter(h >= parts - share(max_unlabelled, total))
-    drawn = toxic.select("text", F.lit(1).alias("positive")).union(others.select("text", F.lit(0).alias("positive")))
+    once = lambda rows: rows.groupBy("h").agg(F.first("text").alias("text"))
+    toxic = once(texts.filter(part < share(max_positive, k)).join(marked.filter("toxic = 1"), "id", "left_semi"))
+    others = once(texts.filter(part >= parts - share(max_unlabelled, total)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slots = [features(t).astype(np.int32) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in slots], pa.binary())], names=["positive", "slots"])
+            slots = [features(t).astype(np.int32) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in slots], pa.binary())], names=["h", "slots"])
 
-    # ordered, so that the same rows give the same classifier; twice the expected number bounds what comes
-    rows = small_batches(drawn).mapInArrow(run, "positive int, slots binary").orderBy("positive", F.xxhash64("slots")).limit(2 * (max_positive + max_unlabelled)).collect()
-    each = {y: [np.frombuffer(r["slots"], np.int32).astype(np.int64) for r in rows if r["positive"] == y] for y in (0, 1)}
-    return fit(each[1], each[0], prior)
+    def sample(rows: DataFrame, most: int) -> list[np.ndarray]:
+        # ordered, so that the same rows give the same classifier; twice the expected number bounds what comes
+        got = small_batches(rows).select("h", "text").mapInArrow(run, "h long, slots binary").orderBy("h").limit(2 * most).collect()
+        return [np.frombuffer(r["slots"], np.int32).astype(np.int64) for r in got]
+
+    return fit(sample(toxic, max_positive), sample(others, max_unlabelled), prior)
 
 
 def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

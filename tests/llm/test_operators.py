@@ -371,6 +371,20 @@ def test_toxicity(spark):
     assert toxicity.score(more.limit(0), model).count() == 0
 
 
+def test_toxicity_copies(spark):
+    rng = random.Random(16)
+    rows = [(i, words(rng, 40) + (" vile scum" if i % 10 == 0 else "")) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(0, 600, 3)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, DOCS)
+    # copies of the text that the draw of unlabelled ones takes first, more than both samples may hold
+    top = df.filter("doc_id % 3 = 1").orderBy(F.pmod(F.xxhash64("text"), F.lit(1_000_000)).desc()).limit(1)
+    many = df.union(top.crossJoin(spark.range(1000, 4000)).select("id", "text"))
+    bounds = {"max_positive": 60, "max_unlabelled": 300}
+    alone, among = toxicity.train(df, labels, **bounds), toxicity.train(many, labels, **bounds)
+    assert len(alone.slots) and (alone.slots == among.slots).all() and (alone.weights == among.weights).all() and alone.bias == among.bias
+    assert among.score(["so vile a scum"])[0] > 0.6 > 0.3 > among.score(["w1 w2 w3"])[0]
+
+
 # ---- neighbours
 
 
