@@ -41,14 +41,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def log2_ladder(n: int) -> list[int]:
-    """Steps by which minima over windows of n entries are put together from halves."""
-    steps, have = [], 1
-    while have < n:
-        step = min(have, n - have)
-        steps.append(step)
-        have += step
-    return steps
+#: A table of one row per key is broadcast up to so many rows; a key that holds over a SHARE-th of the other side's rows is salted.
+BROADCAST_ROWS, SHARE, SALTS = 50_000, 1000, 64
+
+
+def looked_up(big: DataFrame, small: DataFrame, key: str, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+    """big with the columns of small, which has one row per key; a key may hold any part of big.
+
+    A small table of few rows is broadcast.  Otherwise both are shuffled by key and salt: keys with over a SHARE-th of the rows, of
+    which there are fewer than SHARE, are dealt to SALTS parts, and their rows of small are repeated for each.
+    """
+    if small.limit(most + 1).count() <= most:
+        return big.join(F.broadcast(small), key, how)
+    counts = big.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    total = big.count()
+    hot = F.broadcast(counts.filter(F.col("__n") * SHARE > total).select(key, F.lit(True).alias("__hot")))
+    left = big.join(hot, key, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("__hot")
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    right = small.join(hot, key, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return left.join(right, [key, "__salt"], how).drop("__salt")
 
 
 def dropped(df: DataFrame) -> None:

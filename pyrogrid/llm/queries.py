@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import ann, chat, langid, mixing, ordermin, packing, simhash, suffixdedup, toxicity, urlrep
 from .common import held_out, table
 
-RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "allow"), ("org", "/es/", "block")]
+RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 TOXIC_FROM = 0.3
 
 
@@ -75,4 +75,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_mixing, op2_suffix_dedup, op3_packing, op4_url_reputation, op5_language_id, op6_toxicity, op7_rotated_bits, op8_order_minhash, op9_simhash, op10_chat_repair)
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_TAIL = "array_to_string(labels[-least({k}, len(labels)):], '.')"
+_STRENGTH = """(SELECT CASE WHEN w > 0 AND s > e THEN least(1000.0, greatest(1.0, w / (s - e) - 1)) ELSE 1000.0 END FROM (
+  SELECT sum((k - n * {m}) * (k - n * {m}) / n) AS s, sum({m} * (1 - {m})) AS e, sum((n - 1) * {m} * (1 - {m})) AS w FROM {t} WHERE n > 0))"""
+#: op4: rules by beginnings of paths and endings of hosts, counts by host, domain and suffix, three shrinkages and the bound.
+_URLS = f"""WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{urlrep.UPPER}', '{urlrep.LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules AS (SELECT * FROM (VALUES {", ".join(str(r) for r in RULES)}) AS t(r_host, r_path, action)),
+matched AS (SELECT host, path, arg_max(r_host || r_path, length(r_host || r_path)) AS rule, arg_max(action, length(r_host || r_path)) AS action
+  FROM (SELECT DISTINCT host, path FROM split) JOIN rules ON starts_with(path, r_path) AND (host = r_host OR ends_with(host, '.' || r_host)) GROUP BY host, path),
+known AS (SELECT doc_id AS page_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+counted AS (SELECT host, count(good) AS n, coalesce(sum(good), 0) AS k FROM split LEFT JOIN known USING (page_id) GROUP BY 1),
+named AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM counted),
+parts AS (SELECT *, string_split(name, '.') AS labels, regexp_matches(name, '^([0-9.]+|\\[.*\\])$') AS address FROM named),
+sized AS (SELECT *, CASE WHEN {_TAIL.format(k=2)} IN ({", ".join(f"'{x}'" for x in urlrep.SUFFIXES)}) THEN 2 ELSE 1 END AS m FROM parts),
+hosts AS (SELECT host, n, k, CASE WHEN address THEN name ELSE {_TAIL.format(k="m + 1")} END AS domain, CASE WHEN address THEN '' ELSE {_TAIL.format(k="m")} END AS suffix FROM sized),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY 1, 2),
+t AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 1.0) / (sum(n) + 2.0) FROM hosts) AS m FROM d GROUP BY 1),
+tops AS (SELECT suffix, (k + s * m) / (n + s) AS top FROM t, (SELECT {_STRENGTH.format(m="m", t="t")} AS s)),
+dt AS (SELECT d.*, top FROM d JOIN tops USING (suffix)),
+domains AS (SELECT domain, (k + s * top) / (n + s) AS mid FROM dt, (SELECT {_STRENGTH.format(m="top", t="dt")} AS s)),
+hd AS (SELECT hosts.*, mid FROM hosts JOIN domains USING (domain)),
+post AS (SELECT host, n, k + s * mid AS a, n - k + s * (1 - mid) AS b FROM hd, (SELECT {_STRENGTH.format(m="mid", t="hd")} AS s)),
+judged AS (SELECT host, n, a / (a + b) AS mean, sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS sd FROM post)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN mean + 1.645 * sd < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, n AS n_labelled, round(mean, 6) AS posterior_mean
+FROM split JOIN judged USING (host) LEFT JOIN matched USING (host, path)"""
+
+ORACLE_SQL: dict[str, str] = {"op4_url_reputation": _URLS}

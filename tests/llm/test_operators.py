@@ -304,7 +304,7 @@ def test_urls(spark):
         ("", "", None), ("", "", None), ("", "", None), ("www.example.com", "/en/71", "example.com/en/7"), ("a.com", "/en/", "com/en/"), ("com", "/en/q", "com/en/"),
         ("xcom", "/en/", None), ("b.net", "/de/8", "net/de/"), ("s.example.net", "/de/81", "example.net/de/8"), ("q.org", "", None), ("h", "", None),
     ]
-    assert got[4]["verdict"] == "block" and got[8]["verdict"] == "allow"
+    assert [got[i]["verdict"] for i in (3, 4, 5, 7, 8)] == ["allow", "block", "block", "allow", "block"]
     bad = spark.createDataFrame([(i, f"http://bad.example.org/{i}") for i in range(100, 200)] + [(i, f"http://fine.example.org/{i}") for i in range(200, 300)], "page_id long, url string")
     marks = spark.createDataFrame([(i, int(i >= 200)) for i in range(100, 300)], "page_id long, good int")
     by = {(r["host"], r["verdict"]) for r in urlrep.judge(bad, marks, rules).collect()}
