@@ -41,6 +41,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def unused(df: DataFrame) -> str:
+    """A beginning that no column of df has, for columns in between."""
+    start = "__"
+    while any(c.lower().startswith(start) for c in df.columns):
+        start += "_"
+    return start
+
+
 #: A table of one row per key is broadcast up to so many rows; a key that holds over a SHARE-th of the other side's rows is salted.
 BROADCAST_ROWS, SHARE, SALTS = 50_000, 1000, 64
 

@@ -1,116 +1,154 @@
 """Mixing sources to target weights by temperature, realised as budgeted block permutations.
 
-A source's weight is its share of tokens to the power alpha, normalised.  The exponent is bisected to
-the largest one (closest to the natural shares) that meets the target: an entropy of the weights of at least
-``min_entropy`` times its maximum, or else no source repeated over ``max_repeats`` times within the budget.
+A source's weight is its share of tokens to the power alpha, normalised.  The exponent is sought, by cutting an interval again
+and again, to the largest one (closest to the natural shares) that meets the target: an entropy of the weights of at least
+``min_entropy`` times its maximum, or else to the least one with which no source is repeated over ``max_repeats`` times within the budget.
+A cut needs three sums over the sources for each of its exponents, so sources stay a distributed table, however many there are.
 
-The budget is then dealt in whole documents: each source is cut into blocks by a hash of the id, its
-blocks are put in a hashed order, and within a block rows are in a hashed order; a source is repeated as often as its
-budget holds it whole, and the rest is taken from the front of the permutation until it is used up.  Sums run over
-blocks first and over rows within a block second, so a source with a third of all rows is spread over its blocks.
-Only DataFrame operations are used.
+The budget is then dealt in whole documents: each source is cut into blocks by a hash of its rows, its
+blocks are put in a hashed order, and within a block rows are in a hashed order.  A row's place is the number of tokens before it in this
+permutation of its source; a source is repeated as often as its budget holds it whole, and the rest is taken from the front of
+the permutation until it is used up.  Sums run over blocks first and over rows within a block second, so a source with a third of
+all rows is spread over its blocks.  Only DataFrame operations are used.
+
+A copy's turn is where it stands in the mixture, from 0 to 1: tokens of its source dealt before it over the source's budget.  In
+the order of turns, any beginning of the mixture holds the sources by their weights.
 
 Defined results: a null source is a source of its own; null and empty texts have no tokens and share
-the fate of the place they fall on; equal ids are ordered by their texts' hash and repeated rows count each;
-an empty table gives an empty result; a source without any tokens keeps its rows once.
+the fate of the place they fall on; very long texts count by their tokens like others; equal ids are ordered by their texts' hash and repeated rows count each,
+and are taken or left together; an empty table gives an empty result; a source without any tokens keeps its rows once;
+columns of docs named like the results are replaced, all others pass through whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import looked_up, unused, written
+
 BLOCKS = 1024
-#: Up to so many sources the table of their blocks is broadcast; beyond it is joined by a shuffle.
-BROADCAST_SOURCES = 200
-STEPS = 50
-NO_SOURCE = "\x00"
+#: Exponents tried in one pass, and passes: the last interval is (CUTS - 1) ** -ROUNDS wide.
+CUTS, ROUNDS = 48, 7
 
 
 def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def _shared(parts: Column, alpha: Column) -> Column:
-    """Weights: the positive shares to the power alpha, normalised."""
-    raised = F.transform(parts, lambda p: F.when(p > 0, F.pow(p, alpha)).otherwise(F.lit(0.0)))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
+def hashed(*parts: Column) -> Column:
+    """60 bits of an MD5, which other engines have too."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
+
+
+def exponent(shares: DataFrame, min_entropy: float | None, max_repeats: float | None, budget_ratio: float | None) -> tuple[float, float]:
+    """alpha and the sum of the shares (p > 0) to its power, which normalises the weights."""
+    p = F.col("p")
+
+    def sums(alphas: list[float]) -> list[tuple[float, float]]:
+        row = shares.agg(*[f for a in alphas for f in (F.sum(F.pow(p, F.lit(a))), F.sum(F.pow(p, F.lit(a)) * F.log(p)))]).first()
+        return list(zip(row[::2], row[1::2], strict=True))
+
+    n, least, most = shares.agg(F.count("*"), F.min("p"), F.max("p")).first()
+
+    def fits(a: float, z: float, weighted_log: float) -> bool:
+        if min_entropy is not None:
+            # H = - sum w ln w with w = p ** a / z
+            return math.log(z) - a * weighted_log / z >= min_entropy * math.log(n)
+        if budget_ratio is not None:
+            return least ** (a - 1) / z * budget_ratio <= max_repeats
+        return (least / most) ** (a - 1) <= max_repeats  # the source that is cut most is kept whole
+
+    if not n or (min_entropy is None and max_repeats is None):
+        return 1.0, 1.0
+    lo, hi = 0.0, 1.0
+    for _ in range(ROUNDS):
+        grid = [lo + (hi - lo) * i / (CUTS - 1) for i in range(CUTS)]
+        good = [fits(a, *s) for a, s in zip(grid, sums(grid), strict=True)]
+        if min_entropy is not None:  # met from 0 up to some exponent
+            if good[-1]:
+                lo = hi = grid[-1]
+                break
+            i = good.index(False)
+            lo, hi = grid[max(0, i - 1)], grid[i]
+        else:  # met from some exponent up to 1
+            if good[0]:
+                lo = hi = grid[0]
+                break
+            i = len(good) - 1 - good[::-1].index(False)
+            lo, hi = grid[i], grid[min(len(grid) - 1, i + 1)]
+    alpha = lo if min_entropy is not None else hi
+    return alpha, sums([alpha])[0][0]
 
 
 def weights(tokens: DataFrame, min_entropy: float | None = None, max_repeats: float | None = None, budget_ratio: float | None = 1.0) -> DataFrame:
     """Per source of tokens (src, tokens): src, tokens, weight, budget (tokens to deal), alpha.
 
     budget_ratio: the budget over all tokens; None: as much as leaves the most reduced source whole once.
-    The table has a row per source and is folded into one row for the bisection.
     """
-    one = tokens.agg(F.sort_array(F.collect_list(F.struct("src", "tokens"))).alias("s"), F.sum("tokens").alias("total"))
-    one = one.withColumn("parts", F.transform("s", lambda x: x["tokens"] / F.col("total")))
-    used = F.size(F.filter("parts", lambda p: p > 0))
-    top = F.array_max("parts")
-
-    def fits(alpha: Column) -> Column:
-        w = _shared(F.col("parts"), alpha)
-        if min_entropy is not None:
-            # H = - sum w ln w, from the weights themselves
-            h = F.aggregate(w, F.lit(0.0), lambda a, x: a - F.when(x > 0, x * F.log(x)).otherwise(F.lit(0.0)))
-            return h >= min_entropy * F.log(used.cast("double"))
-        if max_repeats is not None:
-            rate = F.array_max(F.zip_with(w, F.col("parts"), lambda x, p: F.when(p > 0, x / p).otherwise(F.lit(0.0))))
-            if budget_ratio is not None:
-                return rate * budget_ratio <= max_repeats
-            return rate / F.array_min(F.filter(F.zip_with(w, F.col("parts"), lambda x, p: F.when(p > 0, x / p)), lambda x: x.isNotNull())) <= max_repeats
-        return F.lit(True)
-
-    # a target of entropy or of even shares is met towards alpha = 0, one of few repetitions towards alpha = 1
-    meets_at_zero = min_entropy is not None
-    first = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-
-    def halve(acc: Column, _: Column) -> Column:
-        mid = (acc["lo"] + acc["hi"]) / 2
-        good = fits(mid)
-        up = good if meets_at_zero else ~good
-        return F.struct(F.when(up, mid).otherwise(acc["lo"]).alias("lo"), F.when(up, acc["hi"]).otherwise(mid).alias("hi"))
-
-    bisected = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), first, halve)
-    end = F.when(fits(F.lit(1.0)), F.lit(1.0)).otherwise(bisected["lo"]) if meets_at_zero else F.when(fits(F.lit(0.0)), F.lit(0.0)).otherwise(bisected["hi"])
-    one = one.withColumn("alpha", end).withColumn("w", _shared(F.col("parts"), F.col("alpha")))
-    whole = F.array_max(F.zip_with("w", "parts", lambda x, p: F.when(x > 0, p / x).otherwise(F.lit(0.0))))
-    one = one.withColumn("budget", F.col("total") * (F.lit(float(budget_ratio)) if budget_ratio is not None else whole))
-    each = one.select("alpha", "budget", F.explode(F.arrays_zip("s", "w")).alias("x"))
-    return each.select(
-        F.col("x.s.src").alias("src"), F.col("x.s.tokens").alias("tokens"), F.col("x.w").alias("weight"), F.floor(F.col("x.w") * F.col("budget") + F.lit(0.5)).alias("budget"), "alpha"
-    )
-
-
-def mix(docs: DataFrame, min_entropy: float | None = None, max_repeats: float | None = None, budget_ratio: float | None = 1.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """All rows and columns of docs, with __tokens, __weight, __alpha, __place (in its source's permutation, in tokens) and __repeats.
-
-    __repeats is how often the mixture takes the row: 0 where the budget of its source ends before it.
+    total = tokens.agg(F.sum("tokens")).first()[0] or 0
+    shares = tokens.withColumn("p", F.col("tokens") / F.lit(float(max(1, total))))
+    alpha, z = exponent(shares.filter("p > 0"), min_entropy, max_repeats, budget_ratio)
+    w = F.when(F.col("p") > 0, F.pow("p", F.lit(alpha)) / F.lit(z)).otherwise(F.lit(0.0))
+    weighted = shares.withColumn("weight", w)
+    ratio = budget_ratio
+    if ratio is None:
+        ratio = weighted.agg(F.max(F.when(F.col("weight") > 0, F.col("p") / F.col("weight")))).first()[0] or 0.0
+    return weighted.select("src", "tokens", "weight", F.floor(F.col("weight") * F.lit(float(total) * ratio) + F.lit(0.5)).alias("budget"), F.lit(alpha).alias("alpha"))
+
+
+def mix(
+    docs: DataFrame, min_entropy: float | None = None, max_repeats: float | None = None, budget_ratio: float | None = 1.0, seed: int = 17,
+    blocks: int = BLOCKS, places: bool = True, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+) -> DataFrame:
+    """All rows and columns of docs, with __tokens, __weight, __alpha, __budget (of the source), __all (its tokens), __repeats, and, if asked for, __place.
+
+    __repeats is how often the mixture takes the row: 0 where the budget of its source ends before it.  Copy c, from 0, has the turn
+    (c * __all + __place) / __budget.
+    """
+    u = unused(docs)
+    src, tok, h, block, start, size, rest, whole, last = (f"{u}{x}" for x in ("src", "tok", "h", "block", "start", "size", "rest", "whole", "last"))
+    source = F.when(F.col(source_col).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(source_col).cast("string")))
+    key = hashed(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.withColumns({src: source, tok: token_count(F.col(text_col)), h: key})
+    rows = rows.withColumn(block, F.pmod(F.shiftright(h, 20), F.lit(blocks)).cast("int"))
+    dealt_in = written(rows.groupBy(src, block).agg(F.sum(tok).alias(size)))
+    dealt = weights(dealt_in.groupBy(F.col(src).alias("src")).agg(F.sum(size).alias("tokens")), min_entropy, max_repeats, budget_ratio)
+    order = hashed(F.lit(seed), F.col(src), F.col(block))
+    before = Window.partitionBy(src).orderBy(order, block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt_in.select(src, block, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start), size)
+    some = F.col("tokens") > 0
+    placed = written(starts.join(dealt, F.col(src) == F.col("src")).select(
+        src, block, start, size, F.when(some, F.col("budget") % F.col("tokens")).otherwise(F.lit(0)).alias(rest), F.when(some, F.floor(F.col("budget") / F.col("tokens"))).otherwise(F.lit(1)).alias(whole),
+        *[F.col(c).alias(u + c) for c in ("tokens", "weight", "alpha", "budget")],
+    ))
+    # only the block in which the budget ends needs the order of its rows to tell who is in; the others are in or out as wholes
+    ends = placed.filter((F.col(start) < F.col(rest)) & (F.col(start) + F.col(size) > F.col(rest)))  # one block a source at most
+    inner = Window.partitionBy(src, block).orderBy(h).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cutting = rows.select(src, block, h, tok).join(ends.select(src, block, start, rest), [src, block])
+    reach = F.col(start) + F.sum(tok).over(inner)
+    limit = cutting.withColumn(tok, reach).filter(F.col(tok) <= F.col(rest)).groupBy(src, block).agg(F.max(h).alias(last))
+    cell = f"{u}cell"
+    full = placed.join(limit, [src, block], "left").withColumn(cell, F.concat_ws("/", block, src)).drop(src, block)
+    inside = F.when(F.col(start) + F.col(size) <= F.col(rest), True).otherwise(F.coalesce(F.col(h) <= F.col(last), F.lit(False)))
+    out = looked_up(rows.withColumn(cell, F.concat_ws("/", block, src)), full, cell)
+    made = {
+        "__tokens": F.col(tok), "__weight": F.col(f"{u}weight"), "__alpha": F.col(f"{u}alpha"), "__budget": F.col(f"{u}budget"), "__all": F.col(f"{u}tokens"),
+        "__repeats": (F.col(whole) + inside.cast("long")).cast("int"),
+    }
+    if places:
+        earlier = Window.partitionBy(cell).orderBy(h).rowsBetween(Window.unboundedPreceding, -1)
+        made["__place"] = F.col(start) + F.coalesce(F.sum(tok).over(earlier), F.lit(0))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+
+
+def turns(mixed: DataFrame) -> DataFrame:
+    """A row for each copy that the mixture takes, with __copy (from 0) and __turn: its place in the mixture, from 0 to 1.
+
+    A source without tokens has no place among the others: its rows get turn 0.
     """
-    h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    rows = docs.withColumns({"__src": F.coalesce(F.col(source_col), F.lit(NO_SOURCE)), "__tokens": token_count(F.col(text_col)), "__h": h})
-    rows = rows.withColumn("__block", F.pmod(F.shiftright("__h", 20), F.lit(BLOCKS)).cast("int"))
-    blocks = rows.groupBy("__src", "__block").agg(F.sum("__tokens").alias("tokens"))
-    dealt = weights(blocks.groupBy(F.col("__src").alias("src")).agg(F.sum("tokens").alias("tokens")), min_entropy, max_repeats, budget_ratio)
-    order = F.xxhash64(F.lit(seed), "__src", "__block")
-    before = Window.partitionBy("__src").orderBy(order, "__block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("__src", "__block", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("__start"), F.col("tokens").alias("__block_tokens"))
-    starts = starts.join(dealt, F.col("__src") == F.col("src")).select("__src", "__block", "__start", "__block_tokens", F.col("tokens").alias("__all"), F.col("weight").alias("__weight"), F.col("budget").alias("__budget"), F.col("alpha").alias("__alpha"))
-    rest = F.when(F.col("__all") > 0, F.col("__budget") % F.col("__all")).otherwise(F.lit(0))
-    whole = F.when(F.col("__all") > 0, F.floor(F.col("__budget") / F.col("__all"))).otherwise(F.lit(1))
-    placed = starts.withColumns({"__rest": rest, "__whole": whole})
-    # only the block in which the budget ends needs the places of its rows; the others are in or out as wholes
-    keyed = rows.select("__src", "__block", "__h", "__tokens")
-    ends = placed.filter((F.col("__start") < F.col("__rest")) & (F.col("__start") + F.col("__block_tokens") > F.col("__rest")))
-    inner = Window.partitionBy("__src", "__block").orderBy("__h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    cutting = keyed.join(ends.select("__src", "__block", "__start", "__rest"), ["__src", "__block"]).withColumn("__to", F.col("__start") + F.sum("__tokens").over(inner))
-    limit = cutting.filter("__to <= __rest").groupBy("__src", "__block").agg(F.max("__h").alias("__last"))
-    full = placed.join(limit, ["__src", "__block"], "left")
-    inside = F.when(F.col("__start") + F.col("__block_tokens") <= F.col("__rest"), True).otherwise(F.coalesce(F.col("__h") <= F.col("__last"), F.lit(False)))
-    few = docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    small = full.select("__src", "__block", "__start", "__block_tokens", "__rest", "__whole", "__weight", "__alpha", "__last")
-    return (
-        rows.join(F.broadcast(small) if few else small, ["__src", "__block"])
-        .withColumn("__repeats", (F.col("__whole") + inside.cast("long")).cast("int"))
-        .select(*docs.columns, "__tokens", "__weight", "__alpha", "__repeats")
-    )
+    copies = mixed.filter("__repeats > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__repeats") - 1)))
+    turn = (F.col("__copy") * F.col("__all") + F.col("__place")) / F.col("__budget")
+    return copies.withColumn("__turn", F.when(F.col("__budget") > 0, turn).otherwise(F.lit(0.0)))

@@ -12,12 +12,17 @@ from .common import held_out, table
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 TOXIC_FROM = 0.3
+MIN_ENTROPY = 0.95
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = mixing.mix(docs, min_entropy=0.95, budget_ratio=1.0)
-    return mixed.select("doc_id", "source", F.col("__tokens").alias("n_tokens"), F.round("__weight", 9).alias("weight"), F.round("__alpha", 9).alias("alpha"), F.col("__repeats").alias("repeats"))
+    mixed = mixing.mix(docs, min_entropy=MIN_ENTROPY, budget_ratio=1.0)
+    turn = F.when(F.col("__budget") > 0, F.col("__place") / F.col("__budget"))
+    return mixed.select(
+        "doc_id", "source", F.col("__tokens").alias("n_tokens"), F.round("__weight", 6).alias("weight"), F.round("__alpha", 6).alias("alpha"), F.col("__repeats").alias("repeats"),
+        F.col("__place").alias("place"), F.round(turn, 9).alias("first_turn"),
+    )
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +32,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    packed = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.select("doc_id", "copy", "piece", "n_tokens", "bucket", "padding", "batch_id", "slot", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,4 +108,42 @@ judged AS (SELECT host, n, a / (a + b) AS mean, sqrt(a / (a + b) * (1 - a / (a +
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN mean + 1.645 * sd < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, n AS n_labelled, round(mean, 6) AS posterior_mean
 FROM split JOIN judged USING (host) LEFT JOIN matched USING (host, path)"""
 
-ORACLE_SQL: dict[str, str] = {"op4_url_reputation": _URLS}
+_MD5 = "CAST('0x' || substr(md5({x}), 1, 15) AS BIGINT)"
+#: op1: the exponent by bisection over the list of shares, blocks and rows in the order of their MD5.
+_MIX = f"""WITH RECURSIVE r AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS src,
+  len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS n_tokens, {_MD5.format(x="concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(text, ''))")} AS h FROM documents),
+b AS (SELECT src, CAST((h >> 20) % 1024 AS INT) AS block, CAST(sum(n_tokens) AS BIGINT) AS size FROM r GROUP BY 1, 2),
+s AS (SELECT src, sum(size) AS tokens, sum(size) / (SELECT CAST(sum(size) AS DOUBLE) FROM b) AS p FROM b GROUP BY 1),
+l AS (SELECT list(p) AS ps FROM s WHERE p > 0),
+x AS (SELECT 0 AS i, CAST(0 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi, ps FROM l UNION ALL SELECT i + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END, ps
+  FROM (SELECT *, ln(z) - mid * list_sum(list_transform(ps, lambda p: pow(p, mid) * ln(p))) / z >= {MIN_ENTROPY} * ln(len(ps)) AS ok FROM
+    (SELECT *, CASE WHEN i = 0 THEN 1.0 ELSE (lo + hi) / 2 END AS mid, list_sum(list_transform(ps, lambda p: pow(p, CASE WHEN i = 0 THEN 1.0 ELSE (lo + hi) / 2 END))) AS z FROM x WHERE i < 48))),
+a AS (SELECT lo AS alpha, list_sum(list_transform(ps, lambda p: pow(p, lo))) AS z FROM x WHERE i = 48),
+w AS (SELECT src, CAST(tokens AS BIGINT) AS tokens, alpha, CASE WHEN p > 0 THEN pow(p, alpha) / z ELSE 0 END AS weight FROM s, a),
+d AS (SELECT *, CAST(floor(weight * (SELECT sum(tokens) FROM w) + 0.5) AS BIGINT) AS budget FROM w),
+st AS (SELECT src, block, size, coalesce(sum(size) OVER (PARTITION BY src ORDER BY {_MD5.format(x="concat_ws('|', '17', src, CAST(block AS VARCHAR))")}, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM b),
+p AS (SELECT r.*, start, d.tokens, d.weight, d.alpha, d.budget, start + coalesce(sum(n_tokens) OVER (PARTITION BY r.src, block ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place,
+  start + sum(n_tokens) OVER (PARTITION BY r.src, block ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until FROM r JOIN st ON r.src = st.src AND (r.h >> 20) % 1024 = st.block JOIN d ON d.src = r.src)
+SELECT doc_id, source, n_tokens, round(weight, 6) AS weight, round(alpha, 6) AS alpha, CAST(place AS BIGINT) AS place, CASE WHEN budget > 0 THEN round(CAST(place AS DOUBLE) / budget, 9) END AS first_turn,
+  CAST(CASE WHEN tokens > 0 THEN budget // tokens + CASE WHEN until <= budget % tokens THEN 1 ELSE 0 END ELSE 1 END AS INT) AS repeats FROM p"""
+_WORD = "[^ \\t\\n\\x0B\\f\\r]+"
+#: op3: the least padding by length and number of buckets, the way back through its choices, and places by hashed parts.
+_PACK = f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, {_MD5.format(x="coalesce(text, '')")} AS text_key, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n,
+  regexp_extract_all(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]*{_WORD}') AS ts FROM documents),
+e AS (SELECT *, unnest(range(0, greatest(1, (n + 2047) // 2048))) AS piece FROM d),
+s AS (SELECT doc_id, text_key, piece, CAST(least(2048, n - piece * 2048) AS INT) AS n_tokens, {_MD5.format(x="concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(text_key AS VARCHAR), CAST(piece AS VARCHAR))")} % 1024 AS part,
+  CASE WHEN n = 0 THEN text ELSE array_to_string(ts[piece * 2048 + 1:(piece + 1) * 2048], '') || CASE WHEN (piece + 1) * 2048 >= n THEN substr(text, length(array_to_string(ts, '')) + 1) ELSE '' END END AS text FROM e),
+h AS (SELECT row_number() OVER (ORDER BY n_tokens) AS j, n_tokens AS len, sum(count(*)) OVER (ORDER BY n_tokens) AS upto FROM s GROUP BY n_tokens),
+u AS (SELECT 0 AS j, 0 AS len, 0 AS upto UNION ALL SELECT * FROM h),
+best AS (SELECT 0 AS b, CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS cost, CAST(NULL AS BIGINT) AS came UNION ALL
+  SELECT b + 1, x.j, x.cost, x.came FROM (SELECT best.b, h.j, CAST(min(best.cost + h.len * (h.upto - u.upto)) AS BIGINT) AS cost, CAST(arg_min(best.j, (best.cost + h.len * (h.upto - u.upto)) * 4096 + best.j) AS BIGINT) AS came
+    FROM best JOIN u ON u.j = best.j JOIN h ON h.j > best.j WHERE best.b < 16 GROUP BY best.b, h.j) x),
+back AS (SELECT b, j, came FROM best WHERE b = (SELECT least(16, count(*)) FROM h) AND j = (SELECT max(j) FROM h) UNION ALL SELECT p.b, p.j, p.came FROM back JOIN best p ON p.b = back.b - 1 AND p.j = back.came WHERE back.b > 1),
+edges AS (SELECT len AS bucket, coalesce(lag(len) OVER (ORDER BY len), -1) AS low FROM back JOIN h USING (j)),
+r AS (SELECT s.*, bucket FROM s JOIN edges ON n_tokens > low AND n_tokens <= bucket),
+p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY part, doc_id NULLS FIRST, piece, text_key) - 1 AS spot,
+  row_number() OVER (PARTITION BY bucket, part ORDER BY doc_id NULLS FIRST, piece, text_key) - rank() OVER (PARTITION BY bucket, part ORDER BY doc_id NULLS FIRST, piece, text_key) AS copy FROM r)
+SELECT doc_id, CAST(copy AS INT) AS copy, CAST(piece AS INT) AS piece, n_tokens, bucket, bucket - n_tokens AS padding, CAST(spot // greatest(1, 65536 // greatest(bucket, 1)) AS BIGINT) AS batch_id,
+  CAST(spot % greatest(1, 65536 // greatest(bucket, 1)) AS INT) AS slot, CAST(length(text) AS INT) AS n_chars, md5(text) AS text_md5 FROM p"""
+
+ORACLE_SQL: dict[str, str] = {"op3_packing": _PACK, "op1_mixing": _MIX, "op4_url_reputation": _URLS}

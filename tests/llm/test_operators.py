@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import random
+import re
 import tempfile
 from pathlib import Path
 
@@ -262,10 +263,17 @@ def test_boundaries():
 
 def test_pack(spark):
     rng = random.Random(6)
-    rows = [(i % 50, words(rng, rng.randrange(90))) for i in range(200)] + [(None, None), (7, "")]
-    df = spark.createDataFrame(rows, DOCS).withColumn("bucket", F.lit("clash"))
+    rows = [(i % 50, words(rng, rng.randrange(90))) for i in range(200)] + [(None, None), (7, ""), (7, " \t"), (8, "  a\u00a0b \n" * 90), (8, " ".join("xyz" * 90) + "\n"), (9, "q " * 5000)]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, DOCS).withColumn("bucket", F.lit("clash")).withColumn("part", F.lit(1))
     got = packing.pack(df, max_len=32, buckets=4, batch_tokens=128).collect()
-    assert sum(r["n_tokens"] for r in got) == sum(len((t or "").split()) for _, t in rows)
+    assert sum(r["n_tokens"] for r in got) == sum(len(re.findall(r"[^ \t\n\x0b\f\r]+", t or "")) for _, t in rows)
+    assert all(r["n_tokens"] == len(re.findall(r"[^ \t\n\x0b\f\r]+", r["text"])) for r in got)
+    texts = {}
+    for r in sorted(got, key=lambda r: r["piece"]):
+        key = (r["doc_id"], r["text_key"], r["copy"])
+        texts.setdefault(key, []).append(r["text"])
+    assert collections.Counter((k[0], "".join(v)) for k, v in texts.items()) == collections.Counter((i, t or "") for i, t in rows)
     places = {(r["bucket"], r["batch_id"], r["slot"]) for r in got}
     assert len(places) == len(got) and all(r["n_tokens"] <= r["bucket"] for r in got)
     for b in {r["bucket"] for r in got}:
@@ -277,8 +285,10 @@ def test_pack(spark):
 def test_mix(spark):
     rng = random.Random(5)
     rows = [(i, words(rng, 10), s) for i, s in enumerate(["a"] * 300 + ["b"] * 60 + ["c"] * 30 + [None] * 10)] + [(400, None, "empty")]
-    df = spark.createDataFrame(rows, DOCS + ", source string")
-    got = mixing.mix(df, min_entropy=0.95).collect()
+    df = spark.createDataFrame(rows, DOCS + ", source string").withColumns({c: F.lit("clash") for c in ("__src", "weight", "tokens", "__start", "a.b")})
+    mixed = mixing.mix(df, min_entropy=0.95)
+    assert mixed.columns[: len(df.columns)] == df.columns and mixed.filter("__src = 'clash' and weight = 'clash' and `a.b` = 'clash'").count() == len(rows)
+    got = mixed.collect()
     assert len(got) == len(rows)
     w = {r["source"]: r["__weight"] for r in got if r["source"] != "empty"}
     h = -sum(x * np.log(x) for x in w.values()) / np.log(4)
@@ -286,9 +296,42 @@ def test_mix(spark):
     for s, x in w.items():
         taken = sum(r["__repeats"] * r["__tokens"] for r in got if r["source"] == s)
         assert abs(taken - x * 4000) <= 10
-    kept = mixing.mix(df, max_repeats=2.0, budget_ratio=None).collect()
+    for s in w:  # places: a permutation of the source's rows, and what is taken is its beginning
+        own = sorted((r["__place"], r["__tokens"], r["__repeats"]) for r in got if r["source"] == s)
+        assert [x[0] for x in own] == list(itertools.accumulate((x[1] for x in own), initial=0))[:-1]
+        assert [x[2] for x in own] == sorted((x[2] for x in own), reverse=True)
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["__place"]) if r["source"] == "a"] != list(range(300))
+    turns = sorted(mixing.turns(mixed).collect(), key=lambda r: r["__turn"])
+    assert len(turns) == sum(r["__repeats"] for r in got) and 0 <= turns[0]["__turn"] and turns[-1]["__turn"] < 1
+    for part in (0.3, 0.6):  # any beginning of the mixture holds the sources by their weights
+        seen = collections.Counter()
+        for r in turns[: int(len(turns) * part)]:
+            seen[r["source"]] += r["__tokens"]
+        assert all(abs(seen[s] / sum(seen.values()) - x) < 0.03 for s, x in w.items())
+    kept = mixing.mix(df, max_repeats=2.0, budget_ratio=None, places=False).collect()
     assert min(r["__repeats"] for r in kept) >= 1 and max(r["__repeats"] for r in kept) == 2
     assert mixing.mix(df.limit(0), min_entropy=0.9).count() == 0
+    odd = spark.createDataFrame([(1, "a b", None), (2, "c", "\x00"), (3, "d e f", "-"), (4, "g", "+")], DOCS + ", source string")
+    assert sorted(r["__all"] for r in mixing.mix(odd, min_entropy=0.5).collect()) == [1, 1, 2, 3]
+
+
+@pytest.mark.parametrize(("entropy", "repeats", "ratio"), [(0.9, None, 1.0), (1.0, None, 1.0), (None, 3.0, 1.0), (None, 2.0, None), (None, None, 1.0)])
+def test_exponent(spark, entropy, repeats, ratio):
+    tokens = [500.0, 120.0, 60.0, 5.0]
+    p = np.array(tokens) / sum(tokens)
+
+    def fits(a):
+        w = p**a / (p**a).sum()
+        if entropy is not None:
+            return -(w * np.log(w)).sum() >= entropy * np.log(4) - 1e-12
+        return repeats is None or (w / p).max() * ratio <= repeats if ratio else (w / p).max() / (w / p).min() <= repeats
+
+    found = mixing.weights(spark.createDataFrame([(str(i), int(t)) for i, t in enumerate(tokens)], "src string, tokens long"), entropy, repeats, ratio).orderBy("src").collect()
+    alpha = found[0]["alpha"]
+    grid = np.linspace(0, 1, 20_001)
+    good = grid[[bool(fits(a)) for a in grid]]
+    assert abs(alpha - (good.min() if repeats else good.max())) < 1e-4
+    assert np.allclose([r["weight"] for r in found], p**alpha / (p**alpha).sum())
 
 
 # ---- urls
