@@ -213,13 +213,54 @@ def test_near_dedup_stage(spark):
 # ---- Order MinHash
 
 
+def brute_signature(text):
+    """Order MinHash with cells, k-mer by k-mer."""
+
+    def chain(parts):
+        h = 42
+        for x in parts:
+            h = xxhash.xxh64_intdigest(x.encode(), h)
+        return h
+
+    tokens = re.findall(r"[^ \t\n\x0b\f\r]{1,8}", text or "")
+    mask = (1 << ordermin.HASH_BITS) - 1
+    seen, found = collections.Counter(), []
+    for i in range(max(0, len(tokens) - ordermin.K) + 1):
+        mer = chain(tokens[i : i + ordermin.K]) & mask
+        seen[mer] += 1
+        # the k-mer's hash is a long, its number an int
+        h = xxhash.xxh64_intdigest(seen[mer].to_bytes(4, "little"), xxhash.xxh64_intdigest(mer.to_bytes(8, "little"), 42)) & mask
+        found.append((h, i))
+    found.sort()
+
+    def tuple_of(kept):
+        total = 42
+        for h, _ in sorted(kept, key=lambda x: x[1]):
+            total = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), total)
+        return total & 0xFFFFFFFF
+
+    cells = [[x for x in found if x[0] >> (ordermin.HASH_BITS - ordermin.CELL_BITS) == j][: ordermin.LENGTH] for j in range(ordermin.TUPLES)]
+    own = [tuple_of(c) if len(c) == ordermin.LENGTH else None for c in cells]
+    out = []
+    for j in range(ordermin.TUPLES):
+        step = (5 * j) % (ordermin.TUPLES // 2) * 2 + 1
+        tried = [own[(j + i * step) % ordermin.TUPLES] for i in range(ordermin.TUPLES)]
+        out.append(next((x for x in tried if x is not None), tuple_of(found[: ordermin.LENGTH])))
+    return out
+
+
 def test_order_minhash(spark):
     rng = random.Random(9)
     long = words(rng, 400)
     texts = [long, long, " ".join(reversed(long.split())), None, "", "a", "b b b b b b b b", "é" * 50, long + " tail"]
+    texts += [words(rng, n, 40) for n in (2, 3, 4, 5, 9, 30, 60, 100, 200, 700)] + ["x " * 300, long * 3]
     df = spark.createDataFrame(list(enumerate(texts)), DOCS)
     rows = {r["doc_id"]: r for r in ordermin.fingerprint_pairs(df).collect()}
     assert len(rows) == len(texts)
+    own = [brute_signature(t) for t in texts]
+    for i, t in enumerate(texts):
+        assert rows[i]["fingerprint"] == "".join(f"{x:08x}" for x in own[i])
+        assert rows[i]["near_next"] == sum(x == y for x, y in zip(own[i], own[(i + 1) % len(texts)])) / ordermin.TUPLES
     for i, t in enumerate(texts):
         t, nxt = t or "", texts[(i + 1) % len(texts)] or ""
         h = len(t) // 2
@@ -227,7 +268,7 @@ def test_order_minhash(spark):
         assert rows[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - h] + nxt[:h]).encode()).hexdigest()
         assert (rows[i]["near_next"] == 1.0) == (rows[i]["fingerprint"] == rows[(i + 1) % len(texts)]["fingerprint"])
     assert rows[0]["fingerprint"] == rows[1]["fingerprint"] and rows[3]["fingerprint"] == rows[4]["fingerprint"]
-    assert rows[1]["near_next"] < 0.2 and rows[8]["near_next"] > 0.8
+    assert rows[1]["near_next"] < 0.2 and sum(x == y for x, y in zip(own[0], own[8])) > 0.8 * ordermin.TUPLES
     assert ordermin.fingerprint_pairs(df.limit(0)).count() == 0
 
 
@@ -242,6 +283,15 @@ def test_order_minhash_blocks(spark, monkeypatch):
         t, nxt = texts[d], texts[order[(i + 1) % len(order)]]
         h = len(t) // 2
         assert rows[d]["edited_sha256"] == hashlib.sha256((t[: len(t) - h] + nxt[:h]).encode()).hexdigest()
+    # ids far off, negative, repeated and absent leave blocks of like size
+    odd = [(2**50, "far"), (-5, "low"), (None, "n1"), (None, "n2"), (None, None)] + [(7, words(rng, 4)) for _ in range(20)]
+    df = spark.createDataFrame(odd + list(texts.items()), DOCS)
+    sizes = [r["count"] for r in ordermin.in_blocks(df, "doc_id", "text").filter("ghost = 0").groupBy("block").count().collect()]
+    assert max(sizes) <= 3 and sum(sizes) == 65
+    got = ordermin.fingerprint_pairs(df).collect()
+    assert len(got) == 65 and all(r["near_next"] == 0 for r in got if r["doc_id"] is None)
+    far = next(r for r in got if r["doc_id"] == 2**50)
+    assert far["edited_sha256"] == hashlib.sha256(b"fal").hexdigest()
 
 
 # ---- packing and mixing
