@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: platforms by code, confidence words, class ladders
-PLATFORMS = {"t": "Terra", "terra": "Terra", "a": "Aqua", "aqua": "Aqua", "n": "Suomi-NPP", "npp": "Suomi-NPP", "1": "NOAA-20", "n20": "NOAA-20", "2": "NOAA-21", "n21": "NOAA-21"}
+# fixed values: platforms by code, confidence words, the ladder of powers
+PLATFORMS = {"t": "Terra", "terra": "Terra", "a": "Aqua", "aqua": "Aqua", "n": "Suomi-NPP", "1": "NOAA-20", "n20": "NOAA-20", "2": "NOAA-21", "n21": "NOAA-21"}
 CONFIDENCE = {"low": "l", "nominal": "n", "high": "h"}
-COUNT_LADDER = (1, 5, 20, 75, 250, 1000, 4000)
 POWER_LADDER = (10, 50, 200, 500, 1000)
 
 
@@ -24,7 +23,9 @@ def observed_at(date: Column, hhmm: Column) -> Column:
 
 
 def _mapped(c: Column, names: dict[str, str]) -> Column:
-    key, out = F.lower(F.trim(c)), c
+    """What names has for a text, whatever its case; any other text trimmed."""
+    out = F.trim(c)
+    key = F.lower(out)
     for k, v in names.items():
         out = F.when(key == k, v).otherwise(out)
     return out
@@ -77,5 +78,6 @@ def iso_z(time: Column) -> Column:
 
 
 def tolerant_json(text: Column, schema: str) -> Column:
-    """Null for anything that is not the object asked for."""
-    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+    """The fields asked for of a text that holds a JSON object; null for anything else, malformed or not."""
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    return F.when(kind.startswith("OBJECT"), F.from_json(text, schema, {"mode": "PERMISSIVE"}))

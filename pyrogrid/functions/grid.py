@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_BITS = 28
@@ -41,25 +41,24 @@ def plain_parent(c: Column, times: int = 2) -> Column:
     return F.floor(F.floor(c / 100000) / times).cast("long") * 100000 + F.floor((c % 100000) / times).cast("long")
 
 
-def hilbert(lon: Column, lat: Column, bits: int = 16) -> Column:
-    """Place on the Hilbert curve over a 2^bits square; a fold over the bits, so the expression stays small."""
-    x = _axis((lon + 180) / 360, 1 << bits)
-    y = _axis((lat + 90) / 180, 1 << bits)
-    start = F.struct(x.alias("x"), y.alias("y"), F.lit(0).cast("long").alias("d"))
+def with_hilbert(df: DataFrame, lon: Column, lat: Column, name: str, bits: int = 16) -> DataFrame:
+    """df with a column: the place on the Hilbert curve over a 2^bits square.
 
-    def step(acc: Column, k: Column) -> Column:
-        s = F.pow(F.lit(2.0), k).cast("long")
-        rx = F.when(acc["x"].bitwiseAND(s) > 0, 1).otherwise(0).cast("long")
-        ry = F.when(acc["y"].bitwiseAND(s) > 0, 1).otherwise(0).cast("long")
-        low = s - 1
+    Each bit is a projection of its own over plain long arithmetic.  Spark compiles them together and works each out once; as one
+    expression the terms would double with each bit, and as a fold they would be interpreted.
+    """
+    x, y, d = (f"__{name}_{c}" for c in "xyd")
+    out = df.withColumns({x: _axis((lon + 180) / 360, 1 << bits), y: _axis((lat + 90) / 180, 1 << bits), d: F.lit(0).cast("long")})
+    for k in reversed(range(bits)):
+        low = (1 << k) - 1
+        rx, ry = F.shiftright(x, k).bitwiseAND(F.lit(1)), F.shiftright(y, k).bitwiseAND(F.lit(1))
+        px, py = F.col(x).bitwiseAND(F.lit(low)), F.col(y).bitwiseAND(F.lit(low))
         # within a quadrant the curve is turned: mirror in the right one of the lower half, swap in the lower half
-        px, py = acc["x"].bitwiseAND(low), acc["y"].bitwiseAND(low)
         mx, my = F.when(rx == 1, low - px).otherwise(px), F.when(rx == 1, low - py).otherwise(py)
-        return F.struct(
-            F.when(ry == 0, my).otherwise(px).alias("x"), F.when(ry == 0, mx).otherwise(py).alias("y"), (acc["d"] + s * s * ((3 * rx).bitwiseXOR(ry))).alias("d")
-        )
-
-    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda acc: acc["d"])
+        out = out.withColumns({
+            x: F.when(ry == 0, my).otherwise(px), y: F.when(ry == 0, mx).otherwise(py), d: F.shiftleft(F.col(d), 2) + (rx * 3).bitwiseXOR(ry),
+        })
+    return out.withColumn(name, F.col(d)).drop(x, y, d)
 
 
 def lon_overlaps(w: Column, e: Column, view_w: Column | float, view_e: Column | float) -> Column:

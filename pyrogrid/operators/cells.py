@@ -41,6 +41,15 @@ def wide(cells: DataFrame, dim: str, values: list[str], limit: int, key: str = "
     return out.select(key, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(f"count_{v}") for v in values])
 
 
+def wide_years(by_year: DataFrame, months: list[str], key: str = "cell") -> DataFrame:
+    """count_<month> columns of cells by year (cell, year, bucket, cnt): 0 in a year that has the cell, null in one that lacks it."""
+    years = sorted({m[:4] for m in months})
+    per_year = [F.max((F.col("year") == int(y)).cast("int")).alias(f"__{y}") for y in years]
+    per_month = [F.sum(F.when(F.col("bucket") == m, F.col("cnt"))).alias(f"__{m}") for m in months]
+    one = by_year.groupBy(key).agg(*per_year, *per_month)
+    return one.select(key, *[F.when(F.col(f"__{m[:4]}") == 1, F.coalesce(F.col(f"__{m}"), F.lit(0))).alias(f"count_{m}") for m in months])
+
+
 def bounds_union(pieces: DataFrame, key: str = "cell") -> DataFrame:
     """The bounds of a cell's pieces, joined."""
     return pieces.groupBy(key).agg(F.min("w").alias("w"), F.min("s").alias("s"), F.max("e").alias("e"), F.max("n").alias("n"))
@@ -61,5 +70,8 @@ def density(cells: DataFrame) -> DataFrame:
     return t.withColumn("density", F.round(F.col("filled") / (F.col("cells") * F.col("buckets")), 6))
 
 
-def budget_mb(level: int) -> float:
-    return 25.0 * 4 ** max(0, level - 6)
+def over_budget(densities: DataFrame, bytes_per_value: float = 4.0) -> DataFrame:
+    """Of densities (level, cells, buckets): the levels whose matrix would pass its budget, with its size and the budget in MB."""
+    size = F.col("cells") * F.col("buckets") * bytes_per_value / 1e6
+    budget = F.lit(25.0) * F.pow(F.lit(4.0), F.greatest(F.lit(0), F.col("level") - 6))
+    return densities.select("level", size.alias("mb"), budget.alias("budget_mb")).filter("mb > budget_mb")

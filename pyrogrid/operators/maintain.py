@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows (sensor, day) that are broadcast at most: ten sensors for over two hundred years.
+MOST_SENSOR_DAYS = 1_000_000
+
 
 def merge_tail(archive: DataFrame, window: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Archive rows before the window's first time, and the whole window; with keys, per key, so that a feed that failed keeps its tail."""
@@ -51,23 +54,31 @@ def replace_days(archive: DataFrame, refetched: DataFrame, days: DataFrame) -> D
 
 def repair(archive: DataFrame, refetched: DataFrame, days: DataFrame, still_open) -> tuple[str, DataFrame]:
     """replace_days, guarded: refused if nothing was refetched, rows do not add up, or still_open(rows) has holes."""
-    d = F.broadcast(days.select(F.col("day").alias("acq_date")))
-    fill = refetched.join(d, "acq_date", "left_semi").count()
+    d = F.broadcast(days.select(F.col("day").alias("acq_date"), F.lit(True).alias("__due")))
+    out = replace_days(archive, refetched, days)
+    # the three counts in one pass over each table
+    count = lambda df, what: df.select("acq_date").join(d, "acq_date", "left").agg(F.count_if(F.col("__due").isNull()).alias("other"), F.count_if("__due").alias("due")).select(F.lit(what).alias("of"), "*")
+    of = {r["of"]: r for r in count(archive, "archive").union(count(refetched, "refetched")).union(count(out, "out")).collect()}
+    keep, fill = of["archive"]["other"], of["refetched"]["due"]
     if not fill:
         return "refused: nothing was refetched", archive
-    keep = archive.join(d, "acq_date", "left_anti").count()
-    out = replace_days(archive, refetched, days)
-    if out.count() != keep + fill:
+    if of["out"]["other"] + of["out"]["due"] != keep + fill:
         return "refused: rows do not add up", archive
     if still_open(out).take(1):
         return "refused: still uncovered", archive
     return f"replaced: {keep} kept, {fill} added", out
 
 
-def supersede(det: DataFrame) -> DataFrame:
-    """Science-quality rows replace near-real-time ones of the same sensor and day."""
-    best = F.max((F.col("quality") == "sp").cast("int")).over(Window.partitionBy("sensor", "acq_date"))
-    return det.withColumn("__sp", best).filter((F.col("__sp") == 0) | (F.col("quality") == "sp")).drop("__sp")
+def supersede(det: DataFrame, most: int = MOST_SENSOR_DAYS) -> DataFrame:
+    """Science-quality rows replace near-real-time ones of the same sensor and day.
+
+    The sensors' days that have such rows are a calendar's worth; up to so many they are broadcast, so that the rows stay where they are.
+    """
+    due = det.filter(F.col("quality") == "sp").select(F.col("sensor").alias("__s"), F.col("acq_date").alias("__d"), F.lit(True).alias("__sp")).distinct()
+    if due.limit(most + 1).count() <= most:
+        due = F.broadcast(due)
+    met = det.join(due, (F.col("sensor") == F.col("__s")) & (F.col("acq_date") == F.col("__d")), "left")
+    return met.filter(F.col("__sp").isNull() | (F.col("quality") == "sp")).drop("__s", "__d", "__sp")
 
 
 def replace_entries(entries: DataFrame, rebuilt: DataFrame, key: str = "id") -> DataFrame:

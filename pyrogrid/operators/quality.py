@@ -55,10 +55,16 @@ def schema_differs(det: DataFrame) -> list[str]:
 
 
 def nothing_written(written: int, expected: bool) -> None:
+    """Raises if rows were expected and none were written; written is what write_detections() counted on the way."""
     if expected and not written:
         raise ValueError("rows were expected and none were written")
 
 
+def nothing_found(loads: DataFrame) -> DataFrame:
+    """Of loads (expected, n_rows): those that expected rows and brought none."""
+    return loads.filter(F.col("expected") & (F.coalesce("n_rows", F.lit(0)) == 0))
+
+
 def counted_twice(profile: DataFrame, archive: DataFrame, live: DataFrame, key: tuple[str, ...]) -> DataFrame:
     want = archive.select(*key).unionByName(live.select(*key)).distinct().agg(F.count("*").alias("want"))
     return profile.select("n_rows").crossJoin(want).filter("n_rows <> want")
@@ -67,3 +73,17 @@ def counted_twice(profile: DataFrame, archive: DataFrame, live: DataFrame, key:
 def null_pattern(det: DataFrame) -> DataFrame:
     """Per sensor and quality: rows, rows without a type, rows with a numeric confidence."""
     return det.groupBy("sensor", "quality").agg(F.count("*").alias("cnt"), F.count_if(F.col("type").isNull()).alias("type_null"), F.count_if(F.col("confidence_pct").isNotNull()).alias("pct_set"))
+
+
+#: Which columns only one family of instruments has.
+ONLY_OF = {"MODIS": ("brightness", "bright_t31", "confidence_pct"), "VIIRS": ("bright_ti4", "bright_ti5")}
+
+
+def null_violations(det: DataFrame) -> DataFrame:
+    """Per sensor, quality and rule how many rows break it: near-real-time rows have no type, others have one; columns of one family are null in the other."""
+    rules = {"type": (F.col("quality") == "nrt") != F.col("type").isNull()}
+    for family, names in ONLY_OF.items():
+        rules |= {c: F.col(c).isNotNull() & (F.col("instrument") != family) for c in names if c in det.columns}
+    counted = det.groupBy("sensor", "quality").agg(*[F.count_if(v).alias(k) for k, v in rules.items()])
+    each = F.array(*[F.struct(F.lit(k).alias("rule"), F.col(k).alias("cnt")) for k in rules])
+    return counted.select("sensor", "quality", F.explode(each).alias("x")).select("sensor", "quality", "x.*").filter("cnt > 0")

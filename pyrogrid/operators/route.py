@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions.grid import tile_xy
 
+#: What a point and a cell weigh in a tile, in bytes.
+POINT_BYTES, CELL_BYTES = 12, 40
+
 
 def owners(buckets: DataFrame, sources: DataFrame) -> DataFrame:
     """Per bucket (bucket, unit) the covering source that was rebuilt last; ties go to the narrower one, then to the smaller id."""
@@ -50,12 +53,25 @@ def plan_mounts(domains: DataFrame, years: DataFrame, most: int = 2) -> DataFram
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).select("req", "year", "rank")
 
 
-def tile_weights(det: DataFrame, zooms: list[int]) -> DataFrame:
-    """Points per map tile at each zoom: z, x, y, points."""
-    tiles = F.array(*[F.struct(F.lit(z).alias("z"), tile_xy(F.col("lon"), F.col("lat"), z).alias("t")) for z in zooms])
-    return det.select(F.explode(tiles).alias("k")).groupBy(F.col("k.z").alias("z"), F.col("k.t.x").alias("x"), F.col("k.t.y").alias("y")).agg(F.count("*").alias("points"))
-
+def tile_weights(det: DataFrame, zooms: list[int], cell: Column | None = None) -> DataFrame:
+    """Points, cells (if a cell is given) and bytes per map tile at each zoom: z, x, y, points, cells, bytes.
 
-def handover(tiles: DataFrame, budget: int) -> DataFrame:
-    """The first zoom whose heaviest tile is within the budget."""
-    return tiles.groupBy("z").agg(F.max("points").alias("heaviest")).filter(F.col("heaviest") <= budget).agg(F.min("z").alias("zoom"))
+    Rows are counted once, by the tiles of the deepest zoom; each other zoom adds up what came before.
+    """
+    deepest = max(zooms)
+    at = tile_xy(F.col("lon"), F.col("lat"), deepest)
+    fine = det.groupBy(at["x"].alias("x"), at["y"].alias("y"), (cell if cell is not None else F.lit(0)).alias("cell")).agg(F.count("*").alias("points"))
+    ups = F.array(*[F.lit(z) for z in zooms])
+    each = fine.select("cell", "points", "x", "y", F.explode(ups).alias("z"))
+    up = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), deepest - F.col("z")))
+    tiles = each.groupBy("z", up("x").alias("x"), up("y").alias("y"), "cell").agg(F.sum("points").alias("points"))
+    seen = F.count("*") if cell is not None else F.lit(0).cast("long")
+    out = tiles.groupBy("z", "x", "y").agg(F.sum("points").alias("points"), seen.alias("cells"))
+    return out.withColumn("bytes", F.col("points") * POINT_BYTES + F.col("cells") * CELL_BYTES)
+
+
+def handover(tiles: DataFrame, budget: int, weight: str = "bytes", plan: int | None = None) -> DataFrame:
+    """The first zoom whose heaviest tile is within the budget; a plan, where given, counts instead."""
+    if plan is not None:
+        return tiles.limit(1).agg(F.lit(plan).alias("zoom"))
+    return tiles.groupBy("z").agg(F.max(weight).alias("heaviest")).filter(F.col("heaviest") <= budget).agg(F.min("z").alias("zoom"))

@@ -82,9 +82,10 @@ def union_axis(sources: DataFrame) -> DataFrame:
     return sources.withColumn("r", rank).withColumn("f", finest).filter("r = f").groupBy("unit").agg(F.min("min_key").alias("min_key"), F.max("max_key").alias("max_key"))
 
 
-def downsample(series: DataFrame, size: int, width: int) -> DataFrame:
+def downsample(series: DataFrame, size: int | Column, width: int) -> DataFrame:
     """A series (idx, value) of size buckets to at most width bars: bar, total, mean. Totals are conserved."""
-    bar = F.col("idx") if size < width else F.floor(((F.col("idx") + 1) * width - 1) / size)
+    n = size if isinstance(size, Column) else F.lit(size)
+    bar = F.when(n < width, F.col("idx")).otherwise(F.floor(((F.col("idx") + 1) * width - 1) / n))
     return series.groupBy(bar.cast("long").alias("bar")).agg(F.sum("value").alias("total"), F.avg("value").alias("mean"))
 
 
@@ -116,12 +117,18 @@ def axis_of_columns(names: list[str]) -> dict[str, object]:
 
 
 def energy(det: DataFrame, by: list[str], cap_hours: float = 24.0) -> DataFrame:
-    """Power integrated over time (trapezoids between successive overpasses; longer gaps than the cap are left out)."""
-    seen = det.filter(F.col("frp").isNotNull()).groupBy(*by, F.col("acq_datetime").alias("t")).agg(F.sum("frp").alias("f"))
-    w = Window.partitionBy(*by).orderBy("t")
-    dt = (F.unix_micros(F.col("t").cast("timestamp")) - F.unix_micros(F.lag("t").over(w).cast("timestamp"))) / 1e6
-    part = seen.withColumns({"f0": F.lag("f").over(w), "dt": dt})
-    return part.groupBy(*by).agg(F.sum(F.when(F.col("dt") <= cap_hours * 3600, (F.col("f") + F.col("f0")) / 2 * F.col("dt"))).alias("energy"))
+    """Power integrated over time (trapezoids between successive overpasses; longer gaps than the cap are left out).
+
+    Two levels, as holes: pieces within a day from windows over days, and pieces across days from each day's first and last overpass.
+    """
+    seen = det.filter(F.col("frp").isNotNull()).groupBy(*by, F.col("acq_datetime").cast("timestamp").alias("t")).agg(F.sum("frp").alias("f")).withColumn("d", F.to_date("t"))
+    point = F.struct("t", "f")
+    within = seen.select(*by, F.lag(point).over(Window.partitionBy(*by, "d").orderBy("t")).alias("a"), point.alias("b"))
+    days = seen.groupBy(*by, "d").agg(F.min(point).alias("b"), F.max(point).alias("last"))
+    across = days.select(*by, F.lag("last").over(Window.partitionBy(*by).orderBy("d")).alias("a"), "b")
+    dt = (F.unix_micros("b.t") - F.unix_micros("a.t")) / 1e6
+    part = F.when(dt <= cap_hours * 3600, (F.col("a.f") + F.col("b.f")) / 2 * dt)
+    return within.unionByName(across).groupBy(*by).agg(F.sum(part).alias("energy"))
 
 
 def climatology(cells: DataFrame) -> DataFrame:

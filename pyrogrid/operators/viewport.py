@@ -21,9 +21,27 @@ def point_histogram(det: DataFrame, view: View, bucket: Column) -> DataFrame:
     return det.filter(in_view(lon, lat, lon, lat, view)).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("cnt"))
 
 
-def selected(cells: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
-    """Per cell the total, or the sum over a range of buckets; 0 where nothing of a cell is in it."""
-    inside = F.lit(True) if lo is None or hi is None else F.col("bucket").between(lo, hi)
+def selection_mode(cells: DataFrame, lo: str, hi: str, axis: tuple[str, str], running: bool = False) -> str:
+    """How a selection of an axis (first and last key) is answered: whole, none (no bucket of it is there), running or sum."""
+    if lo <= axis[0] and hi >= axis[1]:
+        return "whole"
+    if not cells.filter(F.col("bucket").between(lo, hi)).take(1):
+        return "none"
+    return "running" if running else "sum"
+
+
+def selected(cells: DataFrame, lo: str | None, hi: str | None, axis: tuple[str, str] | None = None, running: DataFrame | None = None) -> DataFrame:
+    """Per cell the total, or the sum over a range of buckets; 0 where nothing of a cell is in it.
+
+    With an axis the cheapest way is taken: totals for the whole axis, zeros where no bucket is there, and running totals (running) where given.
+    """
+    mode = "whole" if lo is None or hi is None else selection_mode(cells, lo, hi, axis, running is not None) if axis else "sum"
+    if mode == "none":
+        return cells.select("cell").distinct().withColumn("cnt", F.lit(0).cast("long"))
+    if mode == "running":
+        at = lambda key: F.coalesce(F.max(F.when(key, F.col("running"))), F.lit(0))  # noqa: E731  running totals never fall
+        return running.groupBy("cell").agg((at(F.col("bucket") <= hi) - at(F.col("bucket") < lo)).alias("cnt"))
+    inside = F.lit(True) if mode == "whole" else F.col("bucket").between(lo, hi)
     return cells.groupBy("cell").agg(F.coalesce(F.sum(F.when(inside, F.col("cnt"))), F.lit(0)).alias("cnt"))
 
 
@@ -39,11 +57,11 @@ def inside(lon: Column, lat: Column, ring: Column) -> Column:
 
 
 def join_regions(det: DataFrame, regions: DataFrame, step: int = 500) -> DataFrame:
-    """Points with the regions (region, ring) that hold them: an equality join on grid cells, then the exact test."""
+    """Points (lon, lat) with the regions (region, ring) that hold them: an equality join on grid cells of step hundredths of a degree, then the exact test."""
     span = lambda c, low, size: F.sequence(
         F.floor((F.array_min(F.transform("ring", lambda p: p[c])) * 100 + low) / size).cast("long"), F.floor((F.array_max(F.transform("ring", lambda p: p[c])) * 100 + low) / size).cast("long")
     )
     cover = regions.withColumn("i", F.explode(span("x", 18000, step))).withColumn("j", F.explode(span("y", 9000, step)))
     cover = cover.select("region", "ring", (F.col("i") * 100000 + F.col("j")).alias("__cell"))
-    keyed = det.withColumn("__cell", plain_cell(F.col("lon_c"), F.col("lat_c"), step))
+    keyed = det.withColumn("__cell", plain_cell(F.col("lon") * 100, F.col("lat") * 100, step))
     return keyed.join(cover, "__cell").filter(inside(F.col("lon"), F.col("lat"), F.col("ring"))).drop("__cell", "ring")

@@ -3,16 +3,42 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.grid import hilbert
+from ..functions.grid import bounds, with_hilbert
 
 ROWS_PER_GROUP = 100_000
+#: Rows of one file of the store, roughly: some 100 MB.
+ROWS_PER_FILE = 5_000_000
 ERAS = ((2022, 2026), (2015, 2021), (2008, 2014), (2000, 2007))
+#: The tables of a store, side by side; none is read by a pattern over the others.
+PARTS = ("detections", "detections_live", "cells", "running", "profiles")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared place that spark.checkpoint.dir names; a local one only where it is unset and the session is local."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        shared = tempfile.mkdtemp(prefix="pyrogrid-")
+    return f"{shared}/store-{uuid.uuid4().hex}"
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
 def read_parts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
@@ -21,11 +47,15 @@ def read_parts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.drop("year") for f in frames])
 
 
+def may_hold(name: Column, year: int) -> Column:
+    """Whether a chunk of a name may hold rows of a year: dated in it, in the December before, or undated."""
+    found, month = F.regexp_extract(name, r"(\d{4})-(\d{2})-\d{2}", 1), F.regexp_extract(name, r"(\d{4})-(\d{2})-\d{2}", 2)
+    return (found == "") | (found == str(year)) | ((found == str(year - 1)) & (month == "12"))
+
+
 def candidates(chunks: DataFrame, year: int) -> DataFrame:
-    """Of chunk names (name), those that may hold rows of a year: of the year, of the December before, or undated."""
-    found = F.regexp_extract("name", r"(\d{4})-(\d{2})-\d{2}", 1)
-    month = F.regexp_extract("name", r"(\d{4})-(\d{2})-\d{2}", 2)
-    return chunks.filter((found == "") | (found == str(year)) | ((found == str(year - 1)) & (month == "12")))
+    """Of chunk names (name), those that may hold rows of a year."""
+    return chunks.filter(may_hold(F.col("name"), year))
 
 
 def of_year(det: DataFrame, year: int) -> DataFrame:
@@ -33,29 +63,59 @@ def of_year(det: DataFrame, year: int) -> DataFrame:
     return det.filter((F.col("acq_date") >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (F.col("acq_date") < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))))
 
 
+def read_chunks(spark: SparkSession, path: str, year: int) -> DataFrame:
+    """Rows of a year from a folder of chunks: files are passed over by name before they are opened, rows are chosen by date."""
+    chunks = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
+    return of_year(chunks.filter(may_hold(F.col("_metadata.file_name"), year)), year).drop("year")
+
+
+def read_part(spark: SparkSession, root: str, part: str, years: Iterable[int] | None = None) -> DataFrame:
+    """One named table of a store, of some years; other names, patterns among them, raise."""
+    if part not in PARTS:
+        raise ValueError(f"{part!r} is none of {PARTS}")
+    rows = spark.read.parquet(f"{root}/{part}")
+    return rows if years is None else rows.filter(F.col("year").isin(*years))
+
+
 def in_order(det: DataFrame, files: int) -> DataFrame:
     """Ranges of (year, month, place on the curve), sorted within; row-group statistics then prune by time and place."""
-    keyed = det.withColumns({"year": F.year("acq_date"), "__month": F.month("acq_date"), "__place": hilbert(F.col("lon"), F.col("lat"))})
+    keyed = with_hilbert(det.withColumns({"year": F.year("acq_date"), "__month": F.month("acq_date")}), F.col("lon"), F.col("lat"), "__place")
     return keyed.repartitionByRange(files, "year", "__month", "__place").sortWithinPartitions("year", "__month", "__place").drop("__month", "__place")
 
 
-def write_detections(det: DataFrame, path: str, files: int = 8, rows_per_group: int = ROWS_PER_GROUP) -> None:
-    in_order(det, files).write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", rows_per_group).option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+def _writer(df: DataFrame, level: int, rows_per_group: int):
+    return (
+        df.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level)
+        .option("parquet.block.row.count.limit", rows_per_group).option("partitionOverwriteMode", "dynamic").partitionBy("year")
+    )
+
+
+def write_detections(det: DataFrame, path: str, level: int = 9, rows_per_group: int = ROWS_PER_GROUP, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write by year in spatial order, in as many files as the rows need; how many rows were written, counted on the way."""
+    files = max(1, -(-det.count() // rows_per_file))
+    seen = Observation()
+    _writer(in_order(det, files).observe(seen, F.count("*").alias("rows")), level, rows_per_group).parquet(path)
+    return seen.get["rows"]
 
 
-def staged_swap(det: DataFrame, path: str, staging: str, expected: int, gates: Iterable[Callable[[DataFrame], DataFrame]] = ()) -> int:
-    """Write beside, check, then replace only the years that the rows have; raises before anything is touched."""
-    spark = det.sparkSession
-    write_detections(det, staging)
-    done = spark.read.parquet(staging)
-    rows = done.count()
-    if rows != expected or not rows:
-        raise ValueError(f"{rows} rows staged, {expected} expected")
-    for gate in gates:
-        if bad := gate(done).take(1):
-            raise ValueError(f"refused by {getattr(gate, '__name__', 'a gate')}: {bad[0]}")
-    done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(path)
-    return rows
+def staged_swap(det: DataFrame, path: str, staging: str, expected: int, gates: Iterable[Callable[[DataFrame], DataFrame]] = (), level: int = 9, rows_per_group: int = ROWS_PER_GROUP) -> int:
+    """Write beside, check, then replace only the years that the rows have; raises before anything is touched.
+
+    Each run stages in a folder of its own, so that nothing of an earlier one can be published, and removes it in the end.
+    """
+    spark, own = det.sparkSession, f"{staging}/run-{uuid.uuid4().hex}"
+    try:
+        rows = write_detections(det, own, level, rows_per_group)
+        if rows != expected or not rows:
+            raise ValueError(f"{rows} rows staged, {expected} expected")
+        done = spark.read.parquet(own)
+        for gate in gates:
+            if bad := gate(done).take(1):
+                raise ValueError(f"refused by {getattr(gate, '__name__', 'a gate')}: {bad[0]}")
+        _writer(done, level, rows_per_group).parquet(path)
+        return rows
+    finally:
+        removed(spark, own)
 
 
 def plan_windows(avail: DataFrame, days: int = 5) -> DataFrame:
@@ -95,3 +155,31 @@ def drop_matching(df: DataFrame, pattern: str) -> DataFrame:
 
 def with_bbox(cells: DataFrame, bounds: str = "bounds") -> DataFrame:
     return cells.withColumn("bbox", F.struct(*[F.col(f"{bounds}.{c}") for c in ("w", "s", "e", "n")]))
+
+
+def write_sidecar(cells: DataFrame, path: str, level: int, eras: tuple[tuple[int, int], ...] = ERAS) -> DataFrame:
+    """A folder of what a map needs of cells (cell, bucket, cnt): bounds alone, and counts split by era; returns the manifest of the eras.
+
+    The tables are small (a row per cell, a row per cell and bucket), so each era is one file.
+    """
+    spark = cells.sparkSession
+    with_bbox(cells.select("cell").distinct().withColumn("bounds", bounds(F.col("cell"), level))).drop("bounds").coalesce(1).write.mode("overwrite").parquet(f"{path}/bounds")
+    split = split_by_era(cells.withColumn("year", F.substring("bucket", 1, 4).cast("int")), eras=eras).filter(F.col("era").isNotNull()).drop("year")
+    split.repartition("era").write.mode("overwrite").partitionBy("era").parquet(f"{path}/counts")
+    return era_manifest(spark.read.parquet(f"{path}/counts"))
+
+
+def persisted(spark: SparkSession, source: str, name: str, make: Callable[[], DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
+    """A table derived from the file or folder source, made once for each state of it and session, and read from then on."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    state = (spark.sparkContext.applicationId, source, name, fs.getFileStatus(jvm_path).getModificationTime(), fs.getContentSummary(jvm_path).getLength())
+    if state not in _PERSISTED:
+        path = f"{scratch(spark)}/{name}"
+        made = make()
+        made.write.partitionBy(*by).parquet(path)
+        _PERSISTED[state] = path
+    return spark.read.parquet(_PERSISTED[state])
+
+
+_PERSISTED: dict[tuple, str] = {}

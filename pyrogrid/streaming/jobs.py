@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,6 +12,7 @@ from ..operators import maintain, timeseq
 from ..operators.viewport import join_regions
 from ..sources.normalize import normalize
 from ..sources.schema import NATURAL_KEY
+from ..sources.store import exists, removed
 
 
 def ingest(spark: SparkSession, path: str, source: str, raw: StructType) -> DataFrame:
@@ -38,26 +41,46 @@ def without_repeats(stream: DataFrame, late: str = "8 days", key: tuple[str, ...
 
 
 def apply_window(store: str, log: str, year: int, allow_gap: bool = False):
-    """A foreachBatch function that folds each window into the store's table of a year, once per batch id.
+    """A foreachBatch function that folds each window into a year's table, kept by day, once per batch id.
 
-    Versions are written beside each other, named by batch; the log says which one holds.
+    Only the days that change are written: from the window's first one on, tail replacement is confined to them.  Science-quality rows of a
+    batch replace near-real-time ones of their sensors and days, however old.  A refused or idle batch writes nothing but its line in the
+    log.  A batch that was cut off before its line is folded again, with the same result.
     """
 
+    def days_of(rows: DataFrame) -> list:
+        return [r[0] for r in rows.select("acq_date").distinct().collect()]  # a year has 366
+
+    def publish(rows: DataFrame, batch_id: int) -> None:
+        """Replace the days of rows; they are written beside first, since they are read from what they replace."""
+        spark, beside = rows.sparkSession, f"{store}-staging/batch-{batch_id}-{uuid.uuid4().hex}"
+        rows.write.parquet(beside)
+        by_day = spark.read.parquet(beside).withColumn("day", F.date_format("acq_date", "yyyyMMdd"))
+        by_day.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(store)
+        removed(spark, beside)
+
+    def current(spark: SparkSession, like: DataFrame) -> DataFrame:
+        return spark.read.schema(like.schema).parquet(store).select(*like.columns) if exists(spark, store) else like.limit(0)
+
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            done = spark.read.parquet(log)
-            if done.filter(F.col("batch_id") == batch_id).take(1):
-                return
-            archive = spark.read.parquet(done.orderBy(F.desc("batch_id")).first()["path"])
-        except Exception as e:  # the first batch finds no log
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            archive = batch.limit(0)
-        action, rows = maintain.merge(archive, batch, year, allow_gap)
-        path = f"{store}/batch-{batch_id}"
-        rows.write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(batch_id, path, action)], "batch_id long, path string, action string").coalesce(1).write.mode("append").parquet(log)
+        if exists(spark, log) and spark.read.parquet(log).filter(F.col("batch_id") == batch_id).take(1):
+            return
+        science = batch.filter(F.col("quality") == "sp") if "quality" in batch.columns else None
+        window = batch.filter(~F.col("quality").eqNullSafe(F.lit("sp"))) if science is not None else batch
+        archive = current(spark, batch)
+        action = maintain.merge_decision(archive, window, year, allow_gap).first()
+        if action["action"] in ("merge", "seed"):
+            first = window.agg(F.min(F.to_date("acq_datetime"))).first()[0]
+            publish(maintain.merge_tail(archive.filter(F.col("acq_date") >= F.lit(first)), window), batch_id)
+        said = f"{action['action']}: {action['reason']}"
+        if science is not None and (days := days_of(science)):
+            touched = current(spark, batch).filter(F.col("acq_date").isin(*days))
+            again = science.select("sensor", "acq_date").distinct().withColumn("quality", F.lit("sp"))
+            kept = touched.join(again, ["sensor", "acq_date", "quality"], "left_anti").unionByName(science)  # sp rows delivered again replace themselves
+            publish(maintain.supersede(kept.select(*batch.columns)), batch_id)
+            said += f"; superseded {len(days)} days"
+        spark.createDataFrame([(batch_id, said)], "batch_id long, action string").coalesce(1).write.mode("append").parquet(log)
 
     return fold
 

@@ -126,8 +126,8 @@ def test_owner_and_cover(spark):
 def test_hilbert_is_one_walk(spark):
     n = 16
     pts = spark.range(n * n).select((F.col("id") % n).alias("x"), F.floor(F.col("id") / n).alias("y"))
-    place = grid.hilbert((F.col("x") + 0.5) / n * 360 - 180, (F.col("y") + 0.5) / n * 180 - 90, bits=4)
-    rows = sorted((r["d"], r["x"], r["y"]) for r in pts.select("x", "y", place.alias("d")).collect())
+    placed = grid.with_hilbert(pts, (F.col("x") + 0.5) / n * 360 - 180, (F.col("y") + 0.5) / n * 180 - 90, "d", bits=4)
+    rows = sorted((r["d"], r["x"], r["y"]) for r in placed.collect())
     assert [r[0] for r in rows] == list(range(n * n))
     assert all(abs(a[1] - b[1]) + abs(a[2] - b[2]) == 1 for a, b in zip(rows, rows[1:]))
 
@@ -138,17 +138,77 @@ def test_normalize(spark, tmp_path):
     (r,) = df.collect()
     assert (r["acq_datetime"], r["satellite"], r["confidence"], r["frp"], r["type"], r["sensor"], r["brightness"]) == (dt.datetime(2026, 1, 2, 0, 7), "NOAA-20", "n", None, None, "VIIRS_NOAA20", None)
     assert not quality.schema_differs(df)
+
+
+def test_feed_fields(spark):
+    rows = [(" npp ", " Sure ", "[1]"), (" Foo", "HIGH", "not json"), ("n", "low ", '{"a": 1, "b": 2}'), (None, None, None), ("AQUA", "7", '{"a": "x"}'), ("", "", '"text"')]
+    df = spark.createDataFrame(rows, "s string, c string, j string")
+    got = df.select(fields.platform(F.col("s")), fields.confidence(F.col("c")), fields.tolerant_json(F.col("j"), "a long")).collect()
+    assert [r[0] for r in got] == ["npp", "Foo", "Suomi-NPP", None, "Aqua", ""]
+    assert [r[1] for r in got] == ["Sure", "h", "l", None, "7", ""]
+    assert [r[2] and r[2]["a"] for r in got[:4]] == [None, None, 1, None] and got[4][2]["a"] is None and got[5][2] is None
+
+
+def test_store(spark, tmp_path):
     path, staging = str(tmp_path / "store"), str(tmp_path / "staging")
-    assert store.staged_swap(df, path, staging, 1) == 1
+    of = lambda start, n: hourly(spark, start, n).drop("year")
+    assert store.staged_swap(of("2024-03-01", 5), path, staging, 5) == 5
+    # nothing of an earlier run is counted or published, and other years stay
+    assert store.staged_swap(of("2025-03-01", 7), path, staging, 7) == 7
     with pytest.raises(ValueError, match="expected"):
-        store.staged_swap(df, path, staging, 2)
-    assert spark.read.parquet(path).count() == 1
+        store.staged_swap(of("2025-03-01", 6), path, staging, 7)
+    bad = lambda df: df.filter("frp > 3")
+    with pytest.raises(ValueError, match="refused"):
+        store.staged_swap(of("2024-05-01", 6), path, staging, 6, [bad])
+    assert sorted(map(tuple, spark.read.parquet(path).groupBy("year").count().collect())) == [(2024, 5), (2025, 7)]
+    assert not list((tmp_path / "staging").glob("run-*/*"))
+    many = spark.range(4000).select((F.col("id") % 360 - 180).cast("double").alias("lon"), (F.col("id") % 180 - 90).cast("double").alias("lat"), F.to_date(F.lit("2024-01-05")).alias("acq_date"))
+    assert store.write_detections(many, str(tmp_path / "parts"), rows_per_file=1000) == 4000
+    assert len(list((tmp_path / "parts" / "year=2024").glob("*.parquet"))) == 4
+    with pytest.raises(ValueError, match="none of"):
+        store.read_part(spark, str(tmp_path), "*")
+
+
+def test_chunks(spark, tmp_path):
+    of = lambda start, n: hourly(spark, start, n)
+    for name, df in {"2026-01-02": of("2026-01-02", 3), "2025-12-30": of("2025-12-30", 60), "2025-03-01": of("2026-02-01", 1), "bulk": of("2026-05-01", 4).drop("year", "sensor")}.items():
+        df.coalesce(1).write.parquet(str(tmp_path / "tmp" / name))
+        (part,) = (tmp_path / "tmp" / name).glob("*.parquet")
+        (tmp_path / "in").mkdir(exist_ok=True)
+        part.rename(tmp_path / "in" / f"{name}.parquet")
+    rows = store.read_chunks(spark, str(tmp_path / "in"), 2026)
+    assert rows.count() == 3 + 12 + 4 and "year" not in rows.columns  # a file named by another year is not opened
+
+
+def test_quantiles(spark):
+    rng = random.Random(4)
+    values = [("a", rng.choice([0.3, 1.0, 7.0, 7.0, rng.random() * 900])) for _ in range(301)] + [("b", 5.0)] + [("c", 2.0), ("c", 3.0)] + [("d", 4.0)] * 50
+    got = {r["g"]: list(r["quantiles"]) for r in classify.quantiles(spark.createDataFrame(values, "g string, value double"), ["g"], classify.QUANTILES).collect()}
+    for g in "abcd":
+        x = sorted(v for k, v in values if k == g)
+        for q, have in zip(classify.QUANTILES, got[g]):
+            r = (len(x) - 1) * q
+            want = x[int(r)] + (x[min(len(x) - 1, int(r) + 1)] - x[int(r)]) * (r - int(r))
+            assert abs(want - have) < 1e-9, (g, q)
+
+
+def test_zooms(spark):
+    bands = spark.createDataFrame([(5, 0, 4, "cells"), (8, 5, 9, "cells"), (10, 10, None, "features")], "level int, min_zoom int, max_zoom int, layer string")
+    z = spark.createDataFrame([(0.0,), (4.9,), (5.0,), (9.99,), (22.0,), (-1.0,)], "zoom double")
+    assert {r["zoom"]: r["level"] for r in classify.level_for_zoom(z, bands).collect()} == {0.0: 5, 4.9: 5, 5.0: 8, 9.99: 8, 22.0: 10, -1.0: None}
+    assert classify.points_from(bands).first()[0] == 10 and classify.points_from(bands.filter("level < 9")).first()[0] == float("inf")
+
+
+def test_gates():
+    quality.nothing_written(1, True)
+    with pytest.raises(ValueError, match="none were written"):
+        quality.nothing_written(0, True)
 
 
 def test_breaks_rise(spark):
-    rows = [([3.0, 3.0, 3.0],), ([0.31, 0.32, 12.4],)]
+    rows = [([3.0, 3.0, 3.0],), ([0.31, 0.32, 12.4],), ([0.02, 0.03, 0.5],)]
     got = [list(r[0]) for r in spark.createDataFrame(rows, "v array<double>").select(classify.rising(F.col("v"))).collect()]
-    assert got == [[3.0, 3.1, 3.2], [0.3, 0.4, 12.0]]
+    assert got == [[3.0, 3.1, 3.2], [0.3, 0.4, 12.0], [0.1, 0.2, 0.5]]
     s = spark.createDataFrame([([1, 5, 20],)], "b array<bigint>").select(fields.scaled_breaks(F.col("b"), F.lit(0.1))).first()[0]
     assert s == [1, 2, 3]
 
@@ -167,4 +227,45 @@ def test_streams(spark, tmp_path):
     first, second = hourly(spark, "2026-01-01", 48), hourly(spark, "2026-01-02", 48)
     for i, w in enumerate((first, second, second)):
         fold(w, min(i, 1))
-    assert spark.read.parquet(str(tmp_path / "store" / "batch-1")).count() == 72
+    rows = lambda: spark.read.parquet(str(tmp_path / "store"))
+    assert rows().count() == 72 and not list((tmp_path).glob("store-staging/*"))
+    written = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "store").glob("day=*/*.parquet")}
+    fold(hourly(spark, "2026-01-02", 5), 2)  # covered
+    fold(hourly(spark, "2026-03-01", 5), 3)  # too late
+    assert {f.name: f.stat().st_mtime_ns for f in (tmp_path / "store").glob("day=*/*.parquet")} == written
+    fold(hourly(spark, "2026-01-03T12:00", 24), 4)
+    assert rows().count() == 84 and not quality.duplicates(rows(), ("sensor", "acq_datetime")).take(1)
+    kept = {f.name for f in (tmp_path / "store").glob("day=2026010[12]/*.parquet")}
+    assert kept <= set(written)  # earlier days are not written again
+    assert [r["action"].split(":")[0] for r in spark.read.parquet(str(tmp_path / "log")).orderBy("batch_id").collect()] == ["seed", "merge", "noop", "refuse", "merge"]
+
+
+def test_late_science_rows(spark, tmp_path):
+    fold = jobs.apply_window(str(tmp_path / "store"), str(tmp_path / "log"), 2026)
+    nrt = lambda *a: hourly(spark, *a).withColumn("quality", F.lit("nrt"))
+    fold(nrt("2026-01-01", 72), 0)
+    fold(hourly(spark, "2026-01-02", 20).withColumn("quality", F.lit("sp")), 1)
+    count = lambda: {(r["day"], r["quality"]): r["count"] for r in spark.read.parquet(str(tmp_path / "store")).groupBy("day", "quality").count().collect()}
+    assert count() == {(20260101, "nrt"): 24, (20260102, "sp"): 20, (20260103, "nrt"): 24}
+    fold(nrt("2026-01-03", 48).unionByName(hourly(spark, "2026-01-02", 22).withColumn("quality", F.lit("sp"))), 2)
+    assert count() == {(20260101, "nrt"): 24, (20260102, "sp"): 22, (20260103, "nrt"): 24, (20260104, "nrt"): 24}
+
+
+def test_more_streams(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    raw = "latitude,longitude,acq_date,acq_time,satellite,confidence,frp\n1.5,20.5,2026-01-02,{t},n20,nominal,{p}\n50,20.5,2026-01-02,{t},n20,low,500\n,1,2026-01-02,8,N,low,1\n"
+    (tmp_path / "csv" / "a.csv").write_text(raw.format(t=7, p=120))
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    schema = StructType([StructField(c, StringType()) for c in raw.split("\n")[0].split(",")])
+    ingested = jobs.ingest(spark, str(tmp_path / "csv"), "VIIRS_NOAA20_NRT", schema)
+    batch = normalize.read_detections_csv(spark, str(tmp_path / "csv"), "VIIRS_NOAA20_NRT")
+    assert sorted(map(str, jobs.run_once(ingested, "ingested", str(tmp_path / "c1")).collect())) == sorted(map(str, batch.collect()))
+    ring = "array(named_struct('x', 10D, 'y', 0D), named_struct('x', 30D, 'y', 0D), named_struct('x', 30D, 'y', 10D), named_struct('x', 10D, 'y', 10D))"
+    regions = spark.sql(f"SELECT 'here' AS region, {ring} AS ring")
+    found = jobs.run_once(jobs.alerts(ingested, regions, 100.0), "alerts", str(tmp_path / "c2")).collect()
+    assert [(r["region"], r["lat"], r["frp"]) for r in found] == [("here", 1.5, 120.0)]
+    det = hourly(spark, "2026-09-01", 72)
+    det.write.parquet(str(tmp_path / "in"))
+    slid = jobs.run_once(jobs.rolling(jobs.table_stream(spark, str(tmp_path / "in")), "2 days", "1 day"), "slid", str(tmp_path / "c3"), "complete")
+    assert sorted(r["cnt"] for r in slid.collect()) == [24, 24, 48, 48]
