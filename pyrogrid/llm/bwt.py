@@ -45,14 +45,22 @@ def merged(old: np.ndarray, at: np.ndarray, new: np.ndarray) -> np.ndarray:
     return out
 
 
-def build(sequences: list[np.ndarray], folder: Path) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the sorted suffixes, the empty ones included: symbol before, common prefix with the one before, sequence, start."""
-    n = len(sequences)
-    sizes = np.array([len(s) for s in sequences])
-    most = int(sizes.max(initial=0))
-    right = np.zeros((n, most + 1), np.uint16)  # symbols from the right; END beyond a sequence's first symbol
+def padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of symbols from the right, with END beyond a sequence's first symbol; and the sequences' sizes."""
+    sizes = np.array([len(s) for s in sequences], np.int64)
+    right = np.zeros((len(sequences), int(sizes.max(initial=0)) + 1), np.uint16)
     for i, s in enumerate(sequences):
         right[i, : len(s)] = s[::-1]
+    return right, sizes
+
+
+def build(right: np.ndarray, sizes: np.ndarray, folder: Path) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the sorted suffixes, the empty ones included: symbol before, common prefix with the one before, sequence, start.
+
+    right and sizes as padded() gives them; the last column of right is END.
+    """
+    n = len(sizes)
+    most = int(sizes.max(initial=0))
     # round 0: the n empty suffixes, in the order of the sequences
     Files(folder, 0).write(right[:, 0], np.zeros(n), np.arange(n) * NAMES + sizes)
     at = np.arange(n)  # where each sequence's longest suffix so far stands
@@ -98,9 +106,9 @@ def build(sequences: list[np.ndarray], folder: Path) -> tuple[np.ndarray, np.nda
     return bwt, lcp, name // NAMES, name % NAMES
 
 
-def repeated(sequences: list[np.ndarray], length: int, folder: Path) -> tuple[np.ndarray, np.ndarray]:
+def repeated(right: np.ndarray, sizes: np.ndarray, length: int, folder: Path) -> tuple[np.ndarray, np.ndarray]:
     """Sequence and start of each string of the given length that also starts anywhere else."""
-    _, lcp, seq, start = build(sequences, folder)
+    _, lcp, seq, start = build(right, sizes, folder)
     long = lcp >= length
     long[:-1] |= long[1:].copy()
     return seq[long], start[long]

@@ -53,21 +53,26 @@ def unused(df: DataFrame) -> str:
 BROADCAST_ROWS, SHARE, SALTS = 50_000, 1000, 64
 
 
-def looked_up(big: DataFrame, small: DataFrame, key: str, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+def looked_up(big: DataFrame, small: DataFrame, key: str | list[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
     """big with the columns of small, which has one row per key; a key may hold any part of big.
 
     A small table of few rows is broadcast.  Otherwise both are shuffled by key and salt: keys with over a SHARE-th of the rows, of
     which there are fewer than SHARE, are dealt to SALTS parts, and their rows of small are repeated for each.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if small.limit(most + 1).count() <= most:
-        return big.join(F.broadcast(small), key, how)
-    counts = big.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+        return big.join(F.broadcast(small), keys, how)
     total = big.count()
-    hot = F.broadcast(counts.filter(F.col("__n") * SHARE > total).select(key, F.lit(True).alias("__hot")))
-    left = big.join(hot, key, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("__hot")
+    counts = big.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") * SHARE > total).collect()
+    hot_keys = [tuple(r[k] for k in keys) for r in counts if all(r[k] is not None for k in keys)]  # fewer than SHARE
+    if not hot_keys:
+        return big.join(small, keys, how)
+    hot = F.broadcast(big.sparkSession.createDataFrame([(*k, True) for k in hot_keys], big.select(*keys).schema.add("__hot", "boolean")))
+    salt = F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     salts = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
-    right = small.join(hot, key, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    left = big.join(hot, keys, "left").withColumn("__salt", salt).drop("__hot")
+    right = small.join(hot, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return left.join(right, [*keys, "__salt"], how).drop("__salt")
 
 
 def dropped(df: DataFrame) -> None:

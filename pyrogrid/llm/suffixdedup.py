@@ -3,25 +3,28 @@
 Three steps, each of which keeps every repeated string:
 
 1. Content anchors (``anchors``) narrow the search: equal strings share their anchor's 200-byte gram.
-   Grams are counted over the whole corpus; one that occurs once rules out all strings that it anchors.
-   If all contexts of a gram are equal, all its strings repeat.
-2. Where a gram occurs in different contexts, the strings are sorted out by the collection's suffixes.
-   The owned starts are cut into runs of 25 by their distance from the anchor; all strings of a run share
-   a core of 376 bytes, so a run is a short sequence: up to 24 bytes, the core as one symbol, up to 24 bytes.  Column-wise construction
+   Grams are counted over the whole corpus; one that occurs once rules out all strings that it anchors.  The contexts of a shared
+   gram (all that its strings cover) are counted too: equal ones go on as one, which stands for two copies from then on.
+2. The contexts of a gram are sorted out by the collection's suffixes, whether they are copies or differ.
+   The owned starts are cut into runs of 8 by their distance from the anchor; all strings of a run share
+   a core of 393 bytes, so a run is a short sequence: up to 7 bytes, the core as one symbol, up to 7 bytes.  Column-wise construction
    (``bwt``) inserts one symbol of each sequence a round and updates transform and common prefixes in files; a common
-   prefix of 25 symbols marks a repeated 400-byte string.
-   A core with more sequences than a collection takes is counted string by string instead.
+   prefix of 8 symbols marks a repeated 400-byte string.  Cores are told apart by their bytes.
 3. The repeated strings' extents meet the texts again, and what they cover is cut out.
 
+A gram with over UNIT different contexts is spread over tasks: its runs become rows that are dealt by a hash of their core, and the
+construction takes those.  Only a core which again has over UNIT different surroundings is counted string by string.
+
 A View says in which bytes strings are sought and how long they are: 400 bytes of the text itself (BYTES), or 51 words (PASSAGES),
-each of which stands in the string as six letters of its hash.  Gram and core follow from the length: half of it, and all but 24 bytes.
+each of which stands in the string as six letters of its hash.  Gram and core follow from the length.
 
 The construction runs over these short sequences, not over whole documents: there it needs as many rounds as the
 longest document has bytes and rewrites all of the transform in each.
 
-Defined results: null texts count as empty; texts shorter than a string lose nothing; matches lie within
-documents; repeated rows are copies of each other, so all they have in long strings goes; an empty table gives
-an empty result; ties do not arise; further columns pass through.  Hashes have 64 bits.
+Defined results: null texts count as empty; texts shorter than a string lose nothing; very long texts are read in pieces that overlap by a
+string; matches lie within documents; repeated rows are copies of each other, so all they have in long strings goes; an empty table gives
+an empty result; ties do not arise; further columns pass through, whatever their names.  Grams and contexts are told apart by two hashes of 64
+bits, cores and surroundings of spread grams by two, rows by one.
 """
 
 from __future__ import annotations
@@ -40,11 +43,14 @@ from pyspark.sql import functions as F
 
 from . import anchors as an
 from . import bwt
-from .common import dropped, small_batches, written
-
-RUN = 25  # starts of one run
-#: Sequences that one construction takes at most, and those of one core.
-COLLECTION, UNIT = 2048, 1024
+from .common import dropped, looked_up, small_batches, unused, written
+
+#: Starts of one run, and of one run of a gram that is spread over tasks.
+RUN, SPREAD_RUN = 8, 25
+#: Contexts of one gram and sequences of one core that one task takes; sequences of one construction (but a core's stay together).
+UNIT, COLLECTION = 4096, 16_384
+#: Contexts that a task holds before it decides on them.
+HELD = 2048
 #: Letters of a word's hash that stand for it in a view of words.
 CODE = 6
 _LETTERS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+-", np.uint8)
@@ -91,11 +97,6 @@ class View:
     def gram(self) -> int:
         return self.length // 2
 
-    @property
-    def core(self) -> int:
-        """Bytes that all strings of a run share."""
-        return self.length - RUN + 1
-
 
 BYTES = View(an.LENGTH, an.LENGTH, lambda data: data, lambda data, extents: extents)
 #: Every passage of over 50 words, however short the words are.
@@ -115,92 +116,167 @@ def _anchor_rows(view: View):
     return run
 
 
-def runs_of(data: bytes, loc: int, e: int, length: int = an.LENGTH) -> list[tuple[int, int, int, int, bytes]]:
-    """An anchor's runs: context, first distance of the run, core hash, bytes before the core, and the bytes around it."""
-    at, back, span = loc >> 16, loc >> 8 & 255, loc & 255
-    first = at - back
+def runs_of(context: bytes, back: int, span: int, run: int, length: int = an.LENGTH) -> list[tuple[int, bytes, bytes, bytes]]:
+    """An anchor's runs, from the bytes of its context: first distance of the run, bytes before the core, the core, bytes after it.
+
+    back is the distance of the context's first start from the anchor, span that of its last start from the first.
+    """
     out = []
-    for g in range((back - span) // RUN, back // RUN + 1):
-        base = g * RUN
-        far, near = min(back, base + RUN - 1), max(back - span, base)
-        lo, hi = at - base, at - base + length - RUN + 1
-        core = data[lo:hi]
-        left, right = data[at - far : lo], data[hi : at - near + length]
-        out.append((e, base, core, len(left), left + right))
-    assert first >= 0
+    for base in range((back - span) // run * run, back + 1, run):
+        far, near = min(back, base + run - 1), max(back - span, base)
+        lo, hi = back - base, back - base + length - run + 1
+        out.append((base, context[back - far : lo], context[lo:hi], context[hi : back - near + length]))
     return out
 
 
-def _run_rows(view: View):
+def _contexts(view: View, spread: bool):
+    """Of rows with __text, __locs, __as, __es, __ns, __spread: the contexts' bytes, or, of the grams that are spread, their runs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Reads __text, __locs and __es; further columns only keep the texts' shuffle the one that the last step has too."""
         for b in batches:
             rows = []
-            for text, locs, es in zip(*(b.column(c).to_pylist() for c in ("__text", "__locs", "__es")), strict=True):
+            for text, *lists in zip(*(b.column(c).to_pylist() for c in ("__text", "__locs", "__as", "__es", "__ns", "__spread")), strict=True):
                 data = view.seen((text or "").encode("utf-8"))
-                for loc, e in zip(locs, es, strict=True):
-                    rows += runs_of(data, loc, e, view.length)
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())],
-                names=["e", "base", "core", "before", "around"],
-            )
+                for loc, a, e, n, hot in zip(*lists, strict=True):
+                    if hot != spread:
+                        continue
+                    at, back, span = loc >> 16, loc >> 8 & 255, loc & 255
+                    context = data[at - back : at - back + span + view.length]
+                    if spread:
+                        rows += [(a, e, min(n, 2), base, core, len(left), left + right) for base, left, core, right in runs_of(context, back, span, SPREAD_RUN, view.length)]
+                    else:
+                        rows.append((a, e, min(n, 2), back, span, context))
+            names, kinds = zip(*(SPREAD if spread else WHOLE), strict=True)
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=list(names))
 
     return run
 
 
-def _constructed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (k, base, r, before, around) sorted by core k: per sequence r the least and greatest distance of its repeated strings."""
-
-    def decide(rows: list[tuple]) -> pa.RecordBatch | None:
-        symbol = {k: 257 + i for i, k in enumerate(dict.fromkeys(x[0] for x in rows))}
-        seqs = []
-        for k, _, _, before, around in rows:
-            s = np.frombuffer(around, np.uint8).astype(np.uint16) + 1
-            seqs.append(np.concatenate([s[:before], [symbol[k]], s[before:]]).astype(np.uint16))
+#: Columns of contexts, and of the runs of grams that are spread.
+WHOLE = (("a", pa.int64()), ("e", pa.int64()), ("n", pa.int32()), ("back", pa.int32()), ("span", pa.int32()), ("context", pa.binary()))
+SPREAD = (("a", pa.int64()), ("e", pa.int64()), ("n", pa.int32()), ("base", pa.int32()), ("core", pa.binary()), ("before", pa.int32()), ("around", pa.binary()))
+_SQL = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+
+
+def schema_of(columns: tuple) -> str:
+    return ", ".join(f"{c} {_SQL[k]}" for c, k in columns)
+
+
+def decided(owner: np.ndarray, copies: np.ndarray, base: np.ndarray, core: list, left: list[bytes], right: list[bytes], run: int, near: np.ndarray, far: np.ndarray) -> None:
+    """Let the construction find the repeated strings of runs and widen near and far of their owners by the strings' distances.
+
+    A core that only one sequence has rules that out; the others are dealt to constructions of COLLECTION sequences, a core's together.
+    """
+    names: dict = {}
+    symbol = np.array([names.setdefault(k, len(names)) for k in core], np.int64)
+    order = np.argsort(symbol, kind="stable")
+    order = order[np.bincount(symbol, copies)[symbol[order]] > 1]
+    lo = 0
+    while lo < len(order):
+        hi = min(lo + COLLECTION, len(order))
+        while hi < len(order) and symbol[order[hi]] == symbol[order[hi - 1]]:
+            hi += 1
+        mine = order[lo:hi]
+        rank = np.cumsum(np.diff(symbol[mine], prepend=symbol[mine[0]]) > 0)  # the cores' numbers in this construction
+        rows = np.zeros((len(mine), 2 * run), np.uint16)
+        sizes = np.zeros(len(mine), np.int64)
+        for i, (j, k) in enumerate(zip(mine.tolist(), rank.tolist(), strict=True)):
+            after, before = right[j][::-1], left[j][::-1]
+            n = len(after)
+            rows[i, :n] = np.frombuffer(after, np.uint8)
+            rows[i, n + 1 : n + 1 + len(before)] = np.frombuffer(before, np.uint8)
+            sizes[i] = n + 1 + len(before)
+        rows += np.arange(2 * run) < sizes[:, None]  # bytes are symbols from 1 on
+        rows[np.arange(len(mine)), [len(right[j]) for j in mine.tolist()]] = 257 + rank
+        of = np.repeat(np.arange(len(mine)), copies[mine])
         with tempfile.TemporaryDirectory() as folder:
-            seq, start = bwt.repeated(seqs, RUN, Path(folder))
-        if not len(seq):
-            return None
-        before = np.array([x[3] for x in rows])[seq]
-        d = np.array([x[1] for x in rows])[seq] + before - start
+            seq, start = bwt.repeated(rows[of], sizes[of], run, Path(folder))
+        j = mine[of[seq]]
+        d = base[j] + np.array([len(x) for x in left], np.int64)[j] - start
+        np.minimum.at(near, owner[j], d)
+        np.maximum.at(far, owner[j], d)
+        lo = hi
+
+
+FOUND = "a long, e long, near int, far int"
+
+
+def _emitted(ids: list, near: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
+    found = np.flatnonzero(far >= 0)
+    return pa.RecordBatch.from_arrays([
+        *(pa.array([ids[i][k] for i in found.tolist()], pa.int64()) for k in (0, 1)), pa.array(near[found].astype(np.int32)), pa.array(far[found].astype(np.int32)),
+    ], names=["a", "e", "near", "far"])
+
+
+def _of_contexts(view: View):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of WHOLE, a gram's together: per context the least and greatest distance of its repeated strings."""
+
+        def decide(rows: list[tuple]) -> pa.RecordBatch:
+            owner, base, left, core, right = [], [], [], [], []
+            for i, (_, _, _, back, span, context) in enumerate(rows):
+                for b, x, k, y in runs_of(context, back, span, RUN, view.length):
+                    owner.append(i)
+                    base.append(b)
+                    left.append(x)
+                    core.append((b, k))
+                    right.append(y)
+            owners = np.array(owner, np.int64)
+            near, far = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
+            decided(owners, np.array([r[2] for r in rows], np.int64)[owners], np.array(base, np.int64), core, left, right, RUN, near, far)
+            return _emitted(rows, near, far)
+
+        held: list[tuple] = []
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if len(held) >= HELD and row[0] != held[-1][0]:
+                    yield decide(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield decide(held)
+
+    return run
+
+
+def _of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k, k2, n, base, r, r2, before, around), a core's (k, k2) together: per sequence (r, r2) least and greatest distance."""
+
+    def decide(rows: list[tuple]) -> pa.RecordBatch:
         near, far = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
-        np.minimum.at(near, seq, d)
-        np.maximum.at(far, seq, d)
-        found = np.flatnonzero(far >= 0)
-        return pa.RecordBatch.from_arrays([pa.array(np.array([x[2] for x in rows])[found]), pa.array(near[found].astype(np.int32)), pa.array(far[found].astype(np.int32))], names=["r", "near", "far"])
+        left, right = [x[7][: x[6]] for x in rows], [x[7][x[6] :] for x in rows]
+        decided(np.arange(len(rows)), np.array([x[2] for x in rows], np.int64), np.array([x[3] for x in rows], np.int64), [x[:2] for x in rows], left, right, SPREAD_RUN, near, far)
+        return _emitted([x[4:6] for x in rows], near, far)
 
     held: list[tuple] = []
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            # a core's sequences stay in one construction; _units() bounds their number
-            if len(held) >= COLLECTION - UNIT and row[0] != held[-1][0]:
-                if (made := decide(held)) is not None:
-                    yield made
+            if len(held) >= HELD and row[:2] != held[-1][:2]:
+                yield decide(held)
                 held = []
             held.append(row)
-    if held and (made := decide(held)) is not None:
-        yield made
+    if held:
+        yield decide(held)
 
 
 def repeated_in_runs(runs: DataFrame) -> DataFrame:
-    """Per context e: near, far: least and greatest distance from the anchor of starts of repeated strings."""
-    named = runs.select("e", "base", F.xxhash64("core", "base").alias("k"), "before", "around").withColumn("r", F.xxhash64("k", "before", "around"))
-    # equal sequences first: a run that occurs in several contexts repeats as a whole
-    reads = named.groupBy("k", "r").agg(F.count("*").alias("n"), F.first("base").alias("base"), F.first("before").alias("before"), F.first("around").alias("around"))
-    width = F.col("base") + F.col("before")
-    whole = reads.filter("n > 1").select("r", (width - (F.length("around") - (RUN - 1))).cast("int").alias("near"), width.cast("int").alias("far"))
-    units = reads.groupBy("k").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = reads.join(units, "k")
+    """Per context a, e of the grams that are spread, near, far: least and greatest distance from the anchor of starts of repeated strings."""
+    two = lambda name, *c: {name: F.xxhash64(*c), f"{name}2": F.xxhash64(F.lit(1), *c)}
+    named = runs.withColumns(two("k", "core", "base")).drop("core").withColumns(two("r", "k", "k2", "before", "around"))
+    reads = named.groupBy("k", "k2", "base", "r", "r2", "before", "around").agg(F.least(F.lit(2), F.sum("n")).cast("int").alias("n"))
+    units = reads.groupBy("k", "k2").agg(F.count("*").alias("size"), F.sum("n").alias("copies")).filter("copies > 1")
+    shared = reads.join(units, ["k", "k2"])
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not fewer for few bytes: the work is in the rounds
-    few = shared.filter(F.col("size") <= UNIT).select("k", "base", "r", "before", "around").repartition(parts, "k").sortWithinPartitions("k")
-    built = few.mapInArrow(_constructed, "r long, near int, far int")
-    cut_up = shared.filter(F.col("size") > UNIT).select("k", "r", "base", "before", "around", F.explode(F.sequence(F.lit(0), F.length("around") - (RUN - 1))).alias("x"))
-    strings = cut_up.select("k", "r", (F.col("base") + F.col("before") - F.col("x")).cast("int").alias("d"), F.substring("around", F.col("x") + 1, F.lit(RUN - 1)).alias("w"))
-    again = strings.groupBy("k", "d", "w").count().filter("count > 1").select("k", "d", "w")
-    counted = strings.join(again, ["k", "d", "w"]).groupBy("r").agg(F.min("d").alias("near"), F.max("d").alias("far"))
-    found = whole.unionByName(built).unionByName(counted).groupBy("r").agg(F.min("near").alias("near"), F.max("far").alias("far"))
-    return named.select("e", "r").join(found, "r").groupBy("e").agg(F.min("near").alias("near"), F.max("far").alias("far"))
+    few = shared.filter(F.col("size") <= UNIT).select("k", "k2", "n", "base", "r", "r2", "before", "around").repartition(parts, "k").sortWithinPartitions("k", "k2")
+    built = few.mapInArrow(_of_runs, FOUND).select(F.col("a").alias("r"), F.col("e").alias("r2"), "near", "far")
+    last = F.length("around") - (SPREAD_RUN - 1)
+    cut_up = shared.filter(F.col("size") > UNIT).select("k", "k2", "r", "r2", "n", "base", "before", "around", F.explode(F.sequence(F.lit(0), last)).alias("x"))
+    strings = cut_up.select("k", "k2", "r", "r2", "n", (F.col("base") + F.col("before") - F.col("x")).cast("int").alias("d"), F.substring("around", F.col("x") + 1, F.lit(SPREAD_RUN - 1)).alias("w"))
+    again = strings.groupBy("k", "k2", "d", "w").agg(F.sum("n").alias("times")).filter("times > 1").select("k", "k2", "d", "w")
+    counted = strings.join(again, ["k", "k2", "d", "w"]).groupBy("r", "r2").agg(F.min("d").alias("near"), F.max("d").alias("far"))
+    found = built.unionByName(counted)
+    return named.select("a", "e", "r", "r2").join(found, ["r", "r2"]).groupBy("a", "e").agg(F.min("near").alias("near"), F.max("far").alias("far"))
 
 
 def _cut_out(view: View):
@@ -229,25 +305,30 @@ CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", view: View = BYTES) -> DataFrame:
     """docs with a column __cut: struct of n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
+    spark, u = docs.sparkSession, unused(docs)
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = small_batches(docs).withColumn("__rid", F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), data))
-    texts = rows.select(F.col("__rid").alias("rid"), data.alias("data"))
+    rid, extents_col = f"{u}rid", f"{u}extents"
+    rows = small_batches(docs).withColumn(rid, F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), data))
+    texts = rows.select(F.col(rid).alias("rid"), data.alias("data"))
     found = written(texts.filter(F.length("data") >= view.least).mapInArrow(_anchor_rows(view), "rid long, loc long, a long, e long"))
-    grams = found.groupBy("a").agg(F.count("*").alias("n"), F.min("e").alias("least"), F.max("e").alias("most"))
-    again = grams.filter("n > 1").select("a", (F.col("least") != F.col("most")).alias("mixed"))
-    shared = written(found.join(again, "a"))
+    again = written(found.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a"))
+    shared = written(looked_up(found, again, "a"))
     dropped(found)  # most anchors are not shared, and nothing below reads them
-    at, back, span = F.shiftright("loc", 16), F.shiftright("loc", 8).bitwiseAND(F.lit(255)), F.col("loc").bitwiseAND(F.lit(255))
-    extent = lambda near, far: F.struct((at - far).alias("start"), (at - near + view.length).alias("stop"))
-    mixed = shared.filter("mixed")
-    contexts = mixed.groupBy("a", "e").agg(F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("loc").alias("loc"))
-    asked = contexts.groupBy("rid").agg(F.collect_list("loc").alias("locs"), F.collect_list("e").alias("es"))
-    asked = asked.select(F.col("rid").alias("__rid"), F.col("locs").alias("__locs"), F.col("es").alias("__es"))
-    # both joins of the texts are on __rid and of all columns, so that Spark shuffles the texts once
-    met = rows.join(asked, "__rid").dropDuplicates(["__rid"]).withColumn("__text", F.col(text_col).cast("string"))
-    runs = met.mapInArrow(_run_rows(view), "e long, base int, core binary, before int, around binary")
-    partly = mixed.join(repeated_in_runs(runs), "e").select("rid", extent(F.col("near"), F.col("far")).alias("x"))
-    copied = mixed.join(contexts.filter("n > 1").select("a", "e"), ["a", "e"]).unionByName(shared.filter("not mixed")).select("rid", extent(back - span, back).alias("x"))
-    extents = partly.union(copied).distinct().groupBy("rid").agg(F.flatten(F.collect_list(F.array("x.start", "x.stop"))).alias("extents"))
-    named = extents.withColumnRenamed("rid", "__rid").withColumnRenamed("extents", "__extents")
-    return rows.join(named, "__rid", "left").withColumn("__cut", F.pandas_udf(_cut_out(view), CUT)(data, F.col("__extents"))).drop("__rid", "__extents")
+    contexts = written(shared.groupBy("a", "e").agg(F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("loc").alias("loc")))
+    many = contexts.groupBy("a").agg(F.count("*").alias("size")).filter(F.col("size") > UNIT).select("a", F.lit(True).alias("spread"))
+    marked = looked_up(contexts, many, "a", "left").withColumn("spread", F.coalesce("spread", F.lit(False)))
+    lists = [F.collect_list(c).alias(f"__{c}s") for c in ("loc", "a", "e", "n")]
+    asked = marked.groupBy(F.col("rid").alias(rid)).agg(*lists, F.collect_list("spread").alias("__spread"))
+    # both joins of the texts are on the row's name and of all columns, so that Spark shuffles the texts once
+    met = rows.join(asked, rid).dropDuplicates([rid]).withColumn("__text", F.col(text_col).cast("string"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = met.mapInArrow(_contexts(view, False), schema_of(WHOLE)).repartition(parts, "a").sortWithinPartitions("a")
+    found_in = whole.mapInArrow(_of_contexts(view), FOUND)
+    if many.take(1):
+        found_in = found_in.unionByName(repeated_in_runs(met.mapInArrow(_contexts(view, True), schema_of(SPREAD))))
+    repeats = written(found_in)
+    at = F.shiftright("loc", 16)
+    extent = F.struct((at - F.col("far")).alias("start"), (at - F.col("near") + view.length).alias("stop"))
+    extents = looked_up(shared, repeats, ["a", "e"]).select("rid", extent.alias("x")).distinct()
+    named = extents.groupBy(F.col("rid").alias(rid)).agg(F.flatten(F.collect_list(F.array("x.start", "x.stop"))).alias(extents_col))
+    return rows.join(named, rid, "left").withColumn("__cut", F.pandas_udf(_cut_out(view), CUT)(data, F.col(extents_col))).drop(rid, extents_col)

@@ -42,9 +42,12 @@ def brute_cut(texts):
     return out
 
 
-@pytest.mark.parametrize("unit", [1024, 1])
-def test_suffix_dedup(spark, unit, monkeypatch):
+@pytest.mark.parametrize(("unit", "held"), [(4096, 2048), (3, 1), (1, 1)])
+def test_suffix_dedup(spark, unit, held, monkeypatch):
+    # few contexts to a task: the grams of this table are spread, and their cores too
     monkeypatch.setattr(suffixdedup, "UNIT", unit)
+    monkeypatch.setattr(suffixdedup, "HELD", held)
+    monkeypatch.setattr(suffixdedup, "COLLECTION", held)
     rng = random.Random(4)
     a, b = words(rng, 120), words(rng, 90) + " é"
     texts = [a, a, None, "", "x" * 399, "x" * 1500, words(rng, 40) + a[:401] + words(rng, 30), words(rng, 20) + b[:399] + words(rng, 9), b, a[3:405] + b]
@@ -97,7 +100,7 @@ def test_bwt():
     for _ in range(30):
         seqs = [np.array([rng.randint(1, 3) for _ in range(rng.randint(0, 12))], np.uint16) for _ in range(rng.randint(1, 6))]
         with tempfile.TemporaryDirectory() as d:
-            _, lcp, s, o = bwt.build(seqs, Path(d))
+            _, lcp, s, o = bwt.build(*bwt.padded(seqs), Path(d))
         got = [list(seqs[a][p:]) for a, p in zip(s, o)]
         assert got == sorted(list(q[i:]) for q in seqs for i in range(len(q) + 1))
         for i in range(1, len(got)):
