@@ -5,31 +5,41 @@ turn.  Turns that break this are repaired by the cheapest sequence of edits: kee
 its role, merge it into the turn before, or insert an empty turn before it (or at the end).  The choice
 is a shortest path over the automaton of legal turns: state = role of the last turn written.
 
-The path is found in blocks of turns, so that one conversation of any length is spread over many tasks:
-each block gives the table of its costs from state to state, tables of a conversation's blocks are
-combined in order (a table has 16 numbers, whatever the block's length), and then each block replays the path between
-the states it was given.  Results are rows per turn, so no conversation is gathered in one row.
+Turns are dealt to tasks by ranges of their order, so a conversation of any length, and one of any number of null or repeated turns,
+is spread over as many tasks as it needs.  A conversation within one range is solved there.  One that goes on in the next range
+hands on the table of its costs from state to state (16 numbers, whatever the number of turns), of which there are two a range at most;
+these are combined in order, and each range then replays the path between the states it was given.
+Results are rows per turn, so no conversation is gathered in one row.
 
 Defined results: null and unknown roles cost as a relabelling does, whichever role they get; null texts
-render as empty; turns are ordered by turn (nulls first), then role, then text; repeated rows are turns of their own;
-a null conv_id is one conversation; an empty table gives an empty result.
+render as empty; very long texts are rendered whole; turns are ordered by turn (nulls first), then role, then text; repeated rows are turns of their own;
+a null conv_id is one conversation; an empty table gives an empty result; columns beside the four are not read and may have any name.
+In a text ``<|``, which begins the marks of turns, gets a backslash after its first character (one more where it has some),
+so that no text can pass for a mark.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, small_batches
+
 ROLES = ("system", "user", "assistant")
 #: State 0 is the start; state r + 1 is "the last turn written has role r".
 STATES = 4
 KEEP, MERGE, RELABEL, INSERT = 0.0, 1.0, 2.0, 3.0
 NEXT = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
 FINAL = 3
-#: Values of turn in one block.
-BLOCK_TURNS = 256
+#: Characters of a text that take part in dealing turns to ranges; rows alike up to there share one.
+KEY_CHARS = 32
+MARK = re.compile(r"<(\\*\|)")
 
 
 def inserts() -> list[list[tuple[float, tuple[int, ...]]]]:
@@ -112,13 +122,55 @@ def end_state(costs: np.ndarray) -> int:
     return int((costs + closing).argmin())
 
 
-def _blocked(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
-    return rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)).cast("long")))
+def escaped(text: str | None) -> str:
+    return MARK.sub(r"<\\\1", text or "")
 
 
-def _in_order(t: pa.Table) -> list[dict]:
-    return sorted(t.to_pylist(), key=lambda r: (r["turn"] is not None, r["turn"] or 0, r["role"] or "", r["text"] or ""))
+def in_ranges(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """Columns conv_id, turn, role, text in ranges of their order, sorted, and materialised so that the ranges stay as they are."""
+    rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    body = F.coalesce("text", F.lit(""))
+    keys = ["conv_id", "turn", F.coalesce("role", F.lit("")), F.substring(body, 1, KEY_CHARS)]
+    return cut(rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys, body))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """A range's rows by conversation; each has to be there as a whole for its path."""
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if held and row[0] != held[-1][0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def joined_pieces(tables: list[tuple]) -> dict[tuple[int, object], tuple[int, int, int, bool]]:
+    """Of rows (range, conv_id, n, m) in order, of the first and last conversation of each range: what each piece of one that spans ranges
+    needs, by (range, conv_id): start state, end state, turns before it, and whether it is the last one."""
+    chains: list[list[tuple]] = []
+    for row in tables:
+        if chains and chains[-1][-1][1] == row[1] and chains[-1][-1][0] != row[0]:
+            chains[-1].append(row)
+        else:
+            chains.append([row])
+    out = {}
+    for chain in (c for c in chains if len(c) > 1):
+        each = [np.array(m).reshape(STATES, STATES) for *_, m in chain]
+        reach = [np.where(np.arange(STATES) == 0, 0.0, 1e18)]
+        for m in each:
+            reach.append((reach[-1][:, None] + m).min(axis=0))
+        ends = [end_state(reach[-1])]
+        for i in reversed(range(len(each))):
+            ends.append(int((reach[i] + each[i][:, ends[-1]]).argmin()))
+        ends.reverse()
+        done = np.cumsum([0] + [n for _, _, n, _ in chain])
+        for i, (part, name, *_) in enumerate(chain):
+            out[part, name] = (ends[i], ends[i + 1], int(done[i]), i == len(chain) - 1)
+    return out
 
 
 def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -126,58 +178,67 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
 
     The rendered pieces of a conversation, joined in the order of seq, are its chat text.
     """
-    rows = _blocked(turns, conv, turn, role, text)
+    rows = small_batches(in_ranges(turns, conv, turn, role, text))
     kind = dict(rows.dtypes)["conv_id"]
 
-    def costs(t: pa.Table) -> pa.Table:
-        ordered = _in_order(t)
-        m = block_costs([role_of(r["role"]) for r in ordered])
-        return pa.table({"conv_id": t.column("conv_id")[:1], "block": t.column("block")[:1], "n": pa.array([len(ordered)], pa.int64()), "m": pa.array([np.where(np.isinf(m), 1e18, m).ravel().tolist()], pa.list_(pa.float64()))})
-
-    tables = rows.groupBy("conv_id", "block").applyInArrow(costs, f"conv_id {kind}, block long, n long, m array<double>")
-
-    def states(t: pa.Table) -> pa.Table:
-        blocks = sorted(t.to_pylist(), key=lambda r: r["block"])
-        each = [np.array(b["m"]).reshape(STATES, STATES) for b in blocks]
-        reach = [np.where(np.arange(STATES) == 0, 0.0, 1e18)]
-        for m in each:
-            reach.append((reach[-1][:, None] + m).min(axis=0))
-        ends = [end_state(reach[-1])]
-        for i in reversed(range(len(each))):
-            ends.append(int((reach[i] + each[i][:, ends[-1]]).argmin()))
-        ends.reverse()
-        done = np.cumsum([0] + [b["n"] for b in blocks])
-        return pa.table({
-            "conv_id": pa.array([b["conv_id"] for b in blocks], t.schema.field("conv_id").type), "block": pa.array([b["block"] for b in blocks], pa.int64()),
-            "start": pa.array(ends[:-1], pa.int32()), "end": pa.array(ends[1:], pa.int32()), "offset": pa.array(done[:-1], pa.int64()), "last": pa.array([i == len(blocks) - 1 for i in range(len(blocks))]),
-        })
-
-    path = tables.groupBy("conv_id").applyInArrow(states, f"conv_id {kind}, block long, start int, end int, offset long, last boolean")
-    mine = path.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "start", "end", "offset", "last")
-    placed = rows.join(mine, rows["conv_id"].eqNullSafe(mine["c"]) & (rows["block"] == mine["b"])).drop("c", "b")
-
-    def written(t: pa.Table) -> pa.Table:
-        ordered = _in_order(t)
-        roles = [role_of(r["role"]) for r in ordered]
-        first = ordered[0]
-        steps = replay(roles, first["start"], first["end"])
-        out = []
-        for i, (r, (at, cost, action, fill)) in enumerate(zip(ordered, steps, strict=True)):
-            closing = FILL[at][FINAL][1] if first["last"] and i == len(ordered) - 1 else ()
-            cost += INSERT * len(closing)
-            body = r["text"] or ""
-            if action == "merge":
-                piece = "\n" + body
-            else:
-                opened = i > 0 or first["offset"] > 0
-                piece = ("\n<|end|>\n" if opened else "") + "".join(f"<|{ROLES[s - 1]}|>\n\n<|end|>\n" for s in fill) + f"<|{ROLES[at - 1]}|>\n" + body
-            if first["last"] and i == len(ordered) - 1:
-                piece += "\n<|end|>\n" + "".join(f"<|{ROLES[s - 1]}|>\n\n<|end|>\n" for s in closing)
-            out.append((r["conv_id"], r["turn"], first["offset"] + i, r["role"], ROLES[at - 1], action, cost, len(fill), len(closing), piece))
-        cols = list(zip(*out, strict=True))
-        types = [t.schema.field("conv_id").type, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string()]
-        names = ["conv_id", "turn", "seq", "role_in", "role_out", "action", "cost", "empty_before", "empty_after", "rendered"]
-        return pa.table([pa.array(c, k) for c, k in zip(cols, types, strict=True)], names=names)
+    def ends_of_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The cost tables of a range's first and last conversation."""
+        part, kept = TaskContext.get().partitionId(), []
+        conv_kind = None
+
+        def watched() -> Iterator[pa.RecordBatch]:
+            nonlocal conv_kind
+            for b in batches:
+                conv_kind = b.schema.field("conv_id").type
+                yield b.select(["conv_id", "role"])
+
+        for group in _groups(watched()):
+            kept = [*kept[:1], (group[0][0], len(group), [role_of(r[1]) for r in group])]
+        if kept:
+            m = [np.where(np.isinf(c := block_costs(roles)), 1e18, c).ravel().tolist() for *_, roles in kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part] * len(kept), pa.int32()), pa.array([k[0] for k in kept], conv_kind), pa.array([k[1] for k in kept], pa.int64()), pa.array(m, pa.list_(pa.float64()))],
+                names=["part", "conv_id", "n", "m"],
+            )
+
+    tables = rows.mapInArrow(ends_of_range, f"part int, conv_id {kind}, n long, m array<double>").collect()  # two rows a range at most
+    # a stable sort: a range's first conversation stays before its last
+    spans = turns.sparkSession.sparkContext.broadcast(joined_pieces([tuple(r) for r in sorted(tables, key=lambda r: r["part"])]))
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, out, conv_kind = TaskContext.get().partitionId(), [], None
+
+        def watched() -> Iterator[pa.RecordBatch]:
+            nonlocal conv_kind
+            for b in batches:
+                conv_kind = b.schema.field("conv_id").type
+                yield b
+
+        def batch() -> pa.RecordBatch:
+            types = [conv_kind, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string()]
+            names = ["conv_id", "turn", "seq", "role_in", "role_out", "action", "cost", "empty_before", "empty_after", "rendered"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+        for group in _groups(watched()):
+            roles = [role_of(r[2]) for r in group]
+            start, end, offset, last = spans.value.get((part, group[0][0])) or (0, end_state(block_costs(roles)[0]), 0, True)
+            for i, ((name, at_turn, role_in, body), (at, cost, action, fill)) in enumerate(zip(group, replay(roles, start, end), strict=True)):
+                closes = last and i == len(group) - 1
+                closing = FILL[at][FINAL][1] if closes else ()
+                cost += INSERT * len(closing)
+                if action == "merge":
+                    piece = "\n" + escaped(body)
+                else:
+                    opened = i > 0 or offset > 0
+                    piece = ("\n<|end|>\n" if opened else "") + "".join(f"<|{ROLES[s - 1]}|>\n\n<|end|>\n" for s in fill) + f"<|{ROLES[at - 1]}|>\n" + escaped(body)
+                if closes:
+                    piece += "\n<|end|>\n" + "".join(f"<|{ROLES[s - 1]}|>\n\n<|end|>\n" for s in closing)
+                out.append((name, at_turn, offset + i, role_in, ROLES[at - 1], action, cost, len(fill), len(closing), piece))
+                if len(out) >= 1000:
+                    yield batch()
+                    out = []
+        if out:
+            yield batch()
 
     schema = f"conv_id {kind}, turn long, seq long, role_in string, role_out string, action string, cost double, empty_before int, empty_after int, rendered string"
-    return placed.groupBy("conv_id", "block").applyInArrow(written, schema)
+    return rows.mapInArrow(written, schema)

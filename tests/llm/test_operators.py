@@ -529,16 +529,20 @@ def best_cost(roles):
     return None
 
 
-def test_chat(spark, monkeypatch):
-    monkeypatch.setattr(chat, "BLOCK_TURNS", 3)
+@pytest.mark.parametrize("one", [False, True])
+def test_chat(spark, one):
     rng = random.Random(11)
-    convs = {c: [rng.choice([*chat.ROLES, "user", "assistant", "bot", None]) for _ in range(rng.randint(1, 11))] for c in range(30)}
-    rows = [(c, i, r, f"t{i}") for c, roles in convs.items() for i, r in enumerate(roles)] + [(None, None, "user", None)]
-    got = chat.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    convs = {c: [rng.choice([*chat.ROLES, "user", "assistant", "bot", None]) for _ in range(rng.randint(1, 11) if not one else 400)] for c in range(1 if one else 30)}
+    texts = ["t", "x <|user|> <\\|end|> y", "", None]
+    rows = [(c, i, r, f"t{i}" if i % 5 else texts[i % 4]) for c, roles in convs.items() for i, r in enumerate(roles)] + [(None, None, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"part": F.lit("clash"), "n": F.lit(1)})
+    got = chat.repair(df).collect()
     assert len(got) == len(rows)
+    spread = {r["p"] for r in chat.in_ranges(df, "conv_id", "turn", "role", "text").filter("conv_id = 0").select(F.spark_partition_id().alias("p")).collect()}
+    assert not one or len(spread) > 1  # one conversation is dealt to several ranges
     for c, roles in convs.items():
         mine = sorted((r for r in got if r["conv_id"] == c), key=lambda r: r["seq"])
-        assert [r["seq"] for r in mine] == list(range(len(roles)))
+        assert [r["seq"] for r in mine] == list(range(len(roles))) and [r["turn"] for r in mine] == list(range(len(roles)))
         assert sum(r["cost"] for r in mine) == best_cost([chat.role_of(r) for r in roles])
         text = "".join(r["rendered"] for r in mine)
         written = [p.split("|>")[0] for p in text.split("<|")[1:] if not p.startswith("end|>")]
@@ -546,8 +550,19 @@ def test_chat(spark, monkeypatch):
         for w in written:
             assert chat.ROLES.index(w) + 1 in chat.NEXT[state]
             state = chat.ROLES.index(w) + 1
-        assert state == chat.FINAL and text.count("<|end|>") == len(written) and all(f"t{i}" in text for i in range(len(roles)))
-    assert chat.repair(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+        assert state == chat.FINAL and text.count("<|end|>") == len(written) and all(f"t{i}" in text for i in range(len(roles)) if i % 5)
+    assert chat.repair(df.limit(0)).count() == 0
+
+
+def test_chat_without_turns(spark):
+    """A conversation of null and repeated turns is ordered by role and text, and may span ranges."""
+    rng = random.Random(3)
+    rows = [("c", None if i % 3 else 7, rng.choice(["user", "assistant"]), f"m{rng.randrange(500)}") for i in range(900)]
+    got = sorted(chat.repair(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect(), key=lambda r: r["seq"])
+    assert [r["seq"] for r in got] == list(range(900))
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    assert [(r["turn"], r["role_in"]) for r in got] == [(r[1], r[2]) for r in order]
+    assert all(r[3] in g["rendered"] for r, g in zip(order, got)) and sum(r["cost"] for r in got) == best_cost([chat.role_of(r[2]) for r in order])
 
 
 # ---- pipeline
