@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a record batch handed to Python; a batch of very long texts then stays small.
-BATCH_ROWS = 1000
+#: Rows and bytes of a record batch handed to Python; a batch of very long texts then stays small.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,18 +21,27 @@ def small_batches(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set from spark.checkpoint.dir where it is not set yet."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors see")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="pyrogrid-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the shared folder of spark.checkpoint.dir, so that it outlives executors.
 
-    A local folder is chosen only where the session names none, as in tests.
+    A local folder is chosen only where the session names none and is local, as in tests.
     """
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="pyrogrid-checkpoint-"))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -86,7 +95,6 @@ def dropped(df: DataFrame) -> None:
 def written(df: DataFrame) -> DataFrame:
     """Materialise df as a Parquet table in the shared folder: like cut(), with columns that can be read alone."""
     spark = df.sparkSession
-    cut(spark.range(1))  # makes sure that there is a folder
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

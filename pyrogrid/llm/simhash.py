@@ -1,13 +1,14 @@
 """Near-duplicate groups by SimHash: pigeonhole blocks, a join on blocks, Hamming checks.
 
-A 64-bit fingerprint is split into seven blocks; two that differ in four bits or fewer agree in three
-whole blocks at least, so each of the 35 triples of blocks is a join key.  Only distinct fingerprints
-are joined.  Within a key the rows are compared in vectorised tiles and only a spanning forest of the
+A 64-bit fingerprint is split into seven blocks (a parameter); two that differ in four bits or fewer agree in three
+whole blocks at least, so each of the 35 triples of blocks is a join key.  More blocks give longer keys, for more fingerprints: ten give
+210 keys of 38 bits.  Only distinct fingerprints are joined.  Within a key the rows are compared in vectorised tiles and only a spanning forest of the
 close pairs is passed on (a link is lost only if it joins what other links join already); a key with many rows is
 dealt to several tasks as pairs of salted tiles.  Groups are the connected components of those links.
 
-Defined results: null and empty texts have fingerprint zero and link like others; repeated rows share
-a fingerprint; an empty table gives an empty result; a null doc_id gets a fingerprint and, if it is alone, a null component.
+Defined results: null and empty texts have fingerprint zero and link like others; very long texts are counted in pieces, all of
+their shingles; repeated rows share a fingerprint; an empty table gives an empty result; a null doc_id gets a fingerprint and, if it is alone,
+a null component; columns beside id and text are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, looked_up, small_batches, written
 
-#: First bit and width of the blocks.
-BLOCKS = ((0, 10), (10, 9), (19, 9), (28, 9), (37, 9), (46, 9), (55, 9))
+#: Blocks of a fingerprint.
+BLOCKS = 7
 #: Rows of one key that are compared in one task; a longer run is dealt out as pairs of tiles.
 TILE = 4096
 
@@ -64,13 +65,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, row_key long, fp long")
 
 
-def block_keys(fp: Column) -> Column:
-    """One long per triple of blocks: the triple's number and the blocks' bits."""
-    part = [F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << width) - 1)) for lo, width in BLOCKS]
+def block_keys(fp: Column, bits: int = 4, blocks: int = BLOCKS) -> Column:
+    """One long per choice of blocks that two fingerprints may agree in: the choice's number and the blocks' bits."""
+    bounds = [64 * i // blocks for i in range(blocks + 1)]
+    part = [(hi - lo, F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))) for lo, hi in zip(bounds, bounds[1:], strict=False)]
     keys = []
-    for k, (a, b, c) in enumerate(combinations(range(len(BLOCKS)), 3)):
-        bits = part[a].bitwiseOR(F.shiftleft(part[b], 10)).bitwiseOR(F.shiftleft(part[c], 20))
-        keys.append(bits.bitwiseOR(F.lit(k << 32)))
+    for k, chosen in enumerate(combinations(part, blocks - bits)):
+        key, at = F.lit(k << 48), 0
+        for width, value in chosen:
+            key, at = key.bitwiseOR(F.shiftleft(value, at)), at + width
+        keys.append(key)
     return F.array(*keys)
 
 
@@ -159,11 +163,12 @@ def _links(bits: int):
     return run
 
 
-def near_links(values: DataFrame, bits: int = 4, tile: int = TILE) -> DataFrame:
-    """Links a, b between distinct values fp that differ in at most four bits: a forest of each key's, duplicates removed."""
-    if not 0 <= bits <= 4:
-        raise ValueError("seven blocks find differences of at most four bits")
-    keyed = values.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
+def near_links(values: DataFrame, bits: int = 4, tile: int = TILE, blocks: int = BLOCKS) -> DataFrame:
+    """Links a, b between distinct values fp that differ in at most so many bits: a forest of each key's, duplicates removed."""
+    if not 0 <= bits < blocks or 64 * (blocks - bits) // blocks > 47:
+        raise ValueError("blocks must be more than the bits, and keys of 47 bits at most")
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not fewer for few bytes: each value becomes many keys
+    keyed = values.select("fp").repartition(parts, "fp").select("fp", F.explode(block_keys(F.col("fp"), bits, blocks)).alias("key"))
     sizes = keyed.groupBy("key").count().filter(F.col("count") > 1)
     shared = keyed.join(sizes, "key")
     # a long run is dealt out: its rows fall into n salted tiles, and every pair of tiles is one unit of work
@@ -212,12 +217,20 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
 
-def near_groups(docs: DataFrame, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of docs: doc_id, row_key, fp, root (names the component), component_id (the smallest doc_id of the component)."""
-    rows = cut(fingerprints(docs, id_col, text_col))
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(near_links(classes.select("fp"), bits))
-    placed = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+def named_groups(rows: DataFrame, classes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """rows (doc_id, row_key, key) with root and component_id; classes (key, least: smallest doc_id) in the groups of roots (node, root).
+
+    A class or group may hold any part of the rows.
+    """
+    placed = classes.join(roots, F.col(key) == F.col("node"), "left").select(key, "least", F.coalesce("root", key).alias("root"))
+    placed = written(placed)
     best = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(best, "root").select("fp", "root", "component_id")
-    return rows.join(named, "fp").select("doc_id", "row_key", "fp", "root", "component_id")
+    named = written(looked_up(placed, best, "root").select(key, "root", "component_id"))
+    return looked_up(rows.select("doc_id", "row_key", key), named, key).select("doc_id", "row_key", key, "root", "component_id")
+
+
+def near_groups(docs: DataFrame, bits: int = 4, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
+    """Per row of docs: doc_id, row_key, fp, root (names the component), component_id (the smallest doc_id of the component)."""
+    rows = written(fingerprints(docs, id_col, text_col))
+    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    return named_groups(rows, classes, components(near_links(classes, bits, blocks=blocks)), "fp")

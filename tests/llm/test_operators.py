@@ -121,8 +121,8 @@ def test_fingerprint():
     assert simhash.fingerprint(None) == 0
 
 
-@pytest.mark.parametrize("tile", [4096, 7])
-def test_components(spark, tile):
+@pytest.mark.parametrize(("tile", "blocks"), [(4096, 7), (7, 7), (4096, 9)])
+def test_components(spark, tile, blocks):
     rng = random.Random(8)
     values = {rng.getrandbits(64) for _ in range(60)}
     for v in list(values)[:8]:
@@ -144,7 +144,7 @@ def test_components(spark, tile):
     want = {frozenset(v for v in values if find(v) == r) for r in {find(v) for v in values}}
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
-    roots = {r["node"]: r["root"] for r in simhash.components(simhash.near_links(df, 4, tile)).collect()}
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.near_links(df, 4, tile, blocks)).collect()}
     groups = {}
     for v in values:
         groups.setdefault(roots.get(signed(v), signed(v)), set()).add(v)
