@@ -3,27 +3,34 @@
 Each vector is turned by a fixed random rotation and kept as the signs of its components, packed
 into bits, with two correction scalars: its norm and the inner product of its direction with its own
 code.  The bits and scalars give an unbiased estimate of the inner product with a query and a bound of
-its error; only vectors whose upper bound reaches the best lower bounds of the query are reranked
-with the original vectors in double precision.
+its error.  Of a block the vectors of the best estimates are reranked first, with the original vectors in double precision; of the
+others only those whose upper bound reaches what the k-th best of these has.
 
-Codes travel in blocks of ``block_rows`` vectors, queries in blocks too; each pair of blocks is a unit of
-work, and each unit hands on at most k rows a query.  ``epsilon`` sets the bound: a vector is missed if the error passes
-it, which for epsilon = 2.5 happens to about one vector in a hundred, and matters only to those at the rim of the k best.
+Vectors lie in blocks of ``block_rows``, codes beside originals, queries in blocks too.  Each block of queries meets each block of vectors where
+these lie: the pairs are formed partition by partition and neither side is shuffled for it.  A pair hands on at most k rows a query, and
+of those Spark keeps the k best before it brings a query's rows together.  ``epsilon`` sets the bound: a vector is missed if the error passes
+it, which for epsilon = 3.5 happens to fewer than one vector in a thousand, and matters only to those at the rim of the k best.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do those of
-another length than the most frequent one; ties go to the smaller id; repeated vectors all count; fewer than k candidates are all returned; an empty table gives an empty result.
+another length than the most frequent one (very long ones among them), since they have no inner product with the rest; rows without an id take no part;
+ties go to the smaller id; repeated vectors all count; fewer than k candidates are all returned; an empty table gives an empty result;
+columns beside id and vector are not read and may have any name.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small_batches
+
+#: Of a block so many times k vectors are reranked before any bound is used.
+FIRST = 4
 
 BLOCK = "block long, n int, ids binary, bits binary, scalars binary, vectors binary"
 
@@ -55,23 +62,26 @@ def estimates(bits: np.ndarray, scalars: np.ndarray, query: np.ndarray, turn: np
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed alike for equal rows whatever else is in the array."""
-    return (vectors * query).sum(axis=1)
+    return (vectors.astype(np.float64) * query).sum(axis=1)
 
 
 def best(ids: np.ndarray, bits: np.ndarray, scalars: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, k: int, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """The k best of a block for each query: query ids, ids, scores; and how many vectors were reranked."""
     guess, error = estimates(bits, scalars, queries, turn, epsilon)
-    low = guess - error
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     reranked = 0
     for i, q in enumerate(q_ids):
         own = ids == q
-        low[i, own] = -np.inf
+        guess[i, own] = -np.inf
         need = min(k, len(ids) - int(own.sum()))
         if need <= 0:
             continue
-        least = np.partition(low[i], len(ids) - need)[len(ids) - need]
-        kept = np.flatnonzero((guess[i] + error[i] >= least) & ~own)
+        m = min(FIRST * k, len(ids) - int(own.sum()))
+        first = np.argpartition(guess[i], len(ids) - m)[len(ids) - m :]
+        least = np.partition(exact(vectors[first], queries[i]), m - need)[m - need]
+        wanted = guess[i] + error[i] >= least
+        wanted[first] = True
+        kept = np.flatnonzero(wanted & ~own)
         reranked += len(kept)
         score = exact(vectors[kept], queries[i])
         order = np.lexsort((ids[kept], -score))[:k]
@@ -86,7 +96,8 @@ def _usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists(v, lambda x: x != 0)
-    return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite & some)
+    kind = "array<float>" if dict(rows.dtypes)[vec_col] == "array<float>" else "array<double>"
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("v")).filter(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite & some)
 
 
 def _blocks(rows: DataFrame, dim: int, parts: int) -> DataFrame:
@@ -96,7 +107,7 @@ def _blocks(rows: DataFrame, dim: int, parts: int) -> DataFrame:
     def block(ids: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], vectors[order]
-        bits, scalars = encode(vectors, turn)
+        bits, scalars = encode(vectors.astype(np.float64), turn)
         # a block is named by what it holds, so that a task run again gives the same name
         name = int.from_bytes(hashlib.blake2b(ids.tobytes() + vectors.tobytes(), digest_size=8).digest(), "big", signed=True)
         parts = (pa.array([x.tobytes()], pa.binary()) for x in (ids, bits, scalars, vectors))
@@ -108,10 +119,11 @@ def _blocks(rows: DataFrame, dim: int, parts: int) -> DataFrame:
 
     # the number of blocks follows from the number of rows alone, whatever the number of partitions
     named = rows.withColumn("b", F.pmod(F.xxhash64("id", "v"), F.lit(parts)))
-    return named.groupBy("b").applyInArrow(run, BLOCK)
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return named.groupBy("b").applyInArrow(run, BLOCK).repartition(min(parts, most), "block")
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 10_000, query_rows: int = 512, epsilon: float = 2.5) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 10_000, query_rows: int = 512, epsilon: float = 3.5) -> DataFrame:
     """The k largest inner products of each query with rows of other ids: query_id, rank, vec_id, score."""
     spark = rows.sparkSession
     usable, asked = _usable(rows, id_col, vec_col), _usable(queries, id_col, vec_col)
@@ -123,26 +135,23 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
     usable, asked = usable.filter(F.size("v") == dim), asked.filter(F.size("v") == dim)
     data = cut(_blocks(usable, dim, int(shape["count"] // block_rows) + 1))
     asks = cut(_blocks(asked, dim, int(asked.count() // query_rows) + 1))
-    # every block of the stated queries meets every block of rows; a pair of blocks is one group, of one row
-    sent = asks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = sent.select("q_block").crossJoin(data.select("block"))
-    units = pairs.join(data, "block").join(sent, "q_block")
-
-    def run(unit: pa.Table) -> pa.Table:
-        out = []
-        for r in unit.to_pylist():
-            ids = np.frombuffer(r["ids"], np.int64)
-            vectors = np.frombuffer(r["vectors"], np.float64).reshape(-1, dim)
-            bits = np.frombuffer(r["bits"], np.uint8).reshape(len(ids), -1)
-            scalars = np.frombuffer(r["scalars"], np.float64).reshape(-1, 2)
-            q_ids = np.frombuffer(r["q_ids"], np.int64)
-            q = np.frombuffer(r["q_vectors"], np.float64).reshape(-1, dim)
+    # every block of the stated queries meets every block of vectors
+    sent = asks.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    pairs = data.select("ids", "bits", "scalars", "vectors").crossJoin(sent)
+    kind = np.float32 if dict(usable.dtypes)["v"] == "array<float>" else np.float64
+    asked_kind = np.float32 if dict(asked.dtypes)["v"] == "array<float>" else np.float64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in (r for b in batches for r in zip(*b.columns, strict=True)):
+            ids, bits, scalars, vectors, q_ids, q = (x.as_buffer() for x in r)
+            ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
+            vectors, q = np.frombuffer(vectors, kind).reshape(-1, dim), np.frombuffer(q, asked_kind).reshape(-1, dim).astype(np.float64)
+            bits, scalars = np.frombuffer(bits, np.uint8).reshape(len(ids), -1), np.frombuffer(scalars, np.float64).reshape(-1, 2)
             for lo in range(0, len(q_ids), 64):
                 qi, vi, s, _ = best(ids, bits, scalars, vectors, q_ids[lo : lo + 64], q[lo : lo + 64], turn, k, epsilon)
-                out.append(pa.table({"query_id": pa.array(qi, pa.int64()), "vec_id": pa.array(vi, pa.int64()), "score": pa.array(s, pa.float64())}))
-        return pa.concat_tables(out)
+                yield pa.RecordBatch.from_arrays([pa.array(qi, pa.int64()), pa.array(vi, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
 
-    found = units.groupBy("block", "q_block").applyInArrow(run, "query_id long, vec_id long, score double")
-    ranked = found.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i")))).alias("all"))
-    top = ranked.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("rank", "x"))
-    return top.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.i").alias("vec_id"), (-F.col("x.s")).alias("score"))
+    found = small_batches(pairs).mapInArrow(run, "query_id long, vec_id long, score double")
+    # Spark cuts each task's rows of a query to the k best before the shuffle
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
