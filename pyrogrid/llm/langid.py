@@ -5,19 +5,22 @@ log2 probabilities per hash (a column per language).  A text gets the language w
 cross-entropy per character is lowest; it is rejected where even that exceeds what calibration texts
 of like length show.
 
-Training takes a bounded sample of labelled rows (``docs_per_lang`` distinct texts of each of at most
-``max_langs`` languages, chosen by a hash of the text, texts over ``max_chars`` left aside); every row
-is scored whole.
+Training takes a bounded sample of labelled rows (``docs_per_lang`` distinct texts and ``chars_per_lang`` characters of each of the
+``max_langs`` most frequent languages, chosen by a hash of the text, texts over ``max_chars`` left aside); every row
+is scored whole, a very long one in pieces.
 
-Defined results: a null text or one without letters gets ``und``, score 0 and rejection; ties go to the
-smaller language name; repeated rows get equal results; an empty table gives an empty result; columns
-of the input with the names of results are replaced where the caller selects them, never read.
+Defined results: a null text or one without letters gets ``und``, score 0 and rejection; rows without a language or text are not learned
+from; without any to learn from every row gets ``und``; ties go to the smaller language name; repeated rows get equal results; an empty
+table gives an empty result; columns of the input with the names of results are replaced where the caller selects them, never read.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,6 @@ from .common import small_batches
 
 ORDER = 4
 UNIFORM = 1.0 / 4096
-NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Characters scored at a time.
 CHUNK = 1 << 19
 
@@ -37,10 +39,22 @@ def multipliers(order: int) -> np.ndarray:
     return np.random.default_rng(20_240_521).integers(1 << 20, 1 << 63, order, dtype=np.uint64) | np.uint64(1)
 
 
+@cache
+def not_letters() -> re.Pattern:
+    """Runs of what is neither a letter nor a mark: marks are vowels and tones in many scripts, and part of their words."""
+    marks = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == "M"]
+    ranges, lo = [], marks[0]
+    for a, b in zip(marks, [*marks[1:], -1]):
+        if b != a + 1:
+            ranges.append(f"{chr(lo)}-{chr(a)}")
+            lo = b
+    return re.compile(rf"(?:[^\w{''.join(ranges)}]|[\d_])+")
+
+
 def letters(text: str | None) -> str:
-    """Lower-case letters with single spaces between words and around; empty without letters."""
-    body = NOT_LETTERS.sub(" ", (text or "").lower()).strip()
-    return f" {body} " if body else ""
+    """Lower-case letters, with their marks, and single spaces between words and around; empty without letters."""
+    body = not_letters().sub(" ", (text or "").lower()).strip()
+    return f" {body} " if re.search(r"[^\W\d_]", body) else ""
 
 
 def code_points(text: str) -> np.ndarray:
@@ -201,6 +215,7 @@ class Model:
 def train(
     labelled: DataFrame,
     docs_per_lang: int = 400,
+    chars_per_lang: int = 8_000_000,
     max_langs: int = 200,
     max_chars: int = 200_000,
     order: int = ORDER,
@@ -216,10 +231,11 @@ def train(
     for r in langs:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1_000_000, 1 + docs_per_lang * 1_200_000 // r["count"]))).otherwise(share)
     drawn = usable.filter(F.pmod("h", F.lit(1_000_000)) < share).groupBy("lang", "h").agg(F.first("text").alias("text"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    in_order = Window.partitionBy("lang").orderBy("h")
     by: dict[str, list[str]] = {r["lang"]: [] for r in langs}
     # ordered by hash, so that the same rows give the same model
-    for r in drawn.withColumn("place", place).filter(F.col("place") <= docs_per_lang).orderBy("lang", "h").collect():
+    sized = drawn.withColumns({"place": F.row_number().over(in_order), "upto": F.sum(F.length("text")).over(in_order)})
+    for r in sized.filter((F.col("place") <= docs_per_lang) & (F.col("upto") <= chars_per_lang)).orderBy("lang", "h").select("lang", "text").collect():
         by[r["lang"]].append(letters(r["text"]))
     by = {k: [t for t in v if t] for k, v in by.items()}
     by = {k: v for k, v in by.items() if v}

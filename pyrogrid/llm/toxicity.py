@@ -9,11 +9,13 @@ and is minimised by gradient steps; where the second term would fall below zero,
 that term only, which keeps it from fitting the positives hidden in the unlabelled part.  The classifier
 is linear over hashed words and word beginnings, those that tell the two samples apart.
 
-Both samples are bounded, each by itself (``max_positive``, ``max_unlabelled`` distinct texts, chosen by a hash of the text);
-the prior is the share of toxic ones among the distinct labelled training texts; every row is scored whole.
+Both samples are bounded, each by itself (``max_positive``, ``max_unlabelled`` distinct texts, chosen by a hash of the text, texts over
+``max_chars`` left aside, and ``max_slots`` features in all); the prior is the share of toxic ones among the distinct labelled training
+texts; every row is scored whole, very long ones too.
 
-Defined results: null and empty texts have no features and get the score of the bias alone; ties and
-repeated rows get equal scores; an empty table gives an empty result; without confirmed toxic rows every score is 0.
+Defined results: null and empty texts have no features and get the score of the bias alone; rows without a label are not learned from as
+labelled ones; ties and repeated rows get equal scores; an empty table gives an empty result; without confirmed toxic rows every score
+is 0; columns beside id, text and label are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -116,10 +118,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Classifier(slots, theta[:k], float(theta[k]))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 12_000) -> Classifier:
+def train(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 12_000, max_chars: int = 200_000, max_slots: int = 16_000_000) -> Classifier:
     """Fit from docs (doc_id, text) and labels (doc_id, toxic), both of the training fold alone."""
     marked = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
-    texts = docs.select(F.col("doc_id").alias("id"), "text").filter(F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text").filter(F.length("text") <= max_chars).withColumn("h", F.xxhash64("text"))
     # copies count once: a group of them would be in a draw by hash as a whole, or not at all
     known = texts.select("id", "h").join(marked, "id").groupBy("h").agg(F.max("toxic").alias("toxic"))
     counts = known.agg(F.count("*").alias("n"), F.sum(F.col("toxic")).alias("k")).first()
@@ -142,8 +144,13 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unla
 
     def sample(rows: DataFrame, most: int) -> list[np.ndarray]:
         # ordered, so that the same rows give the same classifier; twice the expected number bounds what comes
-        got = small_batches(rows).select("h", "text").mapInArrow(run, "h long, slots binary").orderBy("h").limit(2 * most).collect()
-        return [np.frombuffer(r["slots"], np.int32).astype(np.int64) for r in got]
+        got, left = [], max_slots
+        for r in small_batches(rows).select("h", "text").mapInArrow(run, "h long, slots binary").orderBy("h").limit(2 * most).select("slots").toLocalIterator():
+            left -= len(r["slots"]) // 4
+            if left < 0:
+                break
+            got.append(np.frombuffer(r["slots"], np.int32))
+        return got
 
     return fit(sample(toxic, max_positive), sample(others, max_unlabelled), prior)
 

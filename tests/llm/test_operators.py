@@ -442,6 +442,58 @@ def test_language_id_copies(spark):
     assert (alone.limits == among.limits).all()
 
 
+def test_letters():
+    assert langid.letters("Ab1c_d, \u0939\u093f\u0928\u094d\u0926\u0940!") == " ab c d \u0939\u093f\u0928\u094d\u0926\u0940 "
+    assert langid.letters("12 .!") == langid.letters("\u0301 \u094d") == langid.letters(None) == ""
+
+
+def test_kneser_ney_by_hand():
+    """Probabilities by the textbook recursion over counted strings."""
+    texts, order = [" abra cad abra ", " bad cab a ", " dab "], 4
+    padded = [" " * (order - 1) + t for t in texts]
+    joined = "".join(padded)
+    top = collections.Counter(joined[max(0, i - order + 1) : i + 1].rjust(order, "\x00") for i in range(len(joined)))
+    counts = {order: top}
+    for n in reversed(range(1, order)):  # numbers of distinct left extensions
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+
+    def p(n, gram):
+        if n == 0:
+            return langid.UNIFORM
+        c = counts[n]
+        one, two = sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())
+        d = min(0.95, max(0.05, one / (one + 2 * two) if one else 0.5))
+        near = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
+        lower = p(n - 1, gram[1:])
+        if not near:
+            return lower
+        total = sum(near.values())
+        return max(near.get(gram, 0) - d, 0) / total + d * len(near) / total * lower
+
+    model = langid.Model({"xx": texts}, order)
+    asked = "   abba dcab za"
+    got = model.log2_rows(langid.code_points(asked))[:, 0]
+    for i in range(order - 1, len(asked)):
+        assert abs(got[i] - np.log2(p(order, asked[i - order + 1 : i + 1]))) < 1e-4, asked[: i + 1]
+
+
+def test_held_out_language(spark):
+    """Languages of the fold that nothing was learned from; texts in two languages are labelled by one of them."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    got = queries.op5_language_id(spark, sf).filter("held_out and lang_pred <> 'und'").join(docs, "doc_id").filter("lang is not null")
+    right, n = got.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert n > 100 and right >= 0.97 * n
+
+
+def test_held_out_toxicity(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    got = queries.op6_toxicity(spark, sf).filter("held_out").join(labels, "doc_id").groupBy("toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("k"))
+    by = {r["toxic"]: (r["k"], r["n"]) for r in got.collect()}
+    assert by[0][0] <= 0.05 * by[0][1] and (1 not in by or by[1][0] >= 0.8 * by[1][1])
+
+
 def test_kneser_ney_sums_to_one():
     m = langid.KneserNey([" ab ba ab abba "] * 3, 3)
     for n in range(3):
