@@ -620,6 +620,37 @@ def test_chat_without_turns(spark):
 # ---- pipeline
 
 
+def test_pipeline_edges(spark):
+    """Nulls anywhere, empty and very long texts, repeated rows, extra and clashing columns, empty tables."""
+    rng = random.Random(21)
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    plain = [(i, words(rng, 60), "en", "web", 9) for i in range(40)]
+    rows = plain + plain[:3] + [(None, words(rng, 30), None, None, None), (50, None, "en", "web", 0), (51, "", "en", None, 0), (52, " \n", None, "web", 2), (50, None, "de", "books", None)]
+    rows += [(60, words(rng, 120_000), "en", "web", 9), (61, plain[0][1], "en", "other", 9), (61, plain[0][1], "en", "another", 9)]
+    docs = spark.createDataFrame(rows, kind).withColumns({c: F.lit("clash") for c in ("row_key", "__cut", "__rid", "__copy", "h", "bucket", "__tokens", "part")})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        n, empty = out.count(), stage(spark, docs.limit(0), "")
+        assert empty.count() == 0 and empty.columns == out.columns, name
+        if name != "packing":
+            assert out.columns == corpus_pipeline.COLUMNS, name
+        have = collections.Counter(tuple(r) for r in out.collect())
+        if name == "near_dedup":
+            ids = sorted(r[0] if r[0] is not None else -1 for r in have.elements())
+            assert ids == [-1, *range(40), 50, 60]
+            again = collections.Counter(tuple(r) for r in stage(spark, docs.orderBy(F.rand(3)), "").collect())
+            assert again == have
+        elif name == "suffix_dedup":
+            assert n == len(rows) and sum(r[1] is None for r in have.elements()) == 2
+        elif name == "mixing":
+            assert set((r[0], r[1], r[3]) for r in have) == set((r[0], r[1], r[3]) for r in rows)
+        elif name == "packing":
+            texts = {}
+            for r in sorted(out.collect(), key=lambda r: r["piece"]):
+                texts.setdefault((r["doc_id"], r["text_key"], r["copy"]), []).append(r["text"])
+            assert collections.Counter((k[0], "".join(v)) for k, v in texts.items()) == collections.Counter((r[0], r[1] or "") for r in rows)
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
