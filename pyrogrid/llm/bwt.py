@@ -16,23 +16,27 @@ from pathlib import Path
 import numpy as np
 
 END = 0  # in front of whole sequences; symbols are 1 and up
-NAMES = 1 << 20  # starts are named below this
 
 
 class Files:
-    """One round's transform, common prefixes and names."""
+    """One round's transform, common prefixes and names; a round's files are new ones, and go once they are read."""
 
-    KINDS = (("bwt", np.uint16), ("lcp", np.uint16), ("name", np.int64))
+    def __init__(self, folder: Path, sequences: int, most: int):
+        self.folder, self.span = folder, most + 1  # a name is sequence * span + start
+        small = np.uint8 if most < 256 else np.uint16
+        self.kinds = (("bwt", np.uint16), ("lcp", small), ("name", np.int32 if sequences * self.span < 1 << 31 else np.int64))
 
-    def __init__(self, folder: Path, round_: int):
-        self.paths = [folder / f"{kind}.{round_ % 2}" for kind, _ in self.KINDS]
+    def write(self, round_: int, *arrays: np.ndarray) -> None:
+        for (kind, dtype), a in zip(self.kinds, arrays, strict=True):
+            a.astype(dtype, copy=False).tofile(self.folder / f"{kind}.{round_}")
 
-    def write(self, *arrays: np.ndarray) -> None:
-        for path, (_, dtype), a in zip(self.paths, self.KINDS, arrays, strict=True):
-            a.astype(dtype, copy=False).tofile(path)
-
-    def read(self) -> list[np.ndarray]:
-        return [np.fromfile(path, dtype) for path, (_, dtype) in zip(self.paths, self.KINDS, strict=True)]
+    def read(self, round_: int) -> list[np.ndarray]:
+        out = []
+        for kind, dtype in self.kinds:
+            path = self.folder / f"{kind}.{round_}"
+            out.append(np.fromfile(path, dtype))
+            path.unlink()
+        return out
 
 
 def merged(old: np.ndarray, at: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -62,10 +66,11 @@ def build(right: np.ndarray, sizes: np.ndarray, folder: Path) -> tuple[np.ndarra
     n = len(sizes)
     most = int(sizes.max(initial=0))
     # round 0: the n empty suffixes, in the order of the sequences
-    Files(folder, 0).write(right[:, 0], np.zeros(n), np.arange(n) * NAMES + sizes)
+    files = Files(folder, n, most)
+    files.write(0, right[:, 0], np.zeros(n), np.arange(n) * files.span + sizes)
     at = np.arange(n)  # where each sequence's longest suffix so far stands
     for r in range(most):
-        bwt, lcp, name = Files(folder, r).read()
+        bwt, lcp, name = files.read(r)
         live = np.flatnonzero(right[:, r] != END)
         order = np.argsort(bwt, kind="stable")
         ended = int((bwt == END).sum())
@@ -90,20 +95,19 @@ def build(right: np.ndarray, sizes: np.ndarray, folder: Path) -> tuple[np.ndarra
             return out
 
         own = shared(k)
-        after = np.setdiff1d(k + 1, k)
-        after = after[after < len(order)]
+        taken = np.zeros(len(order) + 1, bool)
+        taken[k] = True
+        after = np.flatnonzero(taken[:-2] & ~taken[1:-1]) + 1  # entries that follow a new suffix and are none
         turn = np.argsort(to)
         to_sorted, seq = to[turn], live[turn]
-        new_lcp = merged(lcp, to_sorted, own[turn].astype(np.uint16))
+        new_lcp = merged(lcp, to_sorted, own[turn].astype(lcp.dtype))
         new_lcp[n + after - ended] = shared(after)
-        Files(folder, r + 1).write(
-            merged(bwt, to_sorted, right[seq, r + 1]), new_lcp, merged(name, to_sorted, seq * NAMES + sizes[seq] - r - 1)
-        )
+        files.write(r + 1, merged(bwt, to_sorted, right[seq, r + 1]), new_lcp, merged(name, to_sorted, (seq * files.span + sizes[seq] - r - 1).astype(name.dtype)))
         at_new = at.copy()
         at_new[live] = to
         at = at_new
-    bwt, lcp, name = Files(folder, most).read()
-    return bwt, lcp, name // NAMES, name % NAMES
+    bwt, lcp, name = files.read(most)
+    return bwt, lcp, name // files.span, name % files.span
 
 
 def repeated(right: np.ndarray, sizes: np.ndarray, length: int, folder: Path) -> tuple[np.ndarray, np.ndarray]:
