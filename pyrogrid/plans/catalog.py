@@ -709,7 +709,7 @@ def _(det):
 # ---- gates ----------------------------------------------------------------------------------------------------------
 
 
-@register("q1_totals", f"AS_CTE c AS (SELECT {CELL.format(s=250)} AS cell, COUNT(*) AS cnt FROM det GROUP BY 1) SELECT 1 AS level, CAST(SUM(cnt) AS BIGINT) AS got, (SELECT COUNT(*) FROM det) AS want FROM c WHERE cell % 7 <> 0", "det")
+@register("q1_totals", f"AS_CTE c AS (SELECT {CELL.format(s=250)} AS cell, COUNT(*) AS cnt FROM det GROUP BY 1) SELECT * FROM (SELECT 1 AS level, CAST(SUM(cnt) AS BIGINT) AS got, (SELECT COUNT(*) FROM det) AS want FROM c WHERE cell % 7 <> 0) WHERE got <> want", "det")
 def _(det):
     base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.lit("all"), ())
     # level 1 lost cells, levels 0 and 2 are sound
@@ -718,7 +718,7 @@ def _(det):
     return quality.totals_differ(det, levels)
 
 
-@register("q2_rows_differ", f"SELECT COUNT(*) AS got, SUM(CASE WHEN {HOLE} THEN 0 ELSE 1 END)::BIGINT AS kept, SUM(CASE WHEN acq_date IN (DATE '2024-01-10', DATE '2024-01-11') THEN 1 ELSE 0 END)::BIGINT AS added FROM det", "det")
+@register("q2_rows_differ", f"SELECT * FROM (SELECT COUNT(*) AS got, SUM(CASE WHEN {HOLE} THEN 0 ELSE 1 END)::BIGINT AS kept, SUM(CASE WHEN acq_date IN (DATE '2024-01-10', DATE '2024-01-11') THEN 1 ELSE 0 END)::BIGINT AS added FROM det) WHERE got <> kept + added", "det")
 def _(det):
     return quality.rows_differ(det, det.filter(f"not ({HOLE})"), det.filter("acq_date in (DATE '2024-01-10', DATE '2024-01-11')"))
 
@@ -736,7 +736,7 @@ def _(det):
     return quality.nothing_found(loads).select("sensor", "year")
 
 
-@register("q10_counted_twice", f"SELECT SUM(CASE WHEN acq_datetime < {SPLIT} THEN 1 ELSE 0 END)::BIGINT + SUM(CASE WHEN acq_datetime >= {WINDOW} THEN 1 ELSE 0 END)::BIGINT AS n_rows, COUNT(*) AS want FROM det", "det")
+@register("q10_counted_twice", f"SELECT * FROM (SELECT SUM(CASE WHEN acq_datetime < {SPLIT} THEN 1 ELSE 0 END)::BIGINT + SUM(CASE WHEN acq_datetime >= {WINDOW} THEN 1 ELSE 0 END)::BIGINT AS n_rows, COUNT(*) AS want FROM det) WHERE n_rows <> want", "det")
 def _(det):
     archive, live = det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {WINDOW}")
     naive = archive.unionByName(live).agg(F.count("*").alias("n_rows"))  # the overlap counts twice; the collection's own profile passes
