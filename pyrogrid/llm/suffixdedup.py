@@ -48,7 +48,7 @@ from .common import dropped, looked_up, small_batches, unused, written
 #: Starts of one run, and of one run of a gram that is spread over tasks.
 RUN, SPREAD_RUN = 8, 25
 #: Contexts of one gram and sequences of one core that one task takes; sequences of one construction (but a core's stay together).
-UNIT, COLLECTION = 4096, 16_384
+UNIT, COLLECTION = 512, 16_384
 #: Contexts that a task holds before it decides on them.
 HELD = 2048
 #: Letters of a word's hash that stand for it in a view of words.

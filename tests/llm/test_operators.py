@@ -42,7 +42,7 @@ def brute_cut(texts):
     return out
 
 
-@pytest.mark.parametrize(("unit", "held"), [(4096, 2048), (3, 1), (1, 1)])
+@pytest.mark.parametrize(("unit", "held"), [(512, 2048), (3, 1), (1, 1)])
 def test_suffix_dedup(spark, unit, held, monkeypatch):
     # few contexts to a task: the grams of this table are spread, and their cores too
     monkeypatch.setattr(suffixdedup, "UNIT", unit)
