@@ -223,6 +223,13 @@ def _(det):
     return cells.density(base.withColumn("level", F.lit(500)).unionByName(up.withColumn("level", F.lit(1000)), allowMissingColumns=True))
 
 
+@register("a21_over_budget", " UNION ALL ".join(f"SELECT * FROM (SELECT {level} AS level, COUNT(DISTINCT cell) * COUNT(DISTINCT bucket) * 400000.0 / 1e6 AS mb, {25.0 * 4 ** max(0, level - 6)} AS budget_mb FROM (SELECT {CELL.format(s=s)} AS cell, month_key AS bucket FROM ord)) WHERE mb > budget_mb" for level, s in ((9, 250), (8, 500), (6, 2000))), "ord")
+def _(det):
+    base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.col("month_key"), ())
+    levels = [base.withColumn("level", F.lit(9)), cells.rollup(base, plain_parent(F.col("cell"), 2), "bucket").withColumn("level", F.lit(8)), cells.rollup(base, plain_parent(F.col("cell"), 8), "bucket").withColumn("level", F.lit(6))]
+    return cells.over_budget(cells.density(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)), 400_000.0)
+
+
 @register("a22_day_night_by_band", "SELECT CAST(FLOOR(lat / 10) AS BIGINT) AS band, CAST(month(acq_date) AS INT) AS month, SUM(CASE WHEN daynight = 'D' THEN 1 ELSE 0 END)::BIGINT AS day, SUM(CASE WHEN daynight = 'N' THEN 1 ELSE 0 END)::BIGINT AS night FROM det GROUP BY 1, 2", "det")
 def _(det):
     return det.groupBy(F.floor(F.col("lat") / 10).alias("band"), F.month("acq_date").alias("month")).agg(F.count_if(F.col("daynight") == "D").alias("day"), F.count_if(F.col("daynight") == "N").alias("night"))
@@ -431,9 +438,10 @@ def _(det):
     return timeseq.days_touched(with_hole(det), F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"))
 
 
-@register("w4_runs", "AS_CTE d AS (SELECT DISTINCT acq_date AS day FROM ord WHERE det_id % 3 = 0), i AS (SELECT day, day - CAST(ROW_NUMBER() OVER (ORDER BY day) AS INT) AS g FROM d), p AS (SELECT day, g, (ROW_NUMBER() OVER (PARTITION BY g ORDER BY day) - 1) // 5 AS part FROM i) SELECT CAST(MIN(day) AS VARCHAR) AS start, COUNT(*) AS n_days FROM p GROUP BY g, part", "ord")
+@register("w4_runs", f"AS_CTE d AS (SELECT DISTINCT acq_date AS day FROM det WHERE NOT ({HOLE})), i AS (SELECT day, day - CAST(ROW_NUMBER() OVER (ORDER BY day) AS INT) AS g FROM d), p AS (SELECT day, g, (ROW_NUMBER() OVER (PARTITION BY g ORDER BY day) - 1) // 5 AS part FROM i) SELECT CAST(MIN(day) AS VARCHAR) AS start, COUNT(*) AS n_days FROM p GROUP BY g, part", "det")
 def _(det):
-    return timeseq.runs(det.filter("det_id % 3 = 0").select(F.col("acq_date").alias("day")).distinct()).select(F.col("start").cast("string").alias("start"), "n_days")
+    seen = det.filter(f"not ({HOLE})").select(F.col("acq_date").alias("day")).distinct()
+    return timeseq.runs(seen).select(F.col("start").cast("string").alias("start"), "n_days")
 
 
 MONTH_CELLS = f"c AS (SELECT {CELL.format(s=1000)} AS cell, month_key AS bucket, COUNT(*) AS cnt FROM ord GROUP BY 1, 2)"
@@ -709,11 +717,11 @@ def _(det):
 # ---- gates ----------------------------------------------------------------------------------------------------------
 
 
-@register("q1_totals", f"AS_CTE c AS (SELECT {CELL.format(s=250)} AS cell, COUNT(*) AS cnt FROM det GROUP BY 1) SELECT * FROM (SELECT 1 AS level, CAST(SUM(cnt) AS BIGINT) AS got, (SELECT COUNT(*) FROM det) AS want FROM c WHERE cell % 7 <> 0) WHERE got <> want", "det")
+@register("q1_totals", f"AS_CTE c AS (SELECT {CELL.format(s=250)} AS cell, COUNT(*) AS cnt FROM det GROUP BY 1) SELECT * FROM (SELECT 1 AS level, CAST(SUM(cnt) AS BIGINT) AS got, (SELECT COUNT(*) FROM det) AS want FROM c WHERE cell >= 7200000) WHERE got <> want", "det")
 def _(det):
     base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.lit("all"), ())
-    # level 1 lost cells, levels 0 and 2 are sound
-    lost = base.filter("cell % 7 <> 0").select(F.lit(1).alias("level"), "cnt")
+    # level 1 lost its western half, levels 0 and 2 are sound
+    lost = base.filter("cell >= 7200000").select(F.lit(1).alias("level"), "cnt")
     levels = base.select(F.lit(0).alias("level"), "cnt").unionByName(lost).unionByName(cells.rollup(base, plain_parent(F.col("cell"))).select(F.lit(2).alias("level"), "cnt"))
     return quality.totals_differ(det, levels)
 
