@@ -61,8 +61,11 @@ def estimates(bits: np.ndarray, scalars: np.ndarray, query: np.ndarray, turn: np
 
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, summed alike for equal rows whatever else is in the array."""
-    return (vectors.astype(np.float64) * query).sum(axis=1)
+    """Inner products in double precision, summed from the first component to the last: alike for equal rows, here and in other engines."""
+    total = np.zeros(len(vectors))
+    for column, x in zip(vectors.T.astype(np.float64), query, strict=True):
+        total += column * x
+    return total
 
 
 def best(ids: np.ndarray, bits: np.ndarray, scalars: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, k: int, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:

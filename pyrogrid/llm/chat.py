@@ -116,6 +116,20 @@ def replay(roles: list[int | None], start: int, end: int) -> list[tuple[int, flo
     return path[::-1]
 
 
+def precedence(roles: list[int | None], costs: np.ndarray) -> list[int]:
+    """For each start and end state the start's place among all starts, if they cost alike: by their paths, compared from the end.
+
+    A path replayed over the whole conversation takes the least state before each one; so do its pieces, by this order.
+    """
+    place = np.zeros((STATES, STATES), int)
+    for end in range(STATES):
+        known = [s for s in range(STATES) if costs[s, end] < np.inf]
+        paths = {s: [at for at, *_ in replay(roles, s, end)][::-1] for s in known}
+        for i, s in enumerate(sorted(known, key=lambda s: (paths[s], s))):  # noqa: B023
+            place[s, end] = i
+    return place.ravel().tolist()
+
+
 def end_state(costs: np.ndarray) -> int:
     """The state to end the turns in, empty turns at the end counted."""
     closing = np.array([FILL[s][FINAL][0] for s in range(STATES)])
@@ -149,8 +163,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def joined_pieces(tables: list[tuple]) -> dict[tuple[int, object], tuple[int, int, int, bool]]:
-    """Of rows (range, conv_id, n, m) in order, of the first and last conversation of each range: what each piece of one that spans ranges
-    needs, by (range, conv_id): start state, end state, turns before it, and whether it is the last one."""
+    """Of rows (range, conv_id, n, m, places) in order, of the first and last conversation of each range: what each piece of one that spans
+    ranges needs, by (range, conv_id): start state, end state, turns before it, and whether it is the last one."""
     chains: list[list[tuple]] = []
     for row in tables:
         if chains and chains[-1][-1][1] == row[1] and chains[-1][-1][0] != row[0]:
@@ -159,15 +173,18 @@ def joined_pieces(tables: list[tuple]) -> dict[tuple[int, object], tuple[int, in
             chains.append([row])
     out = {}
     for chain in (c for c in chains if len(c) > 1):
-        each = [np.array(m).reshape(STATES, STATES) for *_, m in chain]
+        each = [np.array(m).reshape(STATES, STATES) for *_, m, _ in chain]
+        places = [np.array(p).reshape(STATES, STATES) for *_, p in chain]
         reach = [np.where(np.arange(STATES) == 0, 0.0, 1e18)]
         for m in each:
             reach.append((reach[-1][:, None] + m).min(axis=0))
         ends = [end_state(reach[-1])]
         for i in reversed(range(len(each))):
-            ends.append(int((reach[i] + each[i][:, ends[-1]]).argmin()))
+            through = reach[i] + each[i][:, ends[-1]]
+            best = np.flatnonzero(through == through.min())
+            ends.append(int(best[places[i][best, ends[-1]].argmin()]))
         ends.reverse()
-        done = np.cumsum([0] + [n for _, _, n, _ in chain])
+        done = np.cumsum([0] + [n for _, _, n, *_ in chain])
         for i, (part, name, *_) in enumerate(chain):
             out[part, name] = (ends[i], ends[i + 1], int(done[i]), i == len(chain) - 1)
     return out
@@ -195,13 +212,15 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
         for group in _groups(watched()):
             kept = [*kept[:1], (group[0][0], len(group), [role_of(r[1]) for r in group])]
         if kept:
-            m = [np.where(np.isinf(c := block_costs(roles)), 1e18, c).ravel().tolist() for *_, roles in kept]
+            costs = [block_costs(roles) for *_, roles in kept]
+            m = [np.where(np.isinf(c), 1e18, c).ravel().tolist() for c in costs]
+            places = [precedence(roles, c) for (*_, roles), c in zip(kept, costs, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(kept), pa.int32()), pa.array([k[0] for k in kept], conv_kind), pa.array([k[1] for k in kept], pa.int64()), pa.array(m, pa.list_(pa.float64()))],
-                names=["part", "conv_id", "n", "m"],
+                [pa.array([part] * len(kept), pa.int32()), pa.array([k[0] for k in kept], conv_kind), pa.array([k[1] for k in kept], pa.int64()), pa.array(m, pa.list_(pa.float64())), pa.array(places, pa.list_(pa.int32()))],
+                names=["part", "conv_id", "n", "m", "places"],
             )
 
-    tables = rows.mapInArrow(ends_of_range, f"part int, conv_id {kind}, n long, m array<double>").collect()  # two rows a range at most
+    tables = rows.mapInArrow(ends_of_range, f"part int, conv_id {kind}, n long, m array<double>, places array<int>").collect()  # two rows a range at most
     # a stable sort: a range's first conversation stays before its last
     spans = turns.sparkSession.sparkContext.broadcast(joined_pieces([tuple(r) for r in sorted(tables, key=lambda r: r["part"])]))
 

@@ -145,5 +145,43 @@ p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY part, doc_id NUL
   row_number() OVER (PARTITION BY bucket, part ORDER BY doc_id NULLS FIRST, piece, text_key) - rank() OVER (PARTITION BY bucket, part ORDER BY doc_id NULLS FIRST, piece, text_key) AS copy FROM r)
 SELECT doc_id, CAST(copy AS INT) AS copy, CAST(piece AS INT) AS piece, n_tokens, bucket, bucket - n_tokens AS padding, CAST(spot // greatest(1, 65536 // greatest(bucket, 1)) AS BIGINT) AS batch_id,
   CAST(spot % greatest(1, 65536 // greatest(bucket, 1)) AS INT) AS slot, CAST(length(text) AS INT) AS n_chars, md5(text) AS text_md5 FROM p"""
-
-ORACLE_SQL: dict[str, str] = {"op3_packing": _PACK, "op1_mixing": _MIX, "op4_url_reputation": _URLS}
+#: op7: every pair, components added up in order.
+_NEAREST = """WITH u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+m AS (SELECT len(v) AS dim FROM u GROUP BY 1 ORDER BY count(*) DESC, dim LIMIT 1), c AS (SELECT u.* FROM u JOIN m ON len(v) = dim),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(c.v) + 1), lambda i: q.v[i] * c.v[i])) AS score FROM c AS q JOIN c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(r AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 20"""
+
+
+def _empty(states: tuple[int, ...]) -> str:
+    return "".join(f"<|{chat.ROLES[s - 1]}|>\n\n<|end|>\n" for s in states)
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_FAR = 1e18
+_STATES = range(chat.STATES)
+_MOVES = ", ".join(
+    f"({-1 if role is None else role}, {s}, {t}, {min(_FAR, c)}, '{action}', {len(fill)}, {_text(_empty(fill))})" for role, m in chat.MOVES.items() for s, row in enumerate(m) for t, (c, action, fill) in enumerate(row)
+)
+_CLOSE = ", ".join(f"({s}, {min(_FAR, chat.FILL[s][chat.FINAL][0])}, {len(chat.FILL[s][chat.FINAL][1])}, {_text(_empty(chat.FILL[s][chat.FINAL][1]))})" for s in _STATES)
+_WAYS = "[" + ", ".join("[" + ", ".join(f"c[{s + 1}] + m[{4 * s + t + 1}]" for s in _STATES) + "]" for t in _STATES) + "]"
+#: op10: costs forward turn by turn, the path backward, and the rendered pieces along it.
+_CHAT = f"""WITH RECURSIVE moves(role, s, t, cost, action, fills, fill_text) AS (VALUES {_MOVES}), ends(s, cost, n, close_text) AS (VALUES {_CLOSE}), roles(id, name) AS (VALUES {", ".join(str((i, n)) for i, n in enumerate(chat.ROLES))}),
+costs AS (SELECT role, list(cost ORDER BY s, t) AS m FROM moves GROUP BY role), closing AS (SELECT list(cost ORDER BY s) AS e FROM ends),
+t AS (SELECT conv_id, turn, role AS role_in, coalesce(id, -1) AS role, text, dense_rank() OVER (ORDER BY conv_id) AS cid, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM conversations LEFT JOIN roles ON lower(trim(role)) = name),
+f AS (SELECT DISTINCT cid, CAST(0 AS BIGINT) AS i, [0.0, {_FAR}, {_FAR}, {_FAR}]::DOUBLE[] AS c, NULL::INT[] AS came FROM t
+  UNION ALL SELECT cid, i, list_transform(ways, lambda w: list_min(w)), list_transform(ways, lambda w: CAST(list_position(w, list_min(w)) - 1 AS INT)) FROM
+    (SELECT f.cid, t.i, {_WAYS} AS ways FROM f JOIN t ON t.cid = f.cid AND t.i = f.i + 1 JOIN costs ON costs.role = t.role)),
+last AS (SELECT f.cid, f.i, CAST(list_position(w, list_min(w)) - 1 AS INT) AS at FROM (SELECT f.*, [{", ".join(f"c[{s + 1}] + e[{s + 1}]" for s in _STATES)}] AS w FROM f, closing) f JOIN (SELECT DISTINCT cid, n FROM t) x ON x.cid = f.cid AND x.n = f.i),
+b AS (SELECT * FROM last UNION ALL SELECT f.cid, f.i - 1, f.came[b.at + 1] FROM b JOIN f ON f.cid = b.cid AND f.i = b.i WHERE b.i > 0),
+p AS (SELECT t.*, b.at, f.came[b.at + 1] AS before FROM t JOIN b ON b.cid = t.cid AND b.i = t.i JOIN f ON f.cid = t.cid AND f.i = t.i)
+SELECT conv_id, turn, p.i - 1 AS seq, role_in, name AS role_out, action, CAST(moves.cost + CASE WHEN p.i = p.n THEN ends.n * {chat.INSERT} ELSE 0 END AS DOUBLE) AS cost, CAST(fills AS INT) AS empty_before, CAST(CASE WHEN p.i = p.n THEN ends.n ELSE 0 END AS INT) AS empty_after,
+  CASE WHEN action = 'merge' THEN chr(10) ELSE CASE WHEN p.i > 1 THEN chr(10) || '<|end|>' || chr(10) ELSE '' END || fill_text || '<|' || name || '|>' || chr(10) END
+  || regexp_replace(coalesce(text, ''), '<(\\\\*\\|)', '<\\\\\\1', 'g') || CASE WHEN p.i = p.n THEN chr(10) || '<|end|>' || chr(10) || close_text ELSE '' END AS rendered
+FROM p JOIN moves ON moves.role = p.role AND moves.s = p.before AND moves.t = p.at JOIN ends ON ends.s = p.at JOIN roles ON roles.id = p.at - 1"""
+
+ORACLE_SQL: dict[str, str] = {"op10_chat_repair": _CHAT, "op7_rotated_bits": _NEAREST, "op3_packing": _PACK, "op1_mixing": _MIX, "op4_url_reputation": _URLS}
