@@ -31,6 +31,8 @@ from .common import cut, small_batches
 
 #: Of a block so many times k vectors are reranked before any bound is used.
 FIRST = 4
+#: Tasks for the pairs of blocks, for each shuffle partition of the session.
+TASKS = 4
 
 BLOCK = "block long, n int, ids binary, bits binary, scalars binary, vectors binary"
 
@@ -122,8 +124,7 @@ def _blocks(rows: DataFrame, dim: int, parts: int) -> DataFrame:
 
     # the number of blocks follows from the number of rows alone, whatever the number of partitions
     named = rows.withColumn("b", F.pmod(F.xxhash64("id", "v"), F.lit(parts)))
-    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return named.groupBy("b").applyInArrow(run, BLOCK).repartition(min(parts, most), "block")
+    return named.groupBy("b").applyInArrow(run, BLOCK).repartition(parts)
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 10_000, query_rows: int = 512, epsilon: float = 3.5) -> DataFrame:
@@ -136,8 +137,12 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
         return empty
     dim, turn = shape["dim"], rotation(shape["dim"])
     usable, asked = usable.filter(F.size("v") == dim), asked.filter(F.size("v") == dim)
-    data = cut(_blocks(usable, dim, int(shape["count"] // block_rows) + 1))
-    asks = cut(_blocks(asked, dim, int(asked.count() // query_rows) + 1))
+    data_blocks, ask_blocks = int(shape["count"] // block_rows) + 1, int(asked.count() // query_rows) + 1
+    # partitions of the one side times those of the other are the tasks of the pairs: some for each core, not more
+    tasks = TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data_parts = min(data_blocks, tasks)
+    data = cut(_blocks(usable, dim, data_blocks)).coalesce(data_parts)
+    asks = cut(_blocks(asked, dim, ask_blocks)).coalesce(max(1, min(ask_blocks, tasks // data_parts)))
     # every block of the stated queries meets every block of vectors
     sent = asks.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     pairs = data.select("ids", "bits", "scalars", "vectors").crossJoin(sent)
