@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pyrogrid.llm import ann, bwt, chat, langid, mixing, neardup, ordermin, packing, queries, simhash, suffixdedup, toxicity, urlrep
+from pyrogrid.llm import ann, bwt, chat, common, langid, mixing, neardup, ordermin, packing, queries, simhash, suffixdedup, toxicity, urlrep
 
 DOCS = "doc_id long, text string"
 
@@ -23,6 +23,20 @@ def words(rng, n, size=300):
     return " ".join(f"w{rng.randrange(size)}" for _ in range(n))
 
 
+# ---- joins that meet hot keys
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("most", [0, 1000])
+def test_looked_up(spark, how, most):
+    rows = [(1 if i % 3 else i, i) for i in range(3000)] + [(None, -1)]
+    big, small = spark.createDataFrame(rows, "k long, v long"), spark.createDataFrame([(i, f"n{i}") for i in range(0, 3000, 2)] + [(1, "hot")], "k long, name string")
+    got = sorted(map(str, common.looked_up(big, small, "k", how, most).select("k", "v", "name").collect()))
+    assert got == sorted(map(str, big.join(small, "k", how).select("k", "v", "name").collect()))
+    two = common.looked_up(big.withColumn("j", F.lit(1)), small.withColumn("j", F.lit(1)), ["k", "j"], how, most)
+    assert sorted(map(str, two.select("k", "v", "name").collect())) == got
+
+
 # ---- exact substring dedup
 
 
