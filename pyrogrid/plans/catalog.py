@@ -223,7 +223,7 @@ def _(det):
     return cells.density(base.withColumn("level", F.lit(500)).unionByName(up.withColumn("level", F.lit(1000)), allowMissingColumns=True))
 
 
-@register("a21_over_budget", " UNION ALL ".join(f"SELECT * FROM (SELECT {level} AS level, COUNT(DISTINCT cell) * COUNT(DISTINCT bucket) * 400000.0 / 1e6 AS mb, {25.0 * 4 ** max(0, level - 6)} AS budget_mb FROM (SELECT {CELL.format(s=s)} AS cell, month_key AS bucket FROM ord)) WHERE mb > budget_mb" for level, s in ((9, 250), (8, 500), (6, 2000))), "ord")
+@register("a21_over_budget", " UNION ALL ".join(f"SELECT * FROM (SELECT {level} AS level, COUNT(DISTINCT cell) * COUNT(DISTINCT bucket) * 400000.0 / 1e6 AS mb, CAST({25.0 * 4 ** max(0, level - 6)} AS DOUBLE) AS budget_mb FROM (SELECT {CELL.format(s=s)} AS cell, month_key AS bucket FROM ord)) WHERE mb > budget_mb" for level, s in ((9, 250), (8, 500), (6, 2000))), "ord")
 def _(det):
     base = cells.base_cells(det, plain_cell(F.col("lon_c"), F.col("lat_c"), 250), F.col("month_key"), ())
     levels = [base.withColumn("level", F.lit(9)), cells.rollup(base, plain_parent(F.col("cell"), 2), "bucket").withColumn("level", F.lit(8)), cells.rollup(base, plain_parent(F.col("cell"), 8), "bucket").withColumn("level", F.lit(6))]
