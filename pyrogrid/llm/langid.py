@@ -40,20 +40,26 @@ def multipliers(order: int) -> np.ndarray:
 
 
 @cache
-def not_letters() -> re.Pattern:
-    """Runs of what is neither a letter nor a mark: marks are vowels and tones in many scripts, and part of their words."""
+def patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """A mark; runs of what is no letter; and runs of what is neither letter nor mark, which takes longer.
+
+    Marks are vowels and tones in many scripts, and part of their words.
+    """
     marks = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == "M"]
     ranges, lo = [], marks[0]
     for a, b in zip(marks, [*marks[1:], -1]):
         if b != a + 1:
             ranges.append(f"{chr(lo)}-{chr(a)}")
             lo = b
-    return re.compile(rf"(?:[^\w{''.join(ranges)}]|[\d_])+")
+    every = "".join(ranges)
+    return re.compile(f"[{every}]"), re.compile(r"[\W\d_]+"), re.compile(rf"(?:[^\w{every}]|[\d_])+")
 
 
 def letters(text: str | None) -> str:
     """Lower-case letters, with their marks, and single spaces between words and around; empty without letters."""
-    body = not_letters().sub(" ", (text or "").lower()).strip()
+    mark, plain, marked = patterns()
+    text = (text or "").lower()
+    body = (plain if text.isascii() or not mark.search(text) else marked).sub(" ", text).strip()
     return f" {body} " if re.search(r"[^\W\d_]", body) else ""
 
 
