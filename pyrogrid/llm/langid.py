@@ -41,7 +41,7 @@ def multipliers(order: int) -> np.ndarray:
 
 @cache
 def patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
-    """A mark; runs of what is no letter; and runs of what is neither letter nor mark, which takes longer.
+    """What may be a mark (any character beyond 16 bits among them); runs of what is no letter; and runs of what is neither letter nor mark, which takes longer.
 
     Marks are vowels and tones in many scripts, and part of their words.
     """
@@ -52,7 +52,8 @@ def patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
             ranges.append(f"{chr(lo)}-{chr(a)}")
             lo = b
     every = "".join(ranges)
-    return re.compile(f"[{every}]"), re.compile(r"[\W\d_]+"), re.compile(rf"(?:[^\w{every}]|[\d_])+")
+    short = "".join(r for r in ranges if r[2] <= "\uffff")
+    return re.compile(f"[{short}]|[\U00010000-\U0010ffff]"), re.compile(r"[\W\d_]+"), re.compile(rf"(?:[^\w{every}]|[\d_])+")
 
 
 def letters(text: str | None) -> str:
