@@ -72,16 +72,15 @@ def looked_up(big: DataFrame, small: DataFrame, key: str | list[str], how: str =
     if small.limit(most + 1).count() <= most:
         return big.join(F.broadcast(small), keys, how)
     total = big.count()
-    counts = big.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") * SHARE > total).collect()
-    hot_keys = [tuple(r[k] for k in keys) for r in counts if all(r[k] is not None for k in keys)]  # fewer than SHARE
+    counts = big.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") * SHARE > total)
+    hot_keys = [r[0] for r in counts.select(F.xxhash64(*keys)).collect()]  # fewer than SHARE
     if not hot_keys:
         return big.join(small, keys, how)
-    hot = F.broadcast(big.sparkSession.createDataFrame([(*k, True) for k in hot_keys], big.select(*keys).schema.add("__hot", "boolean")))
-    salt = F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
-    left = big.join(hot, keys, "left").withColumn("__salt", salt).drop("__hot")
-    right = small.join(hot, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
-    return left.join(right, [*keys, "__salt"], how).drop("__salt")
+    # told by a hash: a key that shares it is salted too, on both sides
+    hot = F.xxhash64(*keys).isin(*hot_keys)
+    salts = F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    left = big.withColumn("__salt", F.when(hot, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0).cast("long")))
+    return left.join(small.withColumn("__salt", F.explode(salts)), [*keys, "__salt"], how).drop("__salt")
 
 
 def dropped(df: DataFrame) -> None:
