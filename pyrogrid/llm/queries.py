@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, mixing, ordermin, packing, simhash, suffixdedup, toxicity, urlrep
+from . import ann, balltree, chat, counttree, langid, mixing, ordermin, packing, periodic, simhash, suffixdedup, toxicity, urlrep
 from .common import held_out, table
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -77,9 +77,34 @@ def op10_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
 
+def op11_count_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = counttree.jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    most = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    best = found.select("doc_id", "n_words", "runs", "collapsed", most.alias("m"), listed.alias("listed"))
+    length, period = F.col("m.length"), -F.col("m.less")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("m.before")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_suffix_dedup, op3_packing, op4_url_reputation, op5_language_id, op6_toxicity, op7_rotated_bits, op8_order_minhash, op9_simhash, op10_chat_repair)
+    for f in (
+        op1_mixing, op2_suffix_dedup, op3_packing, op4_url_reputation, op5_language_id, op6_toxicity, op7_rotated_bits, op8_order_minhash, op9_simhash, op10_chat_repair,
+        op11_count_tree, op12_ball_tree, op13_periodic_runs,
+    )
 }
 
 _TAIL = "array_to_string(labels[-least({k}, len(labels)):], '.')"
@@ -184,4 +209,14 @@ SELECT conv_id, turn, p.i - 1 AS seq, role_in, name AS role_out, action, CAST(mo
   || regexp_replace(coalesce(text, ''), '<(\\\\*\\|)', '<\\\\\\1', 'g') || CASE WHEN p.i = p.n THEN chr(10) || '<|end|>' || chr(10) || close_text ELSE '' END AS rendered
 FROM p JOIN moves ON moves.role = p.role AND moves.s = p.before AND moves.t = p.at JOIN ends ON ends.s = p.at JOIN roles ON roles.id = p.at - 1"""
 
-ORACLE_SQL: dict[str, str] = {"op10_chat_repair": _CHAT, "op7_rotated_bits": _NEAREST, "op3_packing": _PACK, "op1_mixing": _MIX, "op4_url_reputation": _URLS}
+#: op12: the stated integers, term by term.
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_RANKED = f"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), '{urlrep.UPPER}', '{urlrep.LOWER}'), '{_TERM}') AS ts FROM documents),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS big_l FROM d WHERE len(ts) > 0),
+p AS (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d), f AS (SELECT r, doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL),
+i AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{urlrep.UPPER}', '{urlrep.LOWER}'), '{_TERM}')) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, big_n),
+q AS (SELECT item_id, r, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) AS BIGINT) AS score FROM i JOIN f USING (term) JOIN w USING (term), s GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM q WHERE score > 0) WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op12_ball_tree": _RANKED, "op10_chat_repair": _CHAT, "op7_rotated_bits": _NEAREST, "op3_packing": _PACK, "op1_mixing": _MIX, "op4_url_reputation": _URLS}
