@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_BITS = 28
+#: West, south, east, north; east may pass 180.
+View = tuple[float, float, float, float]
 
 
 def _axis(x: Column, n: int) -> Column:
@@ -61,6 +63,55 @@ def with_hilbert(df: DataFrame, lon: Column, lat: Column, name: str, bits: int =
     return out.withColumn(name, F.col(d)).drop(x, y, d)
 
 
+def hilbert_place(x: int, y: int, bits: int) -> int:
+    """The place of one square on the curve of with_hilbert; its upper bits are the place of the square of fewer bits that holds it."""
+    d = 0
+    for k in reversed(range(bits)):
+        low = (1 << k) - 1
+        rx, ry, x, y = x >> k & 1, y >> k & 1, x & low, y & low
+        d = (d << 2) + (3 * rx ^ ry)
+        if not ry:
+            x, y = (low - y, low - x) if rx else (y, x)
+    return d
+
+
+def hilbert_cover(view: View, most: int = 32, bits: int = 16) -> list[tuple[int, int]]:
+    """Ranges of the curve, at most so many, that hold all places in a view; they hold others only at its rim.
+
+    Squares at the view's rim are quartered as long as the ranges stay few; then the smallest gaps are closed.
+    """
+    n = 1 << bits
+    w, s, e, north = view
+    row = lambda lat: min(n - 1, max(0, int((lat + 90) / 180 * n // 1)))
+    column = lambda lon: min(n - 1, max(0, int((lon + 180) / 360 * n // 1)))
+    turns = [(-180.0, 180.0)] if e - w >= 360 else [(max(-180.0, w + k), min(180.0, e + k)) for k in range(-1080, 1081, 360) if w + k <= 180 and e + k >= -180]
+    boxes = [(column(a), row(s), column(b), row(north)) for a, b in turns] if s <= 90 and north >= -90 and s <= north and w <= e else []
+    if not boxes:
+        return []
+    inside: list[tuple[int, int]] = []
+    rim, level = [(0, 0)], 0
+    while True:
+        below, size = [], n >> level
+        for x, y in rim:
+            lo_x, lo_y, hi_x, hi_y = x * size, y * size, (x + 1) * size - 1, (y + 1) * size - 1
+            if any(a <= lo_x and hi_x <= c and b <= lo_y and hi_y <= d for a, b, c, d in boxes):
+                first = hilbert_place(x, y, level) * size * size
+                inside.append((first, first + size * size - 1))
+            elif any(a <= hi_x and lo_x <= c and b <= hi_y and lo_y <= d for a, b, c, d in boxes):
+                below.append((x, y))
+        if level == bits or len(below) * 4 > 8 * most:
+            ends = [(hilbert_place(x, y, level) * size * size, size * size) for x, y in below]
+            ranges = sorted(inside + [(first, first + k - 1) for first, k in ends])
+            break
+        rim, level = [(2 * x + i, 2 * y + j) for x, y in below for i in (0, 1) for j in (0, 1)], level + 1
+    gaps = sorted((b[0] - a[1], i) for i, (a, b) in enumerate(zip(ranges, ranges[1:], strict=False)))
+    close = {i for k, (gap, i) in enumerate(gaps) if gap <= 1 or k < len(gaps) - most + 1}
+    out = [ranges[0]]
+    for i, r in enumerate(ranges[1:]):
+        out[-1:] = [(out[-1][0], r[1])] if i in close else [out[-1], r]
+    return out
+
+
 def lon_overlaps(w: Column, e: Column, view_w: Column | float, view_e: Column | float) -> Column:
     """Whether [w, e] meets the view on the circle: the view may cross the antimeridian or be a world copy."""
     vw, ve = (x if isinstance(x, Column) else F.lit(float(x)) for x in (view_w, view_e))

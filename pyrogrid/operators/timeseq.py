@@ -67,6 +67,29 @@ def range_sum(total: DataFrame, lo: str, hi: str) -> DataFrame:
     return total.filter(F.col("bucket") <= hi).groupBy("cell").agg((at(F.col("bucket") <= hi) - at(F.col("bucket") < lo)).alias("cnt"))
 
 
+def running_blocks(cells: DataFrame, block: Column) -> DataFrame:
+    """Running totals that begin anew in each block of buckets: cell, block, bucket, running. A changed bucket then changes one block, not all that follow."""
+    w = Window.partitionBy("cell", "block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return cells.withColumn("block", block).select("cell", "block", "bucket", F.sum(F.coalesce("cnt", F.lit(0))).over(w).cast("long").alias("running"))
+
+
+def block_totals(blocks: DataFrame) -> DataFrame:
+    """What each block adds to a cell: cell, block, total."""
+    return blocks.groupBy("cell", "block").agg(F.max("running").alias("total"))
+
+
+def block_range_sum(blocks: DataFrame, totals: DataFrame, lo: str, hi: str, block_of) -> DataFrame:
+    """Per cell the sum over [lo, hi]: the totals of the blocks between, and within the first and last block the running totals.
+
+    block_of tells the block of a bucket, as a value; of the blocks only the first and the last one are read.
+    """
+    first, last = block_of(lo), block_of(hi)
+    at = lambda cond: F.coalesce(F.max(F.when(cond, F.col("running"))), F.lit(0))
+    ends = blocks.filter(F.col("block").isin(first, last)).groupBy("cell", "block").agg((at(F.col("bucket") <= hi) - at(F.col("bucket") < lo)).alias("cnt"))
+    between = totals.filter((F.col("block") > first) & (F.col("block") < last)).select("cell", "block", F.col("total").alias("cnt"))
+    return ends.unionByName(between).groupBy("cell").agg(F.sum("cnt").cast("long").alias("cnt"))
+
+
 def gaps(axis: DataFrame, sources: DataFrame) -> DataFrame:
     """Of an axis (pos, bucket, unit): ranges of positions that no source (unit, min_key, max_key) of the unit covers."""
     s = F.broadcast(sources.select(F.col("unit").alias("u"), "min_key", "max_key"))

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import in_view, plain_cell
-
-View = tuple[float, float, float, float]
+from ..functions.grid import View, in_view, plain_cell
 
 
 def histogram(cells: DataFrame, bounds: DataFrame, view: View) -> DataFrame:

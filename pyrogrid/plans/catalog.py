@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fields, keys
 from ..functions.grid import bounds, cell, in_view, lon_overlaps, mercator_y, parent, plain_cell, plain_parent, tile_point, tile_xy, with_hilbert
 from ..operators import cells, classify, maintain, profile, quality, route, timeseq, viewport
-from ..sources import normalize, store
+from ..sources import normalize, store, versions
 from ..sources.adapters import EVENTS, ORDERS, detections, yearly
 from ..sources.schema import SOURCES as FEEDS
 from ..streaming import jobs
@@ -923,10 +923,21 @@ def _(spark, sf_dir):
 
 @register("s8_staged_swap", "SELECT year, COUNT(*) AS cnt FROM ord WHERE year <> 1999 OR sensor <> 'MODIS' GROUP BY year", "ord", raw=True)
 def _(spark, sf_dir):
-    root = stored(spark, sf_dir)
-    fresh = spark.read.parquet(f"{root}/detections").filter("year = 1999 and sensor <> 'MODIS'").drop("year")
-    store.staged_swap(fresh, f"{root}/detections", f"{root}/staging", fresh.count(), [lambda df: quality.duplicates(df, ("det_id",))])
-    return spark.read.parquet(f"{root}/detections").groupBy("year").agg(F.count("*").alias("cnt"))
+    path = f"{store.scratch(spark)}/detections"
+    det = yearly(spark, sf_dir).withColumns({"lon": F.col("lon_c") / 100, "lat": F.col("lat_c") / 100})
+    gates = [lambda df: quality.duplicates(df, ("det_id",))]
+    store.staged_swap(det, path, det.count(), gates)
+    fresh = versions.read(spark, path, ["1999"]).filter("sensor <> 'MODIS'")
+    store.staged_swap(fresh, path, fresh.count(), gates)
+    return versions.read(spark, path).groupBy("year").agg(F.count("*").alias("cnt"))
+
+
+@register("p16_by_place", f"SELECT det_id, day_key FROM det WHERE {IN_VIEW}", "det", raw=True)
+def _(spark, sf_dir):
+    """The view of a13, read from the store by ranges of the curve."""
+    path = f"{store.scratch(spark)}/detections"
+    store.write_detections(detections(spark, sf_dir), path)
+    return store.by_place(spark.read.parquet(path), VIEW).select("det_id", "day_key")
 
 
 @register("s9_sidecar", f"AS_CTE c AS (SELECT month_key AS bucket, CASE WHEN year BETWEEN 1999 AND 2001 THEN '1999-2001' WHEN year BETWEEN 1995 AND 1998 THEN '1995-1998' END AS era FROM ord) SELECT era, MIN(bucket) AS min_bucket, MAX(bucket) AS max_bucket, COUNT(DISTINCT bucket) AS buckets, (SELECT COUNT(*) FROM (SELECT DISTINCT {_AXIS.format(u='(lon_c / 100.0 + 180) / 360', n=128)}, {_AXIS.format(u='(sin(radians(lat_c / 100.0)) + 1) / 2', n=64)} FROM ord)) AS bounds FROM c WHERE era IS NOT NULL GROUP BY era", "ord", raw=True)
@@ -947,15 +958,109 @@ def _(det):
 # ---- streams read as a whole -----------------------------------------------------------------------------------------
 
 
-@register("x2_rolling_windows", "SELECT CAST(w AS TIMESTAMP) AS start, COUNT(*) AS cnt FROM (SELECT unnest(generate_series(CAST(acq_date AS TIMESTAMP) - INTERVAL 6 DAY, CAST(acq_date AS TIMESTAMP), INTERVAL 1 DAY)) AS w FROM det) GROUP BY 1", "det")
-def _(det):
-    slid = det.groupBy(F.window("acq_datetime", "7 days", "1 day")).agg(F.count("*").alias("cnt"))
-    return slid.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "cnt")
+def as_stream(spark: SparkSession, batches: list[DataFrame], run: Callable[[DataFrame], None]) -> None:
+    """Let a stream run once for each batch of arriving rows, from where the run before ended."""
+    path = f"{store.scratch(spark)}/in"
+    for rows in batches:
+        rows.withColumn("acq_datetime", F.col("acq_datetime").cast("timestamp")).write.mode("append").parquet(path)
+        run(jobs.table_stream(spark, path))
 
 
-@register("x3_daily_counts", "SELECT CAST(CAST(acq_date AS TIMESTAMP) AS TIMESTAMP) AS day, sensor, COUNT(*) AS cnt FROM det GROUP BY 1, 2", "det")
-def _(det):
-    return det.groupBy(F.window("acq_datetime", "1 day"), "sensor").agg(F.count("*").alias("cnt")).select(F.col("window.start").cast("timestamp_ntz").alias("day"), "sensor", "cnt")
+def with_late(det: DataFrame) -> list[DataFrame]:
+    """Rows up to the middle of the 24th; then the others, and the first days once more, too late to count."""
+    return [det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {SPLIT} or acq_datetime < TIMESTAMP '2024-01-06 00:00:00'")]
+
+
+@feed("x1_ingest", f"SELECT CAST(latitude AS DOUBLE) AS lat, CAST(longitude AS DOUBLE) AS lon, {_PLATFORM} AS satellite, nullif({_CONFIDENCE}, '') AS confidence, 'VIIRS_NOAA21' AS sensor, 'nrt' AS quality, CAST(nullif(trim(frp), '') AS DOUBLE) AS frp, strftime(CAST(acq_date AS DATE) + INTERVAL (CAST(acq_time AS INT) // 100) HOUR + INTERVAL (CAST(acq_time AS INT) % 100) MINUTE, '%Y-%m-%d %H:%M') AS t FROM raw WHERE {_PLACED}")
+def _(spark, sf_dir):
+    """Two deliveries of a CSV feed."""
+    root, raw = store.scratch(spark), raw_feed(spark, sf_dir)
+    for late in (False, True):
+        raw.filter((F.col("acq_date") >= "2024-01-24") == late).write.mode("append").option("header", True).csv(f"{root}/in")
+        jobs.append_to(jobs.ingest(spark, f"{root}/in", "VIIRS_NOAA21_NRT", raw.schema), f"{root}/out", f"{root}/checkpoint")
+    rows = spark.read.parquet(f"{root}/out")
+    return rows.select("lat", "lon", "satellite", "confidence", "sensor", "quality", "frp", F.date_format("acq_datetime", "yyyy-MM-dd HH:mm").alias("t"))
+
+
+@register("x2_rolling_windows", "SELECT CAST(w AS TIMESTAMP) AS start, COUNT(*) AS cnt FROM (SELECT unnest(generate_series(CAST(acq_date AS TIMESTAMP) - INTERVAL 6 DAY, CAST(acq_date AS TIMESTAMP), INTERVAL 1 DAY)) AS w FROM det) GROUP BY 1", "det", raw=True)
+def _(spark, sf_dir):
+    root = store.scratch(spark)
+    each = jobs.keep_latest(f"{root}/kept", ("start", "end"), F.date_format("start", "yyyyMMdd"))
+    as_stream(spark, with_late(detections(spark, sf_dir)), lambda s: jobs.fold_into(jobs.rolling(s), each, f"{root}/checkpoint", "update"))
+    return versions.read(spark, f"{root}/kept").select(F.col("start").cast("timestamp_ntz").alias("start"), "cnt")
+
+
+@register("x3_daily_counts", "SELECT CAST(CAST(acq_date AS TIMESTAMP) AS TIMESTAMP) AS day, sensor, COUNT(*) AS cnt FROM det GROUP BY 1, 2", "det", raw=True)
+def _(spark, sf_dir):
+    root = store.scratch(spark)
+    each = jobs.keep_latest(f"{root}/kept", ("day", "sensor"), F.date_format("day", "yyyyMMdd"))
+    as_stream(spark, with_late(detections(spark, sf_dir)), lambda s: jobs.fold_into(jobs.live_counts(s), each, f"{root}/checkpoint", "update"))
+    return versions.read(spark, f"{root}/kept").select(F.col("day").cast("timestamp_ntz").alias("day"), "sensor", "cnt")
+
+
+def folded(spark: SparkSession, batches: list[DataFrame]) -> str:
+    """The root of a store whose detections, kept by day, have taken in the batches as a stream."""
+    root = store.scratch(spark)
+    each = jobs.apply_window(f"{root}/detections", 2024)
+    as_stream(spark, batches, lambda s: jobs.fold_into(s, each, f"{root}/checkpoint"))
+    return root
+
+
+@register("x4_late_science", "SELECT det_id, quality FROM det d WHERE quality = 'sp' OR NOT EXISTS (SELECT 1 FROM det s WHERE s.sensor = d.sensor AND s.acq_date = d.acq_date AND s.quality = 'sp')", "det", raw=True)
+def _(spark, sf_dir):
+    """Near-real-time rows first; then their tail again, and the science rows of all days."""
+    det = detections(spark, sf_dir)
+    nrt = det.filter("quality = 'nrt'")
+    root = folded(spark, [nrt.filter("acq_date < DATE '2024-01-28'"), nrt.filter("acq_date >= DATE '2024-01-25'").unionByName(det.filter("quality = 'sp'"))])
+    return versions.read(spark, f"{root}/detections").select("det_id", "quality")
+
+
+#: An archive up to the 26th, and a window from the 20th on that lacks two days.
+FOLDS = ("acq_date < DATE '2024-01-27'", "acq_date >= DATE '2024-01-20' AND acq_date NOT IN (DATE '2024-01-22', DATE '2024-01-23')")
+
+
+def two_folds(spark: SparkSession, sf_dir: str) -> str:
+    det = detections(spark, sf_dir).withColumn("quality", F.lit("nrt"))
+    return folded(spark, [det.filter(f) for f in FOLDS])
+
+
+@register("x5_fold", "SELECT det_id, acq_date FROM det WHERE acq_date NOT IN (DATE '2024-01-22', DATE '2024-01-23')", "det", raw=True)
+def _(spark, sf_dir):
+    return versions.read(spark, f"{two_folds(spark, sf_dir)}/detections").select("det_id", "acq_date")
+
+
+def kept_up(spark: SparkSession, sf_dir: str) -> str:
+    """Cells kept up to date over three folds: after the archive, after a window that lacks two days, and after one that brings them back."""
+    root = store.scratch(spark)
+    each = jobs.apply_window(f"{root}/detections", 2024)
+    det, c = detections(spark, sf_dir).withColumn("quality", F.lit("nrt")), plain_cell(F.col("lon_c"), F.col("lat_c"), 500)
+
+    def run(s: DataFrame) -> None:
+        jobs.fold_into(s, each, f"{root}/checkpoint")
+        store.kept_cells(spark, root, c)
+
+    as_stream(spark, [det.filter("acq_date < DATE '2024-01-24'"), det.filter(f"{FOLDS[1]} AND acq_date < DATE '2024-01-28'"), det.filter("acq_date >= DATE '2024-01-21'")], run)
+    return root
+
+
+@register("a2_kept_cells", f"SELECT {CELL.format(s=500)} AS cell, day_key AS bucket, COUNT(*) AS cnt FROM det GROUP BY 1, 2", "det", raw=True)
+def _(spark, sf_dir):
+    return versions.read(spark, f"{kept_up(spark, sf_dir)}/cells_day").select("cell", "bucket", "cnt")
+
+
+@register("a5_kept_months", f"SELECT {CELL.format(s=500)} AS cell, substr(day_key, 1, 6) AS bucket, COUNT(*) AS cnt, {MONEY.format(c='frp')} AS sum_frp FROM det GROUP BY 1, 2", "det", raw=True)
+def _(spark, sf_dir):
+    return versions.read(spark, f"{kept_up(spark, sf_dir)}/cells_month").select("cell", "bucket", "cnt", F.col("sum_frp").cast("double").alias("sum_frp"))
+
+
+@register("w7_block_range_sum", f"SELECT {CELL.format(s=1000)} AS cell, COUNT(*) AS cnt FROM ord WHERE acq_date BETWEEN DATE '1997-05-12' AND DATE '1998-08-09' GROUP BY 1", "ord", raw=True)
+def _(spark, sf_dir):
+    """Days of seven years in blocks of months."""
+    day = cells.base_cells(yearly(spark, sf_dir), plain_cell(F.col("lon_c"), F.col("lat_c"), 1000), F.date_format("acq_date", "yyyyMMdd"), ())
+    root = store.scratch(spark)
+    timeseq.running_blocks(day, F.substring("bucket", 1, 6)).write.partitionBy("block").parquet(f"{root}/running")
+    blocks = spark.read.schema("cell long, bucket string, running long, block string").parquet(f"{root}/running")
+    return timeseq.block_range_sum(blocks, timeseq.block_totals(blocks), "19970512", "19980809", lambda k: k[:6]).filter("cnt > 0")
 
 
 @register("x6_stall", f"AS_CTE t AS (SELECT DISTINCT acq_datetime AS t FROM det WHERE acq_datetime < {SPLIT} AND acq_datetime > {LO}), e AS (SELECT MAX(t) AS start, TIMESTAMP '2024-01-26 18:00:00' AS \"end\" FROM t) SELECT * FROM e UNION ALL SELECT p, t FROM (SELECT LAG(t) OVER (ORDER BY t) AS p, t FROM (SELECT t FROM t UNION SELECT {LO})) WHERE t > p + INTERVAL 3 HOUR", "det")
@@ -964,10 +1069,13 @@ def _(det):
     return jobs.stall_alarm(det.filter(f"acq_datetime < {SPLIT}"), ntz(LO), ntz("TIMESTAMP '2024-01-27 00:00:00'"))
 
 
-@register("x7_without_repeats", "SELECT sensor, acq_datetime, lon, lat FROM det GROUP BY 1, 2, 3, 4", "det")
-def _(det):
-    twice = det.unionByName(det.filter(f"acq_datetime >= {WINDOW}"))
-    return twice.dropDuplicates(list(jobs.NATURAL_KEY)).select(*jobs.NATURAL_KEY)
+@register("x7_without_repeats", "SELECT sensor, acq_datetime, lon, lat FROM det GROUP BY 1, 2, 3, 4", "det", raw=True)
+def _(spark, sf_dir):
+    """The second delivery brings the last day and a half of the first one again, within the watermark."""
+    root, det = store.scratch(spark), detections(spark, sf_dir)
+    again = [det.filter(f"acq_datetime < {SPLIT}"), det.filter(f"acq_datetime >= {WINDOW}")]
+    as_stream(spark, again, lambda s: jobs.append_to(jobs.without_repeats(s, "2 days"), f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out").select("sensor", F.col("acq_datetime").cast("timestamp_ntz").alias("acq_datetime"), "lon", "lat")
 
 
 @register("x8_alerts", "SELECT det_id, 'east' AS region FROM det WHERE lon > 10.005 AND lon < 60.005 AND lat > -20.005 AND lat < 30.005 AND frp >= 100", "det")

@@ -11,24 +11,38 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.grid import bounds, with_hilbert
+from ..functions.grid import View, bounds, hilbert_cover, in_view, with_hilbert
+from ..operators.cells import again, base_cells
+from ..operators.timeseq import block_totals, running_blocks
+from . import versions
 
 ROWS_PER_GROUP = 100_000
 #: Rows of one file of the store, roughly: some 100 MB.
 ROWS_PER_FILE = 5_000_000
 ERAS = ((2022, 2026), (2015, 2021), (2008, 2014), (2000, 2007))
+#: The place on the curve, kept in the store for reads by place.
+PLACE = "place"
 #: The tables of a store, side by side; none is read by a pattern over the others.
 PARTS = ("detections", "detections_live", "cells", "running", "profiles")
 
 
+def one_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that a local folder is a shared one."""
+    return spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place that spark.checkpoint.dir names; a local one only where it is unset and the session is local."""
+    """A new folder in the shared place that spark.checkpoint.dir names, a local one only where it is unset and the session is one process; it goes with the session's JVM."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not one_process(spark):
             raise RuntimeError("spark.checkpoint.dir names no shared folder")
         shared = tempfile.mkdtemp(prefix="pyrogrid-")
-    return f"{shared}/store-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared}/store-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return path.toString()
 
 
 def removed(spark: SparkSession, path: str) -> None:
@@ -78,9 +92,17 @@ def read_part(spark: SparkSession, root: str, part: str, years: Iterable[int] |
 
 
 def in_order(det: DataFrame, files: int) -> DataFrame:
-    """Ranges of (year, month, place on the curve), sorted within; row-group statistics then prune by time and place."""
-    keyed = with_hilbert(det.withColumns({"year": F.year("acq_date"), "__month": F.month("acq_date")}), F.col("lon"), F.col("lat"), "__place")
-    return keyed.repartitionByRange(files, "year", "__month", "__place").sortWithinPartitions("year", "__month", "__place").drop("__month", "__place")
+    """Ranges of (year, month, place on the curve), sorted within; the place is kept, and row-group statistics prune by time and place."""
+    keyed = with_hilbert(det.withColumn("year", F.year("acq_date")), F.col("lon"), F.col("lat"), PLACE)
+    order = ("year", F.month("acq_date"), PLACE)
+    return keyed.repartitionByRange(files, *order).sortWithinPartitions(*order)
+
+
+def by_place(det: DataFrame, view: View, most: int = 32) -> DataFrame:
+    """Rows of a store in a view.  The view becomes a few ranges of the curve, which reach the scan and skip row groups; the exact test follows."""
+    near = reduce(Column.__or__, [F.col(PLACE).between(lo, hi) for lo, hi in hilbert_cover(view, most)], F.lit(False))
+    lon, lat = F.col("lon"), F.col("lat")
+    return det.filter(near).filter(in_view(lon, lat, lon, lat, view))
 
 
 def _writer(df: DataFrame, level: int, rows_per_group: int):
@@ -98,24 +120,31 @@ def write_detections(det: DataFrame, path: str, level: int = 9, rows_per_group:
     return seen.get["rows"]
 
 
-def staged_swap(det: DataFrame, path: str, staging: str, expected: int, gates: Iterable[Callable[[DataFrame], DataFrame]] = (), level: int = 9, rows_per_group: int = ROWS_PER_GROUP) -> int:
-    """Write beside, check, then replace only the years that the rows have; raises before anything is touched.
+def staged_swap(
+    det: DataFrame, path: str, expected: int, gates: Iterable[Callable[[DataFrame], DataFrame]] = (), level: int = 9, rows_per_group: int = ROWS_PER_GROUP, rows_per_file: int = ROWS_PER_FILE
+) -> int:
+    """Write beside, check what was written, then replace the years that the rows have in one step; raises before anything is touched.
 
-    Each run stages in a folder of its own, so that nothing of an earlier one can be published, and removes it in the end.
+    Rows are written once, in spatial order and as many files as they need; gates read these files. A refused run leaves nothing behind.
     """
-    spark, own = det.sparkSession, f"{staging}/run-{uuid.uuid4().hex}"
+    spark, base = det.sparkSession, versions.manifest(det.sparkSession, path)
+    keyed = with_hilbert(det, F.col("lon"), F.col("lat"), PLACE)
+    staged = versions.stage(
+        keyed, path, F.year("acq_date"), (F.month("acq_date"), PLACE), max(1, -(-expected // rows_per_file)), compression="zstd",
+        **{"parquet.compression.codec.zstd.level": level, "parquet.block.row.count.limit": rows_per_group},
+    )
     try:
-        rows = write_detections(det, own, level, rows_per_group)
-        if rows != expected or not rows:
-            raise ValueError(f"{rows} rows staged, {expected} expected")
-        done = spark.read.parquet(own)
+        if staged.rows != expected or not staged.rows:
+            raise ValueError(f"{staged.rows} rows staged, {expected} expected")
+        done = versions.staged_rows(spark, path, staged)
         for gate in gates:
             if bad := gate(done).take(1):
                 raise ValueError(f"refused by {getattr(gate, '__name__', 'a gate')}: {bad[0]}")
-        _writer(done, level, rows_per_group).parquet(path)
-        return rows
-    finally:
-        removed(spark, own)
+        versions.commit(spark, path, base, staged, note=f"swapped: {', '.join(sorted(staged.parts))}")
+    except BaseException:
+        versions.discard(spark, path, staged)
+        raise
+    return staged.rows
 
 
 def plan_windows(avail: DataFrame, days: int = 5) -> DataFrame:
@@ -157,18 +186,36 @@ def with_bbox(cells: DataFrame, bounds: str = "bounds") -> DataFrame:
     return cells.withColumn("bbox", F.struct(*[F.col(f"{bounds}.{c}") for c in ("w", "s", "e", "n")]))
 
 
-def write_sidecar(cells: DataFrame, path: str, level: int, eras: tuple[tuple[int, int], ...] = ERAS) -> DataFrame:
+def write_sidecar(cells: DataFrame, path: str, level: int, eras: tuple[tuple[int, int], ...] = ERAS, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """A folder of what a map needs of cells (cell, bucket, cnt): bounds alone, and counts split by era; returns the manifest of the eras.
 
-    The tables are small (a row per cell, a row per cell and bucket), so each era is one file.
+    Both are written in ranges of cells, the counts in ranges of era and cell, in as many files as the rows need, so that one task holds neither a table nor an era.
     """
     spark = cells.sparkSession
-    with_bbox(cells.select("cell").distinct().withColumn("bounds", bounds(F.col("cell"), level))).drop("bounds").coalesce(1).write.mode("overwrite").parquet(f"{path}/bounds")
+    rows, alone = cells.agg(F.count("*"), F.approx_count_distinct("cell")).first()
+    files = lambda n: max(1, -(-n // rows_per_file))
+    with_bounds = with_bbox(cells.select("cell").distinct().withColumn("bounds", bounds(F.col("cell"), level))).drop("bounds")
+    with_bounds.repartitionByRange(files(alone), "cell").sortWithinPartitions("cell").write.mode("overwrite").parquet(f"{path}/bounds")
     split = split_by_era(cells.withColumn("year", F.substring("bucket", 1, 4).cast("int")), eras=eras).filter(F.col("era").isNotNull()).drop("year")
-    split.repartition("era").write.mode("overwrite").partitionBy("era").parquet(f"{path}/counts")
+    split.repartitionByRange(files(rows), "era", "cell").sortWithinPartitions("era", "cell", "bucket").write.mode("overwrite").partitionBy("era").parquet(f"{path}/counts")
     return era_manifest(spark.read.parquet(f"{path}/counts"))
 
 
+def kept_cells(spark: SparkSession, root: str, cell: Column, dims: tuple[str, ...] = ()) -> dict[str, set[str]]:
+    """Bring what is derived from a table of detections kept by day (root/detections) up to date: cells by day and by month, running totals in blocks of months.
+
+    Only days whose part has changed are counted again, then the months that hold them; which parts were made again is returned.
+    """
+    day, month = F.date_format("acq_date", "yyyyMMdd"), F.substring("bucket", 1, 6)
+    days = versions.refresh(spark, f"{root}/detections", f"{root}/cells_day", lambda det: base_cells(det, cell, day, dims), F.col("bucket"))
+    of_month = lambda k: k[:6]
+    months = versions.refresh(spark, f"{root}/cells_day", f"{root}/cells_month", lambda c: again(c.withColumn("bucket", month), "cell", "bucket", *dims), F.col("bucket"), of_month)
+    per_day = lambda c: running_blocks(c.groupBy("cell", "bucket").agg(F.sum("cnt").alias("cnt")), month)
+    blocks = versions.refresh(spark, f"{root}/cells_day", f"{root}/running", per_day, F.col("block"), of_month)
+    versions.refresh(spark, f"{root}/running", f"{root}/totals", block_totals, F.col("block"))
+    return {"days": days, "months": months, "blocks": blocks}
+
+
 def persisted(spark: SparkSession, source: str, name: str, make: Callable[[], DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
     """A table derived from the file or folder source, made once for each state of it and session, and read from then on."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)

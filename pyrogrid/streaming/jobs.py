@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import maintain, timeseq
 from ..operators.viewport import join_regions
+from ..sources import versions
 from ..sources.normalize import normalize
 from ..sources.schema import NATURAL_KEY
-from ..sources.store import exists, removed
 
 
 def ingest(spark: SparkSession, path: str, source: str, raw: StructType) -> DataFrame:
@@ -40,47 +38,46 @@ def without_repeats(stream: DataFrame, late: str = "8 days", key: tuple[str, ...
     return stream.withWatermark("acq_datetime", late).dropDuplicatesWithinWatermark(list(key))
 
 
-def apply_window(store: str, log: str, year: int, allow_gap: bool = False):
-    """A foreachBatch function that folds each window into a year's table, kept by day, once per batch id.
+def apply_window(store: str, year: int, allow_gap: bool = False):
+    """A foreachBatch function that folds each window into a year's table, kept by day in versions, once per batch id.
 
-    Only the days that change are written: from the window's first one on, tail replacement is confined to them.  Science-quality rows of a
-    batch replace near-real-time ones of their sensors and days, however old.  A refused or idle batch writes nothing but its line in the
-    log.  A batch that was cut off before its line is folded again, with the same result.
+    A batch is one version of the table: tail replacement and, after it, science-quality rows that replace near-real-time ones of their sensors and days,
+    however old.  Days that the tail replacement leaves without rows vanish with the same step, other days keep their folders.  A refused or idle batch
+    is a version without changes.  A batch that was cut off left the table as it was and is folded again; one that is in a version is not.
     """
 
-    def days_of(rows: DataFrame) -> list:
-        return [r[0] for r in rows.select("acq_date").distinct().collect()]  # a year has 366
-
-    def publish(rows: DataFrame, batch_id: int) -> None:
-        """Replace the days of rows; they are written beside first, since they are read from what they replace."""
-        spark, beside = rows.sparkSession, f"{store}-staging/batch-{batch_id}-{uuid.uuid4().hex}"
-        rows.write.parquet(beside)
-        by_day = spark.read.parquet(beside).withColumn("day", F.date_format("acq_date", "yyyyMMdd"))
-        by_day.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(store)
-        removed(spark, beside)
-
-    def current(spark: SparkSession, like: DataFrame) -> DataFrame:
-        return spark.read.schema(like.schema).parquet(store).select(*like.columns) if exists(spark, store) else like.limit(0)
-
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if exists(spark, log) and spark.read.parquet(log).filter(F.col("batch_id") == batch_id).take(1):
+        base = versions.manifest(spark, store)
+        if base.batch is not None and base.batch >= batch_id:
             return
+        of = lambda c: F.date_format(c, "yyyyMMdd")
         science = batch.filter(F.col("quality") == "sp") if "quality" in batch.columns else None
         window = batch.filter(~F.col("quality").eqNullSafe(F.lit("sp"))) if science is not None else batch
-        archive = current(spark, batch)
-        action = maintain.merge_decision(archive, window, year, allow_gap).first()
-        if action["action"] in ("merge", "seed"):
-            first = window.agg(F.min(F.to_date("acq_datetime"))).first()[0]
-            publish(maintain.merge_tail(archive.filter(F.col("acq_date") >= F.lit(first)), window), batch_id)
-        said = f"{action['action']}: {action['reason']}"
-        if science is not None and (days := days_of(science)):
-            touched = current(spark, batch).filter(F.col("acq_date").isin(*days))
+        # the ends of the archive stand in its first and last day
+        ends = [k for k in (min(base.parts, default=None), max(base.parts, default=None)) if k]
+        action = maintain.merge_decision(versions.read(spark, store, ends, base, batch), window, year, allow_gap).first()
+        said, due = f"{action['action']}: {action['reason']}", set()
+        merges = action["action"] in ("merge", "seed")
+        if merges:
+            first = window.agg(of(F.min("acq_datetime"))).first()[0]
+            due = {k for k in base.parts if k >= first}
+        days = {r[0] for r in science.select(of("acq_date")).distinct().collect()} if science is not None else set()  # of a calendar
+        if not merges and not days:
+            versions.commit(spark, store, base, note=said, batch=batch_id)
+            return
+        rows = versions.read(spark, store, sorted(due | days), base, batch)
+        if merges:
+            tail = maintain.merge_tail(rows.filter(of("acq_date") >= first), window)
+            rows = rows.filter(of("acq_date") < first).unionByName(tail, allowMissingColumns=True)
+        if days:
+            late = of("acq_date").isin(*days)
             again = science.select("sensor", "acq_date").distinct().withColumn("quality", F.lit("sp"))
-            kept = touched.join(again, ["sensor", "acq_date", "quality"], "left_anti").unionByName(science)  # sp rows delivered again replace themselves
-            publish(maintain.supersede(kept.select(*batch.columns)), batch_id)
+            kept = rows.filter(late).join(again, ["sensor", "acq_date", "quality"], "left_anti").unionByName(science, allowMissingColumns=True)  # sp rows delivered again replace themselves
+            rows = rows.filter(~late).unionByName(maintain.supersede(kept))
             said += f"; superseded {len(days)} days"
-        spark.createDataFrame([(batch_id, said)], "batch_id long, action string").coalesce(1).write.mode("append").parquet(log)
+        staged = versions.stage(rows, store, of("acq_date"), ("acq_datetime",))
+        versions.commit(spark, store, base, staged, due | days, said, batch_id)
 
     return fold
 
@@ -96,6 +93,39 @@ def alerts(stream: DataFrame, regions: DataFrame, least_frp: float) -> DataFrame
 
 
 def run_once(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """All that is there now, as a table of the session."""
+    """All that is there now, as a table of the session: for looks and tests, since the driver holds it."""
     df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return df.sparkSession.table(name)
+
+
+def keep_latest(store: str, keys: tuple[str, ...], part: Column):
+    """A foreachBatch function for streams in update mode: a row replaces the one of its keys, once per batch id; part names the part it lies in.
+
+    Only parts that a batch touches are written again, all in one step.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        base = versions.manifest(spark, store)
+        if base.batch is not None and base.batch >= batch_id:
+            return
+        batch = batch.persist()  # what a stateful batch gives is worked out once
+        try:
+            due = [r[0] for r in batch.select(part.cast("string")).distinct().collect()]  # buckets of time that are still open
+            before = versions.read(spark, store, due, base, batch)
+            rows = before.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
+            versions.commit(spark, store, base, versions.stage(rows, store, part) if due else None, due, f"{len(due)} parts", batch_id)
+        finally:
+            batch.unpersist()
+
+    return put
+
+
+def fold_into(stream: DataFrame, each, checkpoint: str, mode: str = "append") -> None:
+    """Hand all that is there now to a foreachBatch function and end; the checkpoint tells the next call where to go on."""
+    stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Write all that is there now as Parquet files, each row once, and end."""
+    stream.writeStream.format("parquet").option("path", path).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

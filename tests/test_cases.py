@@ -2,13 +2,14 @@
 
 import datetime as dt
 import random
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from pyrogrid.functions import fields, grid, keys
 from pyrogrid.operators import cells, classify, maintain, profile, quality, route, timeseq, viewport
-from pyrogrid.sources import normalize, store
+from pyrogrid.sources import normalize, store, versions
 from pyrogrid.streaming import jobs
 
 
@@ -150,18 +151,27 @@ def test_feed_fields(spark):
 
 
 def test_store(spark, tmp_path):
-    path, staging = str(tmp_path / "store"), str(tmp_path / "staging")
+    path = str(tmp_path / "store")
     of = lambda start, n: hourly(spark, start, n).drop("year")
-    assert store.staged_swap(of("2024-03-01", 5), path, staging, 5) == 5
+    assert store.staged_swap(of("2024-03-01", 5), path, 5) == 5
     # nothing of an earlier run is counted or published, and other years stay
-    assert store.staged_swap(of("2025-03-01", 7), path, staging, 7) == 7
+    assert store.staged_swap(of("2025-03-01", 7), path, 7) == 7
     with pytest.raises(ValueError, match="expected"):
-        store.staged_swap(of("2025-03-01", 6), path, staging, 7)
+        store.staged_swap(of("2025-03-01", 6), path, 7)
     bad = lambda df: df.filter("frp > 3")
     with pytest.raises(ValueError, match="refused"):
-        store.staged_swap(of("2024-05-01", 6), path, staging, 6, [bad])
-    assert sorted(map(tuple, spark.read.parquet(path).groupBy("year").count().collect())) == [(2024, 5), (2025, 7)]
-    assert not list((tmp_path / "staging").glob("run-*/*"))
+        store.staged_swap(of("2024-05-01", 6), path, 6, [bad])
+    years = lambda: sorted(map(tuple, versions.read(spark, path).groupBy(F.year("acq_date")).count().collect()))
+    assert years() == [(2024, 5), (2025, 7)] and len(list((tmp_path / "store" / "data").iterdir())) == 2
+    # one write, in as many files as asked for, in spatial order across them
+    assert store.staged_swap(of("2024-01-01", 600), path, 600, rows_per_file=200) == 600
+    files = sorted((tmp_path / "store" / versions.manifest(spark, path).parts["2024"]).glob("*.parquet"))
+    assert len(files) == 3 and years() == [(2024, 600), (2025, 7)]
+    order = [(r["acq_date"].month, r["place"]) for f in files for r in spark.read.parquet(str(f)).select("acq_date", "place").coalesce(1).collect()]
+    assert order == sorted(order)
+    versions.restore(spark, path, 2)
+    assert years() == [(2024, 5), (2025, 7)] and versions.manifest(spark, path).version == 4
+    assert versions.vacuum(spark, path, keep=1) == 1 and years() == [(2024, 5), (2025, 7)]
     many = spark.range(4000).select((F.col("id") % 360 - 180).cast("double").alias("lon"), (F.col("id") % 180 - 90).cast("double").alias("lat"), F.to_date(F.lit("2024-01-05")).alias("acq_date"))
     assert store.write_detections(many, str(tmp_path / "parts"), rows_per_file=1000) == 4000
     assert len(list((tmp_path / "parts" / "year=2024").glob("*.parquet"))) == 4
@@ -223,32 +233,112 @@ def test_streams(spark, tmp_path):
     twice.write.parquet(str(tmp_path / "in2"))
     one = jobs.run_once(jobs.without_repeats(jobs.table_stream(spark, str(tmp_path / "in2"))), "once", str(tmp_path / "c2"))
     assert one.count() == 72
-    fold = jobs.apply_window(str(tmp_path / "store"), str(tmp_path / "log"), 2026)
+    path = str(tmp_path / "store")
+    fold = jobs.apply_window(path, 2026)
     first, second = hourly(spark, "2026-01-01", 48), hourly(spark, "2026-01-02", 48)
     for i, w in enumerate((first, second, second)):
         fold(w, min(i, 1))
-    rows = lambda: spark.read.parquet(str(tmp_path / "store"))
-    assert rows().count() == 72 and not list((tmp_path).glob("store-staging/*"))
-    written = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "store").glob("day=*/*.parquet")}
+    rows = lambda: versions.read(spark, path)
+    assert rows().count() == 72
+    written = versions.manifest(spark, path).parts
     fold(hourly(spark, "2026-01-02", 5), 2)  # covered
     fold(hourly(spark, "2026-03-01", 5), 3)  # too late
-    assert {f.name: f.stat().st_mtime_ns for f in (tmp_path / "store").glob("day=*/*.parquet")} == written
+    assert versions.manifest(spark, path).parts == written
     fold(hourly(spark, "2026-01-03T12:00", 24), 4)
     assert rows().count() == 84 and not quality.duplicates(rows(), ("sensor", "acq_datetime")).take(1)
-    kept = {f.name for f in (tmp_path / "store").glob("day=2026010[12]/*.parquet")}
-    assert kept <= set(written)  # earlier days are not written again
-    assert [r["action"].split(":")[0] for r in spark.read.parquet(str(tmp_path / "log")).orderBy("batch_id").collect()] == ["seed", "merge", "noop", "refuse", "merge"]
+    now = versions.manifest(spark, path).parts
+    assert versions.changed(written, now) == {"20260103", "20260104"}  # earlier days are not written again
+    assert [m.note.split(":")[0] for m in versions.history(spark, path)] == ["seed", "merge", "noop", "refuse", "merge"]
+
+
+def test_fold_is_tail_replacement(spark, tmp_path):
+    """Whatever days archive and window lack: the folded table holds what merge_tail() gives, days without rows are gone."""
+    rng = random.Random(8)
+    day = lambda d: hourly(spark, f"2026-01-{d:02d}T0{rng.randrange(10)}:30", rng.randint(1, 14))
+    days = lambda some: reduce(lambda a, b: a.union(b), [day(d) for d in some])
+    cases = [([1, 2, 3], [2, 4]), ([1, 5, 6, 7], [5, 9])] + [(sorted(rng.sample(range(1, 10), 4)), [*sorted(rng.sample(range(2, 10), 2)), 12]) for _ in range(2)]
+    for i, (old, new) in enumerate(cases):
+        path, archive, window = str(tmp_path / f"s{i}"), days(old), days(new)
+        fold = jobs.apply_window(path, 2026, allow_gap=True)
+        fold(archive, 0)
+        want = sorted(map(str, maintain.merge_tail(archive, window).collect()))
+        before = versions.manifest(spark, path)
+        # cut off between the write of the rows and the step that publishes them: the old state stands, and the batch can be folded again
+        commit, versions.commit = versions.commit, lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt())
+        try:
+            with pytest.raises(KeyboardInterrupt):
+                fold(window, 1)
+        finally:
+            versions.commit = commit
+        assert versions.manifest(spark, path) == before and versions.read(spark, path).count() == archive.count()
+        fold(window, 1)
+        assert sorted(map(str, versions.read(spark, path).collect())) == want
+        assert set(versions.manifest(spark, path).parts) == {r[0].replace("-", "") for r in maintain.merge_tail(archive, window).select(F.col("acq_date").cast("string")).distinct().collect()}
+        with pytest.raises(versions.Conflict):
+            versions.commit(spark, path, before)
+        assert versions.vacuum(spark, path, keep=1) and versions.read(spark, path).count() == len(want)
+
+
+def test_kept_cells(spark, tmp_path):
+    """After each fold the derived tables equal a full recount, and only parts that changed are written."""
+    root, c = str(tmp_path), F.floor(F.col("lon") / 10).cast("long")
+    fold = jobs.apply_window(f"{root}/detections", 2026, allow_gap=True)
+    seen = []
+    for i, w in enumerate([hourly(spark, "2026-01-01", 24 * 40), hourly(spark, "2026-02-08", 50), hourly(spark, "2026-02-12", 30), hourly(spark, "2026-02-11", 1)]):
+        fold(w, i)
+        seen.append(store.kept_cells(spark, root, c))
+        det = versions.read(spark, f"{root}/detections")
+        want = cells.base_cells(det, c, F.date_format("acq_date", "yyyyMMdd"), ())
+        same = lambda a, b: sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+        assert same(versions.read(spark, f"{root}/cells_day"), want)
+        assert same(versions.read(spark, f"{root}/cells_month"), cells.again(want.withColumn("bucket", F.substring("bucket", 1, 6)), "cell", "bucket"))
+        blocks, totals = versions.read(spark, f"{root}/running"), versions.read(spark, f"{root}/totals")
+        for lo, hi in (("20260105", "20260214"), ("20260210", "20260211")):
+            got = timeseq.block_range_sum(blocks, totals, lo, hi, lambda k: k[:6]).filter("cnt > 0")
+            assert same(got, det.filter(F.date_format("acq_date", "yyyyMMdd").between(lo, hi)).groupBy(c.alias("cell")).agg(F.count("*").alias("cnt")))
+    assert [len(s["days"]) for s in seen] == [40, 3, 2, 0] and [s["blocks"] for s in seen] == [{"202601", "202602"}, {"202602"}, {"202602"}, set()]
+
+
+def test_reads_by_place(spark, tmp_path):
+    """A small view reads a small part of the rows, and gets those that a full scan gets."""
+    rng = spark.range(200_000).select((F.rand(3) * 360 - 180).alias("lon"), (F.rand(4) * 180 - 90).alias("lat"), F.to_date(F.lit("2024-01-05")).alias("acq_date"), F.col("id"))
+    store.write_detections(rng, str(tmp_path / "parts"), rows_per_group=1000)
+    rows = spark.read.parquet(str(tmp_path / "parts"))
+    for view in ((10.0, 5.0, 25.0, 15.0), (175.0, -30.0, 190.0, -15.0), (-200.0, 60.0, -170.0, 70.0)):
+        near = store.by_place(rows, view)
+        got = {r["id"] for r in near.select("id").collect()}
+        lon, lat = F.col("lon"), F.col("lat")
+        assert got == {r["id"] for r in rows.filter(grid.in_view(lon, lat, lon, lat, view)).select("id").collect()} and got
+        plan = near.select("id")._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        read = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+        assert read < 20_000, read
+
+
+@pytest.mark.parametrize("bits", [3, 6])
+def test_hilbert_cover(bits):
+    rng, n = random.Random(bits), 1 << bits
+    for _ in range(150):
+        w, s = rng.uniform(-540, 400), rng.uniform(-100, 95)
+        e, north, most = w + rng.choice([0, 1, 20, 100, 300, 400]), s + rng.choice([0, 2, 30, 100]), rng.choice([1, 3, 8, 32, 1000])
+        ranges = grid.hilbert_cover((w, s, e, north), most, bits)
+        assert len(ranges) <= most and all(a <= b for a, b in ranges) and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+        for _ in range(30):
+            lon, lat = rng.uniform(-180, 180), rng.uniform(-90, 90)
+            place = grid.hilbert_place(min(int((lon + 180) / 360 * n), n - 1), min(int((lat + 90) / 180 * n), n - 1), bits)
+            if s <= lat <= north and any(w <= lon + 360 * k <= e for k in range(-4, 5)):
+                assert any(a <= place <= b for a, b in ranges)
 
 
 def test_late_science_rows(spark, tmp_path):
-    fold = jobs.apply_window(str(tmp_path / "store"), str(tmp_path / "log"), 2026)
+    fold = jobs.apply_window(str(tmp_path / "store"), 2026)
     nrt = lambda *a: hourly(spark, *a).withColumn("quality", F.lit("nrt"))
     fold(nrt("2026-01-01", 72), 0)
     fold(hourly(spark, "2026-01-02", 20).withColumn("quality", F.lit("sp")), 1)
-    count = lambda: {(r["day"], r["quality"]): r["count"] for r in spark.read.parquet(str(tmp_path / "store")).groupBy("day", "quality").count().collect()}
-    assert count() == {(20260101, "nrt"): 24, (20260102, "sp"): 20, (20260103, "nrt"): 24}
+    count = lambda: {(r["day"], r["quality"]): r["count"] for r in versions.read(spark, str(tmp_path / "store")).groupBy(F.dayofmonth("acq_date").alias("day"), "quality").count().collect()}
+    assert count() == {(1, "nrt"): 24, (2, "sp"): 20, (3, "nrt"): 24}
     fold(nrt("2026-01-03", 48).unionByName(hourly(spark, "2026-01-02", 22).withColumn("quality", F.lit("sp"))), 2)
-    assert count() == {(20260101, "nrt"): 24, (20260102, "sp"): 22, (20260103, "nrt"): 24, (20260104, "nrt"): 24}
+    assert count() == {(1, "nrt"): 24, (2, "sp"): 22, (3, "nrt"): 24, (4, "nrt"): 24}
 
 
 def test_more_streams(spark, tmp_path):
