@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product with randomly rotated one-bit codes.
 
 Each vector is turned by a fixed random rotation and kept as the signs of its components, packed
-into bits, with two correction scalars: its norm and the inner product of its direction with its own
+into bits, with correction scalars: its norm, apart from a power of two, and the inner product of its direction with its own
 code.  The bits and scalars give an unbiased estimate of the inner product with a query and a bound of
 its error.  Of a block the vectors of the best estimates are reranked first, with the original vectors in double precision; of the
 others only those whose upper bound reaches what the k-th best of these has.
@@ -13,7 +13,8 @@ it, which for epsilon = 3.5 happens to fewer than one vector in a thousand, and
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do those of
 another length than the most frequent one (very long ones among them), since they have no inner product with the rest; rows without an id take no part;
-ties go to the smaller id; repeated vectors all count; fewer than k candidates are all returned; an empty table gives an empty result;
+vectors of any magnitude take part,
+and products beyond double precision are what it makes of them (zero, infinite); ties go to the smaller id; repeated vectors all count; fewer than k candidates are all returned; an empty table gives an empty result;
 columns beside id and vector are not read and may have any name.
 """
 
@@ -43,36 +44,50 @@ def rotation(dim: int, seed: int = 7) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors times powers of two, so that the largest component of each is between a half and one, and these exponents: norms then neither vanish nor overflow."""
+    exponent = np.frexp(np.abs(vectors).max(axis=1))[1]
+    return np.ldexp(vectors, -exponent[:, None]), exponent
+
+
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign bits, and per vector its norm and <its direction, its code's direction>."""
+    """Packed sign bits, and per vector its scaled norm, <its direction, its code's direction> and the scale's exponent."""
+    vectors, exponent = scaled(vectors)
     norm = np.linalg.norm(vectors, axis=1)
     turned = (vectors / norm[:, None]) @ turn.T
-    return np.packbits(turned > 0, axis=1), np.stack([norm, np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])], axis=1)
+    return np.packbits(turned > 0, axis=1), np.stack([norm, np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1]), exponent], axis=1)
 
 
 def estimates(bits: np.ndarray, scalars: np.ndarray, query: np.ndarray, turn: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of queries (rows) with coded vectors (columns), and the bounds of their errors."""
+    """Estimated inner products of queries (rows) with coded vectors (columns), and what they are at most.
+
+    Directions are compared in single precision; lengths, and the powers of two that were kept apart, are put on in double precision.
+    """
     dim = query.shape[1]
     signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    norm, own = scalars[:, 0], scalars[:, 1]
+    norm, own, exponent = scalars.T
+    query, shift = scaled(query)
     size = np.linalg.norm(query, axis=1)
-    raw = (query @ turn.T).astype(np.float32) @ signs.T / np.float32(np.sqrt(dim))
-    guess = raw * (norm / own).astype(np.float32)
-    error = epsilon * np.sqrt(np.maximum(1 - own**2, 0)) / own / np.sqrt(max(dim - 1, 1)) * norm
-    return guess, (size[:, None] * error[None, :]).astype(np.float32)
+    raw = ((query / size[:, None]) @ turn.T).astype(np.float32) @ signs.T / np.float32(np.sqrt(dim))
+    guess = raw.astype(np.float64) / own
+    error = epsilon * np.sqrt(np.maximum(1 - own**2, 0)) / own / np.sqrt(max(dim - 1, 1))
+    length, power = size[:, None] * norm[None, :], shift[:, None] + exponent[None, :].astype(np.int64)
+    with np.errstate(over="ignore", under="ignore"):  # what passes double precision does so in the exact product too
+        return np.ldexp(guess * length, power), np.ldexp((guess + error[None, :]) * length, power)
 
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed from the first component to the last: alike for equal rows, here and in other engines."""
     total = np.zeros(len(vectors))
-    for column, x in zip(vectors.T.astype(np.float64), query, strict=True):
-        total += column * x
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        for column, x in zip(vectors.T.astype(np.float64), query, strict=True):
+            total += column * x
     return total
 
 
 def best(ids: np.ndarray, bits: np.ndarray, scalars: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, k: int, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """The k best of a block for each query: query ids, ids, scores; and how many vectors were reranked."""
-    guess, error = estimates(bits, scalars, queries, turn, epsilon)
+    guess, most = estimates(bits, scalars, queries, turn, epsilon)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     reranked = 0
     for i, q in enumerate(q_ids):
@@ -84,7 +99,7 @@ def best(ids: np.ndarray, bits: np.ndarray, scalars: np.ndarray, vectors: np.nda
         m = min(FIRST * k, len(ids) - int(own.sum()))
         first = np.argpartition(guess[i], len(ids) - m)[len(ids) - m :]
         least = np.partition(exact(vectors[first], queries[i]), m - need)[m - need]
-        wanted = guess[i] + error[i] >= least
+        wanted = most[i] >= least
         wanted[first] = True
         kept = np.flatnonzero(wanted & ~own)
         reranked += len(kept)
@@ -154,7 +169,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
             ids, bits, scalars, vectors, q_ids, q = (x.as_buffer() for x in r)
             ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
             vectors, q = np.frombuffer(vectors, kind).reshape(-1, dim), np.frombuffer(q, asked_kind).reshape(-1, dim).astype(np.float64)
-            bits, scalars = np.frombuffer(bits, np.uint8).reshape(len(ids), -1), np.frombuffer(scalars, np.float64).reshape(-1, 2)
+            bits, scalars = np.frombuffer(bits, np.uint8).reshape(len(ids), -1), np.frombuffer(scalars, np.float64).reshape(-1, 3)
             for lo in range(0, len(q_ids), 64):
                 qi, vi, s, _ = best(ids, bits, scalars, vectors, q_ids[lo : lo + 64], q[lo : lo + 64], turn, k, epsilon)
                 yield pa.RecordBatch.from_arrays([pa.array(qi, pa.int64()), pa.array(vi, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
