@@ -5,13 +5,13 @@ log2 probabilities per hash (a column per language).  A text gets the language w
 cross-entropy per character is lowest; it is rejected where even that exceeds what calibration texts
 of like length show.
 
-Training takes a bounded sample of labelled rows (``docs_per_lang`` distinct texts and ``chars_per_lang`` characters of each of the
-``max_langs`` most frequent languages, chosen by a hash of the text, texts over ``max_chars`` left aside); every row
-is scored whole, a very long one in pieces.
+Training takes a bounded sample of labelled rows (``docs_per_lang`` distinct texts and ``chars_per_lang`` characters of each
+language, chosen by a hash of the text, texts over ``max_chars`` left aside); more than ``max_langs`` languages raise, none is left out; every row
+is scored whole, a very long one in pieces.  Letters are what Unicode calls so: digits, fractions and Roman numerals are none.
 
 Defined results: a null text or one without letters gets ``und``, score 0 and rejection; rows without a language or text are not learned
 from; without any to learn from every row gets ``und``; ties go to the smaller language name; repeated rows get equal results; an empty
-table gives an empty result; columns of the input with the names of results are replaced where the caller selects them, never read.
+table gives an empty result; columns of the input with the names of results are replaced by these, never read.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import looked_up, small_batches
 
 ORDER = 4
 UNIFORM = 1.0 / 4096
@@ -60,6 +60,9 @@ def letters(text: str | None) -> str:
     """Lower-case letters, with their marks, and single spaces between words and around; empty without letters."""
     mark, plain, marked = patterns()
     text = (text or "").lower()
+    if not text.isascii():  # numbers that are no digits, as fractions and Roman numerals, are no letters
+        odd = {ord(c): " " for c in set(text) if c.isnumeric() and not c.isalpha()}
+        text = text.translate(odd) if odd else text
     body = (plain if text.isascii() or not mark.search(text) else marked).sub(" ", text).strip()
     return f" {body} " if re.search(r"[^\W\d_]", body) else ""
 
@@ -223,23 +226,23 @@ def train(
     labelled: DataFrame,
     docs_per_lang: int = 400,
     chars_per_lang: int = 8_000_000,
-    max_langs: int = 200,
+    max_langs: int = 1000,
     max_chars: int = 200_000,
     order: int = ORDER,
     false_rejections: float = 0.001,
     margin: float = 1.0,
 ) -> Model:
-    """Fit models on a bounded sample of (text, lang); a fifth of it sets the limits of rejection."""
+    """Fit models on a bounded sample of (text, lang); a fifth of it sets the limits of rejection. More languages than max_langs raise: none is left out."""
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("text", "lang")
     usable = usable.withColumn("h", F.xxhash64("text"))
     # copies count once, and each language has a bound of its own, so that neither uses up another text's or language's part
-    langs = usable.select("lang", "h").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    share = F.lit(0)
-    for r in langs:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1_000_000, 1 + docs_per_lang * 1_200_000 // r["count"]))).otherwise(share)
-    drawn = usable.filter(F.pmod("h", F.lit(1_000_000)) < share).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    langs = usable.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("texts"))
+    by: dict[str, list[str]] = {r["lang"]: [] for r in langs.limit(max_langs + 1).collect()}
+    if len(by) > max_langs:
+        raise ValueError(f"over {max_langs} languages")
+    share = F.least(F.lit(1_000_000), 1 + F.floor(F.lit(docs_per_lang * 1_200_000) / F.col("texts")))
+    drawn = looked_up(usable, langs, "lang").filter(F.pmod("h", F.lit(1_000_000)) < share).groupBy("lang", "h").agg(F.first("text").alias("text"))
     in_order = Window.partitionBy("lang").orderBy("h")
-    by: dict[str, list[str]] = {r["lang"]: [] for r in langs}
     # ordered by hash, so that the same rows give the same model
     sized = drawn.withColumns({"place": F.row_number().over(in_order), "upto": F.sum(F.length("text")).over(in_order)})
     for r in sized.filter((F.col("place") <= docs_per_lang) & (F.col("upto") <= chars_per_lang)).orderBy("lang", "h").select("lang", "text").collect():
@@ -253,15 +256,15 @@ def train(
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: id, the columns of keep, lang_pred, score (0 to 1), cross_entropy (bits a character), rejected."""
-    columns = list(dict.fromkeys((id_col, *keep)))
+    made = {"lang_pred": pa.string(), "score": pa.float64(), "cross_entropy": pa.float64(), "rejected": pa.bool_()}
+    columns = [c for c in dict.fromkeys((id_col, *keep)) if c.lower() not in made]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = shared.value.predict(b.column("__text").to_pylist())
-            arrays = [b.column(c) for c in columns] + [pa.array(got["lang_pred"], pa.string()), pa.array(got["score"], pa.float64()), pa.array(got["cross_entropy"], pa.float64()), pa.array(got["rejected"], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "lang_pred", "score", "cross_entropy", "rejected"])
+            got = shared.value.predict(b.column(len(columns)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array(got[k], t) for k, t in made.items())], names=[*columns, *made])
 
     rows = small_batches(docs).select(*columns, F.col(text_col).alias("__text"))
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return rows.mapInArrow(run, ", ".join(filter(None, [schema, "lang_pred string, score double, cross_entropy double, rejected boolean"])))
