@@ -197,10 +197,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = cut(links.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
     before = None
     for _ in range(rounds):
-        both = edges.union(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi"))).toDF("node", "other")
-        low = both.groupBy("node").agg(F.min("other").alias("m")).withColumn("m", F.least("m", "node"))
-        large = both.filter("other > node").join(low, "node").select(F.col("m").alias("lo"), F.col("other").alias("hi"))
-        large = large.filter("lo <> hi").distinct()
+        # only a node with a smaller neighbour has something to look up; one that many hang on is mostly the smallest of all, and is salted
+        low = edges.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "lo")
+        large = looked_up(edges, low, "lo", "left").select(F.coalesce("m", "lo").alias("lo"), "hi").distinct()
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(down, "hi")
         edges = cut(
