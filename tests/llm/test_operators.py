@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import tempfile
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pyrogrid.llm import ann, bwt, chat, common, langid, mixing, neardup, ordermin, packing, queries, simhash, suffixdedup, toxicity, urlrep
+from pyrogrid.llm import ann, balltree, bwt, chat, common, counttree, langid, mixing, neardup, ordermin, packing, periodic, queries, simhash, suffixdedup, toxicity, urlrep
 
 DOCS = "doc_id long, text string"
 
@@ -674,3 +675,238 @@ def test_pipeline(spark):
         assert docs.columns == columns and docs.count() > 0, name
     out = corpus_pipeline.run(spark, sf)
     assert out.agg(F.sum("n_tokens")).first()[0] == docs.agg(F.sum(packing.word_count(F.col("text")))).first()[0]
+
+
+def test_numbers_are_no_letters(spark):
+    texts = ["\u00bd \u00b2 \u2462", "\u2167", "\u2167 abc", "\u4e00\u4e8c", "1\u0660"]
+    assert [langid.letters(t) for t in texts] == ["", "", " abc ", " \u4e00\u4e8c ", ""]
+    df = spark.createDataFrame([(i, t, "xx", 7.0, "kept") for i, t in enumerate(texts)], "doc_id long, text string, lang string, score double, rejected string")
+    model = langid.train(spark.createDataFrame([("abc abd bcd", "xx")] * 3, "text string, lang string"))
+    found = langid.identify(df, model, keep=("score", "rejected", "lang"))
+    assert found.columns == ["doc_id", "lang", "lang_pred", "score", "cross_entropy", "rejected"]
+    assert {r["doc_id"]: (r["lang_pred"], r["score"] > 0) for r in found.collect()} == {0: ("und", False), 1: ("und", False), 2: ("xx", True), 3: ("xx", True), 4: ("und", False)}
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(spark.createDataFrame([("abc", "xx"), ("abc", "yy")], "text string, lang string"), max_langs=1)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_at_all_magnitudes(spark, kind):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((600, 24))
+    for scale in [1e-30, 1.0, 1e37, "mixed"] if kind == "float" else [1e-100, 1e-30, 1.0, 1e100, "mixed"]:
+        power = rng.integers(-12, 12, 600) if scale == "mixed" else np.zeros(600)
+        v = base * (1.0 if scale == "mixed" else scale) * (10.0 ** power)[:, None]
+        v = v.astype(np.float32 if kind == "float" else np.float64)
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], f"vec_id long, embedding array<{kind}>")
+        got: dict = {}
+        for r in ann.nearest(df, df.filter("vec_id % 20 = 0"), k=10, block_rows=150).collect():
+            got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+        for q in range(0, 600, 20):
+            score = ann.exact(v, v[q].astype(np.float64))
+            want = sorted((i for i in range(600) if i != q), key=lambda i: (-score[i], i))[:10]
+            assert [got[q][k + 1] for k in range(10)] == [(i, score[i]) for i in want], (scale, q)
+
+
+# ---- Jaccard join, lexical ranking, periodic runs
+
+
+def shingle_sets(docs, words=4):
+    for i, t in docs:
+        w = (t or "").encode().lower().split()
+        yield i, frozenset(b" ".join(w[k : k + words]) for k in range(max(1, len(w) - words + 1))) if w else frozenset()
+
+
+def brute_jaccard(docs, num=85, den=100):
+    rows = list(shingle_sets(docs))
+    sets = [s for s in dict.fromkeys(s for _, s in rows) if s]
+    root = {s: s for s in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for k, s in enumerate(sets):
+        both = collections.Counter(j for x in s for j in holders.get(x, ()))
+        for j, n in both.items():
+            if n * den >= num * (len(s) + len(sets[j]) - n):
+                root[find(s)] = find(sets[j])
+        for x in s:
+            holders.setdefault(x, []).append(k)
+    least = {}
+    for i, s in rows:
+        if s:
+            least[find(s)] = min(least.get(find(s), i), i)
+    return sorted((i, len(s), least[find(s)] if s else i) for i, s in rows)
+
+
+def jaccard(df, **more):
+    return sorted(tuple(r) for r in counttree.jaccard_groups(df, **more).select("doc_id", "n_shingles", "component_id").collect())
+
+
+@pytest.mark.parametrize("leaf", [3, 1024])
+def test_count_tree(spark, leaf):
+    rng = random.Random(leaf)
+    docs = []
+    for _ in range(5):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([3, 6, 7, 9, 12, 20, 40, 80]))]
+        for _ in range(30):
+            x = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 6])):
+                x[rng.randrange(len(x))] = f"w{rng.randrange(500)}"
+            docs.append((len(docs) * 7 % 151, (" " if rng.random() < 0.5 else "\t").join(x[: len(x) - (rng.random() < 0.3)])))
+    docs += [(1000, None), (1001, ""), (1002, "  "), (1003, "A b"), (1004, "a B"), (1005, "a"), (1003, "A b")]
+    df = spark.createDataFrame(docs, DOCS).withColumns({"n": F.lit(1), "same": F.lit("x"), "root": F.lit(2)})
+    assert jaccard(df, leaf=leaf) == brute_jaccard(docs)
+    assert jaccard(df.limit(0), leaf=leaf) == []
+    assert [tuple(r) for r in counttree.jaccard_groups(spark.createDataFrame([(None, "a b")], DOCS)).select("doc_id", "component_id").collect()] == [(None, None)]
+
+
+def test_count_tree_keys():
+    """Two sets of the similarity share a key, whatever their sizes and wherever they differ; trees find all pairs that brute force finds."""
+    rng = np.random.default_rng(5)
+    for _ in range(4000):
+        n = int(rng.integers(1, 90))
+        a = np.unique(rng.integers(1, 1 << 63, n, dtype=np.uint64))
+        apart = counttree.most_apart(len(a))
+        out, more = int(rng.integers(0, apart + 1)), int(rng.integers(0, apart + 1))
+        b = np.unique(np.append(rng.permutation(a)[out:], rng.integers(1, 1 << 63, more, dtype=np.uint64)))
+        both = len(np.intersect1d(a, b))
+        if both * 185 >= 85 * (len(a) + len(b)) and both < max(len(a), len(b)):
+            assert len(np.intersect1d(counttree.keys_of(a), counttree.keys_of(b))), (len(a), len(b), both)
+    for split in (None, 40):
+        sets = []
+        for _ in range(120):
+            base = sets[int(rng.integers(len(sets)))] if sets and rng.random() < 0.7 else rng.integers(1, 1 << 63, int(rng.integers(1, 200)), dtype=np.uint64)
+            sets.append(np.unique(np.append(base[rng.random(len(base)) > 0.04], rng.integers(1, 1 << 63, int(rng.integers(1, 4)), dtype=np.uint64))))
+        points = np.stack([counttree.point(s) for s in sets]).astype(np.int64)
+        links = counttree.joined(sets, points, np.arange(120), split)
+
+        def groups(pairs):
+            label = list(range(120))
+            for i, j in pairs:
+                label = [label[i] if x == label[j] else x for x in label]
+            return [label.index(x) for x in label]
+
+        near = [(i, j) for i in range(120) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) * 185 >= 85 * (len(sets[i]) + len(sets[j])) and (split is None or (j < split <= i))]
+        assert set(links) <= {p for i, j in near for p in ((i, j), (j, i))} and groups(links) == groups(near) and near
+
+
+def brute_ranked(docs, items, k=10):
+    term = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    of = lambda t: term.findall((t or "").translate(low))
+    found = [(i, of(t)) for i, t in docs]
+    n_docs, n_terms = sum(bool(t) for _, t in found), sum(len(t) for _, t in found)
+    df = collections.Counter(x for _, t in found for x in set(t))
+    out = []
+    for item, text in items:
+        ranked = []
+        for i, t in found:
+            tf = collections.Counter(t)
+            m = 25 + (75 * len(t) * n_docs) // n_terms if n_terms else 0
+            score = sum(balltree.weight(n_docs, df[x]) * ((10**9 * tf[x]) // (1000 * tf[x] + 8 * m)) for x in of(text) if tf[x])
+            if score > 0:
+                ranked.append((-score, (i is not None, i or 0), i))
+        out += [(item, r + 1, i, -s) for r, (s, _, i) in enumerate(sorted(ranked, key=lambda x: x[:2])[:k])]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("entries", "leaf", "queries"), [(6_000_000, 64, 1000), (400, 2, 3)])
+def test_ball_tree(spark, entries, leaf, queries, monkeypatch):
+    monkeypatch.setattr(balltree, "ENTRIES", entries)
+    monkeypatch.setattr(balltree, "LEAF", leaf)
+    monkeypatch.setattr(balltree, "QUERIES", queries)
+    rng = random.Random(leaf)
+    docs = [(rng.choice([i, i, i % 40]), words(rng, rng.choice([0, 1, 5, 30, 200]), 60)) for i in range(300)]
+    docs += [(1, None), (2, ""), (None, "w1 w2 w3"), (3, "W1,w2;W\u00c9 w\u00e9 \u00c9 \x7f w3"), (3, "W1,w2;W\u00c9 w\u00e9 \u00c9 \x7f w3"), (4, "w7 " * 3000)]
+    items = [(i, words(rng, rng.choice([1, 3, 20]), 70)) for i in range(9)] + [(20, None), (21, ""), (22, "nowhere"), (23, "w\u00e9 W\u00c9 w1"), (None, "w7 w7")]
+    df, asked = spark.createDataFrame(docs, DOCS).withColumn("score", F.lit(1)), spark.createDataFrame(items, "item_id long, text string").withColumn("rank", F.lit("x"))
+    found = balltree.ranked(df, asked)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_ranked(docs, items)
+    assert balltree.ranked(df.limit(0), asked).count() == balltree.ranked(df, asked.limit(0)).count() == 0
+
+
+def test_ball_tree_bounds():
+    """No leaf is left out that could hold one of the best, and most are left out where documents lie in clusters."""
+    rng = np.random.default_rng(2)
+    centers = (rng.random((40, 300)) < 0.05) * rng.integers(100, 900_000, (40, 300))
+    x = np.concatenate([np.maximum(0, c[:, None] + (c > 0)[:, None] * rng.integers(-50, 50, (300, 50))) for c in centers], axis=1).astype(np.int32)
+    tree = balltree.BallTree(x, leaf=16)
+    asked = (rng.random((300, 30)) < 0.1) * rng.integers(1, 9000, (300, 30))
+    bound, product = tree.bounds(asked.astype(np.float64)), tree.matrix.T.astype(np.int64) @ asked
+    for node, (lo, hi) in enumerate(zip(tree.lo, tree.hi)):
+        assert (bound[node] >= product[lo:hi].max(axis=0)).all()
+    scored = 0
+    for j in range(30):
+        best: list = []
+        at = np.flatnonzero(asked[:, j])
+        scored += balltree.search(tree, np.arange(2000), bound[:, j], at, asked[at, j].astype(np.int64), best)
+        assert sorted(best, reverse=True) == sorted(((int(s), -i) for i, s in enumerate(product[:, j])), reverse=True)[:10]
+    assert scored < 30 * 2000 // 2
+
+
+def brute_runs(w):
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            start = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i - start + q >= max(6, 4 * q) and i > start:
+                found.setdefault((start, i - start + q), q)
+            i += i == start
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def brute_collapsed(w, runs):
+    return " ".join(x for i, x in enumerate(w) if not any(s + q <= i < s + n for s, n, q in runs))
+
+
+def test_periodic_runs(spark):
+    rng = random.Random(6)
+    docs = []
+    for i in range(400):
+        w = [f"{rng.randrange(rng.choice([1, 2, 3, 9]))}" for _ in range(rng.choice([0, 1, 6, 7, 30, 90]))]
+        if len(w) > 8 and rng.random() < 0.6:
+            a = rng.randrange(len(w))
+            p = 1 + (len(w) - a) // rng.randrange(3, 11)
+            w = [x if k < a else w[a + (k - a) % p] for k, x in enumerate(w)]
+        docs.append((i % 390, rng.choice([" ", "\n\t", "  "]).join(w)))
+    docs += [(500, None), (501, ""), (502, " \u00a0 "), (None, "a b " * 5), (503, "x " * 5000 + "y z " * 300)]
+    df = spark.createDataFrame(docs, DOCS).withColumns({"runs": F.lit(1), "collapsed": F.lit(2), "t": F.lit(3)})
+    got = sorted(((r["doc_id"], r["n_words"], [tuple(x) for x in r["runs"]], r["collapsed"]) for r in periodic.periodic_runs(df).collect()), key=str)
+    split = lambda t: [x.decode() for x in (t or "").encode().split()]
+    want = [(i, len(split(t)), brute_runs(split(t)) if i != 503 else [(0, 5000, 1), (5000, 600, 2)], t) for i, t in docs]
+    assert got == sorted(((i, n, r, brute_collapsed(split(t), r)) for i, n, r, t in want), key=str)
+    assert periodic.periodic_runs(df.limit(0)).count() == 0
+    few = periodic.periodic_runs(spark.createDataFrame([(1, "a b a b")], DOCS), min_length=4, min_exponent=2).first()
+    assert ([tuple(x) for x in few["runs"]], few["collapsed"]) == ([(0, 4, 2)], "a b")
+
+
+@pytest.mark.parametrize("unit", [1 << 18, 50])
+def test_periodic_query(spark, unit, monkeypatch):
+    """The whole query against the stated rules on all of sf0.001, by brute force."""
+    monkeypatch.setattr(periodic, "UNIT", unit)
+    sf = "/root/testdata/sf0.001"
+    rows = {r["doc_id"]: r for r in queries.op13_periodic_runs(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(docs)
+    for doc_id, text in docs:
+        w = [x.decode() for x in (text or "").encode().split()]
+        h = zlib.crc32(str(doc_id).encode())
+        g, n = h // 10, len(w)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+        if n > 1500 and h % 10:
+            continue  # brute force takes the square
+        runs, r = brute_runs(w), rows[doc_id]
+        best = max(runs, key=lambda x: (x[1], -x[0], -x[2]), default=None)
+        assert r["n_runs"] == len(runs) and (r["start"], r["length"], r["period"]) == (best or (None, None, None))
+        assert r["exponent_milli"] == (1000 * best[1] // best[2] if best else None)
+        assert r["runs_sha256"] == hashlib.sha256("".join(f"{s},{k},{q}\n" for s, k, q in runs).encode()).hexdigest()
+        assert r["collapsed_sha256"] == hashlib.sha256(brute_collapsed(w, runs).encode()).hexdigest()
