@@ -264,9 +264,9 @@ def repeated_in_runs(runs: DataFrame) -> DataFrame:
     """Per context a, e of the grams that are spread, near, far: least and greatest distance from the anchor of starts of repeated strings."""
     two = lambda name, *c: {name: F.xxhash64(*c), f"{name}2": F.xxhash64(F.lit(1), *c)}
     named = runs.withColumns(two("k", "core", "base")).drop("core").withColumns(two("r", "k", "k2", "before", "around"))
-    reads = named.groupBy("k", "k2", "base", "r", "r2", "before", "around").agg(F.least(F.lit(2), F.sum("n")).cast("int").alias("n"))
+    reads = written(named.groupBy("k", "k2", "base", "r", "r2", "before", "around").agg(F.least(F.lit(2), F.sum("n")).cast("int").alias("n")))
     units = reads.groupBy("k", "k2").agg(F.count("*").alias("size"), F.sum("n").alias("copies")).filter("copies > 1")
-    shared = reads.join(units, ["k", "k2"])
+    shared = looked_up(reads, units, ["k", "k2"])  # a very common core is salted
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not fewer for few bytes: the work is in the rounds
     few = shared.filter(F.col("size") <= UNIT).select("k", "k2", "n", "base", "r", "r2", "before", "around").repartition(parts, "k").sortWithinPartitions("k", "k2")
     built = few.mapInArrow(_of_runs, FOUND).select(F.col("a").alias("r"), F.col("e").alias("r2"), "near", "far")
@@ -274,9 +274,10 @@ def repeated_in_runs(runs: DataFrame) -> DataFrame:
     cut_up = shared.filter(F.col("size") > UNIT).select("k", "k2", "r", "r2", "n", "base", "before", "around", F.explode(F.sequence(F.lit(0), last)).alias("x"))
     strings = cut_up.select("k", "k2", "r", "r2", "n", (F.col("base") + F.col("before") - F.col("x")).cast("int").alias("d"), F.substring("around", F.col("x") + 1, F.lit(SPREAD_RUN - 1)).alias("w"))
     again = strings.groupBy("k", "k2", "d", "w").agg(F.sum("n").alias("times")).filter("times > 1").select("k", "k2", "d", "w")
-    counted = strings.join(again, ["k", "k2", "d", "w"]).groupBy("r", "r2").agg(F.min("d").alias("near"), F.max("d").alias("far"))
+    counted = looked_up(strings, written(again), ["k", "k2", "d", "w"]).groupBy("r", "r2").agg(F.min("d").alias("near"), F.max("d").alias("far"))
     found = built.unionByName(counted)
-    return named.select("a", "e", "r", "r2").join(found, ["r", "r2"]).groupBy("a", "e").agg(F.min("near").alias("near"), F.max("far").alias("far"))
+    one = written(found.groupBy("r", "r2").agg(F.min("near").alias("near"), F.max("far").alias("far")))
+    return looked_up(named.select("a", "e", "r", "r2"), one, ["r", "r2"]).groupBy("a", "e").agg(F.min("near").alias("near"), F.max("far").alias("far"))
 
 
 def _cut_out(view: View):

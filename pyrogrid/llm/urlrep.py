@@ -129,9 +129,10 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: DataFrame, z: float = 1.
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = outcomes.filter(F.col("page_id").isNotNull() & F.col("good").isNotNull()).groupBy("page_id").agg(F.max(F.col("good").cast("long")).alias("good"))
     # one row per host; a hot host is counted by partial sums before the shuffle
-    hosts = written(split.join(known, "page_id", "left").groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k")))
+    hosts = written(looked_up(split, known, "page_id", "left").groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k")))
     matched = rule_matches(split.select("host", "path").distinct(), rules)
-    judged = looked_up(split, reputation(hosts, suffixes).select("host", "mean", "sd", "n"), "host")
-    judged = judged.join(matched, ["host", "path"], "left")
+    # null urls and a page that is fetched again and again are one pair of host and path
+    ruled = looked_up(split, written(matched), ["host", "path"], "left")
+    judged = looked_up(ruled, written(reputation(hosts, suffixes).select("host", "mean", "sd", "n")), "host")
     own = F.when(F.col("mean") + z * F.col("sd") < least, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("action", own).alias("verdict"), F.col("n").alias("n_labelled"), F.round("mean", 6).alias("posterior_mean"))
