@@ -11,6 +11,9 @@ its level has keys of the next one too), each group's content is a key, and sets
 Groups that are empty in both sets are no keys; a set with so many empty groups that only such ones might agree adds its least shingles as keys (two
 sets of that similarity share one of these).  So no link is lost, and texts that share a passage alone do not meet.
 
+Sets that agree in a few groups only, since these hold nothing but a passage that both have, are told apart before anything is read again: in clusters of
+over FEW sets a key counts only between points that pass the bound (a key of more than LEAF sets counts as it is), which gives finer clusters.
+
 A cluster of more than LEAF sets is cut into leaves in the order of their sizes; each leaf is joined with itself and the cluster's first set.  Then leaves are cut
 anew in the order of what hangs together, their boxes are joined as rows, and only pairs of leaves that pass the bound and do not hang together yet are
 joined.  A copy of another text is not compared at all: equal sets are one point.
@@ -40,7 +43,11 @@ WORDS = 4
 #: The least similarity, as a fraction.
 SIMILARITY = (85, 100)
 #: Groups of shingles of a point, entries of a node, points of a leaf of the distributed tree.
-GROUPS, FANOUT, LEAF = 64, 16, 1024
+GROUPS, FANOUT, LEAF = 128, 16, 1024
+#: Clusters of so many sets are not worth a second look at their keys.
+FEW = 32
+#: Points are kept in bytes; a full one stands for any count.
+FULL, ANY = 255, 1 << 24
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,37 +68,52 @@ def most_apart(size: int, similarity: tuple[int, int] = SIMILARITY) -> int:
     return 2 * size * (den - num) // (den + num)
 
 
+def level_of(size: int, similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
+    """The levels, as first sizes of it and of the next one, in which a set of that size can meet another: its own and perhaps the next."""
+    num, den = similarity
+    lo, hi = 1, 2
+    while hi <= size:
+        lo, hi = hi, max(hi + 1, hi * 7 // 5, (hi - 1) * den // num + 1)
+    after = max(hi + 1, hi * 7 // 5, (hi - 1) * den // num + 1)
+    return [(lo, hi), (hi, after)] if size * den >= num * hi else [(lo, hi)]
+
+
 def keys_of(found: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.ndarray:
     """Hashes of which two sets of that similarity share one at least, unless they are equal."""
     num, den = similarity
     n, out = len(found), []
-    level = n.bit_length()
-    for k in (level, level + 1) if n * den >= num << level else (level,):
-        apart = most_apart((1 << k) - 1, similarity)
-        if not n or not apart:
+    for lo, hi in level_of(n, similarity) if n else []:
+        apart = most_apart(hi - 1, similarity)
+        if not apart:
             continue
-        groups = apart + apart // 4 + 2
+        groups = apart + apart // 16 + 3
         group = (found % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         first = np.flatnonzero(np.diff(group[order], prepend=-1))
         content = np.add.reduceat(mixed(found[order] ^ _FOLD), first)
-        named = (group[order][first] + (k << 40)).astype(np.uint64)
+        named = (group[order][first] + (lo << 24)).astype(np.uint64)
         out.append(mixed(content ^ mixed(named * _FOLD)))
-        if groups - len(first) >= groups - apart:
-            out.append(mixed(found[: n - (n * num + den - 1) // den + 1] + np.uint64(k + 1)))
+        if len(first) <= apart:  # the groups that agree might all be empty ones
+            out.append(mixed(found[: n - (n * num + den - 1) // den + 1] + np.uint64(lo)))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
 def point(found: np.ndarray) -> np.ndarray:
     """How many shingles fall into each group; groups are told by other bits than those of keys_of."""
-    return np.bincount((mixed(found + _FOLD) >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+    counts = np.bincount((mixed(found + _FOLD) >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def points_of(packed: list[bytes]) -> np.ndarray:
+    points = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int64)
+    points[points == FULL] = ANY
+    return points
 
 
 class CountTree:
     """An R-tree over points, packed from the bottom; levels[0] are the points, order their places, upper and sizes the boxes' corners."""
 
-    def __init__(self, points: np.ndarray, label: np.ndarray):
-        sizes = points.sum(axis=1)
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, label: np.ndarray):
         order = self._packed(points, sizes, label)
         self.order = order
         self.upper, self.least, self.most = [points[order]], [sizes[order]], [sizes[order]]
@@ -129,13 +151,20 @@ def may_meet(upper_a: np.ndarray, least_a: np.ndarray, most_a: np.ndarray, upper
     return (both * (num + den) >= num * (least_a + least_b)) & (most_a * den >= num * least_b) & (most_b * den >= num * least_a)
 
 
-def joined(sets: list[np.ndarray], points: np.ndarray, label: np.ndarray, split: int | None = None, similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
-    """Links that, with the labels, join whatever pairs of the sets with that similarity join; with split, of the first so many with the others."""
+def joined(
+    sets: list[np.ndarray] | None, points: np.ndarray, sizes: np.ndarray, label: np.ndarray, split: int | None = None, similarity: tuple[int, int] = SIMILARITY
+) -> list[tuple[int, int]]:
+    """Links that, with the labels, join whatever pairs of the sets with that similarity join; with split, of the first so many with the others.
+
+    Without sets, links of pairs whose points pass the bound.
+    """
     num, den = similarity
     label = np.unique(label, return_inverse=True)[1]
     links: list[tuple[int, int]] = []
 
     def verified(a: int, b: int) -> bool:
+        if sets is None:
+            return bool(may_meet(points[[a]], sizes[[a]], sizes[[a]], points[[b]], sizes[[b]], sizes[[b]], similarity)[0])
         both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
         return both * (num + den) >= num * (len(sets[a]) + len(sets[b]))
 
@@ -145,11 +174,11 @@ def joined(sets: list[np.ndarray], points: np.ndarray, label: np.ndarray, split:
                 label[label == label[j]] = label[i]
                 links.append((i, j))
 
-    n = len(sets)
+    n = len(points)
     sides = [np.arange(n)] if split is None else [np.arange(split), np.arange(split, n)]
     if split is None and n > 2:  # in a group of near copies the first one joins most
         check(np.zeros(n - 1, np.int64), np.arange(1, n))
-    trees = [CountTree(points[s], label[s]) for s in sides]
+    trees = [CountTree(points[s], sizes[s], label[s]) for s in sides]
     a, b = trees[0], trees[-1]
     top_a, top_b = len(a.upper) - 1, len(b.upper) - 1
     x, y = np.zeros(1, np.int64), np.zeros(1, np.int64)
@@ -188,7 +217,9 @@ def _rows(similarity: tuple[int, int], words: int):
             keys = [keys_of(s, similarity) for s in found]
             offsets = pa.array(np.append(0, np.cumsum([len(k) for k in keys])), pa.int32())
             flat = pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(same), pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "row_key", "n", "same", "keys"])
+            points = pa.array([point(s).tobytes() for s in found], pa.binary())
+            columns = [b.column(0), b.column(1), pa.array(n), pa.array(same), points, pa.ListArray.from_arrays(offsets, flat)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "n", "same", "point", "keys"])
 
     return run
 
@@ -228,8 +259,8 @@ def _links(similarity: tuple[int, int]):
             split = sum(r[1] == 0 for r in mine)
             if len(mine) < 2 or not split:
                 continue
-            points = np.stack([np.frombuffer(r[4], np.int32) for r in mine]).astype(np.int64)
-            links = joined([np.frombuffer(r[5], np.uint64) for r in mine], points, np.array([r[3] for r in mine]), None if split == len(mine) else split, similarity)
+            sets = [np.frombuffer(r[5], np.uint64) for r in mine]
+            links = joined(sets, points_of([r[4] for r in mine]), np.array([len(x) for x in sets]), np.array([r[3] for r in mine]), None if split == len(mine) else split, similarity)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([mine[x[k]][2] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -257,7 +288,7 @@ def _pairs_of_leaves(leaves: DataFrame, similarity: tuple[int, int]) -> DataFram
     """Pairs of boxes (leaf_a, leaf_b) of one root that can hold a pair of sets not linked yet."""
     num, den = similarity
     box = leaves.groupBy("root", "leaf").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
-    corner = leaves.select("leaf", "point").mapInArrow(_exploded, "leaf long, corner array<int>").groupBy("leaf").agg(*[F.max(F.col("corner")[g]).alias(f"c{g}") for g in range(GROUPS)])
+    corner = leaves.select("leaf", "point").mapInArrow(_exploded, "leaf long, corner array<bigint>").groupBy("leaf").agg(*[F.max(F.col("corner")[g]).alias(f"c{g}") for g in range(GROUPS)])
     box = written(box.join(corner.select("leaf", F.array(*[f"c{g}" for g in range(GROUPS)]).alias("corner")), "leaf"))
     a, b = (box.select("root", *[F.col(c).alias(f"{c}_{x}") for c in box.columns if c != "root"]) for x in "ab")
     both = F.aggregate(F.zip_with("corner_a", "corner_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
@@ -268,7 +299,7 @@ def _pairs_of_leaves(leaves: DataFrame, similarity: tuple[int, int]) -> DataFram
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        points = pa.array([np.frombuffer(p, np.int32) for p in b.column(1).to_pylist()], pa.list_(pa.int32()))
+        points = pa.array(list(points_of(b.column(1).to_pylist())) if b.num_rows else [], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([b.column(0), points], names=["leaf", "corner"])
 
 
@@ -287,20 +318,87 @@ def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(first[link]), pa.array(s[link])], names=["a", "b"])
 
 
+def _bounded(leaf: int, similarity: tuple[int, int]):
+    def pairs(run: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs within runs of so many rows each."""
+        i, j = np.triu_indices(size, 1)
+        return (run[:, None] + i).ravel(), (run[:, None] + j).ravel()
+
+    def decided(key: np.ndarray, node: np.ndarray, size: np.ndarray, packed: list[bytes]) -> pa.RecordBatch:
+        points = points_of(packed)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count = np.diff(np.append(first, len(key)))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in np.unique(count[(count > 1) & (count <= FANOUT)]).tolist():
+            runs = first[count == k]
+            for lo in range(0, len(runs), 65536 // k):
+                x, y = pairs(runs[lo : lo + 65536 // k], k)
+                met = may_meet(points[x], size[x], size[x], points[y], size[y], size[y], similarity)
+                a.append(x[met])
+                b.append(y[met])
+        for lo, k in zip(first[count > FANOUT].tolist(), count[count > FANOUT].tolist(), strict=True):
+            for x, y in joined(None, points[lo : lo + k], size[lo : lo + k], np.arange(k), None, similarity) if k <= leaf else ((0, x) for x in range(1, k)):
+                a.append(np.array([lo + x]))
+                b.append(np.array([lo + y]))
+        a, b = np.concatenate(a), np.concatenate(b)
+        one = np.unique(np.stack([node[a], node[b]]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (key, node, n, point) come sorted by key; a key of more rows than a leaf links all to its first one and need not be held."""
+        held: list[tuple] = []
+        over: tuple | None = None  # key and first node of a run that is longer than a leaf
+        for b in batches:
+            key, node, size = (b.column(i).to_numpy() for i in range(3))
+            packed = b.column(3).to_pylist()
+            lo = 0
+            if over is not None:
+                while lo < len(key) and key[lo] == over[0]:
+                    lo += 1
+                if lo:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(lo, over[1])), pa.array(node[:lo])], names=["a", "b"])
+                over = over if lo == len(key) else None
+            held += zip(key[lo:].tolist(), node[lo:].tolist(), size[lo:].tolist(), packed[lo:], strict=True)
+            if len(held) < 4 * leaf:
+                continue
+            last = len(held)
+            while last and held[last - 1][0] == held[-1][0]:
+                last -= 1
+            if not last:
+                over, last = (held[0][0], held[0][1]), len(held)
+            yield decided(*(np.array(c, np.int64) for c in list(zip(*held[:last], strict=True))[:3]), [r[3] for r in held[:last]])
+            held = held[last:]
+        if held:
+            yield decided(*(np.array(c, np.int64) for c in list(zip(*held, strict=True))[:3]), [r[3] for r in held])
+
+    return run
+
+
+def _clusters(links: DataFrame) -> DataFrame:
+    """node and root of all that links join, roots among them."""
+    found = components(links)
+    return found.union(found.select("root", "root").distinct()).toDF("node", "root")
+
+
 def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int = WORDS, leaf: int = LEAF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, same (names the set), root (names the group), component_id (the group's smallest doc_id)."""
     if not 0 < similarity[0] <= similarity[1]:
         raise ValueError("similarity is a fraction above 0, up to 1")
     texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(text_col).cast("string").alias("t"))
-    rows = written(texts.mapInArrow(_rows(similarity, words), "doc_id long, row_key long, n long, same long, keys array<long>"))
+    rows = written(texts.mapInArrow(_rows(similarity, words), "doc_id long, row_key long, n long, same long, point binary, keys array<long>"))
     # equal sets are one point from here on
-    classes = rows.filter("n > 0").groupBy("same").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.first("keys").alias("keys"))
-    keyed = classes.select(F.explode("keys").alias("key"), "same").repartition("key").sortWithinPartitions("key", "same")
-    clusters = components(keyed.mapInArrow(_starred, "a long, b long").distinct())
-    clusters = clusters.union(clusters.select("root", "root").distinct()).toDF("same", "root")
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
     classes = written(rows.filter("n > 0").groupBy("same").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key")))
-    asked = looked_up(clusters, sizes, "root").join(classes, "same").select("row_key", "root", "size", F.col("same").alias("node"))
+    ones = looked_up(rows, classes.select("row_key"), "row_key").dropDuplicates(["row_key"])
+    keyed = ones.select(F.explode("keys").alias("key"), F.col("same").alias("node"))
+    clusters = _clusters(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_starred, "a long, b long").distinct())
+    of_size = lambda c: looked_up(c, written(c.groupBy("root").agg(F.count("*").alias("size"))), "root")
+    clusters = written(of_size(clusters))
+    again = clusters.filter(F.col("size") > FEW)
+    if again.take(1):
+        wide = ones.join(again.select(F.col("node").alias("same")), "same").select(F.explode("keys").alias("key"), F.col("same").alias("node"), "n", "point")
+        fine = _clusters(wide.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_bounded(leaf, similarity), "a long, b long").distinct())
+        clusters = written(clusters.filter(F.col("size") <= FEW).select("node", "root", "size").union(of_size(fine).select("node", "root", "size")))
+    asked = clusters.join(classes.withColumnRenamed("same", "node"), "node").select("row_key", "root", "size", "node")
     met = texts.join(asked, "row_key").dropDuplicates(["row_key"]).select("root", "size", "node", "t")
     members = written(met.mapInArrow(_members(words), "root long, size long, node long, n long, point binary, set binary").withColumn("label", F.col("node")))
     small, large = members.filter(F.col("size") <= leaf), members.filter(F.col("size") > leaf)
@@ -314,7 +412,8 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, wo
         once = written(_met(own.select(F.col("leaf").alias("unit"), F.lit(0).alias("side"), "node", "label", "point", "set"), similarity))
         named = components(once).toDF("node", "joined")
         again = large.join(named, "node", "left").withColumn("label", F.coalesce("joined", "label")).drop("joined")
-        leaves = _leaves(again, leaf, "label", "n")
+        # narrow in size first, since sizes rule out most pairs of leaves; within, what hangs together lies together
+        leaves = _leaves(again.withColumn("band", F.floor(F.log("n") * 12).cast("long")), leaf, "band", "label", "n")
         units = written(_pairs_of_leaves(leaves, similarity).union(leaves.groupBy("leaf").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("leaf", "leaf")).toDF("leaf_a", "leaf_b"))
         unit = F.xxhash64("leaf_a", "leaf_b").alias("unit")
         sided = units.select(unit, F.col("leaf_a").alias("leaf"), F.lit(0).alias("side")).union(units.filter("leaf_a <> leaf_b").select(unit, F.col("leaf_b").alias("leaf"), F.lit(1).alias("side")))

@@ -745,8 +745,9 @@ def jaccard(df, **more):
     return sorted(tuple(r) for r in counttree.jaccard_groups(df, **more).select("doc_id", "n_shingles", "component_id").collect())
 
 
-@pytest.mark.parametrize("leaf", [3, 1024])
-def test_count_tree(spark, leaf):
+@pytest.mark.parametrize(("leaf", "few"), [(3, 0), (1024, 5), (1024, 1000)])
+def test_count_tree(spark, leaf, few, monkeypatch):
+    monkeypatch.setattr(counttree, "FEW", few)
     rng = random.Random(leaf)
     docs = []
     for _ in range(5):
@@ -780,8 +781,9 @@ def test_count_tree_keys():
         for _ in range(120):
             base = sets[int(rng.integers(len(sets)))] if sets and rng.random() < 0.7 else rng.integers(1, 1 << 63, int(rng.integers(1, 200)), dtype=np.uint64)
             sets.append(np.unique(np.append(base[rng.random(len(base)) > 0.04], rng.integers(1, 1 << 63, int(rng.integers(1, 4)), dtype=np.uint64))))
-        points = np.stack([counttree.point(s) for s in sets]).astype(np.int64)
-        links = counttree.joined(sets, points, np.arange(120), split)
+        points = counttree.points_of([counttree.point(s).tobytes() for s in sets])
+        sizes = np.array([len(s) for s in sets])
+        links = counttree.joined(sets, points, sizes, np.arange(120), split)
 
         def groups(pairs):
             label = list(range(120))
