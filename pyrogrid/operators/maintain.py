@@ -11,9 +11,9 @@ MOST_SENSOR_DAYS = 1_000_000
 
 def merge_tail(archive: DataFrame, window: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Archive rows before the window's first time, and the whole window; with keys, per key, so that a feed that failed keeps its tail."""
-    start = window.groupBy(*by).agg(F.min("acq_datetime").alias("__t0"))  # a row per key
+    start = window.groupBy(*by).agg(F.min("acq_datetime").alias("__t0"))  # a row per key: of no bounded number, so Spark chooses the join
     if by:
-        head = archive.join(F.broadcast(start), list(by), "left").filter(F.col("__t0").isNull() | (F.col("acq_datetime") < F.col("__t0")))
+        head = archive.join(start, list(by), "left").filter(F.col("__t0").isNull() | (F.col("acq_datetime") < F.col("__t0")))
     else:
         head = archive.crossJoin(F.broadcast(start)).filter(F.col("__t0").isNull() | (F.col("acq_datetime") < F.col("__t0")))
     return head.drop("__t0").unionByName(window, allowMissingColumns=True)

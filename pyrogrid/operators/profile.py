@@ -33,8 +33,8 @@ def collection_profile(archive: DataFrame, live: DataFrame) -> DataFrame:
 
 def missing_sensors(present: DataFrame, avail: DataFrame) -> DataFrame:
     """Sensors that should have flown in a year (avail: sensor, lo, hi years) and are not in present (year, sensor)."""
-    years = present.select("year").distinct()
-    due = years.join(F.broadcast(avail), F.col("year").between(F.col("lo"), F.col("hi"))).select("year", "sensor")
+    flown = avail.select("sensor", F.explode(F.sequence(F.col("lo").cast("int"), F.col("hi").cast("int"))).alias("year")).distinct()
+    due = present.select("year").distinct().join(flown, "year").select("year", "sensor")
     return due.join(present.select("year", "sensor").distinct(), ["year", "sensor"], "left_anti")
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.schema import DETECTIONS, NATURAL_KEY
 from .timeseq import holes
@@ -16,8 +17,10 @@ def totals_differ(det: DataFrame, levels: DataFrame) -> DataFrame:
 
 
 def rows_differ(rebuilt: DataFrame, kept: DataFrame, added: DataFrame) -> DataFrame:
-    c = lambda df, name: df.agg(F.count("*").alias(name))
-    return c(rebuilt, "got").crossJoin(c(kept, "kept")).crossJoin(c(added, "added")).filter("got <> kept + added")
+    """The three counts, in one job, where they do not add up."""
+    parts = [df.groupBy().agg(F.count("*").alias("n")).select(F.lit(name).alias("of"), "n") for df, name in ((rebuilt, "got"), (kept, "kept"), (added, "added"))]
+    n = lambda name: F.max(F.when(F.col("of") == name, F.col("n"))).alias(name)
+    return parts[0].union(parts[1]).union(parts[2]).agg(n("got"), n("kept"), n("added")).filter("got <> kept + added")
 
 
 def duplicates(det: DataFrame, key: tuple[str, ...] = NATURAL_KEY) -> DataFrame:
@@ -48,10 +51,19 @@ def breaks_fall(breaks: DataFrame, by: list[str]) -> DataFrame:
     return each.withColumn("p", F.lag("b").over(w)).filter("b <= p")
 
 
-def schema_differs(det: DataFrame) -> list[str]:
-    want = {f.name: f.dataType for f in DETECTIONS}
-    have = {f.name: f.dataType for f in det.schema}
-    return sorted({k for k in want.keys() | have.keys() if want.get(k) != have.get(k)})
+def schema_differs(det: DataFrame, want: StructType = DETECTIONS) -> DataFrame:
+    """Columns that are absent, of another type, or not in the schema: name, want, have. Nothing is read for it."""
+    wanted, have = ({f.name: f.dataType.simpleString() for f in s} for s in (want, det.schema))
+    rows = sorted((k, wanted.get(k), have.get(k)) for k in wanted.keys() | have.keys() if wanted.get(k) != have.get(k))
+    return det.sparkSession.createDataFrame(rows, "name string, want string, have string")
+
+
+def values_at_risk(det: DataFrame, want: StructType = DETECTIONS) -> DataFrame:
+    """schema_differs(), with how many rows have a value in the columns that differ: what a cast or a drop would touch, from one scan of these columns."""
+    differs = schema_differs(det, want)
+    names = [r["name"] for r in differs.select("name").collect() if r["name"] in det.columns]  # columns of a schema
+    filled = det.agg(F.array(*[F.struct(F.lit(c).alias("name"), F.count(c).alias("filled")) for c in names]).alias("x")).select(F.inline("x")) if names else differs.select("name", F.lit(0).cast("long").alias("filled")).limit(0)
+    return differs.join(filled, "name", "left")
 
 
 def nothing_written(written: int, expected: bool) -> None:
@@ -79,11 +91,32 @@ def null_pattern(det: DataFrame) -> DataFrame:
 ONLY_OF = {"MODIS": ("brightness", "bright_t31", "confidence_pct"), "VIIRS": ("bright_ti4", "bright_ti5")}
 
 
-def null_violations(det: DataFrame) -> DataFrame:
-    """Per sensor, quality and rule how many rows break it: near-real-time rows have no type, others have one; columns of one family are null in the other."""
+def rules_of(columns: list[str]) -> dict[str, Column]:
+    """What no row may be, by rule: each is true where a row breaks it. Rules on columns that are not there are left out."""
     rules = {"type": (F.col("quality") == "nrt") != F.col("type").isNull()}
     for family, names in ONLY_OF.items():
-        rules |= {c: F.col(c).isNotNull() & (F.col("instrument") != family) for c in names if c in det.columns}
-    counted = det.groupBy("sensor", "quality").agg(*[F.count_if(v).alias(k) for k, v in rules.items()])
-    each = F.array(*[F.struct(F.lit(k).alias("rule"), F.col(k).alias("cnt")) for k in rules])
-    return counted.select("sensor", "quality", F.explode(each).alias("x")).select("sensor", "quality", "x.*").filter("cnt > 0")
+        rules |= {c: F.col(c).isNotNull() & (F.col("instrument") != family) for c in names}
+    rules |= {
+        "lon": F.col("lon").isNull() | ~F.col("lon").between(-180, 180), "lat": F.col("lat").isNull() | ~F.col("lat").between(-90, 90),
+        "acq_date": ~F.to_date("acq_datetime").eqNullSafe(F.col("acq_date")), "frp": F.col("frp") < 0, "daynight": ~F.coalesce(F.col("daynight").isin("D", "N"), F.lit(True)),
+    }
+    return {k: F.coalesce(v, F.lit(False)) for k, v in rules.items() if k in columns}
+
+
+def row_gates(det: DataFrame, by: tuple[str, ...] = ("sensor", "quality")) -> DataFrame:
+    """All gates that look at rows one by one, in one scan: by the given columns and rule, how many rows break it; the rule 'rows' counts all."""
+    rules = rules_of(det.columns)
+    counted = det.groupBy(*by).agg(F.count("*").alias("__rows"), *[F.count_if(v).alias(f"__{k}") for k, v in rules.items()])
+    each = F.array(*[F.struct(F.lit(k).alias("rule"), F.col(f"__{k}").alias("cnt")) for k in ("rows", *rules)])
+    return counted.select(*by, F.explode(each).alias("x")).select(*by, "x.*").filter("cnt > 0")
+
+
+def observed(det: DataFrame) -> tuple[DataFrame, Observation]:
+    """det, and what row_gates() counts over all its rows, counted while they are written or read for another reason: no scan of its own."""
+    seen = Observation()
+    return det.observe(seen, F.count("*").alias("rows"), *[F.count_if(v).alias(k) for k, v in rules_of(det.columns).items()]), seen
+
+
+def null_violations(det: DataFrame) -> DataFrame:
+    """Per sensor, quality and rule how many rows break it: near-real-time rows have no type, others have one; columns of one family are null in the other."""
+    return row_gates(det.drop("lon", "lat", "acq_date", "frp", "daynight")).filter("rule <> 'rows'")

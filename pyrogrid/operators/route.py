@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions.grid import tile_xy
+from . import intervals
 
 #: What a point and a cell weigh in a tile, in bytes.
 POINT_BYTES, CELL_BYTES = 12, 40
@@ -14,20 +15,31 @@ POINT_BYTES, CELL_BYTES = 12, 40
 
 def owners(buckets: DataFrame, sources: DataFrame) -> DataFrame:
     """Per bucket (bucket, unit) the covering source that was rebuilt last; ties go to the narrower one, then to the smaller id."""
-    s = F.broadcast(sources.select("id", F.col("unit").alias("u"), "min_key", "max_key", "rebuilt"))  # tens of rows
-    met = buckets.join(s, (F.col("unit") == F.col("u")) & F.col("bucket").between(F.col("min_key"), F.col("max_key")))
-    span = keys.days_between(F.col("min_key"), F.col("max_key"))
-    w = Window.partitionBy("bucket", "unit").orderBy(F.desc("rebuilt"), span, "id")
-    return met.withColumn("r", F.row_number().over(w)).filter("r = 1").select("bucket", "unit", F.col("id").alias("owner"))
+    s = sources.select("id", "unit", "min_key", "max_key", "rebuilt")
+    met = intervals.holding(buckets, keys.bucket_index(F.col("bucket")), s, keys.bucket_index(F.col("min_key")), keys.bucket_index(F.col("max_key")), ("unit",))
+    best = F.min(F.struct((-F.col("rebuilt")).alias("r"), keys.days_between(F.col("min_key"), F.col("max_key")).alias("span"), "id"))
+    return met.groupBy("bucket", "unit").agg(best.alias("best")).select("bucket", "unit", F.col("best.id").alias("owner"))
 
 
 def best_cover(selections: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per selection (sel, unit, lo, hi) the source of its unit that covers most buckets, then the freshest."""
-    s = F.broadcast(sources.select("id", F.col("unit").alias("u"), "min_key", "max_key", "rebuilt"))
-    a, b = F.greatest("lo", "min_key"), F.least("hi", "max_key")
-    met = selections.join(s, (F.col("unit") == F.col("u")) & (a <= b)).withColumn("covered", keys.bucket_index(b) - keys.bucket_index(a) + 1)
-    w = Window.partitionBy("sel").orderBy(F.desc("covered"), F.desc("rebuilt"), "id")
-    return met.withColumn("r", F.row_number().over(w)).filter("r = 1").select("sel", F.col("id").alias("source"), "covered")
+    """Per selection (sel, unit, lo, hi) the source of its unit that covers most buckets, then the freshest.
+
+    Sources of one extent are one until the freshest is taken; selections of one extent are one throughout.
+    """
+    asked = selections.select("unit", "lo", "hi").distinct().withColumn("ask", F.xxhash64("unit", "lo", "hi"))
+    extents = sources.groupBy("unit", "min_key", "max_key").agg(F.min(F.struct((-F.col("rebuilt")).alias("r"), "id")).alias("fresh")).withColumn("extent", F.xxhash64("unit", "min_key", "max_key"))
+    at = lambda c: keys.bucket_index(F.col(c))
+    met = intervals.meeting(asked, at("lo"), at("hi"), "ask", extents, at("min_key"), at("max_key"), "extent", ("unit",))
+    met = met.join(asked, ["unit", "ask"]).join(extents, ["unit", "extent"])
+    covered = keys.bucket_index(F.least("hi", "max_key")) - keys.bucket_index(F.greatest("lo", "min_key")) + 1
+    best = met.groupBy("unit", "lo", "hi").agg(F.min(F.struct((-covered).alias("n"), F.col("fresh.r"), F.col("fresh.id"))).alias("best"))
+    return selections.join(best, ["unit", "lo", "hi"]).select("sel", F.col("best.id").alias("source"), (-F.col("best.n")).alias("covered"))
+
+
+def days_of(days: DataFrame, sources: DataFrame) -> DataFrame:
+    """Of days (day_key and others): each with the sources (id, min_key, max_key) that hold it."""
+    at = lambda c: keys.bucket_index(F.col(c))
+    return intervals.holding(days, at("day_key"), sources.select("id", "min_key", "max_key"), at("min_key"), at("max_key"))
 
 
 def route(domains: DataFrame, years: tuple[int, int], live_from: str) -> DataFrame:
@@ -48,7 +60,8 @@ def route(domains: DataFrame, years: tuple[int, int], live_from: str) -> DataFra
 def plan_mounts(domains: DataFrame, years: DataFrame, most: int = 2) -> DataFrame:
     """Per domain the years nearest to its middle: req, year, rank."""
     mid = F.year("lo") + (F.year("hi") - F.year("lo")) / 2
-    near = domains.join(F.broadcast(years.select("year")), F.col("year").between(F.year("lo"), F.year("hi"))).withColumn("far", F.abs(F.col("year") - mid))
+    each = domains.select("*", F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))
+    near = each.join(years.select("year").distinct(), "year").withColumn("far", F.abs(F.col("year") - mid))
     w = Window.partitionBy("req").orderBy("far", F.desc("year"))
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).select("req", "year", "rank")
 

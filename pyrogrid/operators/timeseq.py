@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys
+from . import intervals
 
 
 def holes(det: DataFrame, max_gap: str, by: list[str] | None = None, lo: Column | None = None, hi: Column | None = None, time: str = "acq_datetime") -> DataFrame:
@@ -92,8 +93,9 @@ def block_range_sum(blocks: DataFrame, totals: DataFrame, lo: str, hi: str, bloc
 
 def gaps(axis: DataFrame, sources: DataFrame) -> DataFrame:
     """Of an axis (pos, bucket, unit): ranges of positions that no source (unit, min_key, max_key) of the unit covers."""
-    s = F.broadcast(sources.select(F.col("unit").alias("u"), "min_key", "max_key"))
-    bare = axis.join(s, (F.col("unit") == F.col("u")) & F.col("bucket").between(F.col("min_key"), F.col("max_key")), "left_anti")
+    at = lambda c: keys.bucket_index(F.col(c))
+    held = intervals.holding(axis, at("bucket"), sources.select("unit", "min_key", "max_key").distinct(), at("min_key"), at("max_key"), ("unit",))
+    bare = axis.join(held.select("pos").distinct(), "pos", "left_anti")
     island = bare.withColumn("g", F.col("pos") - F.row_number().over(Window.orderBy("pos")))  # a row per bucket of the axis
     return island.groupBy("g").agg(F.min("pos").alias("from_pos"), F.max("pos").alias("to_pos")).select("from_pos", "to_pos")
 

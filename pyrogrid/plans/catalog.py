@@ -325,9 +325,8 @@ def _(det):
 
 @register("j5_days_by_source", f"SELECT CAST(d.acq_date AS VARCHAR) AS day, s.id FROM (SELECT DISTINCT acq_date, day_key FROM det) d JOIN {SOURCES} s ON s.unit = 'day' AND d.day_key BETWEEN s.min_key AND s.max_key", "det")
 def _(det):
-    s = F.broadcast(values(det, SOURCES).filter("unit = 'day'"))
     days = det.select("acq_date", "day_key").distinct()
-    return days.join(s, F.col("day_key").between(F.col("min_key"), F.col("max_key"))).select(F.col("acq_date").cast("string").alias("day"), "id")
+    return route.days_of(days, values(det, SOURCES).filter("unit = 'day'")).select(F.col("acq_date").cast("string").alias("day"), "id")
 
 
 @register("j6_live_only", f"SELECT det_id FROM det WHERE acq_datetime >= {WINDOW} AND acq_datetime > (SELECT MAX(acq_datetime) FROM det WHERE acq_datetime < {SPLIT})", "det")
@@ -354,6 +353,22 @@ def _(det):
     return det.groupBy(c.alias("cell")).agg(F.count("*").alias("cnt")).join(det.filter("quality = 'sp'").groupBy(c.alias("cell")).agg(F.min("lon").alias("w")), "cell")
 
 
+#: Regions as edges (region, ax, ay, bx, by): a square with a hole and, apart from it, a second part; and one across the antimeridian.
+_RINGS = {
+    "holed": [((-60.005, -40.005), (40.005, -40.005), (40.005, 50.005), (-60.005, 50.005)), ((-20.005, -10.005), (20.005, -15.005), (5.005, 30.005)), ((100.005, 10.005), (130.005, 20.005), (110.005, 60.005))],
+    "crossing": [((160.005, -50.005), (205.005, -45.005), (190.005, 40.005), (170.005, 30.005)), ((178.005, -5.005), (184.005, -5.005), (184.005, 5.005), (178.005, 5.005))],
+}
+_EDGES = ", ".join(f"('{k}', {a[0]}, {a[1]}, {b[0]}, {b[1]})" for k, rings in _RINGS.items() for r in rings for a, b in zip(r, r[1:] + r[:1], strict=True))
+
+
+@register("j10_holed_regions", f"AS_CTE e(region, ax, ay, bx, \"by\") AS (SELECT col0, CAST(col1 AS DOUBLE), CAST(col2 AS DOUBLE), CAST(col3 AS DOUBLE), CAST(col4 AS DOUBLE) FROM (VALUES {_EDGES})), p AS (SELECT det_id, lat, lon + k * 360 AS x FROM det, (VALUES (-1), (0), (1)) AS t(k)) SELECT det_id, region FROM p JOIN e ON (ay > lat) <> (\"by\" > lat) AND x < (bx - ax) * (lat - ay) / (\"by\" - ay) + ax GROUP BY det_id, region, x HAVING COUNT(*) % 2 = 1", "det")
+def _(det):
+    point = lambda p: f"named_struct('x', {p[0]}D, 'y', {p[1]}D)"
+    rings = lambda some: "array(" + ", ".join("array(" + ", ".join(map(point, r)) + ")" for r in some) + ")"
+    regions = det.sparkSession.sql(" UNION ALL ".join(f"SELECT '{k}' AS region, {rings(v)} AS rings" for k, v in _RINGS.items()))
+    return viewport.join_regions(det, regions).select("det_id", "region")
+
+
 @register("j10_regions", "SELECT det_id, 'east' AS region FROM det WHERE lon > 10.005 AND lon < 60.005 AND lat > -20.005 AND lat < 30.005 UNION ALL SELECT det_id, 'triangle' FROM det WHERE lon + lat < 0.005 AND lon > -120.005 AND lat > -60.005", "det")
 def _(det):
     ring = lambda *p: "array(" + ", ".join(f"named_struct('x', {x}D, 'y', {y}D)" for x, y in p) + ")"
@@ -600,10 +615,11 @@ def _(det):
     return maintain.replace_entries(entries(det.filter("sensor = 'MODIS'")), entries(det.filter("year >= 2000")))
 
 
-@register("m6_unions", f"SELECT {CELL.format(s=1000)} AS cell FROM det UNION SELECT {CELL.format(s=1000)} FROM det WHERE sensor = 'MODIS'", "det")
+@register("m6_unions", f"SELECT {CELL.format(s=1000)} AS cell FROM det WHERE sensor = 'VIIRS_SNPP' UNION SELECT {CELL.format(s=1000)} FROM det WHERE sensor = 'VIIRS_NOAA20' AND daynight = 'N'", "det")
 def _(det):
+    """Neither set holds the other, and they share cells."""
     c = plain_cell(F.col("lon_c"), F.col("lat_c"), 1000).alias("cell")
-    return det.select(c).union(det.filter("sensor = 'MODIS'").select(c)).distinct()
+    return det.filter("sensor = 'VIIRS_SNPP'").select(c).union(det.filter("sensor = 'VIIRS_NOAA20' and daynight = 'N'").select(c)).distinct()
 
 
 @register("m7_except", "SELECT sensor FROM ord WHERE year = 2001 EXCEPT SELECT sensor FROM ord WHERE year = 1997", "ord")
@@ -737,6 +753,30 @@ def _(det):
     return quality.axis_differs(declared, det.select(F.col("day_key").alias("bucket")))
 
 
+#: Of the events: what the fixed schema has and they lack, and two types that differ.
+@register("q8_schema", "SELECT name, want, have, CASE name WHEN 'acq_datetime' THEN (SELECT COUNT(acq_datetime) FROM det) WHEN 'scan' THEN (SELECT COUNT(scan) FROM det WHERE quality = 'sp') END AS filled FROM (VALUES ('acq_datetime', 'timestamp', 'timestamp_ntz'), ('bright_t31', 'double', NULL), ('bright_ti4', 'double', NULL), ('bright_ti5', 'double', NULL), ('brightness', 'double', NULL), ('version', 'string', NULL), ('scan', 'double', 'string')) AS t(name, want, have)", "det")
+def _(det):
+    known = [c for c in det.columns if c not in ("det_id", "year", "lon_c", "lat_c", "day_key")]
+    return quality.values_at_risk(det.select(*known).withColumn("scan", F.when(F.col("quality") == "sp", F.col("scan").cast("string"))))
+
+
+#: Rows spoiled by their number, so that each rule is broken by some.
+_SPOILED = {"lon": ("13", "200.0"), "lat": ("17", "NULL"), "frp": ("19", "-1.0"), "daynight": ("23", "'X'"), "acq_date": ("29", "DATE '2020-01-01'"), "type": ("11", "0"), "confidence_pct": ("7", "5")}
+_BROKEN = {
+    "rows": "TRUE", "type": "(quality = 'nrt') <> (type IS NULL)", "confidence_pct": "confidence_pct IS NOT NULL AND instrument <> 'MODIS'", "lon": "lon IS NULL OR lon NOT BETWEEN -180 AND 180",
+    "lat": "lat IS NULL OR lat NOT BETWEEN -90 AND 90", "acq_date": "CAST(acq_datetime AS DATE) IS DISTINCT FROM acq_date", "frp": "frp < 0", "daynight": "daynight NOT IN ('D', 'N')",
+}
+_SPOIL = ", ".join(f"CASE WHEN det_id % {n} = 0 THEN {v} ELSE {c} END AS {c}" for c, (n, v) in _SPOILED.items())
+_COUNTED = " UNION ALL ".join(f"SELECT sensor, quality, '{k}' AS rule, CAST(SUM(CASE WHEN {v} THEN 1 ELSE 0 END) AS BIGINT) AS cnt FROM s GROUP BY 1, 2" for k, v in _BROKEN.items())
+
+
+@register("q11_row_gates", f"AS_CTE s AS (SELECT sensor, quality, instrument, acq_datetime, {_SPOIL} FROM det) SELECT * FROM ({_COUNTED}) WHERE cnt > 0", "det")
+def _(det):
+    """Every gate on single rows, in one scan."""
+    spoiled = det.withColumns({c: F.expr(f"case when det_id % {n} = 0 then {v} else {c} end") for c, (n, v) in _SPOILED.items()})
+    return quality.row_gates(spoiled.drop("scan", "track"))
+
+
 @register("q9_nothing_found", "SELECT s.sensor, y.year FROM (SELECT DISTINCT sensor FROM ord) s, (SELECT DISTINCT year FROM ord) y WHERE NOT EXISTS (SELECT 1 FROM ord o WHERE o.sensor = s.sensor AND o.year = y.year)", "ord")
 def _(det):
     due = det.select("sensor").distinct().crossJoin(F.broadcast(det.select("year").distinct()))  # sensors and years: tens of rows
@@ -851,17 +891,15 @@ def _(spark, sf_dir):
     return normalize.normalize(raw_feed(spark, sf_dir), "MODIS_SP").select("lat", "lon", "satellite", "confidence", "sensor", "quality", "instrument", "frp", "bright_ti4", "type")
 
 
-#: Feeds and what is known of them, as rows.
-_FEEDS = ", ".join(f"('{k}', '{a}', '{b}', '{c}')" for k, (a, b, c) in FEEDS.items())
+#: What the publishers' feeds hold, written down apart from the library's own table of them.
+_FEEDS = "('MODIS_SP', 'MODIS', 'sp', 'MODIS'), ('MODIS_NRT', 'MODIS', 'nrt', 'MODIS'), ('VIIRS_SNPP_SP', 'VIIRS_SNPP', 'sp', 'VIIRS'), ('VIIRS_SNPP_NRT', 'VIIRS_SNPP', 'nrt', 'VIIRS'), ('VIIRS_NOAA20_SP', 'VIIRS_NOAA20', 'sp', 'VIIRS'), ('VIIRS_NOAA20_NRT', 'VIIRS_NOAA20', 'nrt', 'VIIRS'), ('VIIRS_NOAA21_NRT', 'VIIRS_NOAA21', 'nrt', 'VIIRS')"
 
 
-@register("p6_source_map", f"SELECT id, sensor, quality, instrument, (SELECT COUNT(*) FROM det d WHERE d.sensor = t.sensor AND d.quality = t.quality) AS cnt FROM (VALUES {_FEEDS}) AS t(id, sensor, quality, instrument)", "det")
+@register("p6_source_map", f"SELECT id, sensor, quality, instrument, (SELECT COUNT(*) FROM det d WHERE d.sensor = t.sensor AND d.quality = t.quality AND d.instrument = t.instrument) AS cnt FROM (VALUES {_FEEDS}) AS t(id, sensor, quality, instrument)", "det")
 def _(det):
-    known = F.create_map(*[F.lit(x) for k, v in FEEDS.items() for x in ("|".join(v[:2]), k)])
-    per = det.groupBy("sensor", "quality").agg(F.count("*").alias("cnt"))
-    found = per.withColumn("id", F.try_element_at(known, F.concat_ws("|", "sensor", "quality"))).select("id", "cnt")
-    feeds = det.sparkSession.sql(f"SELECT * FROM (VALUES {_FEEDS}) AS t(id, sensor, quality, instrument)")
-    return feeds.join(found, "id", "left").withColumn("cnt", F.coalesce("cnt", F.lit(0)))
+    per = det.groupBy("sensor", "quality", "instrument").agg(F.count("*").alias("cnt"))
+    feeds = det.sparkSession.createDataFrame([(k, *v) for k, v in FEEDS.items()], "id string, sensor string, quality string, instrument string")
+    return feeds.join(per, ["sensor", "quality", "instrument"], "left").withColumn("cnt", F.coalesce("cnt", F.lit(0)))
 
 
 @feed("s2_bulk_feed", "SELECT instrument, quality, COUNT(*) AS cnt, COUNT(type) AS typed FROM (SELECT 'VIIRS' AS instrument, 'nrt' AS quality, CAST(NULL AS INT) AS type FROM raw WHERE " + _PLACED + ") GROUP BY 1, 2")
