@@ -82,6 +82,25 @@ def select_slots(positive: list[np.ndarray], unlabelled: list[np.ndarray], z: fl
     return np.sort(chosen[np.argsort(-tells[chosen], kind="stable")[:most]])
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
+
+
+def risk(theta: np.ndarray, p_doc: np.ndarray, p_slot: np.ndarray, u_doc: np.ndarray, u_slot: np.ndarray, n: int, m: int, prior: float) -> tuple[float, float, np.ndarray]:
+    """The two terms of the risk with the logistic loss, and the slope of a step: of their sum, or, where the second is negative, up that term.
+
+    theta: weights of the slots, then the bias; documents (n positive, m unlabelled) as pairs of document and slot.
+    """
+    k = len(theta) - 1
+    gp, gu = theta[k] + np.bincount(p_doc, theta[p_slot], n), theta[k] + np.bincount(u_doc, theta[u_slot], m)
+    positive, negative = prior * np.logaddexp(0, -gp).mean(), np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    sp, su = _sigmoid(gp), _sigmoid(gu)
+    # slopes by the outputs of the classifier
+    op, ou = -prior * sp / n, su / m
+    op, ou = (op - prior * (1 - sp) / n, ou) if negative >= 0 else (-op, -ou)
+    return positive, negative, np.append(np.bincount(p_slot, op[p_doc], k) + np.bincount(u_slot, ou[u_doc], k), op.sum() + ou.sum())
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, z: float = 8.0, most: int = 4096, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Classifier:
     """Minimise the non-negative risk with the logistic loss by Adam over whole-sample gradients."""
     if not positive or not unlabelled:
@@ -99,19 +118,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     n, m, k = len(positive), len(unlabelled), len(slots)
     theta, one, two = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
     theta[k] = np.log(prior / (1 - prior))
-    sigmoid = lambda x: 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
     for t in range(1, steps + 1):
-        gp = theta[k] + np.bincount(pd, theta[pf], n)
-        gu = theta[k] + np.bincount(ud, theta[uf], m)
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        sp, su = sigmoid(gp), sigmoid(gu)
-        # slopes of the two terms by the outputs of g
-        up, uu = -prior * sp / n, su / m
-        if negative >= 0:
-            op, ou = up - prior * (1 - sp) / n, uu
-        else:
-            op, ou = -up, -uu
-        grad = np.append(np.bincount(pf, op[pd], k) + np.bincount(uf, ou[ud], k), op.sum() + ou.sum())
+        grad = risk(theta, pd, pf, ud, uf, n, m, prior)[2]
         grad[:k] += decay * theta[:k]
         one, two = 0.9 * one + 0.1 * grad, 0.999 * two + 0.001 * grad**2
         theta -= rate * (one / (1 - 0.9**t)) / (np.sqrt(two / (1 - 0.999**t)) + 1e-9)

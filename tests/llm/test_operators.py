@@ -707,6 +707,45 @@ def test_nearest_at_all_magnitudes(spark, kind):
             assert [got[q][k + 1] for k in range(10)] == [(i, score[i]) for i in want], (scale, q)
 
 
+def test_toxicity_risk():
+    """Both branches of the slope against finite differences, the risk against plain loops."""
+    rng = np.random.default_rng(4)
+    seen = set()
+    for prior in (0.05, 0.4, 0.9):
+        for over in (False, True):  # a classifier that knows the positives by heart drives the second term below zero
+            n, m, k = 7, 11, 6
+            docs = [[rng.permutation(k)[: rng.integers(1, k)] for _ in range(n)], [rng.permutation(k)[: 0 if over else rng.integers(0, k)] for _ in range(m)]]
+            theta = np.append(np.full(k, 6.0), -5.0) if over else rng.standard_normal(k + 1)
+            args = (*toxicity.flat(docs[0]), *toxicity.flat(docs[1]), n, m, prior)
+
+            def plain(theta):
+                loss = lambda x: np.log1p(np.exp(-x))
+                g = [[theta[-1] + sum(theta[j] for j in d) for d in side] for side in docs]
+                return prior * sum(map(loss, g[0])) / n, sum(loss(-x) for x in g[1]) / m - prior * sum(loss(-x) for x in g[0]) / n
+
+            positive, negative, slope = toxicity.risk(theta, *args)
+            assert np.allclose((positive, negative), plain(theta))
+            seen.add(negative >= 0)
+            whole = (lambda t: sum(plain(t))) if negative >= 0 else (lambda t: -plain(t)[1])
+            for j in range(k + 1):
+                step = np.eye(k + 1)[j] * 1e-6
+                assert abs((whole(theta + step) - whole(theta - step)) / 2e-6 - slope[j]) < 1e-6
+    assert seen == {True, False}
+
+
+def test_toxicity_scores(spark):
+    """Scores of rows against a dictionary and a loop; features by their definition."""
+    texts = ["Idiotic idiots, idiot!", "", None, "caf\u00e9 na\u00efve 12 caf\u00e9s", "x " * 5000, "Idiotic idiots, idiot!"]
+    found = [set(re.findall(r"[^\W\d_]+", (t or "").lower())) for t in texts]
+    slots = [{zlib.crc32(f.encode()) % toxicity.SLOTS for w in ws for f in [w, *(w[:n] + "-" for n in (4, 5, 6) if len(w) >= n)]} for ws in found]
+    assert [set(toxicity.features(t).tolist()) for t in texts] == slots
+    every = sorted(set().union(*slots))[::2]
+    weights = {s: (i % 7 - 3) / 4 for i, s in enumerate(every)}
+    model = toxicity.Classifier(np.array(every), np.array(list(weights.values())), -0.5)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), DOCS), model).collect()}
+    assert all(abs(got[i] - 1 / (1 + np.exp(0.5 - sum(weights.get(s, 0) for s in have)))) < 1e-9 for i, have in enumerate(slots)) and got[0] == got[5]
+
+
 # ---- Jaccard join, lexical ranking, periodic runs
 
 
