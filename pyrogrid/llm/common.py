@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import one_process
+
 #: Rows and bytes of a record batch handed to Python; a batch of very long texts then stays small.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
@@ -30,7 +32,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local["):
+        if not named and not one_process(spark):
             raise RuntimeError("spark.checkpoint.dir names no folder that all executors see")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="pyrogrid-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
@@ -92,8 +94,10 @@ def dropped(df: DataFrame) -> None:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Materialise df as a Parquet table in the shared folder: like cut(), with columns that can be read alone."""
+    """Materialise df as a Parquet table in the shared folder: like cut(), with columns that can be read alone. It goes with the session's JVM."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.parquet(path)
