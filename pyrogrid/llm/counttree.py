@@ -26,7 +26,7 @@ have any name.  Shingles and sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -224,14 +224,17 @@ def _rows(similarity: tuple[int, int], words: int):
     return run
 
 
-def _members(words: int):
+def members_of(texts: DataFrame, shingled: Callable[[bytes | None], np.ndarray]) -> DataFrame:
+    """Of texts (root, size, node, t): root, size, node, n, point, set and label, which is what hangs together already: nothing."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shingles(t, words) for t in b.column(3).cast(pa.binary()).to_pylist()]
+            found = [shingled(t) for t in b.column(3).cast(pa.binary()).to_pylist()]
             packed = (pa.array([x.tobytes() for x in y], pa.binary()) for y in ([point(s) for s in found], found))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array([len(s) for s in found], pa.int64()), *packed], names=["root", "size", "node", "n", "point", "set"])
 
-    return run
+    made = texts.select("root", "size", "node", "t").mapInArrow(run, "root long, size long, node long, n long, point binary, set binary")
+    return written(made.withColumn("label", F.col("node")))
 
 
 def _numbered(leaf: int):
@@ -380,6 +383,28 @@ def _clusters(links: DataFrame) -> DataFrame:
     return found.union(found.select("root", "root").distinct()).toDF("node", "root")
 
 
+def links_of(members: DataFrame, similarity: tuple[int, int] = SIMILARITY, leaf: int = LEAF) -> DataFrame:
+    """Links a, b that join whatever pairs within the clusters of members (as of members_of) have that similarity."""
+    small, large = members.filter(F.col("size") <= leaf), members.filter(F.col("size") > leaf)
+    links = _met(small.select(F.col("root").alias("unit"), F.lit(0).alias("side"), "node", "label", "point", "set"), similarity)
+    if large.take(1):
+        leaves = _leaves(large, leaf, "n")
+        # the first set of the cluster is in each of its leaves
+        lead = leaves.filter("node = root").select("root", "node", "label", "point", "set")
+        more = leaves.select("root", "leaf").distinct().join(lead, "root")
+        own = leaves.filter("node <> root").unionByName(more, allowMissingColumns=True)
+        once = written(_met(own.select(F.col("leaf").alias("unit"), F.lit(0).alias("side"), "node", "label", "point", "set"), similarity))
+        named = components(once).toDF("node", "joined")
+        again = large.join(named, "node", "left").withColumn("label", F.coalesce("joined", "label")).drop("joined")
+        # narrow in size first, since sizes rule out most pairs of leaves; within, what hangs together lies together
+        leaves = _leaves(again.withColumn("band", F.floor(F.log("n") * 12).cast("long")), leaf, "band", "label", "n")
+        units = written(_pairs_of_leaves(leaves, similarity).union(leaves.groupBy("leaf").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("leaf", "leaf")).toDF("leaf_a", "leaf_b"))
+        unit = F.xxhash64("leaf_a", "leaf_b").alias("unit")
+        sided = units.select(unit, F.col("leaf_a").alias("leaf"), F.lit(0).alias("side")).union(units.filter("leaf_a <> leaf_b").select(unit, F.col("leaf_b").alias("leaf"), F.lit(1).alias("side")))
+        links = links.union(once).union(_met(leaves.join(sided, "leaf"), similarity))
+    return links
+
+
 def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int = WORDS, leaf: int = LEAF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, same (names the set), root (names the group), component_id (the group's smallest doc_id)."""
     if not 0 < similarity[0] <= similarity[1]:
@@ -400,24 +425,7 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, wo
         clusters = written(clusters.filter(F.col("size") <= FEW).select("node", "root", "size").union(of_size(fine).select("node", "root", "size")))
     asked = clusters.join(classes.withColumnRenamed("same", "node"), "node").select("row_key", "root", "size", "node")
     met = texts.join(asked, "row_key").dropDuplicates(["row_key"]).select("root", "size", "node", "t")
-    members = written(met.mapInArrow(_members(words), "root long, size long, node long, n long, point binary, set binary").withColumn("label", F.col("node")))
-    small, large = members.filter(F.col("size") <= leaf), members.filter(F.col("size") > leaf)
-    links = _met(small.select(F.col("root").alias("unit"), F.lit(0).alias("side"), "node", "label", "point", "set"), similarity)
-    if large.take(1):
-        leaves = _leaves(large, leaf, "n")
-        # the first set of the cluster is in each of its leaves
-        lead = leaves.filter("node = root").select("root", "node", "label", "point", "set")
-        more = leaves.select("root", "leaf").distinct().join(lead, "root")
-        own = leaves.filter("node <> root").unionByName(more, allowMissingColumns=True)
-        once = written(_met(own.select(F.col("leaf").alias("unit"), F.lit(0).alias("side"), "node", "label", "point", "set"), similarity))
-        named = components(once).toDF("node", "joined")
-        again = large.join(named, "node", "left").withColumn("label", F.coalesce("joined", "label")).drop("joined")
-        # narrow in size first, since sizes rule out most pairs of leaves; within, what hangs together lies together
-        leaves = _leaves(again.withColumn("band", F.floor(F.log("n") * 12).cast("long")), leaf, "band", "label", "n")
-        units = written(_pairs_of_leaves(leaves, similarity).union(leaves.groupBy("leaf").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("leaf", "leaf")).toDF("leaf_a", "leaf_b"))
-        unit = F.xxhash64("leaf_a", "leaf_b").alias("unit")
-        sided = units.select(unit, F.col("leaf_a").alias("leaf"), F.lit(0).alias("side")).union(units.filter("leaf_a <> leaf_b").select(unit, F.col("leaf_b").alias("leaf"), F.lit(1).alias("side")))
-        links = links.union(once).union(_met(leaves.join(sided, "leaf"), similarity))
+    links = links_of(members_of(met, lambda t: shingles(t, words)), similarity, leaf)
     placed = written(classes.join(components(links), F.col("same") == F.col("node"), "left").select("same", "least", F.coalesce("root", "same").alias("root")))
     best = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = written(looked_up(placed, best, "root").select("same", "root", "component_id"))
