@@ -13,7 +13,8 @@ Three steps, each of which keeps every repeated string:
 3. The repeated strings' extents meet the texts again, and what they cover is cut out.
 
 A gram with over UNIT different contexts is spread over tasks: its runs become rows that are dealt by a hash of their core, and the
-construction takes those.  Only a core which again has over UNIT different surroundings is counted string by string.
+construction takes those.  A core which again has over UNIT different surroundings has its runs cut into narrower ones, whose cores hold more, until
+each has fewer: all repeated strings come from the construction.
 
 A View says in which bytes strings are sought and how long they are: 400 bytes of the text itself (BYTES), or 51 words (PASSAGES),
 each of which stands in the string as six letters of its hash.  Gram and core follow from the length.
@@ -38,7 +39,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors as an
@@ -240,43 +241,67 @@ def _of_contexts(view: View):
     return run
 
 
-def _of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (k, k2, n, base, r, r2, before, around), a core's (k, k2) together: per sequence (r, r2) least and greatest distance."""
+def _of_runs(run: int):
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (k, k2, n, base, r, r2, before, around), a core's (k, k2) together: per sequence (r, r2) least and greatest distance."""
 
-    def decide(rows: list[tuple]) -> pa.RecordBatch:
-        near, far = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
-        left, right = [x[7][: x[6]] for x in rows], [x[7][x[6] :] for x in rows]
-        decided(np.arange(len(rows)), np.array([x[2] for x in rows], np.int64), np.array([x[3] for x in rows], np.int64), [x[:2] for x in rows], left, right, SPREAD_RUN, near, far)
-        return _emitted([x[4:6] for x in rows], near, far)
+        def decide(rows: list[tuple]) -> pa.RecordBatch:
+            near, far = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
+            left, right = [x[7][: x[6]] for x in rows], [x[7][x[6] :] for x in rows]
+            decided(np.arange(len(rows)), np.array([x[2] for x in rows], np.int64), np.array([x[3] for x in rows], np.int64), [x[:2] for x in rows], left, right, run, near, far)
+            return _emitted([x[4:6] for x in rows], near, far)
 
-    held: list[tuple] = []
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if len(held) >= HELD and row[:2] != held[-1][:2]:
-                yield decide(held)
-                held = []
-            held.append(row)
-    if held:
-        yield decide(held)
+        held: list[tuple] = []
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if len(held) >= HELD and row[:2] != held[-1][:2]:
+                    yield decide(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield decide(held)
+
+    return each
+
+
+def _two(name: str, *c: str | Column) -> dict[str, Column]:
+    return {name: F.xxhash64(*c), f"{name}2": F.xxhash64(F.lit(1), *c)}
 
 
-def repeated_in_runs(runs: DataFrame) -> DataFrame:
-    """Per context a, e of the grams that are spread, near, far: least and greatest distance from the anchor of starts of repeated strings."""
-    two = lambda name, *c: {name: F.xxhash64(*c), f"{name}2": F.xxhash64(F.lit(1), *c)}
-    named = runs.withColumns(two("k", "core", "base")).drop("core").withColumns(two("r", "k", "k2", "before", "around"))
+def _narrower(runs: DataFrame, run: int, part: int) -> DataFrame:
+    """Runs of ``run`` string starts cut into such of ``part`` starts: what all strings of one of these have beside the core belongs to its own core."""
+    at, size = F.col("at"), F.length("around") - F.col("before")
+    each = runs.withColumn("at", F.explode(F.array(*[F.lit(x) for x in range(0, run, part)])))
+    # starts are told by how many bytes they lie before the core: from nearest to before there are strings
+    nearest = run - 1 - size
+    more = F.least(F.col("before"), at + part - 1) - at
+    after = at + part - 1 - F.greatest(nearest, at)
+    own = F.substring("around", F.col("before") - at + 1, F.lit(run - part))
+    left, right = F.substring("around", F.col("before") - at - more + 1, more), F.substring("around", F.col("before") + (run - part) - at + 1, after)
+    cut = each.filter((at <= F.col("before")) & (nearest <= at + part - 1)).select(
+        F.col("r").alias("a"), F.col("r2").alias("e"), "n", (F.col("base") + at).cast("int").alias("base"), "k", "k2", own.alias("own"), more.cast("int").alias("before"), F.concat(left, right).alias("around")
+    )
+    return cut.withColumns(_two("__k", "k", "k2", "base", "own")).drop("k", "k2", "own").withColumnsRenamed({"__k": "k", "__k2": "k2"})
+
+
+def repeated_in_runs(runs: DataFrame, run: int = SPREAD_RUN) -> DataFrame:
+    """Per owner a, e of runs (a, e, n, base, k, k2, before, around), near, far: least and greatest distance from the anchor of starts of repeated strings.
+
+    Every core goes through the construction.  One that stands in over UNIT different surroundings has its runs cut into narrower ones first, whose cores
+    hold some of what surrounded it; at the latest in runs of one string nothing surrounds the core.
+    """
+    named = runs.withColumns(_two("r", "k", "k2", "before", "around"))
     reads = written(named.groupBy("k", "k2", "base", "r", "r2", "before", "around").agg(F.least(F.lit(2), F.sum("n")).cast("int").alias("n")))
     units = reads.groupBy("k", "k2").agg(F.count("*").alias("size"), F.sum("n").alias("copies")).filter("copies > 1")
-    shared = looked_up(reads, units, ["k", "k2"])  # a very common core is salted
+    shared = written(looked_up(reads, units, ["k", "k2"]))  # a very common core is salted
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not fewer for few bytes: the work is in the rounds
     few = shared.filter(F.col("size") <= UNIT).select("k", "k2", "n", "base", "r", "r2", "before", "around").repartition(parts, "k").sortWithinPartitions("k", "k2")
-    built = few.mapInArrow(_of_runs, FOUND).select(F.col("a").alias("r"), F.col("e").alias("r2"), "near", "far")
-    last = F.length("around") - (SPREAD_RUN - 1)
-    cut_up = shared.filter(F.col("size") > UNIT).select("k", "k2", "r", "r2", "n", "base", "before", "around", F.explode(F.sequence(F.lit(0), last)).alias("x"))
-    strings = cut_up.select("k", "k2", "r", "r2", "n", (F.col("base") + F.col("before") - F.col("x")).cast("int").alias("d"), F.substring("around", F.col("x") + 1, F.lit(SPREAD_RUN - 1)).alias("w"))
-    again = strings.groupBy("k", "k2", "d", "w").agg(F.sum("n").alias("times")).filter("times > 1").select("k", "k2", "d", "w")
-    counted = looked_up(strings, written(again), ["k", "k2", "d", "w"]).groupBy("r", "r2").agg(F.min("d").alias("near"), F.max("d").alias("far"))
-    found = built.unionByName(counted)
-    one = written(found.groupBy("r", "r2").agg(F.min("near").alias("near"), F.max("far").alias("far")))
+    found = few.mapInArrow(_of_runs(run), FOUND)
+    many = shared.filter(F.col("size") > UNIT)
+    if run > 1 and many.take(1):
+        part = max(x for x in range(1, run) if run % x == 0)
+        found = found.unionByName(repeated_in_runs(_narrower(many, run, part), part))
+    one = written(found.groupBy(F.col("a").alias("r"), F.col("e").alias("r2")).agg(F.min("near").alias("near"), F.max("far").alias("far")))
     return looked_up(named.select("a", "e", "r", "r2"), one, ["r", "r2"]).groupBy("a", "e").agg(F.min("near").alias("near"), F.max("far").alias("far"))
 
 
@@ -326,7 +351,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", view:
     whole = met.mapInArrow(_contexts(view, False), schema_of(WHOLE)).repartition(parts, "a").sortWithinPartitions("a")
     found_in = whole.mapInArrow(_of_contexts(view), FOUND)
     if many.take(1):
-        found_in = found_in.unionByName(repeated_in_runs(met.mapInArrow(_contexts(view, True), schema_of(SPREAD))))
+        spread = met.mapInArrow(_contexts(view, True), schema_of(SPREAD)).withColumns(_two("k", "core", "base")).drop("core")
+        found_in = found_in.unionByName(repeated_in_runs(spread))
     repeats = written(found_in)
     at = F.shiftright("loc", 16)
     extent = F.struct((at - F.col("far")).alias("start"), (at - F.col("near") + view.length).alias("stop"))
