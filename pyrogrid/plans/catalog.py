@@ -988,6 +988,16 @@ def _(spark, sf_dir):
     return manifest.crossJoin(F.broadcast(n))
 
 
+@register("s9_sidecar_levels", " UNION ALL ".join(f"SELECT {k} AS level, '2022-2026' AS era, MIN(day_key) AS min_bucket, MAX(day_key) AS max_bucket, COUNT(DISTINCT day_key) AS buckets, (SELECT COUNT(*) FROM (SELECT DISTINCT {_AXIS.format(u='(lon + 180) / 360', n=2 << k)}, {_AXIS.format(u='(sin(radians(lat)) + 1) / 2', n=1 << k)} FROM det)) AS bounds, COUNT(*) AS cnt FROM det" for k in (3, 5, 7)), "det", raw=True)
+def _(spark, sf_dir):
+    """Daily cells at three levels."""
+    root, det = store.scratch(spark), detections(spark, sf_dir)
+    day = cells.base_cells(det, cell(F.col("lon"), F.col("lat"), 7), F.col("day_key"), ())
+    manifest = store.write_sidecars(day.select("cell", "bucket", "cnt"), root, 7, (3, 5, 7))
+    of = lambda name, what: reduce(DataFrame.union, [spark.read.parquet(f"{root}/level-{k}/{name}").agg(what).select(F.lit(k).alias("level"), "*") for k in (3, 5, 7)])
+    return manifest.join(of("bounds", F.count("*").alias("bounds")), "level").join(of("counts", F.sum("cnt").alias("cnt")), "level")
+
+
 @register("s10_drop_matching", "SELECT det_id, sensor, frp FROM det", "det")
 def _(det):
     return store.drop_matching(det.select("det_id", "sensor", "frp", "lon_c", "lat_c", F.lit(1).alias("count_c202401")), "_c$|^count_c")
@@ -1036,6 +1046,17 @@ def _(spark, sf_dir):
     return versions.read(spark, f"{root}/kept").select(F.col("day").cast("timestamp_ntz").alias("day"), "sensor", "cnt")
 
 
+@feed("x1_hourly_refresh", f"SELECT strftime(CAST(acq_date AS DATE), '%Y%m%d') AS bucket, COUNT(*) AS cnt, COUNT(DISTINCT {_AXIS.format(u='(CAST(longitude AS DOUBLE) + 180) / 360', n=128)} * 1000 + {_AXIS.format(u='(sin(radians(CAST(latitude AS DOUBLE))) + 1) / 2', n=64)}) AS cells FROM raw WHERE {_PLACED} GROUP BY 1")
+def _(spark, sf_dir):
+    """Three deliveries of a CSV feed, each with some of the days before once more, from text to cells."""
+    root, raw = store.scratch(spark), raw_feed(spark, sf_dir)
+    for first, last in (("2024-01-01", "2024-01-15"), ("2024-01-12", "2024-01-24"), ("2024-01-20", "2024-02-01")):
+        raw.filter(F.col("acq_date").between(first, last)).write.mode("append").option("header", True).csv(f"{root}/in")
+        arrived = jobs.ingest(spark, f"{root}/in", "VIIRS_NOAA21_NRT", raw.schema)
+        jobs.refresh(arrived, root, cell(F.col("lon"), F.col("lat"), 6), 2024, f"{root}/checkpoint")
+    return versions.read(spark, f"{root}/cells_day").groupBy("bucket").agg(F.sum("cnt").cast("long").alias("cnt"), F.countDistinct("cell").alias("cells"))
+
+
 def folded(spark: SparkSession, batches: list[DataFrame]) -> str:
     """The root of a store whose detections, kept by day, have taken in the batches as a stream."""
     root = store.scratch(spark)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.grid import View, bounds, hilbert_cover, in_view, with_hilbert
+from ..functions.grid import View, bounds, hilbert_cover, in_view, parent, with_hilbert
 from ..operators.cells import again, base_cells
 from ..operators.timeseq import block_totals, running_blocks
 from . import versions
@@ -201,6 +201,22 @@ def write_sidecar(cells: DataFrame, path: str, level: int, eras: tuple[tuple[int
     return era_manifest(spark.read.parquet(f"{path}/counts"))
 
 
+def write_sidecars(cells: DataFrame, path: str, level: int, levels: Iterable[int], eras: tuple[tuple[int, int], ...] = ERAS, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """A sidecar for each of the levels, the coarser ones summed from the finer; one manifest: level, era, min_bucket, max_bucket, buckets.
+
+    cells (cell, bucket, cnt) are at the given level; buckets may be months or days.
+    """
+    manifests, have = [], level
+    for at in sorted(set(levels), reverse=True):
+        if at < have:
+            cells = cells.groupBy(parent(F.col("cell"), have - at).alias("cell"), "bucket").agg(F.sum("cnt").alias("cnt"))
+        have = at
+        manifests.append(write_sidecar(cells, f"{path}/level-{at}", at, eras, rows_per_file).select(F.lit(at).alias("level"), "*"))
+        # the next level is summed from what was written, without eras
+        cells = cells.sparkSession.read.parquet(f"{path}/level-{at}/counts").select("cell", "bucket", "cnt")
+    return reduce(DataFrame.unionByName, manifests)
+
+
 def kept_cells(spark: SparkSession, root: str, cell: Column, dims: tuple[str, ...] = ()) -> dict[str, set[str]]:
     """Bring what is derived from a table of detections kept by day (root/detections) up to date: cells by day and by month, running totals in blocks of months.
 

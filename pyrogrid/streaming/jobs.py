@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import maintain, timeseq
 from ..operators.viewport import join_regions
-from ..sources import versions
+from ..sources import store, versions
 from ..sources.normalize import normalize
 from ..sources.schema import NATURAL_KEY
 
@@ -38,7 +38,7 @@ def without_repeats(stream: DataFrame, late: str = "8 days", key: tuple[str, ...
     return stream.withWatermark("acq_datetime", late).dropDuplicatesWithinWatermark(list(key))
 
 
-def apply_window(store: str, year: int, allow_gap: bool = False):
+def apply_window(table: str, year: int, allow_gap: bool = False):
     """A foreachBatch function that folds each window into a year's table, kept by day in versions, once per batch id.
 
     A batch is one version of the table: tail replacement and, after it, science-quality rows that replace near-real-time ones of their sensors and days,
@@ -48,7 +48,7 @@ def apply_window(store: str, year: int, allow_gap: bool = False):
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = versions.manifest(spark, store)
+        base = versions.manifest(spark, table)
         if base.batch is not None and base.batch >= batch_id:
             return
         of = lambda c: F.date_format(c, "yyyyMMdd")
@@ -56,7 +56,7 @@ def apply_window(store: str, year: int, allow_gap: bool = False):
         window = batch.filter(~F.col("quality").eqNullSafe(F.lit("sp"))) if science is not None else batch
         # the ends of the archive stand in its first and last day
         ends = [k for k in (min(base.parts, default=None), max(base.parts, default=None)) if k]
-        action = maintain.merge_decision(versions.read(spark, store, ends, base, batch), window, year, allow_gap).first()
+        action = maintain.merge_decision(versions.read(spark, table, ends, base, batch), window, year, allow_gap).first()
         said, due = f"{action['action']}: {action['reason']}", set()
         merges = action["action"] in ("merge", "seed")
         if merges:
@@ -64,9 +64,9 @@ def apply_window(store: str, year: int, allow_gap: bool = False):
             due = {k for k in base.parts if k >= first}
         days = {r[0] for r in science.select(of("acq_date")).distinct().collect()} if science is not None else set()  # of a calendar
         if not merges and not days:
-            versions.commit(spark, store, base, note=said, batch=batch_id)
+            versions.commit(spark, table, base, note=said, batch=batch_id)
             return
-        rows = versions.read(spark, store, sorted(due | days), base, batch)
+        rows = versions.read(spark, table, sorted(due | days), base, batch)
         if merges:
             tail = maintain.merge_tail(rows.filter(of("acq_date") >= first), window)
             rows = rows.filter(of("acq_date") < first).unionByName(tail, allowMissingColumns=True)
@@ -76,12 +76,21 @@ def apply_window(store: str, year: int, allow_gap: bool = False):
             kept = rows.filter(late).join(again, ["sensor", "acq_date", "quality"], "left_anti").unionByName(science, allowMissingColumns=True)  # sp rows delivered again replace themselves
             rows = rows.filter(~late).unionByName(maintain.supersede(kept))
             said += f"; superseded {len(days)} days"
-        staged = versions.stage(rows, store, of("acq_date"), ("acq_datetime",))
-        versions.commit(spark, store, base, staged, due | days, said, batch_id)
+        staged = versions.stage(rows, table, of("acq_date"), ("acq_datetime",))
+        versions.commit(spark, table, base, staged, due | days, said, batch_id)
 
     return fold
 
 
+def refresh(stream: DataFrame, root: str, cell: Column, year: int, checkpoint: str, allow_gap: bool = False) -> None:
+    """The hourly run: fold what has arrived into the detections kept by day below root, then bring the cells and totals made of them up to date.
+
+    Either part that is cut off is made up for by the next run: the fold by its batch number, the cells by what they were last derived from.
+    """
+    fold_into(stream, apply_window(f"{root}/detections", year, allow_gap), checkpoint)
+    store.kept_cells(stream.sparkSession, root, cell)
+
+
 def stall_alarm(batch: DataFrame, lo: Column, now: Column, latency: str = "6 hours", max_gap: str = "3 hours") -> DataFrame:
     """Holes up to now less the feed's latency; a stalled feed is a hole at the end."""
     return timeseq.holes(batch, max_gap, lo=lo, hi=now - F.expr(f"interval {latency}"))
@@ -98,7 +107,7 @@ def run_once(df: DataFrame, name: str, checkpoint: str, mode: str = "append") ->
     return df.sparkSession.table(name)
 
 
-def keep_latest(store: str, keys: tuple[str, ...], part: Column):
+def keep_latest(table: str, keys: tuple[str, ...], part: Column):
     """A foreachBatch function for streams in update mode: a row replaces the one of its keys, once per batch id; part names the part it lies in.
 
     Only parts that a batch touches are written again, all in one step.
@@ -106,15 +115,15 @@ def keep_latest(store: str, keys: tuple[str, ...], part: Column):
 
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = versions.manifest(spark, store)
+        base = versions.manifest(spark, table)
         if base.batch is not None and base.batch >= batch_id:
             return
         batch = batch.persist()  # what a stateful batch gives is worked out once
         try:
             due = [r[0] for r in batch.select(part.cast("string")).distinct().collect()]  # buckets of time that are still open
-            before = versions.read(spark, store, due, base, batch)
+            before = versions.read(spark, table, due, base, batch)
             rows = before.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-            versions.commit(spark, store, base, versions.stage(rows, store, part) if due else None, due, f"{len(due)} parts", batch_id)
+            versions.commit(spark, table, base, versions.stage(rows, table, part) if due else None, due, f"{len(due)} parts", batch_id)
         finally:
             batch.unpersist()
 
