@@ -5,14 +5,11 @@ smaller count; for two boxes of points the sum of the smaller upper corners boun
 another one from the root: pairs of boxes that cannot hold a pair of the wanted similarity are left out, and so are pairs of boxes whose sets
 hang together already; pairs of points that pass the bound are verified on the whole sets.
 
-What meets in one tree follows from the groups too.  Two sets of similarity num / den and at most n shingles differ in D <= 2n (den - num) / (den + num)
-shingles, so of over D groups one at least holds the same shingles in both.  Each set has a number of groups by its size (doubling levels; a set near the end of
-its level has keys of the next one too), each group's content is a key, and sets that share a key belong to one candidate cluster.
-Groups that are empty in both sets are no keys; a set with so many empty groups that only such ones might agree adds its least shingles as keys (two
-sets of that similarity share one of these).  So no link is lost, and texts that share a passage alone do not meet.
-
-Sets that agree in a few groups only, since these hold nothing but a passage that both have, are told apart before anything is read again: in clusters of
-over FEW sets a key counts only between points that pass the bound (a key of more than LEAF sets counts as it is), which gives finer clusters.
+What meets in one tree follows from groups too.  Two sets of similarity num / den and at most n shingles differ in D <= 2n (den - num) / (den + num)
+shingles, so of over D / 2 groups one at least differs in one shingle or none.  Each group is dealt to PARTS parts, and what it holds without one of them is a
+key, for each part: two such sets share one.  Each set has a number of groups by its size (levels; a set near the end of its level has keys of the next one
+too).  Keys without shingles do not count; a set with so many of them that only such ones might agree adds its least shingles as keys (two
+sets of that similarity share one of these).  So no link is lost, and texts that share a passage alone hardly ever meet.  What shares a key is a cluster.
 
 A cluster of more than LEAF sets is cut into leaves in the order of their sizes; each leaf is joined with itself and the cluster's first set.  Then leaves are cut
 anew in the order of what hangs together, their boxes are joined as rows, and only pairs of leaves that pass the bound and do not hang together yet are
@@ -26,7 +23,9 @@ have any name.  Shingles and sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -44,8 +43,8 @@ WORDS = 4
 SIMILARITY = (85, 100)
 #: Groups of shingles of a point, entries of a node, points of a leaf of the distributed tree.
 GROUPS, FANOUT, LEAF = 128, 16, 1024
-#: Clusters of so many sets are not worth a second look at their keys.
-FEW = 32
+#: Parts of a group of which one is left out in each key.
+PARTS = 3
 #: Points are kept in bytes; a full one stands for any count.
 FULL, ANY = 255, 1 << 24
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -68,14 +67,23 @@ def most_apart(size: int, similarity: tuple[int, int] = SIMILARITY) -> int:
     return 2 * size * (den - num) // (den + num)
 
 
+@cache
+def _levels(similarity: tuple[int, int]) -> list[int]:
+    """First sizes of the levels; sets of that similarity are in one level or in neighbouring ones."""
+    num, den = similarity
+    first = [1, 2]
+    while first[-1] < 1 << 40:
+        hi = first[-1]
+        first.append(max(hi + 1, hi * 6 // 5, (hi - 1) * den // num + 1))
+    return first
+
+
 def level_of(size: int, similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
     """The levels, as first sizes of it and of the next one, in which a set of that size can meet another: its own and perhaps the next."""
     num, den = similarity
-    lo, hi = 1, 2
-    while hi <= size:
-        lo, hi = hi, max(hi + 1, hi * 7 // 5, (hi - 1) * den // num + 1)
-    after = max(hi + 1, hi * 7 // 5, (hi - 1) * den // num + 1)
-    return [(lo, hi), (hi, after)] if size * den >= num * hi else [(lo, hi)]
+    first = _levels(similarity)
+    k = bisect_right(first, size)
+    return [(first[i - 1], first[i]) for i in ((k, k + 1) if size * den >= num * first[k] else (k,))]
 
 
 def keys_of(found: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.ndarray:
@@ -86,16 +94,20 @@ def keys_of(found: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.n
         apart = most_apart(hi - 1, similarity)
         if not apart:
             continue
-        groups = apart + apart // 16 + 3
-        group = (found % np.uint64(groups)).astype(np.int64)
-        order = np.argsort(group, kind="stable")
-        first = np.flatnonzero(np.diff(group[order], prepend=-1))
-        content = np.add.reduceat(mixed(found[order] ^ _FOLD), first)
-        named = (group[order][first] + (lo << 24)).astype(np.uint64)
-        out.append(mixed(content ^ mixed(named * _FOLD)))
-        if len(first) <= apart:  # the groups that agree might all be empty ones
+        groups = (apart + 2) // 2 + (apart >= 6) + apart // 32
+        part = (found % np.uint64(groups * PARTS)).astype(np.int64)
+        sums = np.zeros((groups, PARTS), np.uint64)
+        order = np.argsort(part, kind="stable")
+        first = np.flatnonzero(np.diff(part[order], prepend=-1))
+        sums.ravel()[part[order][first]] = np.add.reduceat(mixed(found[order] ^ _FOLD), first)
+        count = np.bincount(part, minlength=groups * PARTS).reshape(groups, PARTS)
+        filled = count.sum(axis=1, keepdims=True) > count  # what is left without a part
+        named = (np.arange(groups * PARTS) + (lo << 24)).astype(np.uint64).reshape(groups, PARTS)
+        content = sums.sum(axis=1, keepdims=True) - sums
+        out.append(mixed(content ^ mixed(named * _FOLD))[filled])
+        if (~filled.all(axis=1)).sum() >= groups - apart // 2:  # the groups that agree might have keys without shingles only
             out.append(mixed(found[: n - (n * num + den - 1) // den + 1] + np.uint64(lo)))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def point(found: np.ndarray) -> np.ndarray:
@@ -152,19 +164,14 @@ def may_meet(upper_a: np.ndarray, least_a: np.ndarray, most_a: np.ndarray, upper
 
 
 def joined(
-    sets: list[np.ndarray] | None, points: np.ndarray, sizes: np.ndarray, label: np.ndarray, split: int | None = None, similarity: tuple[int, int] = SIMILARITY
+    sets: list[np.ndarray], points: np.ndarray, sizes: np.ndarray, label: np.ndarray, split: int | None = None, similarity: tuple[int, int] = SIMILARITY
 ) -> list[tuple[int, int]]:
-    """Links that, with the labels, join whatever pairs of the sets with that similarity join; with split, of the first so many with the others.
-
-    Without sets, links of pairs whose points pass the bound.
-    """
+    """Links that, with the labels, join whatever pairs of the sets with that similarity join; with split, of the first so many with the others."""
     num, den = similarity
     label = np.unique(label, return_inverse=True)[1]
     links: list[tuple[int, int]] = []
 
     def verified(a: int, b: int) -> bool:
-        if sets is None:
-            return bool(may_meet(points[[a]], sizes[[a]], sizes[[a]], points[[b]], sizes[[b]], sizes[[b]], similarity)[0])
         both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
         return both * (num + den) >= num * (len(sets[a]) + len(sets[b]))
 
@@ -208,18 +215,41 @@ def joined(
     return links
 
 
-def _rows(similarity: tuple[int, int], words: int):
+def _rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t, words) for t in b.column(2).cast(pa.binary()).to_pylist()]
             n = np.array([len(s) for s in found], np.int64)
-            same = np.array([mixed(s).sum(dtype=np.uint64) + np.uint64(len(s)) for s in found], np.uint64).view(np.int64)
-            keys = [keys_of(s, similarity) for s in found]
-            offsets = pa.array(np.append(0, np.cumsum([len(k) for k in keys])), pa.int32())
-            flat = pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())
-            points = pa.array([point(s).tobytes() for s in found], pa.binary())
-            columns = [b.column(0), b.column(1), pa.array(n), pa.array(same), points, pa.ListArray.from_arrays(offsets, flat)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "n", "same", "point", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array([_name(s) for s in found], pa.int64())], names=["doc_id", "row_key", "n", "same"])
+
+    return run
+
+
+def _name(found: np.ndarray) -> int:
+    """What tells a set from others."""
+    return int((mixed(found).sum(dtype=np.uint64) + np.uint64(len(found))).view(np.int64))
+
+
+#: Sets that a task remembers, so that it gives the keys of copies once.
+REMEMBERED = 1 << 20
+
+
+def _keyed(similarity: tuple[int, int], words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each key of a set, its name beside it; keys are not kept anywhere, but go straight where they meet."""
+        seen: set[int] = set()
+        for b in batches:
+            keys, names = [], []
+            for text in b.column(2).cast(pa.binary()).to_pylist():
+                found = shingles(text, words)
+                if not len(found) or (name := _name(found)) in seen:
+                    continue
+                seen = seen if len(seen) < REMEMBERED else set()
+                seen.add(name)
+                keys.append(keys_of(found, similarity))
+                names.append(np.full(len(keys[-1]), name, np.int64))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "node"])
 
     return run
 
@@ -321,62 +351,6 @@ def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(first[link]), pa.array(s[link])], names=["a", "b"])
 
 
-def _bounded(leaf: int, similarity: tuple[int, int]):
-    def pairs(run: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs within runs of so many rows each."""
-        i, j = np.triu_indices(size, 1)
-        return (run[:, None] + i).ravel(), (run[:, None] + j).ravel()
-
-    def decided(key: np.ndarray, node: np.ndarray, size: np.ndarray, packed: list[bytes]) -> pa.RecordBatch:
-        points = points_of(packed)
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        count = np.diff(np.append(first, len(key)))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for k in np.unique(count[(count > 1) & (count <= FANOUT)]).tolist():
-            runs = first[count == k]
-            for lo in range(0, len(runs), 65536 // k):
-                x, y = pairs(runs[lo : lo + 65536 // k], k)
-                met = may_meet(points[x], size[x], size[x], points[y], size[y], size[y], similarity)
-                a.append(x[met])
-                b.append(y[met])
-        for lo, k in zip(first[count > FANOUT].tolist(), count[count > FANOUT].tolist(), strict=True):
-            for x, y in joined(None, points[lo : lo + k], size[lo : lo + k], np.arange(k), None, similarity) if k <= leaf else ((0, x) for x in range(1, k)):
-                a.append(np.array([lo + x]))
-                b.append(np.array([lo + y]))
-        a, b = np.concatenate(a), np.concatenate(b)
-        one = np.unique(np.stack([node[a], node[b]]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (key, node, n, point) come sorted by key; a key of more rows than a leaf links all to its first one and need not be held."""
-        held: list[tuple] = []
-        over: tuple | None = None  # key and first node of a run that is longer than a leaf
-        for b in batches:
-            key, node, size = (b.column(i).to_numpy() for i in range(3))
-            packed = b.column(3).to_pylist()
-            lo = 0
-            if over is not None:
-                while lo < len(key) and key[lo] == over[0]:
-                    lo += 1
-                if lo:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(lo, over[1])), pa.array(node[:lo])], names=["a", "b"])
-                over = over if lo == len(key) else None
-            held += zip(key[lo:].tolist(), node[lo:].tolist(), size[lo:].tolist(), packed[lo:], strict=True)
-            if len(held) < 4 * leaf:
-                continue
-            last = len(held)
-            while last and held[last - 1][0] == held[-1][0]:
-                last -= 1
-            if not last:
-                over, last = (held[0][0], held[0][1]), len(held)
-            yield decided(*(np.array(c, np.int64) for c in list(zip(*held[:last], strict=True))[:3]), [r[3] for r in held[:last]])
-            held = held[last:]
-        if held:
-            yield decided(*(np.array(c, np.int64) for c in list(zip(*held, strict=True))[:3]), [r[3] for r in held])
-
-    return run
-
-
 def _clusters(links: DataFrame) -> DataFrame:
     """node and root of all that links join, roots among them."""
     found = components(links)
@@ -410,21 +384,14 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, wo
     if not 0 < similarity[0] <= similarity[1]:
         raise ValueError("similarity is a fraction above 0, up to 1")
     texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(text_col).cast("string").alias("t"))
-    rows = written(texts.mapInArrow(_rows(similarity, words), "doc_id long, row_key long, n long, same long, point binary, keys array<long>"))
+    rows = written(texts.mapInArrow(_rows(words), "doc_id long, row_key long, n long, same long"))
     # equal sets are one point from here on
     classes = written(rows.filter("n > 0").groupBy("same").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key")))
-    ones = looked_up(rows, classes.select("row_key"), "row_key").dropDuplicates(["row_key"])
-    keyed = ones.select(F.explode("keys").alias("key"), F.col("same").alias("node"))
-    clusters = _clusters(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_starred, "a long, b long").distinct())
-    of_size = lambda c: looked_up(c, written(c.groupBy("root").agg(F.count("*").alias("size"))), "root")
-    clusters = written(of_size(clusters))
-    again = clusters.filter(F.col("size") > FEW)
-    if again.take(1):
-        wide = ones.join(again.select(F.col("node").alias("same")), "same").select(F.explode("keys").alias("key"), F.col("same").alias("node"), "n", "point")
-        fine = _clusters(wide.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_bounded(leaf, similarity), "a long, b long").distinct())
-        clusters = written(clusters.filter(F.col("size") <= FEW).select("node", "root", "size").union(of_size(fine).select("node", "root", "size")))
-    asked = clusters.join(classes.withColumnRenamed("same", "node"), "node").select("row_key", "root", "size", "node")
-    met = texts.join(asked, "row_key").dropDuplicates(["row_key"]).select("root", "size", "node", "t")
+    keyed = texts.mapInArrow(_keyed(similarity, words), "key long, node long").repartition("key").sortWithinPartitions("key", "node")
+    clusters = written(_clusters(keyed.mapInArrow(_starred, "a long, b long").distinct()))
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
+    asked = written(clusters.join(sizes, "root").join(classes.withColumnRenamed("same", "node"), "node").select("row_key", "root", "size", "node"))
+    met = looked_up(texts, asked, "row_key").dropDuplicates(["row_key"]).select("root", "size", "node", "t")
     links = links_of(members_of(met, lambda t: shingles(t, words)), similarity, leaf)
     placed = written(classes.join(components(links), F.col("same") == F.col("node"), "left").select("same", "least", F.coalesce("root", "same").alias("root")))
     best = placed.groupBy("root").agg(F.min("least").alias("component_id"))
