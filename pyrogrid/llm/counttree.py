@@ -117,7 +117,7 @@ def point(found: np.ndarray) -> np.ndarray:
 
 
 def points_of(packed: list[bytes]) -> np.ndarray:
-    points = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int64)
+    points = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int32)
     points[points == FULL] = ANY
     return points
 
@@ -193,7 +193,7 @@ def joined(
         la, lb = a.labels(label[sides[0]])[top_a][x], b.labels(label[sides[-1]])[top_b][y]
         open_ = (la != lb) | (la < 0)
         x, y = x[open_], y[open_]
-        met = [may_meet(a.upper[top_a][x[i : i + 65536]], a.least[top_a][x[i : i + 65536]], a.most[top_a][x[i : i + 65536]], b.upper[top_b][y[i : i + 65536]], b.least[top_b][y[i : i + 65536]], b.most[top_b][y[i : i + 65536]], similarity) for i in range(0, len(x), 65536)]
+        met = [may_meet(a.upper[top_a][x[i : i + 4096]], a.least[top_a][x[i : i + 4096]], a.most[top_a][x[i : i + 4096]], b.upper[top_b][y[i : i + 4096]], b.least[top_b][y[i : i + 4096]], b.most[top_b][y[i : i + 4096]], similarity) for i in range(0, len(x), 4096)]
         keep = np.concatenate(met) if met else np.zeros(0, bool)
         x, y = x[keep], y[keep]
         if not top_a and not top_b:
@@ -321,7 +321,7 @@ def _pairs_of_leaves(leaves: DataFrame, similarity: tuple[int, int]) -> DataFram
     """Pairs of boxes (leaf_a, leaf_b) of one root that can hold a pair of sets not linked yet."""
     num, den = similarity
     box = leaves.groupBy("root", "leaf").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
-    corner = leaves.select("leaf", "point").mapInArrow(_exploded, "leaf long, corner array<bigint>").groupBy("leaf").agg(*[F.max(F.col("corner")[g]).alias(f"c{g}") for g in range(GROUPS)])
+    corner = leaves.select("leaf", "point").mapInArrow(_exploded, "leaf long, corner array<int>").groupBy("leaf").agg(*[F.max(F.col("corner")[g]).alias(f"c{g}") for g in range(GROUPS)])
     box = written(box.join(corner.select("leaf", F.array(*[f"c{g}" for g in range(GROUPS)]).alias("corner")), "leaf"))
     a, b = (box.select("root", *[F.col(c).alias(f"{c}_{x}") for c in box.columns if c != "root"]) for x in "ab")
     both = F.aggregate(F.zip_with("corner_a", "corner_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
@@ -332,7 +332,7 @@ def _pairs_of_leaves(leaves: DataFrame, similarity: tuple[int, int]) -> DataFram
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        points = pa.array(list(points_of(b.column(1).to_pylist())) if b.num_rows else [], pa.list_(pa.int64()))
+        points = pa.array(list(points_of(b.column(1).to_pylist())) if b.num_rows else [], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([b.column(0), points], names=["leaf", "corner"])
 
 
