@@ -313,7 +313,9 @@ def _leaves(members: DataFrame, leaf: int, *order: str) -> DataFrame:
     """members with the number of their leaf; leaves hold up to so many members of one root, in that order."""
     columns = ", ".join(f"{c} {t}" for c, t in members.dtypes)
     first = [c for c in members.columns if c != "root"]
-    ranged = members.select("root", *first).repartitionByRange("root", *order, "node").sortWithinPartitions("root", *order, "node")
+    # few tasks for few members, whatever the session's number of partitions: a task ends its leaves, and short ones make many pairs
+    tasks = 1 + members.count() // (4 * leaf)
+    ranged = members.select("root", *first).repartitionByRange("root", *order, "node").sortWithinPartitions("root", *order, "node").coalesce(tasks)
     return written(ranged.mapInArrow(_numbered(leaf), f"root long, {', '.join(c for c in columns.split(', ') if not c.startswith('root '))}, leaf long"))
 
 
@@ -390,7 +392,7 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, wo
     keyed = texts.mapInArrow(_keyed(similarity, words), "key long, node long").repartition("key").sortWithinPartitions("key", "node")
     clusters = written(_clusters(keyed.mapInArrow(_starred, "a long, b long").distinct()))
     sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
-    asked = written(clusters.join(sizes, "root").join(classes.withColumnRenamed("same", "node"), "node").select("row_key", "root", "size", "node"))
+    asked = written(looked_up(clusters, sizes, "root").join(classes.withColumnRenamed("same", "node"), "node").select("row_key", "root", "size", "node"))
     met = looked_up(texts, asked, "row_key").dropDuplicates(["row_key"]).select("root", "size", "node", "t")
     links = links_of(members_of(met, lambda t: shingles(t, words)), similarity, leaf)
     placed = written(classes.join(components(links), F.col("same") == F.col("node"), "left").select("same", "least", F.coalesce("root", "same").alias("root")))
