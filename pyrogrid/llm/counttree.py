@@ -311,12 +311,12 @@ def _met(units: DataFrame, similarity: tuple[int, int]) -> DataFrame:
 
 def _leaves(members: DataFrame, leaf: int, *order: str) -> DataFrame:
     """members with the number of their leaf; leaves hold up to so many members of one root, in that order."""
-    columns = ", ".join(f"{c} {t}" for c, t in members.dtypes)
-    first = [c for c in members.columns if c != "root"]
+    others = [c for c in members.columns if c != "root"]
     # few tasks for few members, whatever the session's number of partitions: a task ends its leaves, and short ones make many pairs
     tasks = 1 + members.count() // (4 * leaf)
-    ranged = members.select("root", *first).repartitionByRange("root", *order, "node").sortWithinPartitions("root", *order, "node").coalesce(tasks)
-    return written(ranged.mapInArrow(_numbered(leaf), f"root long, {', '.join(c for c in columns.split(', ') if not c.startswith('root '))}, leaf long"))
+    ranged = members.select("root", *others).repartitionByRange("root", *order, "node").sortWithinPartitions("root", *order, "node").coalesce(tasks)
+    schema = ", ".join(f"{c} {t}" for c, t in ranged.dtypes)
+    return written(ranged.mapInArrow(_numbered(leaf), f"{schema}, leaf long"))
 
 
 def _pairs_of_leaves(leaves: DataFrame, similarity: tuple[int, int]) -> DataFrame:
