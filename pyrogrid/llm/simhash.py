@@ -22,12 +22,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, looked_up, small_batches, written
+from .common import cut, dropped, looked_up, small_batches, written
 
 #: Blocks of a fingerprint.
 BLOCKS = 7
 #: Rows of one key that are compared in one task; a longer run is dealt out as pairs of tiles.
 TILE = 4096
+#: So many links (16 bytes each) are joined in one task; rounds over more of them are shuffled.
+FEW = 100_000
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -188,13 +190,37 @@ def near_links(values: DataFrame, bits: int = 4, tile: int = TILE, blocks: int =
     return small_batches(sorted_).mapInArrow(_links(bits), "a long, b long").distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few links lo, hi, all in one task: each node that has a smaller one in reach, and the smallest."""
+    root: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while (up := root.setdefault(i, i)) != i:
+            root[i] = i = root.setdefault(up, up)
+        return i
+
+    for batch in batches:
+        for lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            a, b = find(lo), find(hi)
+            root[max(a, b)] = min(a, b)
+    nodes = [i for i in root if find(i) != i]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(i) for i in nodes], pa.int64())], names=["node", "root"])
+
+
+def components(links: DataFrame, rounds: int = 60, few: int = FEW) -> DataFrame:
     """Connected components of links a, b: node, root (the smallest node that is reachable).
 
     Alternates large-star and small-star steps; each is a grouping with a minimum and a join, and each
-    round is cut off in the shared checkpoint folder.  Stops when a round changes nothing.
+    round is cut off in the shared checkpoint folder.  Stops when a round changes nothing.  A few links need no rounds, each of which
+    would cost some stages of as many tasks as the session has partitions: one task joins them.
     """
-    edges = cut(links.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
+    first = written(links.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
+    if first.limit(few + 1).count() <= few:
+        found = written(first.coalesce(1).mapInArrow(_rooted, "node long, root long"))
+        dropped(first)
+        return found
+    edges = cut(first)
+    dropped(first)
     before = None
     for _ in range(rounds):
         # only a node with a smaller neighbour has something to look up; one that many hang on is mostly the smallest of all, and is salted

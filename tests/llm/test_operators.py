@@ -166,6 +166,31 @@ def test_components(spark, tile, blocks):
     assert {frozenset(g) for g in groups.values()} == want
 
 
+def stages_of(spark, work):
+    """Stages that Spark runs for work, and its result."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "")
+    try:
+        out = work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    ran = {i for j in tracker.getJobIdsForGroup("counted") for i in tracker.getJobInfo(j).stageIds}
+    return sum(bool((info := tracker.getStageInfo(i)) and info.numCompletedTasks) for i in ran), out
+
+
+def test_components_of_few_links(spark):
+    """A few links need no rounds of shuffles, and give what the rounds give."""
+    rng = random.Random(18)
+    links = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 300), rng.randrange(100, 300)) for _ in range(120)] + [(500, 500), (-7, 600), (600, -7)]
+    df = spark.createDataFrame(links, "a long, b long")
+    few, found = stages_of(spark, lambda: {(r["node"], r["root"]) for r in simhash.components(df).collect()})
+    many, by_rounds = stages_of(spark, lambda: {(r["node"], r["root"]) for r in simhash.components(df, few=3).collect()})
+    assert found == by_rounds and (600, -7) in found and (40, 0) in found and all(n > r for n, r in found)
+    assert few <= 8 < many
+    assert simhash.components(df.limit(0)).count() == 0
+
+
 def test_near_groups_edges(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a b c d e"), (3, "a b c d e"), (None, "z")], DOCS)
     got = sorted(map(str, [tuple(r) for r in simhash.near_groups(df).select("doc_id", "component_id").collect()]))
