@@ -40,7 +40,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays (of repeated ids in it, the one with the least text hash).
 
-    Near copies have a Jaccard similarity of 0.8 or more in their runs of five words; op9's fingerprints do not reach that.
+    Near copies have a Jaccard similarity of 0.8 or more in their runs of five words.  op9's fingerprints and their links propose them; MinHash bands
+    propose what these do not reach, and whole sets decide on both.
     Null and empty texts are copies of each other.  Rows alike in id and text are one, with the least language, source and count of theirs.
     """
     groups = neardup.near_groups(docs.select("doc_id", "text"))

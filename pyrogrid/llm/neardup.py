@@ -1,8 +1,9 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands propose, exact similarity decides.
+"""Near copies by fingerprints and by the Jaccard similarity of word shingles: SimHash and MinHash bands propose, exact similarity decides.
 
-SimHash does not reach similarity 0.8: such texts differ in seven to ten of 64 bits, and blocks for that radius are too short
-to be keys.  Here each row gets BANDS keys, each of WIDTH minima over its shingles; a pair at similarity s shares none with
-probability (1 - s ** WIDTH) ** BANDS, which is 3e-6 at 0.8.  Rows that share keys form candidate groups; within these pairs are
+SimHash (``simhash``: pigeonhole blocks, a join on them, Hamming checks, components) proposes all pairs whose fingerprints differ in four bits
+or fewer.  That does not reach similarity 0.8, at which texts differ in seven to ten of 64 bits, and blocks for that radius are too short
+to be keys.  For the rest each row gets BANDS keys, each of WIDTH minima over its shingles; a pair at similarity s shares none with
+probability (1 - s ** WIDTH) ** BANDS, which is 3e-6 at 0.8.  What either way links forms candidate groups; within these pairs are
 compared by their whole shingle sets, except those that a tree of count vectors rules out or other links join already (counttree.links_of).  A large group is
 cut into leaves, and only pairs of leaves that may hold such a pair meet.  Groups are the connected components of the verified links.
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from . import counttree
 from .anchors import Hashes, mixed
 from .common import looked_up, small_batches, written
-from .simhash import components, named_groups, row_key
+from .simhash import components, fingerprint, links_by_fingerprint, named_groups, row_key
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, WIDTH = 32, 5
@@ -61,19 +62,29 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = [shingles(t) for t in b.column(2).to_pylist()]
         same = np.array([mixed(s).sum(dtype=np.uint64) + np.uint64(len(s)) for s in found], np.uint64).view(np.int64)
+        fp = np.array([fingerprint(t) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
         keys = pa.array([band_keys(s).view(np.int64) for s in found], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same), keys], names=["doc_id", "row_key", "same", "keys"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same), pa.array(fp), keys], names=["doc_id", "row_key", "same", "fp", "keys"])
+
+
+ROWS = "doc_id long, row_key long, same long, fp long, keys array<long>"
+
+
+def proposed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """node and root of all that near fingerprints (of rows: fp, same) or band keys (of classes: same, keys) join."""
+    keyed = classes.select("same", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("same").alias("a"), F.max("same").alias("b")).filter("a <> b")
+    by_band = keyed.join(shared.select("key", "a"), "key").select("a", F.col("same").alias("b")).filter("a <> b")
+    return components(links_by_fingerprint(rows.select("fp", F.col("same").alias("node"))).union(by_band))
 
 
 def near_groups(docs: DataFrame, similarity: float = SIMILARITY, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, row_key, same (names the set of shingles), root (names the group), component_id (its smallest doc_id)."""
     texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(text_col).cast("string").alias("t"))
-    rows = written(texts.mapInArrow(_keys, "doc_id long, row_key long, same long, keys array<long>"))
+    rows = written(texts.mapInArrow(_keys, ROWS))
     # copies have one set of keys, which goes on once
     classes = written(rows.groupBy("same").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.first("keys").alias("keys")))
-    keyed = classes.select("same", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("same").alias("a"), F.max("same").alias("b")).filter("a <> b")
-    candidates = components(keyed.join(shared.select("key", "a"), "key").select("a", F.col("same").alias("b")).filter("a <> b").distinct())
+    candidates = proposed(rows, classes)
     members = candidates.union(candidates.select("root", "root").distinct()).toDF("same", "root")
     sizes = members.groupBy("root").agg(F.count("*").alias("size"))
     asked = looked_up(classes.drop("keys").join(members, "same"), written(sizes), "root").select("row_key", "root", "size", F.col("same").alias("node"))

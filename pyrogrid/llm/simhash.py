@@ -190,6 +190,17 @@ def near_links(values: DataFrame, bits: int = 4, tile: int = TILE, blocks: int =
     return small_batches(sorted_).mapInArrow(_links(bits), "a long, b long").distinct()
 
 
+def links_by_fingerprint(rows: DataFrame, bits: int = 4, tile: int = TILE, blocks: int = BLOCKS) -> DataFrame:
+    """Links a, b that join all nodes of rows (fp, node) whose fingerprints are equal or differ in so many bits at most."""
+    pairs = written(rows.select("fp", "node").distinct())
+    first = written(pairs.groupBy("fp").agg(F.min("node").alias("first")))  # one node stands for the others of its fingerprint
+    equal = looked_up(pairs, first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    near = written(near_links(first, bits, tile, blocks))
+    for side in "ab":
+        near = looked_up(near, first.withColumnRenamed("fp", side), side).drop(side).withColumnRenamed("first", f"first_{side}")
+    return equal.union(near.select("first_a", "first_b")).filter("a <> b")
+
+
 def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Few links lo, hi, all in one task: each node that has a smaller one in reach, and the smallest."""
     root: dict[int, int] = {}

@@ -245,6 +245,24 @@ def test_near_copies(spark, tile):
     assert neardup.near_groups(df.limit(0)).count() == 0
 
 
+def test_near_copies_by_fingerprint(spark):
+    """All that op9's fingerprints link is proposed, also where no band agrees; copies by another fingerprint too."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(6):
+        base = words(rng, 400).split()
+        texts += [" ".join(base), " ".join(base[:-1] + ["changed"]), " ".join(["other", *base[1:]]), " ".join(base).upper()]
+    fps = [simhash.fingerprint(t) for t in texts]
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    assert len(near) > 12
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).selectExpr("doc_id", "doc_id row_key", "text t")
+    rows = docs.mapInArrow(neardup._keys, neardup.ROWS).withColumn("keys", F.array("doc_id"))  # no bands
+    same = {r["doc_id"]: r["same"] for r in rows.collect()}
+    roots = {r["node"]: r["root"] for r in neardup.proposed(rows, rows).collect()}
+    root = [roots.get(same[i], same[i]) for i in range(len(texts))]
+    assert all(root[i] == root[j] for i, j in near) and len(set(root)) >= 6
+
+
 def test_near_dedup_stage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id")
     rows = docs.select("doc_id", "text").collect()
