@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LENGTH, GRAM = 400, 200
+LENGTH, GRAM = 400, 150
 #: String starts handled at a time; longer texts are handled in pieces that overlap by a string.
 PIECE = 1 << 20
 POSITION = np.uint64((1 << 24) - 1)
@@ -40,12 +40,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Hashes of any substrings of a byte string, from sums of powers modulo 2 ** 64."""
+    """Hashes of any substrings of a byte string, or of words told by their hashes, from sums of powers modulo 2 ** 64."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _power(_BASE, "up", n), out=self.sums[1:])
+        np.cumsum((_BYTE[data] if data.dtype == np.uint8 else data) * _power(_BASE, "up", n), out=self.sums[1:])
         self.down = _power(_INVERSE, "down", n + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -62,30 +62,34 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def owners(h: Hashes, n: int, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a string of n bytes: position, first and last owned start, hash of the gram."""
-    starts = np.arange(n - gram + 1)
-    grams = h.of(starts, starts + gram)
-    key = (grams & ~POSITION) | starts.astype(np.uint64)
-    own = (sliding_least(key, length - gram + 1) & POSITION).astype(np.int64)
-    first = np.flatnonzero(np.diff(own, prepend=-1))
-    last = np.append(first[1:], len(own)) - 1
-    return own[first], first, last, grams[own[first]]
+def of_texts(units: np.ndarray, sizes: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
+    """text, position, first, last (of the owned starts), gram hash and context hash of each anchor.
 
-
-def of_text(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
-    """position, first, last (of the owned starts), gram hash and context hash of each anchor.
-
-    The context is all that the owned strings cover; equal context hashes mean equal owned strings.
+    units are the bytes of texts, or their words' hashes, one text after the other; sizes says how many each text has.  Positions count
+    from the text's first unit.  The context is all that the owned strings cover; equal context hashes mean equal owned strings.
     """
     out = []
-    for lo in range(0, max(0, len(data) - length + 1), PIECE):
-        piece = np.frombuffer(data, np.uint8, min(len(data) - lo, PIECE + length - 1), lo)
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    for lo in range(0, max(0, len(units) - length + 1), PIECE):
+        piece = units[lo : lo + PIECE + length - 1]
         h = Hashes(piece)
-        at, first, last, a = owners(h, len(piece), length, gram)
+        starts = np.arange(len(piece) - gram + 1)
+        grams = h.of(starts, starts + gram)
+        key = (grams & ~POSITION) | starts.astype(np.uint64)
+        own = (sliding_least(key, length - gram + 1) & POSITION).astype(np.int64)
+        fresh = np.diff(own, prepend=-1) != 0
+        edges = np.concatenate([begins, np.maximum(begins, ends - length + 1)]) - lo  # from the second on, strings would leave the text
+        fresh[edges[(edges >= 0) & (edges < len(own))]] = True
+        first = np.flatnonzero(fresh)
+        last = np.append(first[1:], len(own)) - 1
+        text = np.searchsorted(ends, first + lo, side="right")
+        inside = first + lo + length <= ends[text]
+        first, last, text = first[inside], last[inside], text[inside]
+        at = own[first]
         extent = ((at - first).astype(np.uint64) << np.uint64(32)) | (last - first).astype(np.uint64)
         e = mixed(h.of(first, last + length) ^ mixed(extent))
-        out.append((at + lo, first + lo, last + lo, a, e))
+        out.append((text, at + lo - begins[text], first + lo - begins[text], last + lo - begins[text], grams[at], e))
     if not out:
-        return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
+        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
     return [np.concatenate(x) for x in zip(*out, strict=True)]

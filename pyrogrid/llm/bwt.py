@@ -49,6 +49,13 @@ def merged(old: np.ndarray, at: np.ndarray, new: np.ndarray) -> np.ndarray:
     return out
 
 
+def by_place(places: np.ndarray, n: int) -> np.ndarray:
+    """The order of places, which are different ones of n."""
+    at = np.full(n, -1, np.int32)
+    at[places] = np.arange(len(places), dtype=np.int32)
+    return at[at >= 0]
+
+
 def padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of symbols from the right, with END beyond a sequence's first symbol; and the sequences' sizes."""
     sizes = np.array([len(s) for s in sequences], np.int64)
@@ -87,7 +94,7 @@ def build(right: np.ndarray, sizes: np.ndarray, folder: Path) -> tuple[np.ndarra
             ok = np.flatnonzero((ks > 0) & (bwt[order[ks]] == bwt[order[ks - 1]]))  # noqa: B023
             if len(ok):
                 a, b = order[ks[ok] - 1] + 1, order[ks[ok]] + 1  # noqa: B023
-                turn = np.argsort(a, kind="stable")
+                turn = by_place(a, len(low))
                 ends = np.stack([a[turn], b[turn]], axis=1).ravel()
                 got = np.empty(len(ok), np.int64)
                 got[turn] = np.minimum.reduceat(low, ends)[::2]  # noqa: B023
@@ -98,7 +105,7 @@ def build(right: np.ndarray, sizes: np.ndarray, folder: Path) -> tuple[np.ndarra
         taken = np.zeros(len(order) + 1, bool)
         taken[k] = True
         after = np.flatnonzero(taken[:-2] & ~taken[1:-1]) + 1  # entries that follow a new suffix and are none
-        turn = np.argsort(to)
+        turn = by_place(to, len(order) + len(to))
         to_sorted, seq = to[turn], live[turn]
         new_lcp = merged(lcp, to_sorted, own[turn].astype(lcp.dtype))
         new_lcp[n + after - ended] = shared(after)
@@ -110,9 +117,14 @@ def build(right: np.ndarray, sizes: np.ndarray, folder: Path) -> tuple[np.ndarra
     return bwt, lcp, name // files.span, name % files.span
 
 
-def repeated(right: np.ndarray, sizes: np.ndarray, length: int, folder: Path) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and start of each string of the given length that also starts anywhere else."""
+def repeated(right: np.ndarray, sizes: np.ndarray, length: int, folder: Path, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and start of each string of the given length that also starts anywhere else.
+
+    copies says how often each sequence stands in the collection: a suffix of one that stands there again is its own neighbour.
+    """
     _, lcp, seq, start = build(right, sizes, folder)
     long = lcp >= length
     long[:-1] |= long[1:].copy()
+    if copies is not None:
+        long |= (copies[seq] > 1) & (sizes[seq] - start >= length)
     return seq[long], start[long]

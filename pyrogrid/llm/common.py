@@ -64,17 +64,19 @@ def unused(df: DataFrame) -> str:
 BROADCAST_ROWS, SHARE, SALTS = 50_000, 1000, 64
 
 
-def looked_up(big: DataFrame, small: DataFrame, key: str | list[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+def looked_up(big: DataFrame, small: DataFrame, key: str | list[str], how: str = "inner", most: int = BROADCAST_ROWS, rows: str | None = None) -> DataFrame:
     """big with the columns of small, which has one row per key; a key may hold any part of big.
 
     A small table of few rows is broadcast.  Otherwise both are shuffled by key and salt: keys with over a SHARE-th of the rows, of
-    which there are fewer than SHARE, are dealt to SALTS parts, and their rows of small are repeated for each.
+    which there are fewer than SHARE, are dealt to SALTS parts, and their rows of small are repeated for each.  A column ``rows`` of small
+    may tell how many rows of big have the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if small.limit(most + 1).count() <= most:
         return big.join(F.broadcast(small), keys, how)
     total = big.count()
-    counts = big.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") * SHARE > total)
+    counted = small.withColumn("__n", F.col(rows)) if rows else big.groupBy(*keys).agg(F.count("*").alias("__n"))
+    counts = counted.filter(F.col("__n") * SHARE > total)
     hot_keys = [r[0] for r in counts.select(F.xxhash64(*keys)).collect()]  # fewer than SHARE
     if not hot_keys:
         return big.join(small, keys, how)

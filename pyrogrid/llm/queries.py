@@ -27,8 +27,9 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = suffixdedup.dedup(docs)
-    return done.select("doc_id", "__cut.n_bytes", "__cut.n_removed", "__cut.n_spans", F.sha2("__cut.kept", 256).alias("kept_sha256"))
+    done = suffixdedup.dedup(docs, beside={"__passages": suffixdedup.PASSAGES})
+    digest = F.sha2("__cut.kept", 256).alias("kept_sha256")
+    return done.select("doc_id", "__cut.n_bytes", "__cut.n_removed", "__cut.n_spans", digest, F.col("__passages.n_removed").alias("n_passage_bytes"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

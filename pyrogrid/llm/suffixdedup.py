@@ -2,7 +2,7 @@
 
 Three steps, each of which keeps every repeated string:
 
-1. Content anchors (``anchors``) narrow the search: equal strings share their anchor's 200-byte gram.
+1. Content anchors (``anchors``) narrow the search: equal strings share their anchor's 150-byte gram.
    Grams are counted over the whole corpus; one that occurs once rules out all strings that it anchors.  The contexts of a shared
    gram (all that its strings cover) are counted too: equal ones go on as one, which stands for two copies from then on.
 2. The contexts of a gram are sorted out by the collection's suffixes, whether they are copies or differ.
@@ -17,7 +17,7 @@ construction takes those.  A core which again has over UNIT different surroundin
 each has fewer: all repeated strings come from the construction.
 
 A View says in which bytes strings are sought and how long they are: 400 bytes of the text itself (BYTES), or 51 words (PASSAGES),
-each of which stands in the string as six letters of its hash.  Gram and core follow from the length.
+each of which stands in the string as five bytes of its hash; anchors of words are 13 words.  One search takes several views.
 
 The construction runs over these short sequences, not over whole documents: there it needs as many rounds as the
 longest document has bytes and rewrites all of the transform in each.
@@ -46,15 +46,16 @@ from . import anchors as an
 from . import bwt
 from .common import dropped, looked_up, small_batches, unused, written
 
-#: Starts of one run, and of one run of a gram that is spread over tasks.
-RUN, SPREAD_RUN = 8, 25
+#: Starts of one run of a gram that is spread over tasks.
+SPREAD_RUN = 25
 #: Contexts of one gram and sequences of one core that one task takes; sequences of one construction (but a core's stay together).
 UNIT, COLLECTION = 512, 16_384
 #: Contexts that a task holds before it decides on them.
 HELD = 2048
-#: Letters of a word's hash that stand for it in a view of words.
-CODE = 6
-_LETTERS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+-", np.uint8)
+#: Bytes of texts whose anchors are sought at a time.
+GROUP = 1 << 16
+#: Bytes of a word's hash that stand for it in a view of words.
+CODE = 5
 _ODD_SPACE = re.compile(b"|".join(re.escape(c.encode()) for c in map(chr, range(0x80, 0x3001)) if c.isspace()))
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
 
@@ -71,11 +72,15 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, stops
 
 
-def as_codes(data: bytes) -> bytes:
-    """Each word as CODE letters of its hash."""
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and hash of each word."""
     starts, stops = words_of(data)
-    h = an.Hashes(np.frombuffer(data, np.uint8)).of(starts, stops)
-    return _LETTERS[(h[:, None] >> (np.arange(CODE, dtype=np.uint64) * np.uint64(6))) & np.uint64(63)].tobytes()
+    return starts, an.Hashes(np.frombuffer(data, np.uint8)).of(starts, stops)
+
+
+def as_codes(data: bytes) -> bytes:
+    """Each word as CODE bytes of its hash."""
+    return np.ascontiguousarray(word_hashes(data)[1][:, None].view(np.uint8)[:, :CODE]).tobytes()
 
 
 def of_codes(data: bytes, extents: np.ndarray) -> np.ndarray:
@@ -85,32 +90,60 @@ def of_codes(data: bytes, extents: np.ndarray) -> np.ndarray:
     return np.stack([starts[first], stops[last - 1]], axis=1)
 
 
+def bytes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts], np.int64)
+
+
+def hashes_of_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    starts, h = word_hashes(b"\n".join(texts))
+    ends = np.cumsum([len(x) + 1 for x in texts])
+    return h, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
 @dataclass(frozen=True)
 class View:
-    """Strings of length bytes of seen(data); back leads extents there to extents in data; shorter data than least bytes holds no string."""
+    """Strings of length bytes of seen(data); back leads extents there to extents in data; shorter data than least bytes holds no string.
+
+    units gives the texts' units of ``unit`` bytes there, and how many each text has; strings start with a unit, anchors have gram units.
+    The construction takes ``run`` starts of seen(data) at a time.
+    """
 
     length: int
     least: int
     seen: Callable[[bytes], bytes]
     back: Callable[[bytes, np.ndarray], np.ndarray]
+    units: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    unit: int
+    gram: int
+    run: int
 
-    @property
-    def gram(self) -> int:
-        return self.length // 2
 
-
-BYTES = View(an.LENGTH, an.LENGTH, lambda data: data, lambda data, extents: extents)
+BYTES = View(an.LENGTH, an.LENGTH, lambda data: data, lambda data, extents: extents, bytes_of, 1, an.GRAM, 8)
 #: Every passage of over 50 words, however short the words are.
-PASSAGES = View(51 * CODE, 101, as_codes, of_codes)
+PASSAGES = View(51 * CODE, 101, as_codes, of_codes, hashes_of_words, CODE, 13, 2 * CODE)
+
 
+def _groups(rids: np.ndarray, texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Texts that are handled at a time: of GROUP bytes together, so that the arrays stay in the cache; a longer one by itself."""
+    lo = size = 0
+    for i, x in enumerate(texts):
+        if i > lo and size + len(x) > GROUP:
+            yield rids[lo:i], texts[lo:i]
+            lo, size = i, 0
+        size += len(x)
+    if lo < len(texts):
+        yield rids[lo:], texts[lo:]
 
-def _anchor_rows(view: View):
+
+def _anchor_rows(views: list[View]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for rid, text in zip(b.column(0).to_numpy(), b.column(1).to_pylist(), strict=True):
-                at, first, last, a, e = an.of_text(view.seen(text), view.length, view.gram)
-                out.append((np.full(len(at), rid), at << 16 | (at - first) << 8 | (last - first), a.view(np.int64), e.view(np.int64)))
+            for rids, texts in _groups(b.column(0).to_numpy(), b.column(1).to_pylist()):
+                for v, view in enumerate(views):
+                    text, at, first, last, a, e = an.of_texts(*view.units(texts), view.length // view.unit, view.gram)
+                    loc = at * view.unit << 24 | v << 16 | (at - first) * view.unit << 8 | (last - first) * view.unit
+                    out.append((rids[text], loc, a.view(np.int64), e.view(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["rid", "loc", "a", "e"])
 
@@ -130,73 +163,94 @@ def runs_of(context: bytes, back: int, span: int, run: int, length: int = an.LEN
     return out
 
 
-def _contexts(view: View, spread: bool):
-    """Of rows with __text, __locs, __as, __es, __ns, __spread: the contexts' bytes, or, of the grams that are spread, their runs."""
+def _contexts(views: list[View]):
+    """Of rows with __text, __locs, __as, __es, __ns, __spread: the contexts' bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for text, *lists in zip(*(b.column(c).to_pylist() for c in ("__text", "__locs", "__as", "__es", "__ns", "__spread")), strict=True):
-                data = view.seen((text or "").encode("utf-8"))
-                for loc, a, e, n, hot in zip(*lists, strict=True):
-                    if hot != spread:
-                        continue
-                    at, back, span = loc >> 16, loc >> 8 & 255, loc & 255
-                    context = data[at - back : at - back + span + view.length]
-                    if spread:
-                        rows += [(a, e, min(n, 2), base, core, len(left), left + right) for base, left, core, right in runs_of(context, back, span, SPREAD_RUN, view.length)]
-                    else:
-                        rows.append((a, e, min(n, 2), back, span, context))
-            names, kinds = zip(*(SPREAD if spread else WHOLE), strict=True)
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=list(names))
+                data, seen = (text or "").encode("utf-8"), {}
+                for loc, a, e, n, spread in zip(*lists, strict=True):
+                    at, v, back, span = loc >> 24, loc >> 16 & 255, loc >> 8 & 255, loc & 255
+                    if v not in seen:
+                        seen[v] = views[v].seen(data)
+                    rows.append((a, e, min(n, 2), v, back, span, seen[v][at - back : at - back + span + views[v].length], spread))
+            yield _batch(rows, CONTEXTS)
+
+    return run
+
+
+def _spread_runs(views: list[View]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The runs of rows of CONTEXTS."""
+        for b in batches:
+            rows = []
+            for a, e, n, v, back, span, context, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                rows += [(a, e, n, base, core, len(left), left + right) for base, left, core, right in runs_of(context, back, span, SPREAD_RUN, views[v].length)]
+            yield _batch(rows, SPREAD)
 
     return run
 
 
 #: Columns of contexts, and of the runs of grams that are spread.
-WHOLE = (("a", pa.int64()), ("e", pa.int64()), ("n", pa.int32()), ("back", pa.int32()), ("span", pa.int32()), ("context", pa.binary()))
+CONTEXTS = (("a", pa.int64()), ("e", pa.int64()), ("n", pa.int32()), ("v", pa.int32()), ("back", pa.int32()), ("span", pa.int32()), ("context", pa.binary()), ("spread", pa.bool_()))
 SPREAD = (("a", pa.int64()), ("e", pa.int64()), ("n", pa.int32()), ("base", pa.int32()), ("core", pa.binary()), ("before", pa.int32()), ("around", pa.binary()))
-_SQL = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+_SQL = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.bool_(): "boolean"}
 
 
 def schema_of(columns: tuple) -> str:
     return ", ".join(f"{c} {_SQL[k]}" for c, k in columns)
 
 
-def decided(owner: np.ndarray, copies: np.ndarray, base: np.ndarray, core: list, left: list[bytes], right: list[bytes], run: int, near: np.ndarray, far: np.ndarray) -> None:
+def _batch(rows: list[tuple], columns: tuple) -> pa.RecordBatch:
+    names, kinds = zip(*columns, strict=True)
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=list(names))
+
+
+@dataclass(frozen=True)
+class Runs:
+    """Runs as sequences: n_left bytes of data that end before left, the core's symbol, n_right bytes from right on."""
+
+    owner: np.ndarray
+    copies: np.ndarray
+    base: np.ndarray
+    symbol: np.ndarray
+    data: np.ndarray
+    left: np.ndarray
+    n_left: np.ndarray
+    right: np.ndarray
+    n_right: np.ndarray
+
+
+def decided(x: Runs, run: int, near: np.ndarray, far: np.ndarray) -> None:
     """Let the construction find the repeated strings of runs and widen near and far of their owners by the strings' distances.
 
     A core that only one sequence has rules that out; the others are dealt to constructions of COLLECTION sequences, a core's together.
     """
-    names: dict = {}
-    symbol = np.array([names.setdefault(k, len(names)) for k in core], np.int64)
-    order = np.argsort(symbol, kind="stable")
-    order = order[np.bincount(symbol, copies)[symbol[order]] > 1]
+    order = np.argsort(x.symbol, kind="stable")
+    order = order[np.bincount(x.symbol, x.copies)[x.symbol[order]] > 1]
+    data, column = np.append(x.data, np.uint8(0)), np.arange(2 * run)
     lo = 0
     while lo < len(order):
         hi = min(lo + COLLECTION, len(order))
-        while hi < len(order) and symbol[order[hi]] == symbol[order[hi - 1]]:
+        while hi < len(order) and x.symbol[order[hi]] == x.symbol[order[hi - 1]]:
             hi += 1
         mine = order[lo:hi]
-        rank = np.cumsum(np.diff(symbol[mine], prepend=symbol[mine[0]]) > 0)  # the cores' numbers in this construction
-        rows = np.zeros((len(mine), 2 * run), np.uint16)
-        sizes = np.zeros(len(mine), np.int64)
-        for i, (j, k) in enumerate(zip(mine.tolist(), rank.tolist(), strict=True)):
-            after, before = right[j][::-1], left[j][::-1]
-            n = len(after)
-            rows[i, :n] = np.frombuffer(after, np.uint8)
-            rows[i, n + 1 : n + 1 + len(before)] = np.frombuffer(before, np.uint8)
-            sizes[i] = n + 1 + len(before)
-        rows += np.arange(2 * run) < sizes[:, None]  # bytes are symbols from 1 on
-        rows[np.arange(len(mine)), [len(right[j]) for j in mine.tolist()]] = 257 + rank
-        of = np.repeat(np.arange(len(mine)), copies[mine])
+        rank = np.cumsum(np.diff(x.symbol[mine], prepend=x.symbol[mine[0]]) > 0)  # the cores' numbers in this construction
+        after, sizes = x.n_right[mine][:, None], x.n_left[mine] + 1 + x.n_right[mine]
+        # from the right: the bytes after the core, the core, the bytes before it
+        at = np.where(column < after, x.right[mine][:, None] + after - 1 - column, x.left[mine][:, None] + after - column)
+        rows = data[np.clip(at, 0, len(x.data))].astype(np.uint16) + np.uint16(1)  # bytes are symbols from 1 on
+        rows[column >= sizes[:, None]] = bwt.END
+        rows[np.arange(len(mine)), x.n_right[mine]] = 257 + rank
         with tempfile.TemporaryDirectory() as folder:
-            seq, start = bwt.repeated(rows[of], sizes[of], run, Path(folder))
-        j = mine[of[seq]]
-        d = base[j] + np.array([len(x) for x in left], np.int64)[j] - start
-        np.minimum.at(near, owner[j], d)
-        np.maximum.at(far, owner[j], d)
+            seq, start = bwt.repeated(rows, sizes, run, Path(folder), x.copies[mine])
+        j = mine[seq]
+        d = x.base[j] + x.n_left[j] - start
+        np.minimum.at(near, x.owner[j], d)
+        np.maximum.at(far, x.owner[j], d)
         lo = hi
 
 
@@ -210,28 +264,42 @@ def _emitted(ids: list, near: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
     ], names=["a", "e", "near", "far"])
 
 
-def _of_contexts(view: View):
+def context_runs(view: View, copies: np.ndarray, back: np.ndarray, span: np.ndarray, contexts: list[bytes]) -> Runs:
+    """Contexts' runs (as runs_of cuts them) whose core another run or another copy has: hashes rule the others out, bytes tell the cores apart."""
+    run, data = view.run, b"".join(contexts)
+    lowest = (back - span) // run
+    count = back // run - lowest + 1
+    owner = np.repeat(np.arange(len(contexts)), count)
+    base = (lowest[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * run
+    begin = np.cumsum([0] + [len(c) for c in contexts[:-1]])
+    left = begin[owner] + back[owner] - base
+    right = left + view.length - run + 1
+    x = np.frombuffer(data, np.uint8)
+    same = np.unique(an.Hashes(x).of(left, right) ^ an.mixed(base.astype(np.uint64)), return_inverse=True)[1]
+    kept = np.flatnonzero(np.bincount(same, copies[owner])[same] > 1)
+    owner, base, left, right = owner[kept], base[kept], left[kept], right[kept]
+    names: dict = {}
+    symbol = [names.setdefault((b, data[i:j]), len(names)) for b, i, j in zip(base.tolist(), left.tolist(), right.tolist(), strict=True)]
+    n_left = np.minimum(back[owner], base + run - 1) - base
+    n_right = base + run - 1 - np.maximum(back[owner] - span[owner], base)
+    return Runs(owner, copies[owner], base, np.array(symbol, np.int64), x, left, n_left, right, n_right)
+
+
+def _of_contexts(views: list[View]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of WHOLE, a gram's together: per context the least and greatest distance of its repeated strings."""
+        """Rows of CONTEXTS, a view's and in it a gram's together: per context the least and greatest distance of its repeated strings."""
 
         def decide(rows: list[tuple]) -> pa.RecordBatch:
-            owner, base, left, core, right = [], [], [], [], []
-            for i, (_, _, _, back, span, context) in enumerate(rows):
-                for b, x, k, y in runs_of(context, back, span, RUN, view.length):
-                    owner.append(i)
-                    base.append(b)
-                    left.append(x)
-                    core.append((b, k))
-                    right.append(y)
-            owners = np.array(owner, np.int64)
+            view = views[rows[0][3]]
             near, far = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
-            decided(owners, np.array([r[2] for r in rows], np.int64)[owners], np.array(base, np.int64), core, left, right, RUN, near, far)
+            copies, back, span = (np.array([r[k] for r in rows], np.int64) for k in (2, 4, 5))
+            decided(context_runs(view, copies, back, span, [r[6] for r in rows]), view.run, near, far)
             return _emitted(rows, near, far)
 
         held: list[tuple] = []
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if len(held) >= HELD and row[0] != held[-1][0]:
+                if held and (row[3] != held[-1][3] or (len(held) >= HELD and row[0] != held[-1][0])):
                     yield decide(held)
                     held = []
                 held.append(row)
@@ -247,9 +315,13 @@ def _of_runs(run: int):
 
         def decide(rows: list[tuple]) -> pa.RecordBatch:
             near, far = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
-            left, right = [x[7][: x[6]] for x in rows], [x[7][x[6] :] for x in rows]
-            decided(np.arange(len(rows)), np.array([x[2] for x in rows], np.int64), np.array([x[3] for x in rows], np.int64), [x[:2] for x in rows], left, right, run, near, far)
-            return _emitted([x[4:6] for x in rows], near, far)
+            names: dict = {}
+            symbol = np.array([names.setdefault(r[:2], len(names)) for r in rows], np.int64)
+            copies, base, before, size = (np.array(c, np.int64) for c in zip(*((r[2], r[3], r[6], len(r[7])) for r in rows), strict=True))
+            left = np.cumsum(size) - size + before
+            data = np.frombuffer(b"".join(r[7] for r in rows), np.uint8)
+            decided(Runs(np.arange(len(rows)), copies, base, symbol, data, left, before, left, size - before), run, near, far)
+            return _emitted([r[4:6] for r in rows], near, far)
 
         held: list[tuple] = []
         for b in batches:
@@ -311,7 +383,7 @@ def _cut_out(view: View):
         for data, ext in zip(text, extents, strict=True):
             kept, spans, removed, at = [], 0, 0, 0
             end = -1
-            found = [] if ext is None else sorted(view.back(data, np.asarray(ext, np.int64).reshape(-1, 2)).tolist())
+            found = [] if ext is None or not len(ext) else sorted(view.back(data, np.asarray(ext, np.int64).reshape(-1, 2)).tolist())
             for start, stop in found:
                 if start > end:  # extents that touch are one run
                     spans += 1
@@ -329,33 +401,42 @@ def _cut_out(view: View):
 CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", view: View = BYTES) -> DataFrame:
-    """docs with a column __cut: struct of n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", view: View = BYTES, beside: dict[str, View] | None = None) -> DataFrame:
+    """docs with a column __cut: struct of n_bytes, n_removed, n_spans and kept (the remaining bytes).
+
+    Each view of beside is sought in the same search and gives a column of its own of that kind, by its name; it takes nothing from __cut.
+    """
     spark, u = docs.sparkSession, unused(docs)
+    views = {"__cut": view, **(beside or {})}
+    each = list(views.values())
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rid, extents_col = f"{u}rid", f"{u}extents"
+    rid, ext = f"{u}rid", f"{u}extents"
     rows = small_batches(docs).withColumn(rid, F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), data))
     texts = rows.select(F.col(rid).alias("rid"), data.alias("data"))
-    found = written(texts.filter(F.length("data") >= view.least).mapInArrow(_anchor_rows(view), "rid long, loc long, a long, e long"))
-    again = written(found.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a"))
-    shared = written(looked_up(found, again, "a"))
+    found = written(texts.filter(F.length("data") >= min(v.least for v in each)).mapInArrow(_anchor_rows(each), "rid long, loc long, a long, e long"))
+    again = written(found.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1"))
+    shared = written(looked_up(found, again, "a", rows="n").drop("n"))
     dropped(found)  # most anchors are not shared, and nothing below reads them
-    contexts = written(shared.groupBy("a", "e").agg(F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("loc").alias("loc")))
-    many = contexts.groupBy("a").agg(F.count("*").alias("size")).filter(F.col("size") > UNIT).select("a", F.lit(True).alias("spread"))
-    marked = looked_up(contexts, many, "a", "left").withColumn("spread", F.coalesce("spread", F.lit(False)))
+    named = written(shared.groupBy("a", "e").agg(F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("loc").alias("loc")))
+    many = named.groupBy("a").agg(F.count("*").alias("size")).filter(F.col("size") > UNIT).select("a", F.lit(True).alias("spread"))
+    marked = looked_up(named, many, "a", "left").withColumn("spread", F.coalesce("spread", F.lit(False)))
     lists = [F.collect_list(c).alias(f"__{c}s") for c in ("loc", "a", "e", "n")]
     asked = marked.groupBy(F.col("rid").alias(rid)).agg(*lists, F.collect_list("spread").alias("__spread"))
-    # both joins of the texts are on the row's name and of all columns, so that Spark shuffles the texts once
     met = rows.join(asked, rid).dropDuplicates([rid]).withColumn("__text", F.col(text_col).cast("string"))
+    contexts = written(met.mapInArrow(_contexts(each), schema_of(CONTEXTS)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    whole = met.mapInArrow(_contexts(view, False), schema_of(WHOLE)).repartition(parts, "a").sortWithinPartitions("a")
-    found_in = whole.mapInArrow(_of_contexts(view), FOUND)
-    if many.take(1):
-        spread = met.mapInArrow(_contexts(view, True), schema_of(SPREAD)).withColumns(_two("k", "core", "base")).drop("core")
-        found_in = found_in.unionByName(repeated_in_runs(spread))
+    whole = contexts.filter(~F.col("spread")).repartition(parts, "a").sortWithinPartitions("v", "a")
+    found_in = whole.mapInArrow(_of_contexts(each), FOUND)
+    spread = contexts.filter("spread")
+    if spread.take(1):
+        runs = spread.mapInArrow(_spread_runs(each), schema_of(SPREAD)).withColumns(_two("k", "core", "base")).drop("core")
+        found_in = found_in.unionByName(repeated_in_runs(runs))
     repeats = written(found_in)
-    at = F.shiftright("loc", 16)
-    extent = F.struct((at - F.col("far")).alias("start"), (at - F.col("near") + view.length).alias("stop"))
-    extents = looked_up(shared, repeats, ["a", "e"]).select("rid", extent.alias("x")).distinct()
-    named = extents.groupBy(F.col("rid").alias(rid)).agg(F.flatten(F.collect_list(F.array("x.start", "x.stop"))).alias(extents_col))
-    return rows.join(named, rid, "left").withColumn("__cut", F.pandas_udf(_cut_out(view), CUT)(data, F.col(extents_col))).drop(rid, extents_col)
+    at, v = F.shiftright("loc", 24), F.shiftright("loc", 16).bitwiseAND(255).cast("int")
+    length = F.element_at(F.array(*[F.lit(x.length) for x in each]), v + 1)
+    extents = looked_up(shared, repeats, ["a", "e"]).select("rid", v.alias("v"), (at - F.col("far")).alias("start"), (at - F.col("near") + length).alias("stop")).distinct()
+    of_view = [F.flatten(F.collect_list(F.when(F.col("v") == i, F.array("start", "stop")))).alias(f"{ext}{i}") for i in range(len(each))]
+    out = rows.join(extents.groupBy(F.col("rid").alias(rid)).agg(*of_view), rid, "left")
+    for i, (name, x) in enumerate(views.items()):
+        out = out.withColumn(name, F.pandas_udf(_cut_out(x), CUT)(data, F.col(f"{ext}{i}")))
+    return out.drop(rid, *[f"{ext}{i}" for i in range(len(each))])

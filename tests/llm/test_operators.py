@@ -103,6 +103,41 @@ def test_passages_of_51_words(spark):
     assert [x.tolist() for x in unspaced] == [[0, 2, 5, 8, 12], [2, 5, 8, 9, 14]]
 
 
+def test_suffix_dedup_with_passages_beside(spark, monkeypatch):
+    """op2's own columns are the 400 bytes' alone; passages of over 50 words that have fewer bytes are told beside them."""
+    rng = random.Random(23)
+    short, long = words(rng, 51, 9), words(rng, 80, 10**12)
+    assert len(short) < 400 < len(long)
+    texts = [f"{words(rng, 20)} {short} {words(rng, 20)}", f"{words(rng, 9)}\n{short} {words(rng, 30)}", f"{words(rng, 8)} {long}", f"{long} {words(rng, 7)}"]
+    texts += [words(rng, 60), words(rng, 300), None, "", *[words(rng, 70)] * 3]
+    monkeypatch.setattr(queries, "table", lambda *_: spark.createDataFrame(list(enumerate(texts)), DOCS))
+    got = {r["doc_id"]: r for r in queries.op2_suffix_dedup(spark, "").collect()}
+    assert [tuple(got[i])[1:5] for i in range(len(texts))] == brute_cut([(t or "").encode() for t in texts])
+    assert [got[i]["n_removed"] for i in (0, 1)] == [0, 0]
+    assert [got[i]["n_passage_bytes"] for i in range(len(texts))] == [len(short)] * 2 + [len(long)] * 2 + [0] * 4 + [len(texts[-1])] * 3
+
+
+def test_suffix_dedup_with_passages_beside_on_a_table(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kept = dict(zip(texts, brute_passages(list(texts.values()))))
+    for r in queries.op2_suffix_dedup(spark, sf).collect():
+        words_gone = len(texts[r["doc_id"]].split()) - len(kept[r["doc_id"]])
+        assert (r["n_passage_bytes"] > 0) == (words_gone > 0) and r["n_passage_bytes"] >= 2 * words_gone - 1
+
+
+def test_equal_sequences_stand_once_in_the_construction(tmp_path):
+    rng = np.random.default_rng(5)
+    some = [rng.integers(1, 3, n) for n in rng.integers(1, 12, 40)]
+    copies = rng.integers(1, 4, len(some))
+    once, every = bwt.padded(some), bwt.padded([x for x, n in zip(some, copies) for _ in range(n)])
+    of = np.repeat(np.arange(len(some)), copies)
+    for length in (1, 4, 9):
+        seq, start = bwt.repeated(*every, length, tmp_path)
+        mine = bwt.repeated(*once, length, tmp_path, copies)
+        assert set(zip(of[seq].tolist(), start.tolist())) == set(zip(mine[0].tolist(), mine[1].tolist()))
+
+
 def test_substring_dedup_stage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
